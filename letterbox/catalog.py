@@ -4,13 +4,23 @@ from __future__ import annotations
 
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .model import LoadResult
+from .session import small_rows
 from .sinks.tables import create_table, partition_columns, quote_name
 
-AUDIT_DDL = (
-    "tabela STRING, mode STRING, status STRING, rows BIGINT, day DATE, run_ts TIMESTAMP, error STRING"
+AUDIT_SCHEMA = pa.schema(
+    {
+        "tabela": pa.string(),
+        "mode": pa.string(),
+        "status": pa.string(),
+        "rows": pa.int64(),
+        "day": pa.date32(),
+        "run_ts": pa.timestamp("us", "UTC"),
+        "error": pa.string(),
+    }
 )
 
 
@@ -38,16 +48,26 @@ def record(
     spark: SparkSession, audit_table: str, results: list[LoadResult], day: date, base_path: str
 ) -> None:
     """Append one row per table of a run; one file per run."""
-    schema = T.StructType.fromDDL(AUDIT_DDL)
+    now = datetime.now(timezone.utc)
+    rows = [
+        {
+            "tabela": r.table,
+            "mode": r.mode,
+            "status": r.status,
+            "rows": r.rows,
+            "day": day,
+            "run_ts": now,
+            "error": r.error,
+        }
+        for r in results
+    ]
+    entries = small_rows(spark, rows, AUDIT_SCHEMA)
     if not spark.catalog.tableExists(audit_table):
         location = f"{base_path.rstrip('/')}/_audit/{audit_table.replace('.', '/')}"
-        database_location = f"{location}.db"
         create_table(
-            spark, audit_table, schema, location, database_location=database_location
+            spark, audit_table, entries.schema, location, database_location=f"{location}.db"
         )
-    now = datetime.now(timezone.utc)
-    rows = [(r.table, r.mode, r.status, r.rows, day, now, r.error) for r in results]
-    spark.createDataFrame(rows, schema).coalesce(1).write.insertInto(audit_table)
+    entries.coalesce(1).write.insertInto(audit_table)
 
 
 def history(spark: SparkSession, audit_table: str, table: str | None = None) -> DataFrame:

@@ -9,27 +9,30 @@ from ..functions.schemas import REJECTED_BODY, envelope_schema, payload_schema
 from ..model import TableSpec
 
 
-def parse_messages(messages: DataFrame, body: str = "body", *, keep_rejected: bool = False) -> DataFrame:
+def parse_messages(
+    messages: DataFrame, body: str = "body", *, payload: bool = True, keep_rejected: bool = False
+) -> DataFrame:
     """Envelope columns of every message.
 
     Registry documents say ``id`` where messages say ``_id``; both count.
-    ``keep_rejected`` adds the text of bodies that do not fit the envelope.
-    Without it Spark parses only the envelope fields a query goes on to use.
+    ``payload=False`` skips the payload, which is most of a message, where
+    only the header matters.  ``keep_rejected`` adds the text of bodies that
+    do not fit the envelope.
+
+    The parse sits in a generator because Spark would otherwise repeat it for
+    every later filter it moves below a projection.
     """
-    schema = envelope_schema()
-    names = schema.fieldNames()
-    wire = T.StructType(schema.fields + [T.StructField("id", T.StringType())])
+    fields = [f for f in envelope_schema().fields if payload or f.name != "conteudo"]
+    wire = T.StructType(fields + [T.StructField("id", T.StringType())])
     options = {}
     if keep_rejected:
         wire = wire.add(REJECTED_BODY, T.StringType())
         options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": REJECTED_BODY}
-    parsed = messages.select(F.from_json(F.col(body).cast("string"), wire, options).alias("values"))
-    values = F.col("values")
-    columns = [F.coalesce(values["_id"], values["id"]).alias("_id")]
-    columns += [values[name].alias(name) for name in names if name != "_id"]
-    if keep_rejected:
-        columns.append(values[REJECTED_BODY].alias(REJECTED_BODY))
-    return parsed.select(columns)
+    parsed = F.from_json(F.col(body).cast("string"), wire, options)
+    return messages.select(F.inline(F.array(parsed))).select(
+        F.coalesce("_id", "id").alias("_id"),
+        *[name for name in wire.names if name not in ("_id", "id")],
+    )
 
 
 def has_rows() -> Column:
@@ -43,9 +46,9 @@ def is_rejected() -> Column:
     return F.col(REJECTED_BODY).isNotNull() | F.coalesce(nowhere, F.lit(False))
 
 
-def envelopes(messages: DataFrame, body: str = "body") -> DataFrame:
+def envelopes(messages: DataFrame, body: str = "body", *, payload: bool = True) -> DataFrame:
     """Parsed envelopes that announce rows."""
-    return parse_messages(messages, body).filter(has_rows())
+    return parse_messages(messages, body, payload=payload).filter(has_rows())
 
 
 def quarantine(messages: DataFrame, body: str = "body") -> DataFrame:

@@ -10,6 +10,7 @@ from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -20,12 +21,21 @@ from ..model import DAY_PARTITIONS, LoadOptions, LoadResult, TableSpec
 from ..operators.envelopes import resolve_specs, table_spec
 from ..operators.payload import rule_source, typed_payload, typed_rows, with_day, with_rule
 from ..operators.quality import assert_keys
+from ..session import small_rows
 from ..sinks.landing import accepted, land
 from ..sinks.tables import create_table, save, save_day
 from ..sources.files import read_landing
 from ..sources.origins import name_list
 
-REPORT_DDL = "tabela string, status string, mode string, rows bigint, error string"
+REPORT_SCHEMA = pa.schema(
+    {
+        "tabela": pa.string(),
+        "status": pa.string(),
+        "mode": pa.string(),
+        "rows": pa.int64(),
+        "error": pa.string(),
+    }
+)
 
 
 class LoadFailed(RuntimeError):
@@ -146,8 +156,11 @@ def load_messages(
 
 def report(spark: SparkSession, results: list[LoadResult]) -> DataFrame:
     """The outcome of a run, one row per table."""
-    rows = [(r.table, r.status, r.mode, r.rows, r.error) for r in results]
-    return spark.createDataFrame(rows, REPORT_DDL)
+    rows = [
+        {"tabela": r.table, "status": r.status, "mode": r.mode, "rows": r.rows, "error": r.error}
+        for r in results
+    ]
+    return small_rows(spark, rows, REPORT_SCHEMA)
 
 
 def raise_on_failure(results: list[LoadResult]) -> None:

@@ -56,7 +56,7 @@ FROM events GROUP BY ALL
 def header_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent, _ = _events(spark, sf_dir)
     return (
-        env.parse_messages(sent)
+        env.parse_messages(sent, payload=False)
         .groupBy(F.col("_id").alias("header_id"), F.col("destino.diretorio").alias("diretorio"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -80,7 +80,7 @@ def id_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT DISTINCT event_type AS diretorio FROM events")
 def table_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return env.tables(env.envelopes(_events(spark, sf_dir)[0]))
+    return env.tables(env.envelopes(_events(spark, sf_dir)[0], payload=False))
 
 
 @query("""
@@ -97,7 +97,7 @@ def spec_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent = row_messages(
         documents, F.col("source"), ["doc_id"], keys=F.col("lang"), mode="OVERWRITE", sent=sent_at
     )
-    return env.resolve_specs(env.envelopes(sent)).select(
+    return env.resolve_specs(env.envelopes(sent, payload=False)).select(
         "tabela", "chave_tabela", "modo_gravacao", "distinct_specs", "messages"
     )
 

@@ -104,8 +104,8 @@ def load_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT event_type AS tabela, CASE WHEN event_type = 'error' THEN 'failed' ELSE 'loaded' END AS status,
-       CASE WHEN event_type = 'error' THEN 0 ELSE count(*) END AS rows
-FROM events GROUP BY ALL
+       CASE WHEN event_type = 'error' THEN 0 ELSE n END AS rows
+FROM (SELECT event_type, count(*) AS n FROM events GROUP BY event_type)
 UNION ALL SELECT 'nothing', 'empty', 0
 """)
 def key_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,7 +184,7 @@ def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def create_empty_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An empty table for every destination, from the specs in its messages."""
     run = options(spark)
-    specs = env.resolve_specs(env.envelopes(event_messages(spark, sf_dir)))
+    specs = env.resolve_specs(env.envelopes(event_messages(spark, sf_dir), payload=False))
     names = []
     for row in specs.toLocalIterator():
         spec = env.table_spec(row)

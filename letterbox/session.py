@@ -1,11 +1,12 @@
-"""Where a job may put intermediate data."""
+"""What a job needs from its session: a shared folder, and small driver-made rows."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -30,3 +31,8 @@ def new_folder(spark: SparkSession, label: str) -> str:
 
 def adaptive(spark: SparkSession) -> bool:
     return spark.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
+
+
+def small_rows(spark: SparkSession, rows: list[dict], schema: pa.Schema) -> DataFrame:
+    """A few rows made on the driver, such as a run's report; starts no Python worker."""
+    return spark.createDataFrame(pa.Table.from_pylist(rows, schema))

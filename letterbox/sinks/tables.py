@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
@@ -51,7 +52,8 @@ def create_table(
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {quote_name(table)} AS JSON").first()[0]
+    return json.loads(described).get("partition_columns", [])
 
 
 def spread(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -86,18 +88,29 @@ def aligned(df: DataFrame, table: str) -> DataFrame:
     return df.select(["`" + have[name.lower()].replace("`", "``") + "`" for name in wanted])
 
 
-def save(df: DataFrame, table: str, mode: str, metrics: Mapping[str, Column] | None = None) -> dict:
+def save(
+    df: DataFrame,
+    table: str,
+    mode: str,
+    metrics: Mapping[str, Column] | None = None,
+    *,
+    shuffle: bool = True,
+) -> dict:
     """Insert into an existing table; returns what was counted on the way.
 
     ``append`` adds rows, ``overwrite`` replaces the partitions present in
-    ``df`` (the whole table when it has none).  The counts are taken in the
+    ``df`` (the whole table when it has none).  Rows are first brought together
+    by partition, unless ``shuffle`` is off.  The counts are taken in the
     writing stage, where each task counts once however often it is retried.
     """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"unknown write mode {mode!r}")
     parts = partition_columns(df.sparkSession, table)
     counted = Observation()
-    out = spread(aligned(df, table), parts).observe(
+    out = aligned(df, table)
+    if shuffle:
+        out = spread(out, parts)
+    out = out.observe(
         counted,
         F.count(F.lit(1)).alias("rows"),
         *[column.alias(name) for name, column in (metrics or {}).items()],
@@ -107,8 +120,12 @@ def save(df: DataFrame, table: str, mode: str, metrics: Mapping[str, Column] | N
 
 
 def save_day(df: DataFrame, table: str, day: Mapping[str, int], mode: str) -> int:
-    """``save`` for one constant partition, which is emptied when ``df`` is empty."""
-    rows = save(df, table, mode)["rows"]
+    """``save`` for one constant partition, which is emptied when ``df`` is empty.
+
+    With a single partition to write there is nothing to bring together, so
+    rows go straight from the tasks that read them to files.
+    """
+    rows = save(df, table, mode, shuffle=False)["rows"]
     if mode == "overwrite" and rows == 0:
         clear_partition(df.sparkSession, table, day)
     return rows
