@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.schemas import declared_schema
 from ..sinks.publish import json_text
+from ..sources.files import use_all_cores
 
 _DECLARED = (
     "STRUCT<fields: ARRAY<STRUCT<name: STRING, dataType: STRING, nullable: BOOLEAN, "
@@ -34,7 +35,7 @@ def messages(
     enqueued: Column | None = None,
     source: str = "app",
 ) -> DataFrame:
-    """One message ``(body, enqueuedTime)`` per row of ``df``, without a shuffle.
+    """One message ``(body, enqueuedTime)`` per row of ``df``.
 
     ``schema`` describes a payload element; ``declared`` overrides how the
     envelope states it.
@@ -67,7 +68,7 @@ def messages(
         F.lit("lot").alias("lote"),
     )
     when = F.lit("2024-01-10 00:00:00").cast("timestamp_ntz") if enqueued is None else enqueued
-    return df.select(json_text(body).cast("binary").alias("body"), when.alias("enqueuedTime"))
+    return use_all_cores(df).select(json_text(body).cast("binary").alias("body"), when.alias("enqueuedTime"))
 
 
 def row_messages(df: DataFrame, table: Column | str, columns: list[str] | None = None, **kwargs) -> DataFrame:
