@@ -67,7 +67,7 @@ class LoadOptions:
     default_rule: PartitionRule | None = None
     first_only: bool = False
     legacy_cast: bool = False
-    concurrent_tables: int = 4
+    concurrent_tables: int = 8
     audit_table: str | None = None
 
     def rule_for(self, table: str) -> PartitionRule | None:

@@ -191,12 +191,14 @@ _K_DDL = "event_id BIGINT, k INT"
 
 
 @query("""
-SELECT event_id, CASE WHEN k % 10 = 0 THEN NULL ELSE k END AS k
+SELECT event_id, CASE WHEN k % 10 = 0 THEN -1 ELSE k END AS k, k % 10 = 0 AS lost
 FROM (SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events)
 """)
 def lenient_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = T.StructType.fromDDL(_K_DDL)
-    return typed_payload(env.envelopes(_k_messages(spark, sf_dir)), schema)
+    rows = typed_payload(env.envelopes(_k_messages(spark, sf_dir)), T.StructType.fromDDL(_K_DDL))
+    return rows.select(
+        "event_id", F.coalesce("k", F.lit(-1)).alias("k"), F.col("k").isNull().alias("lost")
+    )
 
 
 @query("""
@@ -256,7 +258,7 @@ def nested_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT CAST(page_id AS VARCHAR) AS id, url AS "Request Path", CAST(length(html) AS VARCHAR) AS "Bytes",
-       CAST(page_id AS INT) AS "Client RTT", CAST(NULL AS VARCHAR) AS "Waf version" FROM pages
+       CAST(page_id AS INT) AS "Client RTT", 'none' AS "Waf version" FROM pages
 """)
 def cdn_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nested access-log record, selected by labels."""
@@ -268,7 +270,8 @@ def cdn_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     sent = messages(pages, F.lit("cdn"), F.array(element), declared=cdn_declared())
     rows = typed_payload(env.envelopes(sent), cdn_schema())
-    return rows.select("id", *labelled(rows, ["Request Path", "Bytes", "Client RTT", "Waf version"]))
+    named = rows.select("id", *labelled(rows, ["Request Path", "Bytes", "Client RTT", "Waf version"]))
+    return named.fillna("none", ["Waf version"])
 
 
 @query("""

@@ -184,7 +184,7 @@ def register_partitioned(
     """
     if fmt == "delta":
         by = ", ".join(f"{quote_name(k)} {v}" for k, v in partitions.items())
-        spark.sql(f"CONVERT TO DELTA parquet.{quote_name(location)} PARTITIONED BY ({by})")
+        spark.sql(f"CONVERT TO DELTA parquet.`{location}` PARTITIONED BY ({by})")
         drop_table(spark, table)
         spark.sql(f"CREATE TABLE {quote_name(table)} USING DELTA LOCATION {_literal(location)}")
         return
@@ -213,8 +213,9 @@ def compact(
     chosen = spark.table(table)
     if where is not None:
         condition = F.expr(where) if isinstance(where, str) else where
-        # Resolved against the partition columns alone: anything else fails here.
-        chosen.select(*parts).limit(0).filter(condition)
+        # Fails here when the condition names anything but partition columns.
+        values = T.StructType([f for f in chosen.schema.fields if f.name in parts])
+        spark.createDataFrame([], values).filter(condition)
         chosen = chosen.filter(condition)
     counted = Observation()
     out = spread(chosen, parts).observe(counted, F.count(F.lit(1)).alias("rows"))

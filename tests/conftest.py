@@ -1,0 +1,75 @@
+from __future__ import annotations
+
+import json
+
+import pytest
+from pyspark.sql import SparkSession
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    root = tmp_path_factory.mktemp("spark")
+    session = (
+        SparkSession.builder.master("local[8]")
+        .appName("tests")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.memory", "4g")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.warehouse.dir", str(root / "warehouse"))
+        .config("spark.checkpoint.dir", str(root / "shared"))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+FIELDS = [
+    {"name": "id", "dataType": "long", "nullable": True, "metadata": {}},
+    {"name": "store", "dataType": "string", "nullable": True, "metadata": {}},
+    {"name": "day", "dataType": "date", "nullable": True, "metadata": {}},
+]
+
+
+def envelope(table="sales", payload=(), *, fields=None, **changes) -> dict:
+    """One wire document; ``destino`` entries may be given by keyword."""
+    payload = payload if isinstance(payload, (str, dict)) else list(payload)
+    target = {
+        "tipo": "json",
+        "caminho": "/raw/app",
+        "diretorio": table,
+        "chave_tabela": "id, store",
+        "modo_gravacao": "append",
+        "structType": {"fields": FIELDS if fields is None else fields},
+        "quantidade": len(payload) if isinstance(payload, list) else 1,
+    }
+    for name in list(changes):
+        if name in target:
+            target[name] = changes.pop(name)
+    return {
+        "_id": f"{table}-app",
+        "versao": "1.0.0",
+        "unidade_negocio": "u",
+        "projeto": "p",
+        "descricao": "d",
+        "timestamp": "2024-01-10T00:00:00",
+        "origem": {"tipo": "json", "fonte": "app", "caminho": "c", "diretorio": table},
+        "destino": target,
+        "conteudo": payload,
+        "lote": "l1",
+        **changes,
+    }
+
+
+@pytest.fixture
+def messages(spark):
+    """DataFrame of messages out of wire documents or raw body texts."""
+
+    def build(*documents):
+        bodies = [d if isinstance(d, str) or d is None else json.dumps(d) for d in documents]
+        df = spark.createDataFrame([(b,) for b in bodies], "body string")
+        return df.selectExpr("CAST(body AS BINARY) AS body")
+
+    return build

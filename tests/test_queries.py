@@ -1,0 +1,58 @@
+"""Every registered query against its SQL, on the smallest tables."""
+
+from __future__ import annotations
+
+import math
+import os
+
+import duckdb
+import pandas as pd
+import pytest
+
+from __spark_entry__ import entry, oracle_sql, queries
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+TABLES = "region nation customer supplier part orders lineitem events documents labels pages conversations".split()
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for table in TABLES:
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
+    return connection
+
+
+def plain(value):
+    if value is None or value is pd.NaT or value is pd.NA or (isinstance(value, float) and math.isnan(value)):
+        return None
+    if isinstance(value, pd.Timestamp):
+        return value.isoformat()
+    if hasattr(value, "item"):
+        value = value.item()
+    return float(value) if isinstance(value, int) and not isinstance(value, bool) else value
+
+
+def normal(frame: pd.DataFrame) -> list[tuple]:
+    columns = sorted(frame.columns)
+    rows = zip(*[[plain(v) for v in frame[c]] for c in columns])
+    return sorted(rows, key=repr)
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_query_equals_its_sql(spark, duck, name):
+    answer = queries()[name](spark, SF_DIR).toPandas()
+    expected = duck.execute(oracle_sql()[name]).df()
+    assert sorted(answer.columns) == sorted(expected.columns)
+    assert len(answer) == len(expected)
+    assert normal(answer) == normal(expected)
+
+
+def test_every_query_has_sql():
+    assert set(queries()) == set(oracle_sql())
+
+
+def test_entry(spark):
+    assert entry(spark).count() > 0

@@ -1,0 +1,106 @@
+import json
+import uuid
+from datetime import datetime
+
+import pytest
+from pyspark.sql import types as T
+
+from letterbox.functions.dates import previous_day_window
+from letterbox.sinks.publish import as_messages, publish
+from letterbox.sources import hub, jdbc
+from letterbox.sources.files import read_csv, use_all_cores
+from letterbox.sources.origins import name_list, read_origins
+from letterbox.sources.registry import partition_rules, read_documents, table_registry
+
+
+def test_hub_window_from_files(spark, tmp_path):
+    path = str(tmp_path / "hub")
+    times = ["2024-01-09 23:59:59", "2024-01-10 00:00:00", "2024-01-11 00:00:00"]
+    df = spark.createDataFrame([(t, t) for t in times], "body STRING, at STRING")
+    df.selectExpr("CAST(body AS BINARY) body", "CAST(concat(at, 'Z') AS TIMESTAMP) at").write.parquet(path)
+    found = hub.read_messages(spark, "parquet", {}, previous_day_window("2024-01-11"), time="at", path=path)
+    assert [bytes(r.body) for r in found.collect()] == [b"2024-01-10 00:00:00"]
+    assert found.columns == ["body", "enqueuedTime"]
+
+
+def test_kafka_bounds_are_milliseconds():
+    bounds = hub.kafka_bounds(previous_day_window("1970-01-02"))
+    assert bounds["startingTimestamp"] == "0" and bounds["endingTimestamp"] == "86400000"
+
+
+def test_csv_columns_are_cast_leniently(spark, tmp_path):
+    (tmp_path / "stocks.csv").write_text("acme,1.9,2.5\nbeta,x,y\ngama,20240101,\n")
+    schema = T.StructType.fromDDL("company STRING, date INT, value DOUBLE")
+    strict = read_csv(spark, str(tmp_path), schema)
+    assert [tuple(r) for r in strict.collect()] == [("acme", None, 2.5), ("beta", None, None), ("gama", 20240101, None)]
+    legacy = read_csv(spark, str(tmp_path), schema, legacy_cast=True)
+    assert [r.date for r in legacy.collect()] == [1, None, 20240101]
+
+
+def test_jdbc_statements_and_options():
+    template = "select * from t where d >= to_date('%s', 'yyyy-mm-dd') and d <= to_date('%s', 'yyyy-mm-dd')"
+    query = jdbc.window_query(template, "2024-01-01", "2024-01-31 10:00:00")
+    assert "'2024-01-01'" in query and "'2024-01-31'" in query
+    with pytest.raises(ValueError):
+        jdbc.window_query("select 1", "2024-01-01", "2024-01-02")
+    whole = jdbc.pull_options("jdbc:x", query, properties={"driver": "d"})
+    assert whole["query"] == query and whole["driver"] == "d" and "dbtable" not in whole
+    split = jdbc.pull_options("jdbc:x", query, partition_column="id", lower=1, upper=1000, partitions=20)
+    assert split["dbtable"] == f"({query}) src" and split["numPartitions"] == "20" and "query" not in split
+    with pytest.raises(ValueError):
+        jdbc.pull_options("jdbc:x", query, partition_column="id")
+
+
+def test_both_kinds_of_ingestion_document(spark, tmp_path):
+    rule = {"de": {"nome_coluna": "conteudo.created", "tipo": "timestamp"}, "para": {"year_partition": "yyyy", "month_partition": "MM", "day_partition": "dd"}}
+    pull = {
+        "_id": "image-shop", "fonte": "shop",
+        "origem": {"tabela": "image", "chave_tabela": "image_id,sku_id, store_id", "query": "select 1"},
+        "destino": {"configuracao_servidor": {"topico": "landing"}, "configuracao_particao": [rule], "modo_gravacao": "append"},
+    }
+    whole = {
+        "_id": "tree-shop", "fonte": "shop",
+        "origem": {"tabela": "tree", "chave_tabela": "id2, id2, id3", "query": "select 2"},
+        "destino": {"configuracao_particao": [], "modo_gravacao": "overwrite"},
+    }
+    registry = {
+        "id": "log-cdn", "origem": {"fonte": "cdn"},
+        "destino": {"diretorio": "log", "chave_tabela": "", "modo_gravacao": "append", "particao": [rule], "structType": {"fields": []}},
+    }
+    for i, document in enumerate((pull, whole, registry)):
+        (tmp_path / f"{i}.json").write_text(json.dumps(document, indent=2))
+    found = table_registry(read_documents(spark, str(tmp_path)))
+    rows = {r.tabela: r for r in found.collect()}
+    assert rows["image"].chaves == ["image_id", "sku_id", "store_id"] and rows["image"].topico == "landing"
+    assert rows["tree"].chaves == ["id2", "id3"] and rows["tree"].particao is None and rows["tree"].modo_gravacao == "overwrite"
+    assert (rows["log"].documento, rows["log"].fonte, rows["log"].chaves) == ("log-cdn", "cdn", [])
+    rules = partition_rules(found, ["image", "tree", "log"])
+    assert set(rules) == {"image", "log"}
+    assert rules["image"].source == "conteudo.created" and rules["log"].columns["month_partition"] == "MM"
+
+
+def test_origins(spark):
+    names = [f"o_{uuid.uuid4().hex}" for _ in range(2)]
+    for i, name in enumerate(names):
+        spark.range(i + 1).createOrReplaceTempView(name)
+    found = read_origins(spark, f"{names[0]}, {names[1]},{names[0]}")
+    assert [df.count() for df in found.values()] == [1, 2]
+    with pytest.raises(LookupError, match="nowhere"):
+        read_origins(spark, f"{names[0]},nowhere")
+    assert name_list("") == [] and name_list(None) == []
+
+
+def test_published_messages_keep_microseconds(spark, tmp_path):
+    at = datetime(2024, 1, 2, 3, 4, 5, 678901)
+    df = spark.createDataFrame([(1, "a", at)], "id INT, `odd-name` STRING, at TIMESTAMP_NTZ")
+    message = as_messages(df, ["id"]).first()
+    assert message.key == "1" and "05.678901" in message.value
+    publish(df, "text", path=str(tmp_path / "topic"))
+    assert spark.read.schema(df.schema).json(str(tmp_path / "topic")).first() == df.first()
+
+
+def test_small_inputs_use_all_cores(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert use_all_cores(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == cores
+    many = spark.range(10, numPartitions=cores + 3)
+    assert use_all_cores(many) is many
