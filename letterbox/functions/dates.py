@@ -35,6 +35,11 @@ def parse_day(text: str | date) -> date:
     return date.fromisoformat(text.strip()[:10])
 
 
+def processing_text(trigger: datetime) -> str:
+    """The processing date a scheduled run hands on: its trigger time minus one day."""
+    return (trigger - timedelta(days=1)).strftime("%Y-%m-%d %H:%M:%S")
+
+
 def _midnight(day: date) -> datetime:
     return datetime(day.year, day.month, day.day, tzinfo=timezone.utc)
 

@@ -25,7 +25,10 @@ class TableSpec:
     messages: int = 0
 
     def location(self, base: str) -> str:
+        """Where the table lies; a message cannot lead outside ``base``."""
         path = self.path.strip("/")
+        if ".." in [*path.split("/"), self.table] or "/" in self.table:
+            raise ValueError(f"table {self.table}: unsafe path {self.path!r}")
         return "/".join(part for part in (base.rstrip("/"), path, self.table) if part)
 
     def database(self, prefix: str) -> str:

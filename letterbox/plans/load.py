@@ -6,7 +6,7 @@ destination, and lets one table be loaded again on its own.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
@@ -15,7 +15,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import catalog
-from ..functions.dates import Window, day_values
+from ..functions.dates import Window, day_values, parse_day, previous_day_window
 from ..functions.schemas import TABLE_COLUMN, pick
 from ..model import DAY_PARTITIONS, LoadOptions, LoadResult, TableSpec
 from ..operators.envelopes import resolve_specs, table_spec
@@ -23,8 +23,9 @@ from ..operators.payload import rule_source, typed_payload, typed_rows, with_day
 from ..operators.quality import assert_keys
 from ..session import small_rows
 from ..sinks.landing import accepted, land
-from ..sinks.tables import create_table, save, save_day
+from ..sinks.tables import create_table, recover_partitions, save, save_day
 from ..sources.files import read_landing
+from ..sources.hub import read_messages
 from ..sources.origins import name_list
 
 REPORT_SCHEMA = pa.schema(
@@ -83,7 +84,8 @@ def load_table(
     rows = table_rows(envelopes, spec, day, options)
     rule = options.rule_for(spec.table)
     name = spec.full_name(options.database_prefix)
-    if not spark.catalog.tableExists(name):
+    created = not spark.catalog.tableExists(name)
+    if created:
         create_table(
             spark,
             name,
@@ -96,6 +98,9 @@ def load_table(
     written = (
         save(rows, name, mode)["rows"] if rule else save_day(rows, name, day_values(day), mode)
     )
+    if created:
+        # The location may hold partitions of earlier runs, known to another catalog.
+        recover_partitions(spark, name)
     return LoadResult(spec.table, "loaded", mode, written)
 
 
@@ -115,6 +120,7 @@ def load_landed(
     wait for a large one.  A listed table without messages is ``empty``.
     """
     wanted = name_list(tables) if isinstance(tables, str) else list(dict.fromkeys(tables or ()))
+    # Listed once here; every table below prunes the same listing.
     landed = accepted(read_landing(spark, landing_path, fmt=landing_fmt))
     if wanted:
         landed = landed.filter(F.col(TABLE_COLUMN).isin(wanted))
@@ -124,7 +130,7 @@ def load_landed(
         if table not in specs:
             return LoadResult(table, "empty")
         try:
-            envelopes = read_landing(spark, landing_path, table, landing_fmt)
+            envelopes = landed.filter(F.col(TABLE_COLUMN) == table)
             return load_table(spark, envelopes, table_spec(specs[table]), day, options)
         except Exception as error:  # one table must not stop the others
             return LoadResult(table, "failed", error=f"{type(error).__name__}: {error}"[:1000])
@@ -154,6 +160,29 @@ def load_messages(
     )
 
 
+def ingest_day(
+    spark: SparkSession,
+    fmt: str,
+    source_options: Mapping[str, str],
+    data_proc: str | date,
+    landing_root: str,
+    options: LoadOptions,
+    tables: str | Iterable[str] | None = None,
+    *,
+    path: str | None = None,
+) -> list[LoadResult]:
+    """The daily job: the day before ``data_proc`` from the hub to its tables.
+
+    Fails at the end, after every table had its turn, when any did not load.
+    """
+    window = previous_day_window(data_proc)
+    messages = read_messages(spark, fmt, source_options, window, path=path)
+    landing = f"{landing_root.rstrip('/')}/{parse_day(data_proc).isoformat()}"
+    results = load_messages(spark, messages, window, landing, options, tables)
+    raise_on_failure(results)
+    return results
+
+
 def report(spark: SparkSession, results: list[LoadResult]) -> DataFrame:
     """The outcome of a run, one row per table."""
     rows = [

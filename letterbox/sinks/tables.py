@@ -51,6 +51,11 @@ def create_table(
     )
 
 
+def recover_partitions(spark: SparkSession, table: str) -> None:
+    """Tell the catalog about partition folders it does not know."""
+    spark.sql(f"MSCK REPAIR TABLE {quote_name(table)}")
+
+
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {quote_name(table)} AS JSON").first()[0]
     return json.loads(described).get("partition_columns", [])
@@ -196,7 +201,7 @@ def register_partitioned(
     drop_table(spark, table)
     create_table(spark, table, schema, location, list(partitions), fmt, database_location)
     if partitions:
-        spark.sql(f"MSCK REPAIR TABLE {quote_name(table)}")
+        recover_partitions(spark, table)
 
 
 def compact(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.columns import quoted
-from ..functions.schemas import TABLE_COLUMN
+from ..functions.schemas import REJECTED_BODY, TABLE_COLUMN
 from ..sinks.landing import landing_rows
 
 
@@ -128,14 +128,21 @@ def land_stream(
     body: str = "body",
     fmt: str = "parquet",
     every: str | None = None,
+    files_per_table: int | None = None,
 ) -> StreamingQuery:
     """Message stream to a landing zone split by destination.
 
     The file sink's own log makes each message land exactly once, whatever
     is retried.  Tables then load from the landing zone like a batch day.
+    Each task writes a file per destination it meets; ``files_per_table``
+    shuffles first, so that a batch leaves at most that many per destination.
     """
+    rows = landing_rows(messages, body)
+    if files_per_table:
+        content = F.xxhash64("_id", "timestamp", "conteudo", REJECTED_BODY)
+        rows = rows.repartition(TABLE_COLUMN, F.pmod(content, F.lit(files_per_table)))
     return start(
-        landing_rows(messages, body),
+        rows,
         fmt,
         checkpoint,
         path=path,

@@ -2,7 +2,7 @@ from datetime import date, datetime, timezone
 
 import pytest
 
-from letterbox.functions.dates import day_values, lookback_window, previous_day_window, within
+from letterbox.functions.dates import day_values, lookback_window, previous_day_window, processing_text, within
 
 
 def test_previous_day_is_the_whole_utc_day_before():
@@ -40,3 +40,7 @@ def test_bounds_are_half_open_in_utc_whatever_the_session_zone(spark, kind, zone
         assert sorted(r.i for r in kept.collect()) == [1, 2]
     finally:
         spark.conf.set("spark.sql.session.timeZone", previous)
+
+
+def test_processing_text_is_the_trigger_minus_a_day():
+    assert processing_text(datetime(2024, 3, 1, 5, 6, 7)) == "2024-02-29 05:06:07"

@@ -39,6 +39,7 @@ def test_tables_of_different_schemas_load_in_one_run(spark, messages, tmp_path,
         envelope("stock", [{"code": "5"}], fields=other, chave_tabela="code"),
         "broken",
     )
+    assert not [r.error for r in results.values() if r.error]
     assert {(r.table, r.status, r.mode, r.rows) for r in results.values()} == {("sales", "loaded", "append", 2), ("stock", "loaded", "append", 1)}
     row = table(spark, run_options, "stock").first()
     assert (row.code, row.header_id, row.year_partition, row.month_partition, row.day_partition) == (5, "stock-app", 2024, 1, 10)
@@ -115,3 +116,43 @@ def test_changed_schema_fails_that_table(spark, messages, tmp_path, options):
     changed = FIELDS + [{"name": "more", "dataType": "string"}]
     results = run(spark, messages, tmp_path, run_options, envelope("sales", [{"id": 1, "store": "a"}], fields=changed))
     assert results["sales"].status == "failed" and "more" in results["sales"].error
+
+
+@pytest.mark.parametrize("fmt", ["orc", "json"])
+def test_other_file_formats(spark, messages, tmp_path, options, fmt):
+    run_options = options(fmt=fmt, mode_override="overwrite")
+    for _ in range(2):
+        run(spark, messages, tmp_path, run_options, envelope("sales", [{"id": 1, "store": "a", "day": "2024-01-10"}]))
+    assert [(r.id, r.store, r.day) for r in table(spark, run_options, "sales").collect()] == [(1, "a", date(2024, 1, 10))]
+
+
+def test_a_new_catalog_finds_what_lies_at_the_location(spark, messages, tmp_path, options):
+    first, second = options(), options()
+    for run_options in (first, second):
+        run(spark, messages, tmp_path, run_options, envelope("sales", [{"id": 1, "store": "a"}]))
+    assert table(spark, second, "sales").count() == 2
+
+
+def test_messages_cannot_choose_a_path_outside_the_base(spark, messages, tmp_path, options):
+    results = run(spark, messages, tmp_path, options(), envelope("sales", [{"id": 1, "store": "a"}], caminho="/raw/../../etc"))
+    assert results["sales"].status == "failed" and "unsafe" in results["sales"].error
+
+
+def test_daily_job(spark, messages, tmp_path, options):
+    hub, run_options = str(tmp_path / "hub"), options()
+    times = ["2024-01-09 23:59:59", "2024-01-10 00:00:00", "2024-01-10 23:59:59", "2024-01-11 00:00:00"]
+    for i, time in enumerate(times):
+        messages(envelope("sales", [{"id": i, "store": "a"}])).selectExpr(
+            "body", f"CAST('{time}Z' AS TIMESTAMP) AS enqueuedTime"
+        ).write.mode("append").parquet(hub)
+    landing = str(tmp_path / "landing")
+    results = load.ingest_day(spark, "parquet", {}, "2024-01-11", landing, run_options, path=hub)
+    assert [(r.table, r.rows) for r in results] == [("sales", 2)]
+    assert (tmp_path / "landing" / "2024-01-11").is_dir()
+    assert sorted(r.id for r in table(spark, run_options, "sales").collect()) == [1, 2]
+    messages(envelope("stock", [{"id": None, "store": "a"}])).selectExpr(
+        "body", f"CAST('{times[1]}Z' AS TIMESTAMP) AS enqueuedTime"
+    ).write.mode("append").parquet(hub)
+    with pytest.raises(load.LoadFailed, match="stock"):
+        load.ingest_day(spark, "parquet", {}, "2024-01-11", landing, run_options, path=hub)
+    assert table(spark, run_options, "sales").count() == 4

@@ -96,15 +96,15 @@ def test_messages_land_once_across_runs(spark, tmp_path, messages):
     source = str(tmp_path / "hub")
     schema = T.StructType.fromDDL("body BINARY")
 
-    def land():
+    def land(**changes):
         stream = hub.read_message_stream(spark, "parquet", {}, path=source, schema=schema)
         assert dict(stream.dtypes)["body"] == "string"
-        streams.finish(streams.land_stream(stream, str(tmp_path / "landing"), str(tmp_path / "checkpoint")), 60)
+        streams.finish(streams.land_stream(stream, str(tmp_path / "landing"), str(tmp_path / "checkpoint"), **changes), 60)
         return read_landing(spark, str(tmp_path / "landing"), fmt="parquet")
 
     messages(envelope("a", [{"id": 1}]), "broken").write.parquet(source)
     assert land().count() == 2
     messages(envelope("b", [{"id": 1}])).write.mode("append").parquet(source)
-    landed = land()
+    landed = land(files_per_table=2)
     assert sorted(r.header_destino_diretorio or "-" for r in landed.collect()) == ["-", "a", "b"]
     assert rejected(landed).count() == 1
