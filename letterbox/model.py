@@ -70,6 +70,7 @@ class LoadOptions:
     default_rule: PartitionRule | None = None
     first_only: bool = False
     legacy_cast: bool = False
+    count_lost_values: bool = False
     concurrent_tables: int = 8
     audit_table: str | None = None
 
@@ -92,3 +93,5 @@ class LoadResult:
     mode: str | None = None
     rows: int = 0
     error: str | None = None
+    distinct_specs: int | None = None
+    lost_values: int | None = None

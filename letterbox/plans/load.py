@@ -19,8 +19,8 @@ from ..functions.dates import Window, day_values, parse_day, previous_day_window
 from ..functions.schemas import TABLE_COLUMN, pick
 from ..model import DAY_PARTITIONS, LoadOptions, LoadResult, TableSpec
 from ..operators.envelopes import resolve_specs, table_spec
-from ..operators.payload import rule_source, typed_payload, typed_rows, with_day, with_rule
-from ..operators.quality import assert_keys
+from ..operators.payload import text_rows, typed_payload, typed_rows, with_day, with_rule
+from ..operators.quality import assert_keys, cast_report
 from ..session import small_rows
 from ..sinks.landing import accepted, land
 from ..sinks.tables import create_table, recover_partitions, save, save_day
@@ -35,6 +35,8 @@ REPORT_SCHEMA = pa.schema(
         "mode": pa.string(),
         "rows": pa.int64(),
         "error": pa.string(),
+        "distinct_specs": pa.int64(),
+        "lost_values": pa.int64(),
     }
 )
 
@@ -75,6 +77,13 @@ def check_keys(envelopes: DataFrame, spec: TableSpec, day: date, options: LoadOp
     assert_keys(keys, spec.keys)
 
 
+def lost_values(envelopes: DataFrame, spec: TableSpec, options: LoadOptions) -> int:
+    """Values the casts turned into NULL, over all fields."""
+    text = text_rows(envelopes, spec.schema, first_only=options.first_only)
+    found = cast_report(text, spec.schema, legacy_cast=options.legacy_cast)
+    return found.agg(F.coalesce(F.sum("failed"), F.lit(0))).first()[0]
+
+
 def load_table(
     spark: SparkSession, envelopes: DataFrame, spec: TableSpec, day: date, options: LoadOptions
 ) -> LoadResult:
@@ -101,7 +110,10 @@ def load_table(
     if created:
         # The location may hold partitions of earlier runs, known to another catalog.
         recover_partitions(spark, name)
-    return LoadResult(spec.table, "loaded", mode, written)
+    lost = lost_values(envelopes, spec, options) if options.count_lost_values else None
+    return LoadResult(
+        spec.table, "loaded", mode, written, distinct_specs=spec.distinct_specs, lost_values=lost
+    )
 
 
 def load_landed(
@@ -186,7 +198,15 @@ def ingest_day(
 def report(spark: SparkSession, results: list[LoadResult]) -> DataFrame:
     """The outcome of a run, one row per table."""
     rows = [
-        {"tabela": r.table, "status": r.status, "mode": r.mode, "rows": r.rows, "error": r.error}
+        {
+            "tabela": r.table,
+            "status": r.status,
+            "mode": r.mode,
+            "rows": r.rows,
+            "error": r.error,
+            "distinct_specs": r.distinct_specs,
+            "lost_values": r.lost_values,
+        }
         for r in results
     ]
     return small_rows(spark, rows, REPORT_SCHEMA)

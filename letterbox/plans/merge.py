@@ -52,44 +52,45 @@ def upsert(
     """Insert ``updates`` into ``table``, replacing rows of the same key.
 
     With ``recency`` a stored row that is strictly newer stays.  Only the
-    partitions holding a touched key, before or after, are rewritten.
-    ``fixed_partition`` says a key never changes partition, which spares the
-    search for its old one.  Join sides are broadcast by Spark only below its
-    size threshold.  Returns the rows written.
+    partitions holding a touched key, before or after, are rewritten.  They
+    are found by one scan of the table's keys, which ``fixed_partition`` (a
+    key never changes partition) spares when there is no ``recency``.  Join
+    sides are broadcast by Spark only below its size threshold.  Returns the
+    rows written.
     """
     parts = partition_columns(spark, table)
     target = spark.table(table)
+    key_columns = [quoted(k) for k in keys]
     stage = new_folder(spark, "upsert")
     incoming = _staged(latest(aligned(updates, table), keys, recency), f"{stage}/incoming")
-    assert_keys(incoming.select(*[quoted(k) for k in keys]), keys)
+    assert_keys(incoming.select(*key_columns), keys)
+
+    places = None
+    if recency or (parts and not fixed_partition):
+        order = F.struct(*[quoted(c) for c in recency]) if recency else F.lit(0)
+        stored = target.select(*key_columns, order.alias("stored_at"), *parts)
+        sent = incoming.select(*key_columns, order.alias("sent_at"))
+        matched = stored.join(sent, list(keys)).withColumn("newer", F.col("stored_at") > F.col("sent_at"))
+        places = _staged(matched.drop("stored_at", "sent_at"), f"{stage}/places")
     if recency:
-        stored = target.select(
-            *[quoted(k) for k in keys], F.struct(*[quoted(c) for c in recency]).alias("stored_at")
-        )
-        newer = incoming.withColumn("sent_at", F.struct(*[quoted(c) for c in recency])).join(
-            stored, list(keys), "inner"
-        ).filter(F.col("stored_at") > F.col("sent_at")).select(*[quoted(k) for k in keys])
-        incoming = _staged(incoming.join(newer, list(keys), "left_anti"), f"{stage}/winners")
-    touched_keys = incoming.select(*[quoted(k) for k in keys])
+        outdated = places.filter("newer").select(*key_columns)
+        incoming = _staged(incoming.join(outdated, list(keys), "left_anti"), f"{stage}/winners")
+    kept = target.join(incoming.select(*key_columns), list(keys), "left_anti")
 
     if not parts:
-        kept = target.join(touched_keys, list(keys), "left_anti")
         merged = _staged(kept.select(target.columns).unionByName(incoming), f"{stage}/merged")
         return save(merged, table, "overwrite")["rows"]
 
     affected = incoming.select(*parts)
-    if not fixed_partition:
-        held = target.join(touched_keys, list(keys), "left_semi").select(*parts)
-        affected = affected.unionByName(held)
+    if places is not None and not fixed_partition:
+        affected = affected.unionByName(places.filter(~F.col("newer")).select(*parts))
     # One row per partition of the table at most.
     affected = affected.distinct().withColumn("id", _partition_id(parts)).collect()
     if not affected:
         return 0
-    kept = target.filter(_partition_id(parts).isin([row.id for row in affected])).join(
-        touched_keys, list(keys), "left_anti"
-    )
     # Reading the table while replacing its partitions is safe here: dynamic
     # overwrite keeps new files aside until the job has finished.
+    kept = kept.filter(_partition_id(parts).isin([row.id for row in affected]))
     merged = kept.select(target.columns).unionByName(incoming.select(target.columns))
     counts = save(merged, table, "overwrite", {"written": F.collect_set(_partition_id(parts))})
     written = set(counts["written"])

@@ -75,4 +75,5 @@ def row_messages(df: DataFrame, table: Column | str, columns: list[str] | None =
     """One message per row, the payload being the row."""
     table = F.lit(table) if isinstance(table, str) else table
     chosen = df.select(columns or df.columns).schema
-    return messages(df, table, one_row(df, *chosen.names), chosen, **kwargs)
+    schema = None if "declared" in kwargs else chosen
+    return messages(df, table, one_row(df, *chosen.names), schema, **kwargs)

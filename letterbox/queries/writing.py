@@ -11,8 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import catalog
-from ..functions.columns import lenient_cast
-from ..functions.dates import lookback_window, parse_day, previous_day_window
+from ..functions.dates import lookback_window, parse_day, previous_day_window, within
 from ..functions.schemas import REJECTED_BODY, TABLE_COLUMN
 from ..model import DAY_PARTITIONS, LoadOptions, PartitionRule
 from ..operators import envelopes as env
@@ -20,6 +19,7 @@ from ..operators.payload import typed_payload, with_day, with_rule
 from ..operators.quality import key_null_report as key_report, partition_counts
 from ..plans import load
 from ..plans.merge import upsert
+from ..plans.refresh import Target, refresh
 from ..session import new_folder
 from ..sinks import publish, tables
 from ..sinks.landing import accepted, land, rejected
@@ -123,6 +123,33 @@ def key_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load.report(spark, results).select("tabela", "status", "rows")
 
 
+@query("""
+SELECT 'events' AS tabela, 'loaded' AS status, count(*) AS rows, count(DISTINCT event_type) AS distinct_specs,
+       count(*) FILTER (event_type = 'error') AS lost_values FROM events
+""")
+def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of a load whose messages disagree on the mode and hold bad values."""
+    events = read(spark, sf_dir, "events")
+    value = F.when(F.col("event_type") == "error", "n/a").otherwise(F.col("value").cast("string"))
+    sent = row_messages(
+        events.withColumn("value", value),
+        "events",
+        ["event_id", "value"],
+        declared={
+            "fields": [
+                {"name": "event_id", "dataType": "long", "nullable": True, "metadata": {}},
+                {"name": "value", "dataType": "double", "nullable": True, "metadata": {}},
+            ]
+        },
+        mode=F.when(F.col("event_type") == "view", "append").otherwise(F.col("event_type")),
+        sent=F.when(F.col("event_type") == "view", "2024-01-10T09:00:00").otherwise("2024-01-10T08:00:00"),
+        keys="event_id",
+    )
+    run = options(spark, count_lost_values=True)
+    results = load.load_messages(spark, sent, MONTH, new_folder(spark, "landing"), run)
+    return load.report(spark, results).select("tabela", "status", "rows", "distinct_specs", "lost_values")
+
+
 @query("""
 SELECT 'event_id' AS key, 0::BIGINT AS null_count, 'OK' AS status
 UNION ALL SELECT 'user_id', count(*) FILTER (user_id = 13),
@@ -326,6 +353,42 @@ def drop_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name).select(suppliers.columns)
 
 
+def _refreshed(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    """Orders of a look-back, refreshed on two days whose windows overlap."""
+    view = f"orders_{uuid.uuid4().hex}"
+    read(spark, sf_dir, "orders").createOrReplaceTempView(view)
+    name = f"app_{uuid.uuid4().hex}.recent"
+    folder = new_folder(spark, "app")
+    target = Target(name, f"{folder}/recent", ("o_orderkey",), MONTH_RULE.names, database_location=f"{folder}/db")
+
+    def build(origins, window):
+        recent = origins[view].filter(within(origins[view], "o_orderdate", window))
+        return {"recent": with_rule(recent, MONTH_RULE)}
+
+    for day, init in (("1998-03-01 00:00:00", "1995-01-01"), ("1998-03-20 00:00:00", 700)):
+        results = refresh(
+            spark, build, {"recent": target}, data_proc=day, data_proc_init=init, mode=mode, origins=f"{view}, {view}"
+        )
+        load.raise_on_failure(results)
+    return spark.table(name).select("o_orderkey", "o_orderstatus", "o_orderdate")
+
+
+@query("""
+SELECT o_orderkey, o_orderstatus, o_orderdate FROM orders
+WHERE o_orderdate >= TIMESTAMP '1995-01-01' AND o_orderdate < TIMESTAMP '1998-03-21'
+""")
+def refresh_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _refreshed(spark, sf_dir, "merge")
+
+
+@query("""
+SELECT o_orderkey, o_orderstatus, o_orderdate FROM orders
+WHERE o_orderdate >= TIMESTAMP '1998-03-20' - INTERVAL 700 DAY AND o_orderdate < TIMESTAMP '1998-03-21'
+""")
+def refresh_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _refreshed(spark, sf_dir, "drop")
+
+
 @query("""
 SELECT o_orderstatus, strftime(o_orderdate, '%m') AS month_partition, count(*) AS n FROM orders GROUP BY ALL
 """)

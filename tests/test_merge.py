@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from letterbox.operators.quality import NullKeyError
 from letterbox.plans.merge import latest, upsert
+from letterbox.plans.refresh import Target, refresh
 from letterbox.sinks import tables
 
 DDL = "k1 INT, k2 STRING, v INT, version INT, part STRING"
@@ -88,3 +89,31 @@ def test_latest_takes_whole_rows(spark):
     df = frame(spark, [(1, "a", 5, 1, "x"), (1, "a", 3, 2, None), (1, "a", 4, 2, None)])
     assert [tuple(r) for r in latest(df, ["k1", "k2"], ["version"]).collect()] == [(1, "a", 4, 2, None)]
     assert latest(df.select("k1"), ["k1"]).count() == 1
+
+
+def test_refresh_modes(spark, tmp_path):
+    view = f"v_{uuid.uuid4().hex}"
+    frame(spark, [(1, "a", 1, 0, "p"), (2, "a", 2, 0, "q")]).createOrReplaceTempView(view)
+    database = f"r_{uuid.uuid4().hex}"
+
+    def target(name, **changes):
+        return Target(f"{database}.{name}", str(tmp_path / name), partitions=("part",), database_location=str(tmp_path / "db"), **changes)
+
+    targets = {"keyed": target("keyed", keys=("k1", "k2")), "bare": target("bare")}
+
+    def build(origins, window):
+        assert window.day.isoformat() == "2024-01-01"
+        return {name: origins[view] for name in targets}
+
+    def run(mode, tables=""):
+        results = refresh(spark, build, targets, data_proc="2024-01-31", data_proc_init=30, mode=mode, origins=view, tables=tables)
+        return {r.table.split(".")[-1]: (r.status, r.rows) for r in results}
+
+    assert run("merge") == {"keyed": ("loaded", 2), "bare": ("failed", 0)}
+    assert run("merge", "keyed") == {"keyed": ("loaded", 2)}
+    assert spark.table(f"{database}.keyed").count() == 2
+    assert run("append", "bare") == run("append", "bare") == {"bare": ("loaded", 2)}
+    assert spark.table(f"{database}.bare").count() == 4
+    assert run("drop") == {"keyed": ("loaded", 2), "bare": ("loaded", 2)}
+    assert run("sideways", "bare") == {"bare": ("failed", 0)}
+    assert run("merge", "absent") == {"absent": ("failed", 0)}

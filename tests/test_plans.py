@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import re
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from letterbox.operators import envelopes as env
 from letterbox.operators.payload import typed_payload
 from letterbox.plans.merge import latest
 from letterbox.sinks.landing import accepted, land, landing_rows
+from letterbox.sinks import tables
 from letterbox.sinks.tables import spread
 from letterbox.sources.files import read_landing
 from letterbox.sources.hub import read_messages
@@ -71,3 +74,39 @@ def test_latest_reduces_before_the_shuffle(spark):
     rows = spark.range(10).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
     text = plan(latest(rows, ["k"]))
     assert text.index("partial_max_by") < text.index("hashpartitioning(k") and "Window" not in text
+
+
+def test_a_hot_table_lands_in_several_files(spark, tmp_path):
+    """Most messages go to one table; no single task may write them all."""
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    text = json.dumps(envelope("TABLE", payload=[{"id": 1, "store": "a"}]))
+    hot = F.when(F.col("id") % 10 < 9, "hot").otherwise("cold")
+    noise = F.concat(F.sha2(F.col("id").cast("string"), 512), F.sha2((-F.col("id")).cast("string"), 512))
+    body = F.replace(F.replace(F.lit(text), F.lit("TABLE"), hot), F.lit('"l1"'), F.concat(F.lit('"'), noise, F.lit('"')))
+    messages = spark.range(0, 20000, numPartitions=8).select(body.cast("binary").alias("body"))
+    spark.conf.set(setting, "256k")
+    try:
+        land(messages, str(tmp_path / "landing"), "parquet")
+    finally:
+        spark.conf.unset(setting)
+    files = {p.parent.name: 0 for p in (tmp_path / "landing").rglob("*.parquet")}
+    for p in (tmp_path / "landing").rglob("*.parquet"):
+        files[p.parent.name] += 1
+    assert files["header_destino_diretorio=hot"] >= 4
+    assert files["header_destino_diretorio=cold"] <= files["header_destino_diretorio=hot"]
+    assert read_landing(spark, str(tmp_path / "landing"), "hot", "parquet").count() == 18000
+
+
+def test_a_hot_partition_is_split_on_insert(spark, tmp_path):
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    name = f"p_{uuid.uuid4().hex}.target"
+    df = spark.range(0, 40000, numPartitions=8).select(
+        F.sha2(F.col("id").cast("string"), 512).alias("text"), F.when(F.col("id") % 10 < 9, 1).otherwise(2).alias("day")
+    )
+    tables.create_table(spark, name, df.schema, str(tmp_path / "data"), ["day"], database_location=str(tmp_path / "db"))
+    spark.conf.set(setting, "256k")
+    try:
+        assert tables.save(df, name, "append")["rows"] == 40000
+    finally:
+        spark.conf.unset(setting)
+    assert len(list((tmp_path / "data" / "day=1").glob("*.parquet"))) >= 4
