@@ -34,12 +34,35 @@ def key_null_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def assert_keys(df: DataFrame, keys: Sequence[str]) -> None:
-    """Raise when a key column is missing or holds NULLs; no keys is fine."""
+def _assert_present(df: DataFrame, keys: Sequence[str]) -> None:
     present = {name.lower() for name in df.columns}
     missing = [key for key in keys if key.lower() not in present]
     if missing:
         raise NullKeyError(f"key columns not in the table: {', '.join(missing)}")
+
+
+def guard_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same rows, but a job that meets a NULL key fails.
+
+    Checks keys within the write itself instead of reading everything twice.
+    A failed job leaves the table as it was.
+    """
+    _assert_present(df, keys)
+    wanted = {key.lower() for key in keys}
+    return df.withColumns(
+        {
+            name: F.when(quoted(name).isNull(), F.raise_error(F.lit(f"NULL key: {name}"))).otherwise(
+                quoted(name)
+            )
+            for name in df.columns
+            if name.lower() in wanted
+        }
+    )
+
+
+def assert_keys(df: DataFrame, keys: Sequence[str]) -> None:
+    """Raise when a key column is missing or holds NULLs; no keys is fine."""
+    _assert_present(df, keys)
     # One row per key column.
     bad = [f"{r.key} ({r.null_count})" for r in key_null_report(df, keys).collect() if r.null_count]
     if bad:

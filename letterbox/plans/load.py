@@ -20,10 +20,10 @@ from ..functions.schemas import TABLE_COLUMN, pick
 from ..model import DAY_PARTITIONS, LoadOptions, LoadResult, TableSpec
 from ..operators.envelopes import resolve_specs, table_spec
 from ..operators.payload import text_rows, typed_payload, typed_rows, with_day, with_rule
-from ..operators.quality import assert_keys, cast_report
+from ..operators.quality import assert_keys, cast_report, guard_keys
 from ..session import small_rows
 from ..sinks.landing import accepted, land
-from ..sinks.tables import create_table, recover_partitions, save, save_day
+from ..sinks.tables import create_table, drop_table, recover_partitions, save, save_day
 from ..sources.files import read_landing
 from ..sources.hub import read_messages
 from ..sources.origins import name_list
@@ -60,7 +60,7 @@ def table_rows(envelopes: DataFrame, spec: TableSpec, day: date, options: LoadOp
 
 
 def check_keys(envelopes: DataFrame, spec: TableSpec, day: date, options: LoadOptions) -> None:
-    """Fail on NULL keys, reading no more of the payload than the keys need."""
+    """Fail with counts on NULL keys, reading no more of the payload than the keys need."""
     if not spec.keys:
         return
     fields = {f.name.lower() for f in spec.schema.fields}
@@ -87,10 +87,9 @@ def lost_values(envelopes: DataFrame, spec: TableSpec, options: LoadOptions) ->
 def load_table(
     spark: SparkSession, envelopes: DataFrame, spec: TableSpec, day: date, options: LoadOptions
 ) -> LoadResult:
-    """Check, create when missing, and write one table."""
+    """Create when missing, and write one table unless a key is NULL."""
     mode = options.write_mode(spec)
-    check_keys(envelopes, spec, day, options)
-    rows = table_rows(envelopes, spec, day, options)
+    rows = guard_keys(table_rows(envelopes, spec, day, options), spec.keys)
     rule = options.rule_for(spec.table)
     name = spec.full_name(options.database_prefix)
     created = not spark.catalog.tableExists(name)
@@ -104,9 +103,15 @@ def load_table(
             options.fmt,
             f"{options.base_path.rstrip('/')}/{spec.database(options.database_prefix)}.db",
         )
-    written = (
-        save(rows, name, mode)["rows"] if rule else save_day(rows, name, day_values(day), mode)
-    )
+    try:
+        written = (
+            save(rows, name, mode)["rows"] if rule else save_day(rows, name, day_values(day), mode)
+        )
+    except Exception:
+        if created:
+            drop_table(spark, name)
+        check_keys(envelopes, spec, day, options)  # names the keys when they were the cause
+        raise
     if created:
         # The location may hold partitions of earlier runs, known to another catalog.
         recover_partitions(spark, name)

@@ -48,19 +48,25 @@ def test_tables_of_different_schemas_load_in_one_run(spark, messages, tmp_path,
 
 
 def test_one_bad_table_does_not_stop_the_others(spark, messages, tmp_path, options):
+    run_options = options()
+    run(spark, messages, tmp_path, run_options, envelope("nullkey", [{"id": 1, "store": "a"}]))
     results = run(
-        spark, messages, tmp_path, options(),
+        spark, messages, tmp_path, run_options,
         envelope("good", [{"id": 1, "store": "a"}]),
-        envelope("nullkey", [{"id": 1}]),
+        envelope("nullkey", [{"id": i, "store": "a"} for i in range(5)]),
+        envelope("nullkey", [{"id": 1}, {"id": 2}], modo_gravacao="overwrite"),
+        envelope("newnull", [{"id": 1}]),
         envelope("nokey", [{"id": 1}], chave_tabela="missing"),
         envelope("badschema", [{"id": 1}], fields=[{"name": "id", "dataType": "no such type"}]),
         envelope("badmode", [{"id": 1, "store": "a"}], modo_gravacao="sometimes"),
-        tables=["good", "nullkey", "nokey", "badschema", "badmode", "absent"],
+        tables=["good", "nullkey", "newnull", "nokey", "badschema", "badmode", "absent"],
     )
     assert {name: r.status for name, r in results.items()} == {
-        "good": "loaded", "nullkey": "failed", "nokey": "failed", "badschema": "failed", "badmode": "failed", "absent": "empty",
+        "good": "loaded", "nullkey": "failed", "newnull": "failed", "nokey": "failed", "badschema": "failed", "badmode": "failed", "absent": "empty",
     }
-    assert "store" in results["nullkey"].error
+    assert "store (2)" in results["nullkey"].error
+    assert table(spark, run_options, "nullkey").count() == 1
+    assert not spark.catalog.tableExists(f"{run_options.database_prefix}app.newnull")
     with pytest.raises(load.LoadFailed, match="nullkey"):
         load.raise_on_failure(list(results.values()))
     report = {r.tabela: r.status for r in load.report(spark, list(results.values())).collect()}
