@@ -8,6 +8,10 @@ from ..functions.schemas import REJECTED_BODY, TABLE_COLUMN
 from ..operators.envelopes import has_rows, is_rejected, parse_messages
 from .tables import spread
 
+# Landed files are read back by tasks that parse every payload; row groups
+# smaller than the default let more of them share a file.
+ROW_GROUP_BYTES = 8 << 20
+
 
 def landing_rows(messages: DataFrame, body: str = "body") -> DataFrame:
     """Envelopes with rows, and rejected bodies, keyed by destination.
@@ -33,6 +37,7 @@ def land(messages: DataFrame, path: str, fmt: str = "json", body: str = "body")
         .write.mode("overwrite")
         .partitionBy(TABLE_COLUMN)
         .option("ignoreNullFields", False)
+        .option("parquet.block.size", ROW_GROUP_BYTES)
         .format(fmt)
         .save(path)
     )

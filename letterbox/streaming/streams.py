@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.columns import quoted
 from ..functions.schemas import REJECTED_BODY, TABLE_COLUMN
-from ..sinks.landing import landing_rows
+from ..sinks.landing import ROW_GROUP_BYTES, landing_rows
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -148,5 +148,5 @@ def land_stream(
         path=path,
         every=every,
         partition_by=[TABLE_COLUMN],
-        options={"ignoreNullFields": "false"},
+        options={"ignoreNullFields": "false", "parquet.block.size": str(ROW_GROUP_BYTES)},
     )
