@@ -154,7 +154,9 @@ def load_landed(
 
     names = wanted or sorted(specs)
     with ThreadPoolExecutor(max_workers=max(1, options.concurrent_tables)) as pool:
-        results = list(pool.map(inheritable_thread_target(spark)(one), names))
+        # Wrapped anew for each table: a wrapper's threads share its job properties.
+        pending = [pool.submit(inheritable_thread_target(spark)(one), name) for name in names]
+        results = [each.result() for each in pending]
     if options.audit_table:
         catalog.record(spark, options.audit_table, results, day, options.base_path)
     return results
