@@ -42,7 +42,7 @@ def src_window_d1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 SELECT event_id, event_type FROM events
 WHERE ts >= TIMESTAMP '2024-01-03' AND ts < TIMESTAMP '2024-01-11'
-""")
+""", name="lookback_window")
 def lookback_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent, schema = _events(spark, sf_dir, ["event_id", "event_type"])
     window = lookback_window("2024-01-10", 7)
@@ -104,8 +104,8 @@ def spec_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT p_partkey, concat(replace(p_brand, ' ', ''), '|', replace(p_type, ' ', '')) AS keys FROM part
-""")
-def key_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+""", name="key_list")
+def key_list_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = read(spark, sf_dir, "part")
     text = F.concat("p_brand", F.lit(", "), "p_type", F.lit(",,"), "p_brand")
     return part.select("p_partkey", F.concat_ws("|", key_list(text)).alias("keys"))

@@ -12,12 +12,12 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str) -> Callable[[Query], Query]:
-    """Register a function under its own name, together with its answer."""
+def query(sql: str, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a function, under its own name unless given, together with its answer."""
 
     def register(function: Query) -> Query:
-        QUERIES[function.__name__] = function
-        ORACLES[function.__name__] = sql.strip()
+        QUERIES[name or function.__name__] = function
+        ORACLES[name or function.__name__] = sql.strip()
         return function
 
     return register

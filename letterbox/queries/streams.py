@@ -58,7 +58,7 @@ def _json_stream(spark: SparkSession, sf_dir: str, table: str, **columns: str) -
 SELECT c_custkey AS id, c_name AS name, o_orderkey FROM customer JOIN orders ON c_custkey = o_custkey
 """)
 def stream_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two JSON streams joined; a busy customer's orders are dealt over four tasks."""
+    """Two JSON streams joined; a busy customer's orders are dealt over eight tasks."""
     people = streams.parse_lines(
         _json_stream(spark, sf_dir, "customer", id="c_custkey", name="c_name"),
         T.StructType.fromDDL("id BIGINT, name STRING"),
@@ -67,7 +67,7 @@ def stream_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         _json_stream(spark, sf_dir, "orders", id="o_custkey", o_orderkey="o_orderkey"),
         T.StructType.fromDDL("id BIGINT, o_orderkey BIGINT"),
     )
-    joined = streams.join_streams(people, orders, "id", ["id", "name", "o_orderkey"], salts=4)
+    joined = streams.join_streams(people, orders, "id", ["id", "name", "o_orderkey"], salts=8)
     return run_to_end(joined, "joined")
 
 

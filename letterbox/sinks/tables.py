@@ -57,8 +57,21 @@ def recover_partitions(spark: SparkSession, table: str) -> None:
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {quote_name(table)} AS JSON").first()[0]
-    return json.loads(described).get("partition_columns", [])
+    return _described(spark, table).get("partition_columns", [])
+
+
+def _described(spark: SparkSession, table: str) -> dict:
+    return json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {quote_name(table)} AS JSON").first()[0])
+
+
+def ensure_partition_overwrite(spark: SparkSession, table: str) -> None:
+    """Set the option on a table made elsewhere: without it an overwrite wipes all partitions."""
+    found = _described(spark, table).get("storage_properties", {})
+    mode = {k.lower(): v for k, v in found.items()}.get("partitionoverwritemode", "")
+    if mode.lower() != "dynamic":
+        spark.sql(
+            f"ALTER TABLE {quote_name(table)} SET SERDEPROPERTIES ('partitionOverwriteMode' = 'dynamic')"
+        )
 
 
 def spread(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -110,7 +123,10 @@ def save(
     """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"unknown write mode {mode!r}")
-    parts = partition_columns(df.sparkSession, table)
+    spark = df.sparkSession
+    parts = partition_columns(spark, table)
+    if parts and mode == "overwrite":
+        ensure_partition_overwrite(spark, table)
     counted = Observation()
     out = aligned(df, table)
     if shuffle:
@@ -164,9 +180,7 @@ def rebuild(
         writer = writer.partitionBy(*partitions)
     writer.saveAsTable(table)
     if partitions:
-        df.sparkSession.sql(
-            f"ALTER TABLE {quote_name(table)} SET SERDEPROPERTIES ('partitionOverwriteMode' = 'dynamic')"
-        )
+        ensure_partition_overwrite(df.sparkSession, table)
 
 
 def drop_table(spark: SparkSession, table: str) -> None:
@@ -222,6 +236,7 @@ def compact(
         values = T.StructType([f for f in chosen.schema.fields if f.name in parts])
         spark.createDataFrame([], values).filter(condition)
         chosen = chosen.filter(condition)
+    ensure_partition_overwrite(spark, table)
     counted = Observation()
     out = spread(chosen, parts).observe(counted, F.count(F.lit(1)).alias("rows"))
     previous = spark.conf.get("spark.sql.files.maxRecordsPerFile", "0")

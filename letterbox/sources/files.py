@@ -48,7 +48,8 @@ def use_all_cores(df: DataFrame) -> DataFrame:
 
     A file with a single row group is one task, however costly the parsing
     that follows.  Inputs with splits enough are left alone, so only small
-    ones are ever moved.
+    ones are ever moved.  ``df`` should be a plain read: counting the splits
+    of a plan with shuffles would run them.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.isStreaming or df.rdd.getNumPartitions() >= cores:

@@ -124,3 +124,13 @@ def test_compaction_keeps_rows_and_leaves_other_partitions(spark, table):
     assert content(spark, table) == before
     with pytest.raises(Exception):
         tables.compact(spark, table, "id = 1")
+
+
+def test_tables_made_elsewhere_are_not_wiped(spark, tmp_path):
+    database = f"t_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{tmp_path}/db'")
+    spark.sql(f"CREATE TABLE {database}.t (id INT, part STRING) USING parquet PARTITIONED BY (part) LOCATION '{tmp_path}/t'")
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id INT, part STRING")
+    tables.save(df, f"{database}.t", "append")
+    tables.save(df.filter("id = 1"), f"{database}.t", "overwrite")
+    assert spark.table(f"{database}.t").count() == 2
