@@ -91,7 +91,7 @@ class LoadResult:
     table: str
     status: str
     mode: str | None = None
-    rows: int = 0
+    rows: int | None = 0
     error: str | None = None
     distinct_specs: int | None = None
     lost_values: int | None = None

@@ -23,7 +23,7 @@ from ..operators.payload import text_rows, typed_payload, typed_rows, with_day,
 from ..operators.quality import assert_keys, cast_report, guard_keys
 from ..session import small_rows
 from ..sinks.landing import accepted, land
-from ..sinks.tables import create_table, drop_table, recover_partitions, save, save_day
+from ..sinks.tables import create_table, drop_table, recover_partitions, rows_of, save, save_day
 from ..sources.files import read_landing
 from ..sources.hub import read_messages
 from ..sources.origins import name_list
@@ -105,7 +105,7 @@ def load_table(
         )
     try:
         written = (
-            save(rows, name, mode)["rows"] if rule else save_day(rows, name, day_values(day), mode)
+            rows_of(save(rows, name, mode)) if rule else save_day(rows, name, day_values(day), mode)
         )
     except Exception:
         if created:

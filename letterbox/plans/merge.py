@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from ..functions.columns import quoted
 from ..operators.quality import assert_keys
 from ..session import new_folder
-from ..sinks.tables import aligned, clear_partition, partition_columns, save
+from ..sinks.tables import aligned, clear_partition, partition_columns, rows_of, save
 
 
 def latest(df: DataFrame, keys: Sequence[str], recency: Sequence[str] = ()) -> DataFrame:
@@ -48,7 +48,7 @@ def upsert(
     *,
     recency: Sequence[str] = (),
     fixed_partition: bool = False,
-) -> int:
+) -> int | None:
     """Insert ``updates`` into ``table``, replacing rows of the same key.
 
     With ``recency`` a stored row that is strictly newer stays.  Only the
@@ -56,7 +56,7 @@ def upsert(
     are found by one scan of the table's keys, which ``fixed_partition`` (a
     key never changes partition) spares when there is no ``recency``.  Join
     sides are broadcast by Spark only below its size threshold.  Returns the
-    rows written.
+    rows written, if known.
     """
     parts = partition_columns(spark, table)
     target = spark.table(table)
@@ -79,7 +79,7 @@ def upsert(
 
     if not parts:
         merged = _staged(kept.select(target.columns).unionByName(incoming), f"{stage}/merged")
-        return save(merged, table, "overwrite")["rows"]
+        return rows_of(save(merged, table, "overwrite"))
 
     affected = incoming.select(*parts)
     if places is not None and not fixed_partition:
@@ -93,11 +93,15 @@ def upsert(
     kept = kept.filter(_partition_id(parts).isin([row.id for row in affected]))
     merged = kept.select(target.columns).unionByName(incoming.select(target.columns))
     counts = save(merged, table, "overwrite", {"written": F.collect_set(_partition_id(parts))})
-    written = set(counts["written"])
+    if counts:
+        written = set(counts["written"])
+    else:
+        # Merging again gives the same rows, a stale partition none.
+        written = {r.id for r in merged.select(_partition_id(parts).alias("id")).distinct().collect()}
     for row in affected:
         if row.id not in written:
             clear_partition(spark, table, {p: row[p] for p in parts})
-    return counts["rows"]
+    return rows_of(counts)
 
 
 def _staged(df: DataFrame, path: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.dates import Window, lookback_window
 from ..model import LoadResult
-from ..sinks.tables import create_table, rebuild, save
+from ..sinks.tables import create_table, rebuild, rows_of, save
 from ..sources.origins import name_list, read_origins
 from .merge import upsert
 
@@ -53,7 +53,7 @@ def write(spark: SparkSession, df: DataFrame, target: Target, mode: str) -> Load
     if mode == "merge":
         rows = upsert(spark, df, target.name, target.keys, recency=target.recency)
     else:
-        rows = save(df, target.name, mode)["rows"]
+        rows = rows_of(save(df, target.name, mode))
     return LoadResult(target.name, "loaded", mode, rows)
 
 

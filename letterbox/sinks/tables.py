@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import threading
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
@@ -106,6 +107,19 @@ def aligned(df: DataFrame, table: str) -> DataFrame:
     return df.select(["`" + have[name.lower()].replace("`", "``") + "`" for name in wanted])
 
 
+def _counts(counted: Observation, seconds: float = 120) -> dict | None:
+    """What an observation saw, or nothing when its event got lost.
+
+    Spark delivers it over a queue that may drop events on a very busy driver,
+    and reading it would then wait for ever.
+    """
+    found: list[dict] = []
+    waiting = threading.Thread(target=lambda: found.append(counted.get), daemon=True)
+    waiting.start()
+    waiting.join(seconds)
+    return found[0] if found else None
+
+
 def save(
     df: DataFrame,
     table: str,
@@ -113,8 +127,8 @@ def save(
     metrics: Mapping[str, Column] | None = None,
     *,
     shuffle: bool = True,
-) -> dict:
-    """Insert into an existing table; returns what was counted on the way.
+) -> dict | None:
+    """Insert into an existing table; returns what was counted on the way, if known.
 
     ``append`` adds rows, ``overwrite`` replaces the partitions present in
     ``df`` (the whole table when it has none).  Rows are first brought together
@@ -137,17 +151,21 @@ def save(
         *[column.alias(name) for name, column in (metrics or {}).items()],
     )
     out.write.insertInto(table, overwrite=mode == "overwrite")
-    return counted.get
+    return _counts(counted)
+
+
+def rows_of(counts: dict | None) -> int | None:
+    return None if counts is None else counts["rows"]
 
 
-def save_day(df: DataFrame, table: str, day: Mapping[str, int], mode: str) -> int:
+def save_day(df: DataFrame, table: str, day: Mapping[str, int], mode: str) -> int | None:
     """``save`` for one constant partition, which is emptied when ``df`` is empty.
 
     With a single partition to write there is nothing to bring together, so
     rows go straight from the tasks that read them to files.
     """
-    rows = save(df, table, mode, shuffle=False)["rows"]
-    if mode == "overwrite" and rows == 0:
+    rows = rows_of(save(df, table, mode, shuffle=False))
+    if mode == "overwrite" and (df.isEmpty() if rows is None else rows == 0):
         clear_partition(df.sparkSession, table, day)
     return rows
 
@@ -220,8 +238,8 @@ def register_partitioned(
 
 def compact(
     spark: SparkSession, table: str, where: Column | str | None = None, max_rows: int | None = None
-) -> int:
-    """Rewrite the chosen partitions into few files; returns rows rewritten.
+) -> int | None:
+    """Rewrite the chosen partitions into few files; returns the rows rewritten, if known.
 
     ``where`` may only name partition columns, since whole partitions are
     replaced.  ``max_rows`` bounds a file.
@@ -246,4 +264,4 @@ def compact(
         out.write.insertInto(table, overwrite=True)
     finally:
         spark.conf.set("spark.sql.files.maxRecordsPerFile", previous)
-    return counted.get["rows"]
+    return rows_of(_counts(counted))

@@ -13,7 +13,7 @@ from letterbox.functions.dates import previous_day_window
 from letterbox.functions.schemas import pick, payload_schema
 from letterbox.operators import envelopes as env
 from letterbox.operators.payload import typed_payload
-from letterbox.plans.merge import latest
+from letterbox.plans.merge import _partition_id, latest
 from letterbox.sinks.landing import accepted, land, landing_rows
 from letterbox.sinks import tables
 from letterbox.sinks.tables import spread
@@ -110,3 +110,16 @@ def test_a_hot_partition_is_split_on_insert(spark, tmp_path):
     finally:
         spark.conf.unset(setting)
     assert len(list((tmp_path / "data" / "day=1").glob("*.parquet"))) >= 4
+
+
+def test_an_upsert_reads_keys_first_and_then_only_touched_partitions(spark, tmp_path):
+    name = f"p_{uuid.uuid4().hex}.target"
+    df = spark.range(20).select("id", F.col("id").alias("v"), (F.col("id") % 4).cast("int").alias("day"))
+    tables.create_table(spark, name, df.schema, str(tmp_path / "data"), ["day"], database_location=str(tmp_path / "db"))
+    tables.save(df, name, "append")
+    chosen = spark.table(name).filter(_partition_id(["day"]).isin(["=1", "=3"]))
+    text = plan(chosen)
+    assert "PartitionFilters: [" in text and "1 entries" in text
+    assert chosen.count() == 10
+    assert "ReadSchema: struct<id:bigint>" in plan(spark.table(name).select("id", "day"))
+    assert "ReadSchema: struct<>" in plan(spark.table(name).groupBy("day").count())
