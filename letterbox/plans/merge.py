@@ -9,7 +9,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from ..functions.columns import quoted
 from ..operators.quality import assert_keys
 from ..session import new_folder
-from ..sinks.tables import aligned, clear_partition, partition_columns, rows_of, save
+from ..sinks.tables import (
+    aligned,
+    clear_partition,
+    has_log,
+    partition_columns,
+    provider,
+    quote_name,
+    rows_of,
+    save,
+)
 
 
 def latest(df: DataFrame, keys: Sequence[str], recency: Sequence[str] = ()) -> DataFrame:
@@ -40,6 +49,20 @@ def _partition_id(partitions: Sequence[str]) -> Column:
     return F.concat_ws("/", *values)
 
 
+def merge_statement(table: str, keys: Sequence[str], recency: Sequence[str] = ()) -> str:
+    """The same upsert as one statement, for formats with a transaction log."""
+
+    def row(alias: str) -> str:
+        return "struct(" + ", ".join(f"{alias}.{quote_name(c)}" for c in recency) + ")"
+
+    same = " AND ".join(f"t.{quote_name(k)} = s.{quote_name(k)}" for k in keys)
+    unless = f" AND NOT {row('t')} > {row('s')}" if recency else ""
+    return (
+        f"MERGE INTO {quote_name(table)} t USING {{updates}} s ON {same} "
+        f"WHEN MATCHED{unless} THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
+    )
+
+
 def upsert(
     spark: SparkSession,
     updates: DataFrame,
@@ -58,6 +81,10 @@ def upsert(
     sides are broadcast by Spark only below its size threshold.  Returns the
     rows written, if known.
     """
+    if has_log(provider(spark, table)):
+        source = latest(aligned(updates, table), keys, recency)
+        spark.sql(merge_statement(table, keys, recency), updates=source)
+        return None
     parts = partition_columns(spark, table)
     target = spark.table(table)
     key_columns = [quoted(k) for k in keys]

@@ -65,9 +65,21 @@ def _described(spark: SparkSession, table: str) -> dict:
     return json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {quote_name(table)} AS JSON").first()[0])
 
 
+def provider(spark: SparkSession, table: str) -> str:
+    return _described(spark, table)["provider"]
+
+
+def has_log(provider: str) -> bool:
+    """Whether a format keeps a transaction log and so knows ``MERGE INTO``."""
+    return provider.lower() in ("delta", "iceberg", "hudi")
+
+
 def ensure_partition_overwrite(spark: SparkSession, table: str) -> None:
     """Set the option on a table made elsewhere: without it an overwrite wipes all partitions."""
-    found = _described(spark, table).get("storage_properties", {})
+    described = _described(spark, table)
+    if has_log(described["provider"]):
+        raise ValueError(f"{table}: {described['provider']} replaces partitions in its own way")
+    found = described.get("storage_properties", {})
     mode = {k.lower(): v for k, v in found.items()}.get("partitionoverwritemode", "")
     if mode.lower() != "dynamic":
         spark.sql(

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from letterbox.operators.quality import NullKeyError
-from letterbox.plans.merge import latest, upsert
+from letterbox.plans.merge import latest, merge_statement, upsert
 from letterbox.plans.refresh import Target, refresh
 from letterbox.sinks import tables
 
@@ -120,3 +120,10 @@ def test_refresh_modes(spark, tmp_path):
     assert run("drop") == {"keyed": ("loaded", 2), "bare": ("loaded", 2)}
     assert run("sideways", "bare") == {"bare": ("failed", 0)}
     assert run("merge", "absent") == {"absent": ("failed", 0)}
+
+
+def test_merge_statement_is_sound_sql(spark):
+    for recency in ([], ["version", "odd-name"]):
+        text = merge_statement("db.t", ["k1", "odd-key"], recency).replace("{updates}", "updates")
+        spark._jsparkSession.sessionState().sqlParser().parsePlan(text)
+        assert ("struct" in text) == bool(recency) and "t.`odd-key` = s.`odd-key`" in text
