@@ -18,7 +18,7 @@ from .. import catalog
 from ..functions.dates import Window, day_values, parse_day, previous_day_window
 from ..functions.schemas import TABLE_COLUMN, pick
 from ..model import DAY_PARTITIONS, LoadOptions, LoadResult, TableSpec
-from ..operators.envelopes import resolve_specs, table_spec
+from ..operators.envelopes import envelopes, of_id, of_table, resolve_specs, table_spec
 from ..operators.payload import text_rows, typed_payload, typed_rows, with_day, with_rule
 from ..operators.quality import assert_keys, cast_report, guard_keys
 from ..session import small_rows
@@ -50,46 +50,56 @@ class LoadFailed(RuntimeError):
         super().__init__("; ".join(failed))
 
 
-def table_rows(envelopes: DataFrame, spec: TableSpec, day: date, options: LoadOptions) -> DataFrame:
+def table_rows(found: DataFrame, spec: TableSpec, day: date, options: LoadOptions) -> DataFrame:
     """Final rows of one table: header, typed payload, partition columns."""
     rows = typed_rows(
-        envelopes, spec.schema, first_only=options.first_only, legacy_cast=options.legacy_cast
+        found, spec.schema, first_only=options.first_only, legacy_cast=options.legacy_cast
     )
     rule = options.rule_for(spec.table)
     return with_rule(rows, rule) if rule else with_day(rows, day)
 
 
-def check_keys(envelopes: DataFrame, spec: TableSpec, day: date, options: LoadOptions) -> None:
+def check_keys(found: DataFrame, spec: TableSpec, day: date, options: LoadOptions) -> None:
     """Fail with counts on NULL keys, reading no more of the payload than the keys need."""
     if not spec.keys:
         return
     fields = {f.name.lower() for f in spec.schema.fields}
     if all(key.lower() in fields for key in spec.keys):
         keys = typed_payload(
-            envelopes,
+            found,
             pick(spec.schema, list(spec.keys)),
             first_only=options.first_only,
             legacy_cast=options.legacy_cast,
         )
     else:
         # Keys may also be header or partition columns.
-        keys = table_rows(envelopes, spec, day, options)
+        keys = table_rows(found, spec, day, options)
     assert_keys(keys, spec.keys)
 
 
-def lost_values(envelopes: DataFrame, spec: TableSpec, options: LoadOptions) -> int:
+def lost_values(found: DataFrame, spec: TableSpec, options: LoadOptions) -> int:
     """Values the casts turned into NULL, over all fields."""
-    text = text_rows(envelopes, spec.schema, first_only=options.first_only)
-    found = cast_report(text, spec.schema, legacy_cast=options.legacy_cast)
-    return found.agg(F.coalesce(F.sum("failed"), F.lit(0))).first()[0]
+    text = text_rows(found, spec.schema, first_only=options.first_only)
+    losses = cast_report(text, spec.schema, legacy_cast=options.legacy_cast)
+    return losses.agg(F.coalesce(F.sum("failed"), F.lit(0))).first()[0]
 
 
 def load_table(
-    spark: SparkSession, envelopes: DataFrame, spec: TableSpec, day: date, options: LoadOptions
+    spark: SparkSession,
+    found: DataFrame,
+    spec: TableSpec,
+    day: date,
+    options: LoadOptions,
+    *,
+    landed: bool = True,
 ) -> LoadResult:
-    """Create when missing, and write one table unless a key is NULL."""
+    """Create when missing, and write one table unless a key is NULL.
+
+    ``landed`` envelopes lie in files of their own and need no shuffle to be
+    written to a constant day.
+    """
     mode = options.write_mode(spec)
-    rows = guard_keys(table_rows(envelopes, spec, day, options), spec.keys)
+    rows = guard_keys(table_rows(found, spec, day, options), spec.keys)
     rule = options.rule_for(spec.table)
     name = spec.full_name(options.database_prefix)
     created = not spark.catalog.tableExists(name)
@@ -104,18 +114,19 @@ def load_table(
             f"{options.base_path.rstrip('/')}/{spec.database(options.database_prefix)}.db",
         )
     try:
-        written = (
-            rows_of(save(rows, name, mode)) if rule else save_day(rows, name, day_values(day), mode)
-        )
+        if rule:
+            written = rows_of(save(rows, name, mode))
+        else:
+            written = save_day(rows, name, day_values(day), mode, shuffle=not landed)
     except Exception:
         if created:
             drop_table(spark, name)
-        check_keys(envelopes, spec, day, options)  # names the keys when they were the cause
+        check_keys(found, spec, day, options)  # names the keys when they were the cause
         raise
     if created:
         # The location may hold partitions of earlier runs, known to another catalog.
         recover_partitions(spark, name)
-    lost = lost_values(envelopes, spec, options) if options.count_lost_values else None
+    lost = lost_values(found, spec, options) if options.count_lost_values else None
     return LoadResult(
         spec.table, "loaded", mode, written, distinct_specs=spec.distinct_specs, lost_values=lost
     )
@@ -147,8 +158,8 @@ def load_landed(
         if table not in specs:
             return LoadResult(table, "empty")
         try:
-            envelopes = landed.filter(F.col(TABLE_COLUMN) == table)
-            return load_table(spark, envelopes, table_spec(specs[table]), day, options)
+            found = landed.filter(F.col(TABLE_COLUMN) == table)
+            return load_table(spark, found, table_spec(specs[table]), day, options)
         except Exception as error:  # one table must not stop the others
             return LoadResult(table, "failed", error=f"{type(error).__name__}: {error}"[:1000])
 
@@ -179,6 +190,31 @@ def load_messages(
     )
 
 
+def load_one(
+    spark: SparkSession,
+    messages: DataFrame,
+    window: Window,
+    table: str,
+    options: LoadOptions,
+    identifier: str | None = None,
+) -> LoadResult:
+    """One destination straight from the hub, without a landing zone.
+
+    Reads the hub twice, headers first, which beats landing every destination
+    when only one is wanted.  ``identifier`` keeps the messages of one id.
+    """
+
+    def chosen(payload: bool) -> DataFrame:
+        found = of_table(envelopes(messages, payload=payload), table)
+        return found if identifier is None else of_id(found, identifier)
+
+    row = resolve_specs(chosen(payload=False)).first()
+    if row is None:
+        return LoadResult(table, "empty")
+    found = chosen(payload=True)
+    return load_table(spark, found, table_spec(row), window.day, options, landed=False)
+
+
 def ingest_day(
     spark: SparkSession,
     fmt: str,

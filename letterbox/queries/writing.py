@@ -24,6 +24,7 @@ from ..session import new_folder
 from ..sinks import publish, tables
 from ..sinks.landing import accepted, land, rejected
 from ..sources.files import read_landing
+from ..sources.hub import select_window
 from ..sources.origins import read_origins
 from ..sources.registry import read_documents, table_registry
 from .producer import messages, one_row, row_messages
@@ -185,6 +186,19 @@ def two_stage_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return all_rows(spark, loaded(results), run, *columns).drop("tabela")
 
 
+@query("""
+SELECT event_id, ts, user_id, event_type, value, props, 'purchase-app' AS header_id, 10 AS day_partition
+FROM events WHERE event_type = 'purchase' AND ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-11'
+""")
+def single_table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One destination of one day, straight from the hub."""
+    run, window = options(spark), previous_day_window("2024-01-11")
+    hub = select_window(event_messages(spark, sf_dir, keys="event_id"), window)
+    result = load.load_one(spark, hub, window, "purchase", run, "purchase-app")
+    columns = [*read(spark, sf_dir, "events").columns, "header_id", "day_partition"]
+    return all_rows(spark, loaded([result]), run, *columns).drop("tabela")
+
+
 @query("""
 SELECT event_type || CAST(event_id AS VARCHAR) AS rejected_body FROM events WHERE event_type = 'error'
 UNION ALL SELECT '{''event'': ' || CAST(event_id AS VARCHAR) || ', ''ok'': True}' FROM events
@@ -257,7 +271,7 @@ def replace_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     again = events.filter(F.col("event_type") == "purchase")
     for df, window in ((events, MONTH), (again, day)):
         sent = row_messages(df, "events", enqueued=F.col("ts"))
-        hub = sent.filter(F.col("enqueuedTime").between(*[F.lit(str(t)[:19]).cast("timestamp_ntz") for t in (window.start, window.end)]))
+        hub = select_window(sent, window)
         results = load.load_messages(spark, hub, window, new_folder(spark, "landing"), run)
     return partition_counts(
         all_rows(spark, loaded(results), run, "day_partition"), ["day_partition"]

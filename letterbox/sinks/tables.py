@@ -170,13 +170,16 @@ def rows_of(counts: dict | None) -> int | None:
     return None if counts is None else counts["rows"]
 
 
-def save_day(df: DataFrame, table: str, day: Mapping[str, int], mode: str) -> int | None:
+def save_day(
+    df: DataFrame, table: str, day: Mapping[str, int], mode: str, *, shuffle: bool = False
+) -> int | None:
     """``save`` for one constant partition, which is emptied when ``df`` is empty.
 
     With a single partition to write there is nothing to bring together, so
-    rows go straight from the tasks that read them to files.
+    rows go straight from the tasks that read them to files.  ``shuffle`` is
+    for tasks left with few rows each, as after a narrow filter.
     """
-    rows = rows_of(save(df, table, mode, shuffle=False))
+    rows = rows_of(save(df, table, mode, shuffle=shuffle))
     if mode == "overwrite" and (df.isEmpty() if rows is None else rows == 0):
         clear_partition(df.sparkSession, table, day)
     return rows

@@ -162,3 +162,16 @@ def test_daily_job(spark, messages, tmp_path, options):
     with pytest.raises(load.LoadFailed, match="stock"):
         load.ingest_day(spark, "parquet", {}, "2024-01-11", landing, run_options, path=hub)
     assert table(spark, run_options, "sales").count() == 4
+
+
+def test_one_table_without_a_landing_zone(spark, messages, options):
+    sent = messages(
+        envelope("sales", [{"id": 1, "store": "a"}]),
+        envelope("sales", [{"id": 2, "store": "a"}], _id="sales-other"),
+        envelope("stock", [{"id": 3, "store": "a"}]),
+    )
+    run_options = options(mode_override="overwrite")
+    assert load.load_one(spark, sent, WINDOW, "sales", run_options).rows == 2
+    assert load.load_one(spark, sent, WINDOW, "sales", run_options, "sales-other").rows == 1
+    assert [r.id for r in table(spark, run_options, "sales").collect()] == [2]
+    assert load.load_one(spark, sent, WINDOW, "none", run_options).status == "empty"
