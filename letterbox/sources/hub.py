@@ -7,7 +7,7 @@ enqueue time only.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -32,12 +32,19 @@ def read_messages(
     body: str = "body",
     time: str = "enqueuedTime",
     path: str | None = None,
+    bounds: Callable[[Window], Mapping[str, str]] | None = None,
 ) -> DataFrame:
-    """Messages enqueued in ``window`` as ``(body, enqueuedTime)``."""
-    reader = spark.read.format(fmt).options(**options)
+    """Messages enqueued in ``window`` as ``(body, enqueuedTime)``.
+
+    ``bounds`` words the window in the connector's own options, so that no
+    message outside it is read; Kafka's are known.  The time is compared again
+    afterwards, which for files is the only bound and reaches the scan.
+    """
     if fmt == "kafka":
-        reader = reader.options(**kafka_bounds(window))
-        body, time = "value", "timestamp"
+        bounds, body, time = bounds or kafka_bounds, "value", "timestamp"
+    reader = spark.read.format(fmt).options(**options)
+    if bounds:
+        reader = reader.options(**bounds(window))
     return select_window(reader.load(path) if path else reader.load(), window, body=body, time=time)
 
 

@@ -17,6 +17,11 @@ def window_query(template: str, first: str | date, last: str | date) -> str:
     return template % (parse_day(first).isoformat(), parse_day(last).isoformat())
 
 
+def document_statement(query: str, first: str | date, last: str | date) -> str:
+    """What an ingestion document asks for: its window, or everything without one."""
+    return window_query(query, first, last) if "%s" in query else query
+
+
 def pull_options(
     url: str,
     statement: str,

@@ -21,6 +21,15 @@ def test_hub_window_from_files(spark, tmp_path):
     found = hub.read_messages(spark, "parquet", {}, previous_day_window("2024-01-11"), time="at", path=path)
     assert [bytes(r.body) for r in found.collect()] == [b"2024-01-10 00:00:00"]
     assert found.columns == ["body", "enqueuedTime"]
+    asked = []
+
+    def bounds(window):
+        asked.append(window.day.isoformat())
+        return {"pathGlobFilter": "*.parquet"}
+
+    window = previous_day_window("2024-01-11")
+    bounded = hub.read_messages(spark, "parquet", {}, window, time="at", path=path, bounds=bounds)
+    assert bounded.count() == 1 and asked == ["2024-01-10"]
 
 
 def test_kafka_bounds_are_milliseconds():
@@ -43,6 +52,8 @@ def test_jdbc_statements_and_options():
     assert "'2024-01-01'" in query and "'2024-01-31'" in query
     with pytest.raises(ValueError):
         jdbc.window_query("select 1", "2024-01-01", "2024-01-02")
+    assert jdbc.document_statement(template, "2024-01-01", "2024-01-31") == query
+    assert jdbc.document_statement("select 1", "2024-01-01", "2024-01-31") == "select 1"
     whole = jdbc.pull_options("jdbc:x", query, properties={"driver": "d"})
     assert whole["query"] == query and whole["driver"] == "d" and "dbtable" not in whole
     split = jdbc.pull_options("jdbc:x", query, partition_column="id", lower=1, upper=1000, partitions=20)
