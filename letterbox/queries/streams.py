@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..model import LoadOptions
 from ..operators.quality import partition_counts
 from ..plans import load
 from ..session import new_folder

@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
+from ..functions.columns import quoted
 from ..session import adaptive
 
 # Makes every INSERT OVERWRITE replace only the partitions it has rows for, so
@@ -92,16 +93,17 @@ def spread(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     Adaptive execution sizes the tasks at run time and splits a partition
     that holds most of the rows.  Without it the rows of each partition are
-    dealt over several tasks by a hash of their content, which comes out the
-    same when a lost task runs again.
+    dealt over an eighth of the tasks by a hash of their content, which comes
+    out the same when a lost task runs again.
     """
     spark = df.sparkSession
     if adaptive(spark):
         return df.hint("rebalance", *columns)
     if not columns:
         return df
-    salt = F.pmod(F.xxhash64(*[c for c in df.columns if _hashable(df.schema[c].dataType)]), F.lit(16))
-    return df.repartition(*columns, salt)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    content = [quoted(f.name) for f in df.schema.fields if _hashable(f.dataType)]
+    return df.repartition(*columns, F.pmod(F.xxhash64(*content), F.lit(max(8, tasks // 8))))
 
 
 def _hashable(dtype: T.DataType) -> bool:
@@ -116,7 +118,7 @@ def aligned(df: DataFrame, table: str) -> DataFrame:
     extra = sorted(set(have) - {name.lower() for name in wanted})
     if missing or extra:
         raise ValueError(f"columns of {table} differ: missing {missing}, unknown {extra}")
-    return df.select(["`" + have[name.lower()].replace("`", "``") + "`" for name in wanted])
+    return df.select([quoted(have[name.lower()]) for name in wanted])
 
 
 def _counts(counted: Observation, seconds: float = 120) -> dict | None:

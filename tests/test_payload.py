@@ -1,9 +1,6 @@
-import json
 from datetime import date
 
 import pytest
-from pyspark.sql import functions as F, types as T
-
 from tests.conftest import FIELDS, envelope
 from letterbox.functions.schemas import payload_schema
 from letterbox.model import PartitionRule
