@@ -30,7 +30,7 @@ from ..sources.registry import read_documents, table_registry
 from .producer import row_messages
 from .registry import query, read
 
-MONTH = lookback_window("2024-01-31", 31)
+MONTH = lookback_window("2024-01-31", 30)
 MONTH_RULE = PartitionRule(
     "o_orderdate", {"year_partition": "yyyy", "month_partition": "MM"}, as_type="int"
 )
