@@ -25,7 +25,7 @@ AUDIT_SCHEMA = pa.schema(
 
 
 def describe(spark: SparkSession, table: str) -> DataFrame:
-    """``(col_name, data_type, is_partition)``, partition columns last."""
+    """``(col_name, data_type, is_partition)``, one row per column."""
     partitions = partition_columns(spark, table)
     columns = spark.sql(f"DESCRIBE TABLE {quote_name(table)}").select("col_name", "data_type")
     # DESCRIBE lists partition columns again below a heading.

@@ -93,9 +93,15 @@ def start(
     every: str | None = None,
     partition_by: Sequence[str] = (),
     options: dict[str, str] | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Append-mode sink.  ``every`` is a trigger interval such as ``3 seconds``;
-    without it the query takes what is there and stops."""
+    without it the query takes what is there and stops.
+
+    ``state_partitions`` is the number of tasks a join keeps its state in.  It
+    is fixed by the first start of a checkpoint, so choose it for the largest
+    state to come.
+    """
     if not df.isStreaming:
         raise ValueError("not a stream")
     writer = (
@@ -109,7 +115,16 @@ def start(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    return writer.start(path) if path else writer.start()
+    if state_partitions is None:
+        return writer.start(path) if path else writer.start()
+    # A query copies the session's settings when it starts.
+    conf, setting = df.sparkSession.conf, "spark.sql.shuffle.partitions"
+    previous = conf.get(setting, "200")
+    conf.set(setting, state_partitions)
+    try:
+        return writer.start(path) if path else writer.start()
+    finally:
+        conf.set(setting, previous)
 
 
 def finish(query: StreamingQuery, timeout: float | None = None) -> None:

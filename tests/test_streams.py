@@ -77,6 +77,21 @@ def test_join_across_batches(spark, tmp_path, salts):
     assert run(joined, tmp_path) == [("1", "x", "s"), ("1", "x", "s"), ("2", "y", "late"), ("7", "later", "t")]
 
 
+def test_state_partitions_hold_for_the_query_only(spark, tmp_path):
+    left, right = tmp_path / "left", tmp_path / "right"
+    write_lines(left, "a", {"id": "1", "name": "x"})
+    write_lines(right, "a", {"id": "1", "surname": "s"})
+    first = streams.parse_lines(streams.read_lines(spark, str(left)), T.StructType.fromDDL("id STRING, name STRING"))
+    second = streams.parse_lines(streams.read_lines(spark, str(right)), T.StructType.fromDDL("id STRING, surname STRING"))
+    joined = streams.join_streams(first, second, "id", ["id", "surname"])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    query = streams.start(joined, "console", str(tmp_path / "checkpoint"), state_partitions=5)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    streams.finish(query, 60)
+    stores = [p for p in (tmp_path / "checkpoint" / "state" / "0").iterdir() if p.name.isdigit()]
+    assert len(stores) == 5
+
+
 def test_join_bounded_by_time(spark, tmp_path):
     left, right = tmp_path / "left", tmp_path / "right"
     write_lines(left, "a", {"id": "1", "at": "2024-01-01T10:00:00Z"})
