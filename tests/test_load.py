@@ -5,6 +5,7 @@ import pytest
 
 from tests.conftest import FIELDS, envelope
 from letterbox import catalog
+from letterbox.functions.cdn import cdn_declared, labelled
 from letterbox.functions.dates import previous_day_window
 from letterbox.model import LoadOptions, PartitionRule
 from letterbox.plans import load
@@ -175,3 +176,31 @@ def test_one_table_without_a_landing_zone(spark, messages, options):
     assert load.load_one(spark, sent, WINDOW, "sales", run_options, "sales-other").rows == 1
     assert [r.id for r in table(spark, run_options, "sales").collect()] == [2]
     assert load.load_one(spark, sent, WINDOW, "none", run_options).status == "empty"
+
+
+def test_device_record_with_dashed_names(spark, messages, tmp_path, options):
+    names = ["apFloors-0", "apMac", "apTags-0", "apTags-1", "apTags-2", "clientMac", "ipv4", "lat", "seenEpoch"]
+    fields = [{"name": n, "dataType": "string", "nullable": True, "metadata": {}} for n in names]
+    fields.append({"name": "data", "dataType": "date", "nullable": True, "metadata": {}})
+    run_options = options(partition_rules={"device": PartitionRule("conteudo.data", source_type="date")})
+    payload = [{"apTags-0": "t", "seenEpoch": 1591221548, "data": "2020-06-03"}, {"apTags-1": "u", "data": None}]
+    results = run(spark, messages, tmp_path, run_options, envelope("device", payload, fields=fields, chave_tabela=""))
+    assert results["device"].rows == 2
+    rows = table(spark, run_options, "device").select("apTags-0", "seenEpoch", "year_partition", "month_partition", "day_partition")
+    assert sorted(map(tuple, rows.collect()), key=repr) == [("t", "1591221548", "2020", "06", "03"), (None, None, None, None, None)]
+
+
+def test_nested_access_log_record(spark, messages, tmp_path, options):
+    record = {
+        "id": "r1", "cp": 5, "geo": {"city": "c", "country": "BR"}, "message": {"status": "200", "bytes": 17},
+        "netPerf": {"clientRTT": "12", "midMileLatency": "x", "netOriginLatency": 3}, "waf": "broken",
+    }
+    run_options = options(count_lost_values=True)
+    document = envelope("log", [record], fields=cdn_declared()["fields"], chave_tabela="id")
+    document["id"] = document.pop("_id")
+    results = run(spark, messages, tmp_path, run_options, document)
+    assert (results["log"].status, results["log"].lost_values) == ("loaded", 0), results["log"]
+    stored = table(spark, run_options, "log")
+    assert len(stored.columns) == 9 + 15 + 3
+    row = stored.select(*labelled(stored, ["country", "HTTP Status Code", "Bytes", "Client RTT", "Mid Mile Latency", "Net Origin Latency", "p rate"])).first()
+    assert tuple(row) == ("BR", "200", "17", 12, None, 3, None)
