@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -19,9 +20,12 @@ def shared_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    root = tempfile.mkdtemp(prefix="letterbox-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_root(spark.sparkContext.applicationId)
+
+
+@cache
+def _local_root(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"letterbox-{application}-")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
