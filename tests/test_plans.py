@@ -13,6 +13,7 @@ from letterbox.functions.dates import previous_day_window
 from letterbox.functions.schemas import pick, payload_schema
 from letterbox.operators import envelopes as env
 from letterbox.operators.payload import typed_payload
+from letterbox.plans import merge
 from letterbox.plans.merge import _partition_id, latest
 from letterbox.sinks.landing import accepted, land, landing_rows
 from letterbox.sinks import tables
@@ -123,3 +124,22 @@ def test_an_upsert_reads_keys_first_and_then_only_touched_partitions(spark, tmp_
     assert chosen.count() == 10
     assert "ReadSchema: struct<id:bigint>" in plan(spark.table(name).select("id", "day"))
     assert "ReadSchema: struct<>" in plan(spark.table(name).groupBy("day").count())
+
+
+def test_an_upsert_rewrites_touched_partitions_only(spark, tmp_path, monkeypatch):
+    name = f"p_{uuid.uuid4().hex}.target"
+    df = spark.range(40).select("id", F.col("id").alias("v"), (F.col("id") % 8).cast("int").alias("day"))
+    tables.create_table(spark, name, df.schema, str(tmp_path / "data"), ["day"], database_location=str(tmp_path / "db"))
+    tables.save(df, name, "append")
+    plans = []
+
+    def spy(df, *args, **kwargs):
+        plans.append(plan(df))
+        return tables.save(df, *args, **kwargs)
+
+    monkeypatch.setattr(merge, "save", spy)
+    merge.upsert(spark, df.filter("id IN (3, 11)").withColumn("v", F.lit(0)), name, ["id"])
+    scan = re.search(r"Location: InMemoryFileIndex \[.*day=(\d)\]", plans[0])
+    assert scan and scan.group(1) == "3", plans[0]
+    assert "Exchange hashpartitioning" not in plans[0]
+    assert spark.table(name).filter("v = 0").count() == 3 and spark.table(name).count() == 40
