@@ -42,7 +42,8 @@ def has_rows() -> Column:
 
 def is_rejected() -> Column:
     """Bodies that are no envelope, or envelopes that lead nowhere."""
-    nowhere = F.col("destino").isNull() | (has_rows() & F.col("destino.diretorio").isNull())
+    unnamed = F.coalesce("destino.diretorio", F.lit("")) == ""
+    nowhere = F.col("destino").isNull() | (has_rows() & unnamed)
     return F.col(REJECTED_BODY).isNotNull() | F.coalesce(nowhere, F.lit(False))
 
 

@@ -28,7 +28,8 @@ def test_broken_bodies_go_to_quarantine(messages):
     python_text = str(envelope(payload=[{"id": None, "ok": True}]))
     quoted_quantity = envelope(quantidade="2")
     nowhere = envelope(table=None, payload=[{"id": 1}])
-    broken = ["no json", "", None, python_text, quoted_quantity, nowhere, {"a": 1}]
+    unnamed = envelope(table="", payload=[{"id": 1}])
+    broken = ["no json", "", None, python_text, quoted_quantity, nowhere, unnamed, {"a": 1}]
     good = envelope(payload=[{"id": 1}])
     assert env.quarantine(messages(good, envelope(quantidade=0), *broken)).count() == len(broken)
 
@@ -62,10 +63,11 @@ def test_landing_keeps_null_columns_and_rejected_bodies(spark, messages, tmp_pat
     good["lote"] = None
     for fmt in ("json", "parquet"):
         path = str(tmp_path / fmt)
-        land(messages(good, envelope("b", [{"id": 1}]), "broken", envelope(quantidade=0)), path, fmt)
+        unnamed = envelope("", [{"id": 1}])
+        land(messages(good, envelope("b", [{"id": 1}]), "broken", unnamed, envelope(quantidade=0)), path, fmt)
         landed = read_landing(spark, path, fmt=fmt)
         assert accepted(landed).count() == 2
-        assert [r.rejected_body for r in rejected(landed).collect()] == ["broken"]
+        assert sorted(r.rejected_body or "-" for r in rejected(landed).collect()) == ["-", "broken"]
         one = read_landing(spark, path, "a", fmt).collect()
         assert len(one) == 1 and one[0].lote is None and one[0].destino.quantidade == 1
         land(messages(envelope("b", [{"id": 1}])), path, fmt)
