@@ -10,6 +10,7 @@ import pandas as pd
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from letterbox.queries import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents labels pages conversations".split()
@@ -41,17 +42,22 @@ def normal(frame: pd.DataFrame) -> list[tuple]:
     return sorted(rows, key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, duck, name):
-    answer = queries()[name](spark, SF_DIR).toPandas()
-    expected = duck.execute(oracle_sql()[name]).df()
+    answer = QUERIES[name](spark, SF_DIR).toPandas()
+    expected = duck.execute(ORACLES[name]).df()
     assert sorted(answer.columns) == sorted(expected.columns)
     assert len(answer) == len(expected)
     assert normal(answer) == normal(expected)
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+
+
+def test_the_entry_module_has_them_all():
+    assert queries().items() >= QUERIES.items()
+    assert oracle_sql().items() >= ORACLES.items()
 
 
 def test_entry(spark):
