@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, simhash
+from . import exact_dedup, licenses, mixing, packing, quality_rules, simhash, token_counts
 from .common import ID
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +25,175 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each pass a document takes part in."""
+    docs, mix = table(spark, sf_dir, "documents"), mixing.Mix(entropy=0.999, max_passes=2.0)
+    plans = mixing.plan(docs, mix)
+    return (
+        mixing.passes(docs, plans, mix)
+        .join(F.broadcast(plans.select("lb_source", "exponent", "weight", "budget")), "lb_source")
+        .select(
+            F.col("lb_row.doc_id").alias("doc_id"),
+            F.col("lb_source").alias("source"),
+            F.col("lb_tokens").alias("tokens"),
+            F.col("lb_pass").cast("long").alias("pass"),
+            F.col("lb_place").alias("place"),
+            F.round("exponent", 6).alias("exponent"),
+            F.round("weight", 9).alias("weight"),
+            "budget",
+        )
+    )
+
+
+ORACLES["op1_temperature_mixing"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, n, substr(md5('mix:' || source || ':' || h[1:3]), 1, 16) || h AS place
+  FROM (SELECT doc_id, coalesce(source, '') AS source, md5('mix:' || coalesce(doc_id::VARCHAR, '')) AS h,
+               len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) AS n
+        FROM documents)
+), s AS (
+  SELECT source, sum(n)::BIGINT AS n, sum(sum(n)) OVER ()::DOUBLE AS whole FROM d GROUP BY source
+), size AS (
+  SELECT count(*) AS sources, min(n)::DOUBLE AS least, max(n)::DOUBLE AS most FROM s WHERE n > 0
+), by_entropy(step, k, full_k) AS (
+  SELECT 21, 0, false
+  UNION ALL
+  -- The first step asks whether the plain shares will do; the others build the largest exponent bit by bit.
+  SELECT step - 1,
+         CASE WHEN bool_or(full_k) THEN any_value(k)
+              WHEN ln(sum(pow(n / whole, (k + pow(2, step - 1)) / 1048576)))
+                   - sum(pow(n / whole, (k + pow(2, step - 1)) / 1048576)
+                         * ln(pow(n / whole, (k + pow(2, step - 1)) / 1048576)))
+                     / sum(pow(n / whole, (k + pow(2, step - 1)) / 1048576))
+                   >= 0.999 * ln(any_value(sources))
+              THEN any_value(k) + pow(2, step - 1)::INT ELSE any_value(k) END,
+         step = 21 AND ln(sum(n / whole)) - sum(n / whole * ln(n / whole)) / sum(n / whole)
+                       >= 0.999 * ln(any_value(sources)) OR bool_or(full_k)
+  FROM by_entropy, s, size WHERE step > 0 AND n > 0 GROUP BY step, k
+), limited AS (
+  -- Passes differ by at most (most / least) ** (1 - exponent).
+  SELECT greatest(k, CASE WHEN pow(most / least, 1 - k / 1048576.0) > 2
+                          THEN least(floor((1 - ln(2) / ln(most / least)) * 1048576) + 1, 1048576) ELSE 0 END)
+         / 1048576.0 AS x
+  FROM by_entropy, size WHERE step = 0
+), w AS (
+  SELECT source, n, x, pow(n / whole, x) / sum(pow(n / whole, x)) OVER () AS weight FROM s, limited
+), b AS (
+  SELECT source, n, x, weight, floor(weight / n / min(weight / n) OVER () * n)::BIGINT AS budget FROM w
+), taken AS (
+  SELECT doc_id, d.source, d.n AS tokens, place, x, weight, budget, budget // b.n AS whole_passes,
+         budget % b.n > 0
+         AND sum(d.n) OVER (PARTITION BY d.source ORDER BY place, lpad(d.n::VARCHAR, 20, '0')) <= budget % b.n AS more
+  FROM d JOIN b USING (source)
+)
+SELECT doc_id, source, tokens, unnest(range(whole_passes + more::INT)) AS pass, place,
+       round(x, 6) AS exponent, round(weight, 9) AS weight, budget
+FROM taken
+"""
+
+
+@query
+def op4_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality_rules.ledger(table(spark, sf_dir, "documents"))
+    return rows.select(
+        F.col(ID).alias("doc_id"),
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        quality_rules.fails("base").alias("base_failed"),
+        (~quality_rules.fails("base") & ~quality_rules.fails("v1")).alias("kept"),
+        "failed",
+    )
+
+
+ORACLES["op4_rule_ledger"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), lines AS (
+  SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r
+), windows AS (
+  SELECT r, i, count(*) OVER (PARTITION BY r, w[i], w[i + 1], w[i + 2]) AS times
+  FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM d)
+), repeats AS (
+  SELECT r, count(DISTINCT i + shift) AS n_repeat_words
+  FROM windows, (SELECT unnest(range(3)) AS shift) WHERE times > 1 GROUP BY r
+), m AS (
+  SELECT doc_id, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+         len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+         coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines,
+         len(regexp_extract_all(t, '[A-Z]')) AS n_upper, len(regexp_extract_all(t, '[A-Za-z]')) AS n_letters,
+         len(regexp_extract_all(t, '[!?]')) AS n_marks
+  FROM d LEFT JOIN lines USING (r) LEFT JOIN repeats USING (r)
+), f AS (
+  SELECT *, (n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT + 4 * (10 * n_symbols > n_words)::INT
+            + 8 * (2 * n_dup_lines > n_lines)::INT + 16 * (word_chars > 14 * n_words)::INT
+            + 32 * (word_chars < 2 * n_words)::INT + 64 * (2 * n_upper > n_letters)::INT
+            + 128 * (5 * n_marks > n_words)::INT AS failed
+  FROM m
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       failed & 3 <> 0 AS base_failed, failed = 0 AS kept, failed FROM f
+"""
+
+
+@query
+def op5_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.license_scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col(ID).alias("doc_id"),
+        "text_digest",
+        "license",
+        F.array_join("line_licenses", ",").alias("line_licenses"),
+        "license_lines",
+    )
+
+
+def _license_sql() -> str:
+    quoted = lambda t: "'" + t.replace("'", "''") + "'"
+    form = r"""regexp_replace(regexp_replace(chr(10) || lower(coalesce(text, '')),
+        '\n[^\p{L}\p{N}\n]*(copyright|\(c\)|©)[^\n]*', chr(10), 'g'), '[^\p{L}\p{N}\n]+', ' ', 'g')"""
+    form = f"replace({form}, chr(10), ' ' || chr(10) || ' ')"
+    for old, new in licenses.SPELLINGS:
+        form = f"replace({form}, {quoted(old)}, {quoted(new)})"
+    known = ", ".join(f"({quoted(n)}, {quoted(t)})" for n, t in licenses.NOTICES + licenses.TEXTS)
+    return rf"""
+WITH known AS (
+  SELECT sha256(trim(regexp_replace(f, '[ \n]+', ' ', 'g'))) AS digest, min(license) AS license
+  FROM (SELECT license, {form} AS f FROM (VALUES {known}) v(license, text)) GROUP BY 1
+), d AS (
+  SELECT row_number() OVER () AS r, doc_id, {form} AS f FROM documents
+), lines AS (
+  SELECT r, string_agg(DISTINCT license, ',' ORDER BY license) AS line_licenses, count(*) AS license_lines
+  FROM (SELECT r, unnest(string_split(f, chr(10))) AS line FROM d) JOIN known ON digest = sha256(trim(line))
+  GROUP BY r
+)
+SELECT doc_id, sha256(trim(regexp_replace(f, '[ \n]+', ' ', 'g'))) AS text_digest, known.license,
+       coalesce(line_licenses, '') AS line_licenses, coalesce(license_lines, 0) AS license_lines
+FROM d LEFT JOIN lines USING (r)
+LEFT JOIN known ON known.digest = sha256(trim(regexp_replace(f, '[ \n]+', ' ', 'g')))
+"""
+
+
+ORACLES["op5_license_digests"] = _license_sql()
+
+
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_counts.token_counts(table(spark, sf_dir, "documents"), VOCABULARY)
+    return found.select(F.col(ID).alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
+
+
 @query
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"), digest_all=True)
@@ -41,6 +211,12 @@ FROM d WINDOW w AS (PARTITION BY text_sha256)
 """
 
 
+@query
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = packing.pieces(table(spark, sf_dir, "documents"), VOCABULARY, capacity=4096, end_id=1)
+    return packing.pack(cut, capacity=4096).withColumnRenamed(ID, "doc_id")
+
+
 @query
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, distance=4, seed=42)
