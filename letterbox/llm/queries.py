@@ -119,9 +119,13 @@ WITH d AS (
   SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
   FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)
   WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r
+), words AS (
+  SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d
+), threes AS (
+  SELECT r, i, word AS a, lead(word) OVER o AS b, lead(word, 2) OVER o AS c
+  FROM words WINDOW o AS (PARTITION BY r ORDER BY i)
 ), windows AS (
-  SELECT r, i, count(*) OVER (PARTITION BY r, w[i], w[i + 1], w[i + 2]) AS times
-  FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM d)
+  SELECT r, i, count(*) OVER (PARTITION BY r, a, b, c) AS times FROM threes WHERE c IS NOT NULL
 ), repeats AS (
   SELECT r, count(DISTINCT i + shift) AS n_repeat_words
   FROM windows, (SELECT unnest(range(3)) AS shift) WHERE times > 1 GROUP BY r
@@ -136,7 +140,7 @@ WITH d AS (
   SELECT *, (n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT + 4 * (10 * n_symbols > n_words)::INT
             + 8 * (2 * n_dup_lines > n_lines)::INT + 16 * (word_chars > 14 * n_words)::INT
             + 32 * (word_chars < 2 * n_words)::INT + 64 * (2 * n_upper > n_letters)::INT
-            + 128 * (5 * n_marks > n_words)::INT AS failed
+            + 128 * (5 * n_marks > n_words)::BIGINT AS failed
   FROM m
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
