@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import new_folder
 
@@ -96,8 +96,6 @@ def without(docs: DataFrame, dropped: DataFrame, id_column: str = "doc_id", text
     keys = dropped.select(_id_key(F.col(ID)).alias("lb_id_key"), ROW_HASH, "lb_keep_one")
     bits = bitmap(keys.select(F.xxhash64("lb_id_key", ROW_HASH).alias("lb_key")), "lb_key")
     marked = with_hit(keyed, bits, "lb_key", "lb_hit")
-    from pyspark.sql import Window
-
     clear = marked.filter(~F.col("lb_hit")).select("lb_row")
     number = F.row_number().over(Window.partitionBy("lb_id_key", ROW_HASH).orderBy(F.lit(0)))
     doubtful = marked.filter("lb_hit").join(keys, ["lb_id_key", ROW_HASH], "left")
@@ -196,6 +194,3 @@ def sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     np.cumsum(values, out=total[1:])
     return total[offsets[1:]] - total[offsets[:-1]]
 
-
-def spark_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession

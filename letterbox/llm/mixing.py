@@ -18,7 +18,7 @@ import math
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import small_rows
 from . import common
@@ -190,8 +190,6 @@ def _descend(rows: DataFrame, plans: list[dict], digits: int | None) -> list[dic
     Parts are the places' first ``digits``, or the documents themselves, which
     also carry their token count, so that only true repeats are one part.
     """
-    from pyspark.sql import Window
-
     spark = rows.sparkSession
     schema = pa.schema([("lb_source", pa.string()), ("left", pa.int64()), ("before", pa.string())])
     open_ = [p for p in plans if p["open"]]

@@ -7,8 +7,19 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, licenses, mixing, packing, quality_rules, simhash, token_counts
-from .common import ID
+from . import (
+    exact_dedup,
+    language_gru,
+    licenses,
+    mixing,
+    packing,
+    quality_knn,
+    quality_rules,
+    simhash,
+    token_counts,
+    toxicity,
+)
+from .common import ID, held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,6 +105,31 @@ FROM taken
 """
 
 
+def fit_quality(docs: DataFrame, labels: DataFrame) -> quality_knn.Model:
+    usable = ~held_out(F.col(ID), 5, 0)
+    return quality_knn.fit(docs, labels, "quality", usable, max_labelled=4096, dimensions=64, neighbours=15)
+
+
+@query
+def op2_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = quality_knn.score(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
+    return found.select(
+        F.col(ID).alias("doc_id"),
+        held_out(F.col(ID), 5, 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op3_byte_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    net = language_gru.fit(docs, usable=~held_out(F.col(ID), 4, 2))
+    found = language_gru.language(docs, net)
+    return found.select(F.col(ID).alias("doc_id"), held_out(F.col(ID), 4, 2).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op4_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_rules.ledger(table(spark, sf_dir, "documents"))
@@ -215,6 +251,19 @@ FROM d WINDOW w AS (PARTITION BY text_sha256)
 """
 
 
+@query
+def op8_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), "toxic", usable=~held_out(F.col(ID), 5, 0))
+    return toxicity.score(docs, model).select(
+        F.col(ID).alias("doc_id"),
+        held_out(F.col(ID), 5, 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("passages").cast("long").alias("passages"),
+    )
+
+
 @query
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = packing.pieces(table(spark, sf_dir, "documents"), VOCABULARY, capacity=4096, end_id=1)
