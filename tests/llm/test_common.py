@@ -1,0 +1,71 @@
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
+
+from letterbox.llm import common
+
+
+def test_attach_gives_every_row_its_group_hot_or_not(spark):
+    rows = common.saved(
+        spark.range(30_000).select(
+            F.when(F.col("id") < 10_000, 1).otherwise(F.col("id") % 9000 + 2).alias("k"), F.col("id").alias("row")
+        ),
+        "rows",
+    )
+    groups = common.saved(rows.groupBy("k").agg(F.count("*").alias("n"), F.min("row").alias("least")), "groups")
+    found = common.attach(rows, groups, "k", "n")
+    assert found.count() == 30_000
+    wrong = found.groupBy("k").agg(F.count("*").alias("c"), F.max("n").alias("n"), F.max("least").alias("l"), F.min("row").alias("r"))
+    assert wrong.filter("c <> n OR l <> r").isEmpty()
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan  # the hot key takes no part in the shuffled join
+
+
+def test_bitmap_never_misses_a_key(spark):
+    keys = spark.range(0, 50_000, 5).select(F.col("id").alias("k"))
+    hits = common.with_hit(spark.range(50_000).select(F.col("id").alias("k")), common.bitmap(keys, "k"), "k", "hit")
+    counted = {(r["in_"], r["hit"]): r["count"] for r in hits.groupBy((F.col("k") % 5 == 0).alias("in_"), "hit").count().collect()}
+    assert (True, False) not in counted and counted[(True, True)] == 10_000
+    assert counted.get((False, True), 0) < 400  # 10,000 of 8 million bits are set
+
+
+def test_bitmap_of_nothing_hits_nothing(spark):
+    keys = spark.range(0).select(F.col("id").alias("k"))
+    hits = common.with_hit(spark.range(9).select(F.col("id").alias("k")), common.bitmap(keys, "k"), "k", "hit")
+    assert hits.filter("hit").isEmpty() and hits.count() == 9
+
+
+def test_without_drops_by_id_and_text_and_keeps_one_of_repeats(spark, odd):
+    h = lambda t: F.xxhash64(F.lit(t))
+    dropped = (
+        spark.range(1).select(F.lit(1).cast("long").alias(common.ID), h("the first text of all").alias(common.ROW_HASH), F.lit(False).alias("lb_keep_one"))
+        .unionByName(spark.range(1).select(F.lit(7).cast("long").alias(common.ID), h("éa ß ñ Über 9²").alias(common.ROW_HASH), F.lit(True).alias("lb_keep_one")))
+        .unionByName(spark.range(1).select(F.lit(None).cast("long").alias(common.ID), h("a text without an id").alias(common.ROW_HASH), F.lit(False).alias("lb_keep_one")))
+    )
+    left = common.without(odd, dropped)
+    assert left.columns == odd.columns and left.schema.simpleString() == odd.schema.simpleString()
+    ids = sorted((r.doc_id or 0, (r.text or "")[:12]) for r in left.collect())
+    assert len(ids) == 12 - 3 and (1, "the first te") not in ids
+    assert [t for i, t in ids if i == 7] == ["seven again ", "éa ß ñ Über "]
+
+
+def test_slices_bound_what_is_worked_on_and_lose_nothing():
+    texts = ["a" * n for n in (1, common.SLICE_BYTES + 5, 0, 3, common.SLICE_BYTES // 2, common.SLICE_BYTES // 2, 9)] + [None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], [common.ID, common.TEXT])
+    parts = list(common.slices(iter([batch, batch.slice(0, 0)])))
+    assert [i for p in parts for i in p.column(0).to_pylist()] == list(range(8))
+    assert max(p.num_rows for p in parts) > 1
+    for p in parts:
+        assert p.num_rows == 1 or sum(len(t or "") for t in p.column(1).to_pylist()) <= common.SLICE_BYTES
+
+
+def test_words_do_not_run_across_texts():
+    data, offsets = common.byte_view(pa.array(["ab", "cd  e", "", None, " f"]))
+    inside, starts, ends = common.words(data, offsets)
+    assert [data[a:b].tobytes() for a, b in zip(starts, ends)] == [b"ab", b"cd", b"e", b"f"]
+    assert common.per_text(starts, offsets).tolist() == [1, 2, 0, 0, 1]
+    code, distinct = common.codes(data, inside, starts, ends)
+    assert [distinct[int(c)].as_py() for c in code] == [b"ab", b"cd", b"e", b"f"]
+    assert common.sums(np.ones(len(data), bool), offsets).tolist() == [2, 5, 0, 0, 2]

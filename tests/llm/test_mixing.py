@@ -1,0 +1,119 @@
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from letterbox.llm import mixing
+
+from .conftest import WORDS
+
+
+def md5(text):
+    return hashlib.md5(text.encode()).hexdigest()
+
+
+def brute_passes(rows, mix):
+    """(id, source, tokens, pass) of every pass, from rows (id, text, lang, source)."""
+    docs = []
+    for i, text, _, source in rows:
+        digest = md5(f"{mix.seed}:{'' if i is None else i}")
+        block = md5(f"{mix.seed}:{source or ''}:{digest[:3]}")
+        n = len(WORDS.findall(text or ""))
+        docs.append((source or "", n, block[:16] + digest + f"{n:020d}", i))
+    tokens = Counter()
+    for source, n, _, _ in docs:
+        tokens[source] += n
+    names = sorted(tokens)
+    counts = [tokens[s] for s in names]
+    chosen = mixing.exponent(counts, mix)
+    weights = mixing.tempered(counts, chosen)
+    out = []
+    for s, n, p in zip(names, counts, mixing.budgets(counts, weights, mix.budget)):
+        own = sorted(d for d in ((place, k, i) for source, k, place, i in docs if source == s))if n else []
+        if not n:
+            out += [(i, s, k, 0) for source, k, _, i in docs if source == s]
+            continue
+        spend = math.floor(p * n)
+        at = defaultdict(int)
+        for place, k, _ in own:
+            at[place] += k
+        spent, more = 0, set()
+        for place in sorted(at):
+            spent += at[place]
+            if spent > spend % n or spend % n == 0:
+                break
+            more.add(place)
+        for place, k, i in own:
+            out += [(i, s, k, x) for x in range(spend // n + (place in more))]
+    return sorted(out, key=repr)
+
+
+def spark_passes(docs, mix):
+    found = mixing.passes(docs, mixing.plan(docs, mix), mix)
+    rows = found.select(F.col("lb_row.doc_id").alias("i"), "lb_source", "lb_tokens", "lb_pass").collect()
+    return sorted(((r.i, r.lb_source, r.lb_tokens, r.lb_pass) for r in rows), key=repr)
+
+
+@pytest.mark.parametrize(
+    "mix",
+    [
+        mixing.Mix(),
+        mixing.Mix(entropy=1.0, max_passes=None),
+        mixing.Mix(entropy=None, max_passes=1.5),
+        mixing.Mix(entropy=0.9, budget=3000),
+        mixing.Mix(entropy=0.99, max_passes=None, budget=40_000, seed="other"),
+    ],
+)
+def test_passes_equal_brute_force(documents, mix):
+    rng = random.Random(4)
+    sources = ["big"] * 70 + ["mid"] * 20 + ["small"] * 10
+    rows = [(i, " ".join(["w"] * rng.randrange(60)), "en", rng.choice(sources)) for i in range(700)]
+    docs = documents(rows)
+    assert spark_passes(docs, mix) == brute_passes(rows, mix)
+
+
+def test_no_document_is_left_out_and_none_passes_too_often(documents):
+    rows = [(i, "a b c d", "en", "big" if i < 400 else f"s{i % 7}") for i in range(500)]
+    times = Counter(r.doc_id for r in mixing.mixed(documents(rows), mixing.Mix(max_passes=2.0)).collect())
+    assert set(times) == set(range(500)) and max(times.values()) == 2
+
+
+def test_odd_rows(odd, none):
+    rows = [(r.doc_id, r.text, r.lang, r.source) for r in odd.collect()]
+    assert spark_passes(odd, mixing.Mix()) == brute_passes(rows, mixing.Mix())
+    left = mixing.mixed(odd)
+    assert left.columns == odd.columns
+    assert {(r.doc_id, r.source) for r in left.collect()} == {(i, s) for i, _, _, s in rows}
+    assert mixing.mixed(none).count() == 0 and mixing.plan(none).count() == 0
+
+
+def test_exponent_meets_the_entropy_or_the_limit():
+    tokens = [1_000_000, 50_000, 30_000, 500]
+    x = mixing.exponent(tokens, mixing.Mix(entropy=0.8, max_passes=None))
+    reached = mixing.entropy(mixing.tempered(tokens, x)) / math.log(4)
+    assert 0.8 <= reached < 0.8001
+    x = mixing.exponent(tokens, mixing.Mix(entropy=0.8, max_passes=3.0))
+    most = max(mixing.budgets(tokens, mixing.tempered(tokens, x), None))
+    assert 2.99 < most <= 3.0
+    assert mixing.exponent(tokens, mixing.Mix(entropy=0.1, max_passes=None)) == 1.0
+    assert mixing.exponent([5], mixing.Mix()) == 1.0
+
+
+def test_too_many_sources_are_refused(documents, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 3)
+    with pytest.raises(ValueError, match="sources"):
+        mixing.plan(documents([(i, "a", "en", f"s{i}") for i in range(5)]))
+
+
+def test_the_docs_are_not_shuffled(documents):
+    docs = documents([(1, "a", "en", "s")])
+    plans = mixing.plan(docs)
+    taken = mixing.passes(docs, plans)
+    plan = taken._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Repartition") == docs._jdf.queryExecution().optimizedPlan().toString().count("Repartition")
+    assert "strategy=broadcast" in plan

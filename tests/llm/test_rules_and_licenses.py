@@ -1,0 +1,121 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from letterbox.llm import licenses, quality_rules
+from letterbox.llm.common import ID, byte_view
+
+from .conftest import WORDS
+
+
+def brute(text):
+    text = text or ""
+    words = WORDS.findall(text)
+    threes = Counter(zip(words, words[1:], words[2:]))
+    covered = {i + k for i in range(len(words) - 2) if threes[tuple(words[i : i + 3])] > 1 for k in range(3)}
+    lines = [line for line in text.split("\n") if WORDS.search(line)]
+    return {
+        "n_words": len(words),
+        "word_chars": sum(map(len, words)),
+        "n_symbols": len(re.findall(r"[#*$%&|<>]", text)),
+        "n_dup_lines": len(lines) - len(set(lines)),
+        "n_repeat_words": len(covered),
+        "n_lines": len(lines),
+        "n_upper": len(re.findall("[A-Z]", text)),
+        "n_letters": len(re.findall("[A-Za-z]", text)),
+        "n_marks": len(re.findall("[!?]", text)),
+    }
+
+
+def test_measures_equal_brute_force():
+    rng = random.Random(2)
+    texts = ["".join(rng.choices(["a ", "b ", "É", "# ", "\n", "\t", "!", "ab\n", "a b c\n", "日本 "], k=rng.randrange(40))) for _ in range(800)]
+    found = quality_rules.measure(*byte_view(pa.array([*texts, None, ""])))
+    for i, text in enumerate([*texts, None, ""]):
+        assert {m: int(found[m][i]) for m in quality_rules.MEASURES} == brute(text), text
+
+
+def test_ledger_of_odd_rows(odd, none):
+    rows = quality_rules.ledger(odd).collect()
+    texts = Counter((r.doc_id, r.text) for r in odd.collect())
+    found = Counter((r[ID], tuple(r[m] for m in quality_rules.MEASURES)) for r in rows)
+    expected = Counter()
+    for (i, text), n in texts.items():
+        expected[(i, tuple(brute(text)[m] for m in quality_rules.MEASURES))] += n
+    assert found == expected
+    by_id = {r[ID]: r.failed for r in rows}
+    assert by_id[2] & 1 and by_id[3] & 1 and not by_id[5] & 1
+    assert quality_rules.ledger(none).count() == 0
+
+
+def test_policies_and_ablation_agree_with_the_bits(documents):
+    texts = ["short", "word " * 60, " ".join(f"w{i}" for i in range(80)), " ".join(f"w{i}#" for i in range(80)), " ".join(f"W{i}!" for i in range(90))]
+    rows = quality_rules.ledger(documents([(i, t) for i, t in enumerate(texts * 3)]))
+    kept = [r[ID] for r in rows.filter(~quality_rules.fails("v1")).collect()]
+    assert sorted(kept) == [2, 7, 12]
+    assert sorted(r[ID] for r in rows.filter(~quality_rules.fails("base")).collect()) == [2, 3, 4, 7, 8, 9, 12, 13, 14]
+    bits = [r.failed for r in rows.collect()]
+    policy = quality_rules.mask("v1")
+    for r in quality_rules.ablation(rows, "v1").collect():
+        bit = 1 << quality_rules.RULES[r.rule][0]
+        assert r.failing == sum(bool(b & bit) for b in bits)
+        assert r.alone == sum(b & policy == bit for b in bits)
+        assert (r.rejected, r["rows"]) == (sum(bool(b & policy) for b in bits), len(bits))
+    assert quality_rules.ablation(rows.limit(0), "v1").count() == 0
+
+
+def scan(documents, texts):
+    found = licenses.license_scan(documents(list(enumerate(texts)))).collect()
+    return {r[ID]: (r.license, r.line_licenses, r.license_lines) for r in found}
+
+
+def test_spelling_case_punctuation_and_copyright_lines_do_not_matter(documents):
+    mit = licenses._MIT
+    found = scan(
+        documents,
+        [
+            "Copyright (c) 2020 Someone\n\n" + mit,
+            mit.upper().replace(",", " ;").replace("COPYRIGHT HOLDERS", "Copyright Owners"),
+            "© 1999 A. Person\n" + mit.replace("sublicense", "sub-license"),
+            mit + "\nand one more condition",
+            "Some prose.\n  * Licenced under the MIT licence *\nMore prose.\nall RIGHTS reserved",
+            "The MIT License is mentioned here, as are all rights reserved by others.",
+        ],
+    )
+    assert [found[i][0] for i in range(6)] == ["MIT", "MIT", "MIT", None, None, None]
+    assert found[4][1:] == (["MIT", "all-rights-reserved"], 2)
+    assert found[5][1:] == ([], 0)
+
+
+def test_license_scan_of_odd_rows(odd, none):
+    rows = licenses.license_scan(odd).collect()
+    assert Counter(r[ID] for r in rows) == Counter(r.doc_id for r in odd.collect())
+    nothing = hashlib.sha256(b"").hexdigest()
+    assert {r.text_digest for r in rows if r[ID] in (2, 3, 4, 8)} == {nothing}
+    assert not any(r.license or r.license_lines for r in rows)
+    assert licenses.license_scan(none).count() == 0
+
+
+def test_license_plan_runs_no_python_and_shuffles_no_text(documents):
+    found = licenses.license_scan(documents([(1, "x")]))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+@pytest.mark.parametrize("known", [[("Own", "My own license, version 1.")]])
+def test_other_known_texts(documents, known):
+    found = licenses.license_scan(documents([(1, "my own LICENCE version 1")]), known).first()
+    assert found.license == "Own" and found.line_licenses == ["Own"]
+
+
+def test_counts_are_plain_numbers():
+    found = quality_rules.measure(*byte_view(pa.array([], pa.string())))
+    assert all(len(v) == 0 and isinstance(v, np.ndarray) for v in found.values())

@@ -1,0 +1,167 @@
+from __future__ import annotations
+
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+
+from letterbox.llm import packing, token_counts  # noqa: E402
+from letterbox.llm.common import ID  # noqa: E402
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+ALPHABET = ["'", "'s", "'LL", "'re", "s", "t", "a", "B", "É", "ß", "İ", "ſ", "Σ", "9", "²", " ", "\n", "\x85", "\xa0", "!!", "-",
+            "<|endoftext|>", "<|", "|>", "é", "中", "🙂", "\x00", "Ÿ", "ŉ", "Ǆ", "D", "ª", "word", "The", "the"]
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return token_counts.encoder(PATH)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(ALPHABET), max_size=14).map("".join), max_size=6))
+def test_ids_equal_the_tokenizers(texts):
+    encoder = token_counts.encoder(PATH)
+    ids, ends = encoder.encode(pa.array(texts, pa.string()))
+    expected = [encoder.whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == expected
+    assert encoder.count(pa.array(texts, pa.string())).tolist() == [len(e) for e in expected]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(max_size=40))
+def test_any_text_at_all(text):
+    encoder = token_counts.encoder(PATH)
+    assert encoder.encode(pa.array([text]))[0].tolist() == encoder.whole.encode(text, add_special_tokens=False).ids
+
+
+def test_whole_tokens_are_proved(encoder):
+    assert len(encoder.single) > 30_000
+    for word in random.Random(1).sample(sorted(encoder.single), 200):
+        assert encoder.whole.encode(word.decode(), add_special_tokens=False).ids == [int.from_bytes(encoder.single[word], "little")]
+
+
+def test_what_is_remembered_is_bounded_and_does_not_matter(encoder, monkeypatch):
+    texts = pa.array([" ".join(f"q{chr(97 + i % 26)}x{chr(97 + i // 26)}z" for i in range(600))])
+    first = encoder.encode(texts)[0].tolist()
+    monkeypatch.setattr(token_counts, "REMEMBERED", 3)
+    assert encoder.encode(texts)[0].tolist() == first == encoder.encode(texts)[0].tolist()
+
+
+def test_counts_of_odd_rows(odd, none, encoder):
+    rows = Counter((r[ID], r.n_bytes, r.n_tokens) for r in token_counts.token_counts(odd, PATH).collect())
+    expected = Counter(
+        (r.doc_id, len((r.text or "").encode()), len(encoder.whole.encode(r.text or "", add_special_tokens=False).ids))
+        for r in odd.collect()
+    )
+    assert rows == expected
+    assert token_counts.token_counts(none, PATH).count() == 0
+
+
+def fewest(items, capacity):
+    """The fewest bins, by trying everything."""
+    items, best = sorted(items, reverse=True), [len(items)]
+
+    def go(i, bins):
+        if len(bins) >= best[0]:
+            return
+        if i == len(items):
+            best[0] = len(bins)
+            return
+        for room in {b for b in bins if b >= items[i]}:
+            k = bins.index(room)
+            go(i + 1, bins[:k] + [room - items[i]] + bins[k + 1 :])
+        go(i + 1, [*bins, capacity - items[i]])
+
+    go(0, [])
+    return best[0]
+
+
+@settings(max_examples=250, deadline=None)
+@given(st.integers(1, 4), st.lists(st.integers(1, 24), min_size=1, max_size=9))
+def test_reduction_keeps_an_optimal_packing(least, items):
+    items = [max(i, least * 2) for i in items]
+    fixed, left = packing.reduce(Counter(items), 24)
+    rest = [n for n, c in left.items() for _ in range(c)]
+    assert sum(b for _, b in fixed) + (fewest(rest, 24) if rest else 0) == fewest(items, 24)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 40), max_size=200))
+def test_packings_hold_every_piece_within_capacity(items):
+    patterns = packing.pack_lengths(Counter(items), 40)
+    packed = Counter()
+    for pattern, bins in patterns:
+        assert bins > 0 and sum(n * each for n, each in pattern) <= 40
+        for n, each in pattern:
+            packed[n] += bins * each
+    assert packed == Counter(items)
+    used, least = sum(b for _, b in patterns), -(-sum(items) // 40)
+    assert used <= 11 * least / 9 + 1 + sum(i > 20 for i in items)
+
+
+def test_the_plan_does_not_grow_with_the_corpus():
+    rng = np.random.default_rng(1)
+    few = Counter((rng.lognormal(6, 1.2, 20_000).astype(int) % 4096 + 1).tolist())
+    many = {n: c * 5000 for n, c in few.items()}
+    sizes = [sum(len(p) for p, _ in packing.pack_lengths(c, 4096)) for c in (few, many)]
+    assert sizes[1] < 3 * sizes[0] + 20_000
+    bins = sum(b for _, b in packing.pack_lengths(many, 4096))
+    assert bins <= 1.001 * -(-sum(n * c for n, c in many.items()) // 4096)
+
+
+def check(docs, packed, encoder, capacity=4096):
+    """Every piece has its ids and a place; no two overlap; no gaps."""
+    rows = packed.collect()
+    whole = Counter()
+    for r in docs.collect():
+        ids = encoder.whole.encode(r.text or "", add_special_tokens=False).ids + [1]
+        for k in range(0, len(ids), capacity):
+            part = np.array(ids[k : k + capacity], "<u4")
+            whole[(r.doc_id, k // capacity, k, len(part), zlib.crc32(part.tobytes()))] += 1
+    assert Counter((r[ID], r.piece, r.start, r.length, r.ids_crc32) for r in rows) == whole
+    sequences = defaultdict(list)
+    for r in rows:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(sequences)
+
+
+def test_packing_of_odd_rows(odd, none, encoder):
+    packed = packing.pack(packing.pieces(odd, PATH))
+    used = check(odd, packed, encoder)
+    total = sum(r.length for r in packed.collect())
+    assert used == -(-total // 4096)
+    assert packing.pack(packing.pieces(none, PATH)).count() == 0
+
+
+def test_packing_of_copies_ranks_across_groups(documents, encoder, monkeypatch):
+    monkeypatch.setattr(packing, "RANK_GROUP", 20)
+    rng = random.Random(3)
+    docs = documents([(i, "a copy of a text") for i in range(400)] + [(i, "w " * rng.randrange(300)) for i in range(400, 700)])
+    packed = packing.pack(packing.pieces(docs, PATH, 512), 512)
+    used = check(docs, packed, encoder, 512)
+    assert used == -(-sum(r.length for r in packed.collect()) // 512)
+
+
+def test_sequences_hold_the_ids_in_order(documents, encoder):
+    docs = documents([(1, "one two three"), (2, "four five"), (3, "x " * 40)])
+    packed = packing.pack(packing.pieces(docs, PATH, 16, keep_ids=True), 16)
+    ids = {r.sequence_id: r.ids for r in packing.sequences(packed).collect()}
+    for r in packed.collect():
+        assert ids[r.sequence_id][r.offset : r.offset + r.length] == r.ids
+        assert zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32
+    last = packed.groupBy(ID).agg(F.max_by("ids", "piece").alias("ids")).collect()
+    assert all(r.ids[-1] == 1 for r in last)
