@@ -20,6 +20,8 @@ ID, TEXT, ROW_HASH = "lb_id", "lb_text", "lb_row_hash"
 
 #: A group with more than this share of the rows is hot; so there are at most as many hot groups.
 HOT_GROUPS = 1000
+#: Rows of a file of narrow rows, if the table is that large.
+FILE_ROWS = 100_000
 #: Bits of a membership bitmap: 1 MB, whatever the input. A fuller bitmap lets more rows through.
 BITMAP_BITS = 1 << 23
 
@@ -37,9 +39,14 @@ def ids_and_texts(df: DataFrame, id_column: str = "doc_id", text_column: str = "
     return df.select(column(id_column).cast("long").alias(ID), whole_text(text_column).alias(TEXT))
 
 
-def saved(df: DataFrame, label: str) -> DataFrame:
-    """Written to the cluster's shared folder and read again: survives lost executors."""
+def saved(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
+    """Written to the cluster's shared folder and read again: survives lost executors.
+
+    ``rows`` bounds the number of narrow rows; with it, files are not smaller
+    than ``FILE_ROWS`` however many partitions a shuffle has.
+    """
     path = new_folder(df.sparkSession, label)
+    df = df if rows is None else df.coalesce(1 + rows // FILE_ROWS)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

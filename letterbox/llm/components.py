@@ -21,9 +21,11 @@ def components(links: DataFrame) -> DataFrame:
         .distinct(),
         "links",
     )
+    size = both.count()  # there are no more nodes than this
     labels = common.saved(
         both.groupBy("node").agg(F.min("other").alias("least")).select("node", F.least("node", "least").alias("component")),
         "labels",
+        size,
     )
     while True:
         near = (
@@ -36,17 +38,19 @@ def components(links: DataFrame) -> DataFrame:
                 "node", "component", F.least("component", "near").alias("next")
             ),
             "labels",
+            size,
         )
         if stepped.filter("next <> component").isEmpty():
             return labels
         sizes = stepped.groupBy("next").agg(F.count("*").alias("lb_size"))
         # A label is itself a node: what that node now points to is at least as small.
         jump = common.saved(
-            stepped.select(F.col("node").alias("next"), F.col("next").alias("further")).join(sizes, "next"), "jumps"
+            stepped.select(F.col("node").alias("next"), F.col("next").alias("further")).join(sizes, "next"), "jumps", size
         )
         labels = common.saved(
             common.attach(stepped.select("node", "next"), jump, "next", "lb_size").select(
                 "node", F.least("next", "further").alias("component")
             ),
             "labels",
+            size,
         )

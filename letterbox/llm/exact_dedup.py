@@ -76,13 +76,17 @@ def exact_duplicates(
         "text_sha256",
         F.lit("prefix").alias("settled_by"),
     )
+    size = hashed.count()
     rows = common.saved(
         hashed.filter("lb_hit").groupBy("text_sha256", "lb_length", ID, ROW_HASH).agg(F.count("*").alias("lb_times")),
         "exact-rows",
+        size,
     )
     first = F.min(F.struct(F.col(ID).isNull().alias("none"), F.col(ID).alias("id"), F.col(ROW_HASH).alias("hash")))
     groups = common.saved(
-        rows.groupBy("text_sha256").agg(first.alias("lb_first"), F.sum("lb_times").alias("group_size")), "exact-groups"
+        rows.groupBy("text_sha256").agg(first.alias("lb_first"), F.sum("lb_times").alias("group_size")),
+        "exact-groups",
+        size,
     )
     joined = common.attach(rows, groups, "text_sha256", "group_size").withColumn(
         "lb_copy", F.explode(F.sequence(F.lit(1), F.col("lb_times")))

@@ -84,7 +84,8 @@ def links(marks: DataFrame, distance: int = 4, blocks: int | None = None) -> Dat
     compared in a task, beyond ``TILE`` members in tiles, and return a shallow
     tree over the members linked instead of all their pairs.
     """
-    blocks = blocks or (distance + 3 if marks.count() <= 1 << 25 else distance + 4)
+    number = marks.count()
+    blocks = blocks or (distance + 3 if number <= 1 << 25 else distance + 4)
     masks = [m - (1 << 64) if m >> 63 else m for m in block_masks(distance, blocks)]
     keys = F.array(*[F.xxhash64(F.lit(i), F.col("lb_mark").bitwiseAND(F.lit(m))) for i, m in enumerate(masks)])
     rows = marks.select("lb_mark", F.explode(keys).alias("lb_block"))
@@ -93,6 +94,7 @@ def links(marks: DataFrame, distance: int = 4, blocks: int | None = None) -> Dat
         .agg(F.count("*").alias("lb_size"), F.min("lb_mark").alias("a"), F.max("lb_mark").alias("b"))
         .filter("lb_size > 1"),
         "buckets",
+        number * len(masks) // 2,
     )
     pairs = (
         buckets.filter("lb_size = 2")
@@ -156,19 +158,25 @@ def near_duplicates(
         fingerprints(docs, id_column, text_column, shingle=shingle, seed=seed), "fingerprints"
     )
     least = F.min(F.struct(F.col(ID).isNull().alias("none"), F.col(ID).alias("id"), F.col(ROW_HASH).alias("hash")))
-    marks = common.saved(rows.groupBy("lb_mark").agg(least.alias("lb_first"), F.count("*").alias("lb_size")), "marks")
+    size = rows.count()
+    marks = common.saved(
+        rows.groupBy("lb_mark").agg(least.alias("lb_first"), F.count("*").alias("lb_size")), "marks", size
+    )
     found = components(links(marks.select("lb_mark"), distance, blocks))
     linked_marks = marks.join(found.withColumnRenamed("node", "lb_mark"), "lb_mark", "left").withColumn(
         "component", F.coalesce("component", "lb_mark")
     )
-    linked_marks = common.saved(linked_marks, "marks")
+    linked_marks = common.saved(linked_marks, "marks", size)
     sizes = linked_marks.groupBy("component").agg(
         F.min("lb_first").alias("lb_root"), F.count("*").alias("lb_members")
     )
     rooted = common.attach(
-        linked_marks.select("lb_mark", "lb_size", "component"), common.saved(sizes, "roots"), "component", "lb_members"
+        linked_marks.select("lb_mark", "lb_size", "component"),
+        common.saved(sizes, "roots", size),
+        "component",
+        "lb_members",
     ).select("lb_mark", "lb_size", "lb_root")
-    return common.attach(rows, common.saved(rooted, "marks"), "lb_mark", "lb_size").select(
+    return common.attach(rows, common.saved(rooted, "marks", size), "lb_mark", "lb_size").select(
         ID,
         ROW_HASH,
         F.lower(F.lpad(F.hex("lb_mark"), 16, "0")).alias("fingerprint"),

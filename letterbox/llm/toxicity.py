@@ -154,7 +154,7 @@ def _lexicon(contexts: DataFrame) -> dict[str, tuple[float, float, float]]:
     counted = kinds.groupBy("feature").agg(
         F.sum("toxic").cast("double").alias("y"), F.sum(1 - F.col("least")).cast("double").alias("c")
     )
-    counted = common.saved(counted, "lexicon")
+    counted = common.saved(counted, "lexicon", 1_000_000)
     sums = counted.agg(F.sum("y"), F.sum("c")).first()
     all_y, all_c = sums[0] or 0.0, sums[1] or 0.0
     if not all_y or not all_c:
@@ -248,7 +248,9 @@ def fit(
         "labelled",
     )
     contexts = common.saved(
-        rows.mapInArrow(_contexts, "token string, around long, lb_label int").distinct(), "contexts"
+        rows.mapInArrow(_contexts, "token string, around long, lb_label int").distinct(),
+        "contexts",
+        1000 * max_labelled,
     )
     words = _lexicon(contexts.withColumnRenamed("token", "feature"))
     stems = _lexicon(
