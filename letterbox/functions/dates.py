@@ -28,11 +28,11 @@ class Window:
 
 
 def parse_day(text: str | date) -> date:
-    if isinstance(text, datetime):
-        return text.date()
-    if isinstance(text, date):
-        return text
-    return date.fromisoformat(text.strip()[:10])
+    """The day in UTC; a time without a zone counts as UTC. Raises on text left over."""
+    at = datetime.fromisoformat(text.strip()) if isinstance(text, str) else text
+    if not isinstance(at, datetime):
+        return at
+    return (at if at.tzinfo is None else at.astimezone(timezone.utc)).date()
 
 
 def processing_text(trigger: datetime) -> str:

@@ -18,6 +18,8 @@ ENVELOPE_DDL = """
 """
 
 REJECTED_BODY = "rejected_body"
+# No field of a payload; an element that is no object carries its text here.
+REJECTED_ELEMENT = "rejected payload element"
 TABLE_COLUMN = "header_destino_diretorio"
 
 
@@ -118,6 +120,17 @@ def text_leaves(dtype: T.DataType) -> T.DataType:
     return T.StringType()
 
 
+def exact_leaves(dtype: T.DataType) -> T.DataType:
+    """Same shape, every leaf as text but decimals, which JSON text would round to doubles."""
+    if isinstance(dtype, T.StructType):
+        return T.StructType([T.StructField(f.name, exact_leaves(f.dataType)) for f in dtype.fields])
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(exact_leaves(dtype.elementType))
+    if isinstance(dtype, T.MapType):
+        return T.MapType(T.StringType(), exact_leaves(dtype.valueType))
+    return T.VariantType() if isinstance(dtype, T.DecimalType) else T.StringType()
+
+
 def pick(schema: T.StructType, names: list[str]) -> T.StructType:
     """The named fields only, in schema order; names are matched without case."""
     wanted = {name.lower() for name in names}

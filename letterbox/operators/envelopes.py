@@ -28,13 +28,33 @@ def parse_messages(
     if keep_rejected:
         wire = wire.add(REJECTED_BODY, T.StringType())
         options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": REJECTED_BODY}
-    parsed = F.from_json(F.col(body).cast("string"), wire, options)
-    return messages.select(F.inline(F.array(parsed))).select(
-        F.coalesce("_id", "id").alias("_id"),
-        *[name for name in wire.names if name not in ("_id", "id")],
+    text = F.col(body).cast("string")
+    parsed = F.from_json(text, wire, options)
+    if not payload:
+        return messages.select(F.inline(F.array(parsed))).select(*_one_id(wire))
+    # Numbers longer than a double holds keep their digits only as a variant.
+    exact = F.when(text.rlike(_LONG_NUMBER), F.try_variant_get(F.try_parse_json(text), "$.conteudo", "variant").cast("string"))
+    row = F.struct(parsed.alias("parsed"), exact.alias("exact"))
+    return messages.select(F.inline(F.array(row))).select("parsed.*", "exact").select(
+        *[
+            F.coalesce("exact", "conteudo").alias("conteudo") if str_name == "conteudo" else column
+            for str_name, column in zip(_one_id_names(wire), _one_id(wire))
+        ]
     )
 
 
+# Digits and a point, more of them than a double is sure to keep.
+_LONG_NUMBER = r"\d[\d.]{15}"
+
+
+def _one_id_names(wire: T.StructType) -> list[str]:
+    return ["_id", *[name for name in wire.names if name not in ("_id", "id")]]
+
+
+def _one_id(wire: T.StructType) -> list[Column]:
+    return [F.coalesce("_id", "id").alias("_id"), *[F.col(name) for name in _one_id_names(wire)[1:]]]
+
+
 def has_rows() -> Column:
     """Envelopes announcing rows; a NULL quantity does not count."""
     return F.col("destino.quantidade") != 0
@@ -48,8 +68,9 @@ def is_rejected() -> Column:
 
 
 def envelopes(messages: DataFrame, body: str = "body", *, payload: bool = True) -> DataFrame:
-    """Parsed envelopes that announce rows."""
-    return parse_messages(messages, body, payload=payload).filter(has_rows())
+    """Parsed envelopes that announce rows; what ``quarantine`` returns is not among them."""
+    parsed = parse_messages(messages, body, payload=payload, keep_rejected=True)
+    return parsed.filter(has_rows() & ~is_rejected()).drop(REJECTED_BODY)
 
 
 def quarantine(messages: DataFrame, body: str = "body") -> DataFrame:
@@ -102,18 +123,39 @@ def resolve_specs(df: DataFrame) -> DataFrame:
             newest.alias("spec"),
             F.count(F.lit(1)).alias("distinct_specs"),
             F.sum("messages").alias("messages"),
+            F.sort_array(F.collect_set("structType")).alias("structTypes"),
         )
-        .select("tabela", "spec.*", "distinct_specs", "messages")
+        .select("tabela", "spec.*", "distinct_specs", "messages", "structTypes")
     )
 
 
-def table_spec(row: Row) -> TableSpec:
+def united(newest: T.StructType, others: list[T.StructType]) -> T.StructType:
+    """The newest fields, then those that only other specs have; a field of two types raises."""
+    fields = {f.name.lower(): f for f in newest.fields}
+    for schema in others:
+        for f in schema.fields:
+            known = fields.setdefault(f.name.lower(), f)
+            if known.dataType != f.dataType:
+                raise ValueError(
+                    f"field {f.name} is declared {known.dataType.simpleString()} and {f.dataType.simpleString()}"
+                )
+    return T.StructType(list(fields.values()))
+
+
+def table_spec(row: Row, schemas: str = "union") -> TableSpec:
+    """The newest spec; its schema takes in the fields of the window's other specs,
+    unless ``schemas`` is ``newest``."""
+    schema = payload_schema(row.structType)
+    if schemas == "union":
+        schema = united(schema, [payload_schema(t) for t in row.structTypes if t != row.structType])
+    elif schemas != "newest":
+        raise ValueError(f"schemas must be union or newest, not {schemas!r}")
     return TableSpec(
         source=row.origem,
         table=row.tabela,
         mode=row.modo_gravacao,
         path=row.caminho,
-        schema=payload_schema(row.structType),
+        schema=schema,
         keys=key_names(row.chave_tabela),
         distinct_specs=row.distinct_specs,
         messages=row.messages,

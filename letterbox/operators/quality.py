@@ -13,11 +13,6 @@ class NullKeyError(ValueError):
     """A key column holds NULLs."""
 
 
-def is_empty(df: DataFrame) -> bool:
-    """Stops at the first row found."""
-    return df.isEmpty()
-
-
 def key_null_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``(key, null_count, status)`` per key column, from a single pass."""
     if not keys:

@@ -6,7 +6,7 @@ from letterbox.functions.schemas import payload_schema
 from letterbox.model import PartitionRule
 from letterbox.operators import envelopes as env
 from letterbox.operators.payload import HEADER_COLUMNS, expand, text_rows, typed_payload, typed_rows, with_day, with_rule
-from letterbox.operators.quality import NullKeyError, assert_keys, cast_report, is_empty, key_null_report
+from letterbox.operators.quality import NullKeyError, assert_keys, cast_report, key_null_report
 
 
 def rows(df, fields=FIELDS, **kwargs):
@@ -23,7 +23,10 @@ def test_all_elements_are_kept_and_numbers_may_be_quoted(messages):
     "payload, expected",
     [
         ([], [(None, None, None)]),
-        ("", [(None, None, None)]),
+        ("", []),
+        ("not json", []),
+        ([{"id": 1}, 5, {"id": 2}], [(1, None, None), (2, None, None)]),
+        ([[{"id": 1}], [{"id": 2}, None]], [(1, None, None), (2, None, None)]),
         ({"id": 7}, [(7, None, None)]),
         ([[{"id": 8}]], [(8, None, None)]),
         ([{"id": 1, "other": 3}], [(1, None, None)]),
@@ -81,7 +84,3 @@ def test_cast_report_counts_losses(messages):
     assert {r.field: (r.present, r.failed) for r in cast_report(text, schema).collect()} == {"id": (3, 2), "day": (2, 1)}
     legacy = {r.field: r.failed for r in cast_report(text, schema, legacy_cast=True).collect()}
     assert legacy == {"id": 1, "day": 1}
-
-
-def test_emptiness(spark):
-    assert is_empty(spark.range(0)) and not is_empty(spark.range(5))
