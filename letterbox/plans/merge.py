@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from .. import storage
 from ..functions.columns import quoted
 from ..operators.quality import assert_keys
 from ..session import new_folder
@@ -14,9 +15,9 @@ from ..sinks.tables import (
     clear_partition,
     has_log,
     partition_columns,
+    partition_id,
     provider,
     quote_name,
-    rows_of,
     save,
 )
 
@@ -30,9 +31,13 @@ def latest(df: DataFrame, keys: Sequence[str], recency: Sequence[str] = ()) -> D
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
-    ordered = [c for c in rest if c not in recency and _orderable(df.schema[c].dataType)]
-    order = F.struct(*[quoted(c) for c in [*recency, *ordered]])
-    row = F.max_by(F.struct(*[quoted(c) for c in rest]), order).alias("row")
+    ordered = [c for c in rest if _orderable(df.schema[c].dataType)]
+    order = [*recency, *[c for c in ordered if c not in recency]]
+    if len(ordered) == len(rest):
+        # The row orders itself: one struct does for both.
+        row = F.max(F.struct(*[quoted(c) for c in order])).alias("row")
+    else:
+        row = F.max_by(F.struct(*[quoted(c) for c in rest]), F.struct(*[quoted(c) for c in order])).alias("row")
     return df.groupBy(*[quoted(k) for k in keys]).agg(row).select(
         *[quoted(c) if c in keys else F.col("row").getField(c).alias(c) for c in df.columns]
     )
@@ -43,12 +48,6 @@ def _orderable(dtype: T.DataType) -> bool:
     return "map" not in text and "variant" not in text
 
 
-def _partition_id(partitions: Sequence[str]) -> Column:
-    """Partition values as one text, NULL kept apart from every value."""
-    values = [F.coalesce(F.concat(F.lit("="), F.col(p).cast("string")), F.lit("-")) for p in partitions]
-    return F.concat_ws("/", *values)
-
-
 def merge_statement(table: str, keys: Sequence[str], recency: Sequence[str] = ()) -> str:
     """The same upsert as one statement, for formats with a transaction log."""
 
@@ -76,59 +75,85 @@ def upsert(
 
     With ``recency`` a stored row that is strictly newer stays.  Only the
     partitions holding a touched key, before or after, are rewritten.  They
-    are found by one scan of the table's keys, which ``fixed_partition`` (a
-    key never changes partition) spares when there is no ``recency``.  Join
-    sides are broadcast by Spark only below its size threshold.  Returns the
-    rows written, if known.
+    are found by one scan of the table's keys; ``fixed_partition`` (a key never
+    changes partition) narrows it to the partitions of the updates, or spares
+    it when there is no ``recency``.  Join sides are broadcast by Spark only
+    below its size threshold.  Returns the rows written, or nothing where the
+    format's own statement did it.
     """
+    if not keys:
+        raise ValueError(f"{table}: no keys to merge by")
     if has_log(provider(spark, table)):
         source = latest(aligned(updates, table), keys, recency)
+        assert_keys(source.select(*[quoted(k) for k in keys]), keys)
         spark.sql(merge_statement(table, keys, recency), updates=source)
         return None
+    stage = new_folder(spark, "upsert")
+    try:
+        return _upsert(spark, updates, table, keys, recency, fixed_partition, stage)
+    finally:
+        storage.remove(spark, stage)
+
+
+def _upsert(
+    spark: SparkSession,
+    updates: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    recency: Sequence[str],
+    fixed_partition: bool,
+    stage: str,
+) -> int:
     parts = partition_columns(spark, table)
     target = spark.table(table)
     key_columns = [quoted(k) for k in keys]
-    stage = new_folder(spark, "upsert")
     incoming = _staged(latest(aligned(updates, table), keys, recency), f"{stage}/incoming")
     assert_keys(incoming.select(*key_columns), keys)
 
-    places = None
-    if recency or (parts and not fixed_partition):
-        order = F.struct(*[quoted(c) for c in recency]) if recency else F.lit(0)
-        stored = target.select(*key_columns, order.alias("stored_at"), *parts)
+    def places(df: DataFrame) -> list:
+        """The partitions in ``df``: one row per partition of the table at most."""
+        return df.select(*parts).distinct().withColumn("id", partition_id(parts)).collect()
+
+    affected = {row.id: row for row in places(incoming)} if parts else {}
+    searched = target
+    if parts and fixed_partition:
+        searched = target.filter(partition_id(parts).isin(list(affected)))
+    outdated = None
+    if recency:
+        order = F.struct(*[quoted(c) for c in recency])
+        stored = searched.select(*key_columns, order.alias("stored_at"), *parts)
         sent = incoming.select(*key_columns, order.alias("sent_at"))
         matched = stored.join(sent, list(keys)).withColumn("newer", F.col("stored_at") > F.col("sent_at"))
-        places = _staged(matched.drop("stored_at", "sent_at"), f"{stage}/places")
-    if recency:
-        outdated = places.filter("newer").select(*key_columns)
+        # Read twice: for the winners and for the places of the losers.
+        matched = _staged(matched.drop("stored_at", "sent_at"), f"{stage}/places")
+        outdated = matched.filter("newer").select(*key_columns)
         incoming = _staged(incoming.join(outdated, list(keys), "left_anti"), f"{stage}/winners")
+        if parts:
+            affected = {row.id: row for row in places(incoming)}
+    if parts and not fixed_partition:
+        moved = (
+            matched.filter(~F.col("newer"))
+            if recency
+            else searched.select(*key_columns, *parts).join(incoming.select(*key_columns), list(keys), "left_semi")
+        )
+        affected |= {row.id: row for row in places(moved)}
     kept = target.join(incoming.select(*key_columns), list(keys), "left_anti")
 
     if not parts:
         merged = _staged(kept.select(target.columns).unionByName(incoming), f"{stage}/merged")
-        return rows_of(save(merged, table, "overwrite"))
-
-    affected = incoming.select(*parts)
-    if places is not None and not fixed_partition:
-        affected = affected.unionByName(places.filter(~F.col("newer")).select(*parts))
-    # One row per partition of the table at most.
-    affected = affected.distinct().withColumn("id", _partition_id(parts)).collect()
+        return save(merged, table, "overwrite")["rows"]
     if not affected:
         return 0
     # Reading the table while replacing its partitions is safe here: dynamic
-    # overwrite keeps new files aside until the job has finished.
-    kept = kept.filter(_partition_id(parts).isin([row.id for row in affected]))
+    # overwrite keeps new files aside until the job has finished.  Merging
+    # again would give the same rows.
+    kept = kept.filter(partition_id(parts).isin(list(affected)))
     merged = kept.select(target.columns).unionByName(incoming.select(target.columns))
-    counts = save(merged, table, "overwrite", {"written": F.collect_set(_partition_id(parts))})
-    if counts:
-        written = set(counts["written"])
-    else:
-        # Merging again gives the same rows, a stale partition none.
-        written = {r.id for r in merged.select(_partition_id(parts).alias("id")).distinct().collect()}
-    for row in affected:
-        if row.id not in written:
+    counts = save(merged, table, "overwrite", {"written": F.collect_set(partition_id(parts))})
+    for name, row in affected.items():
+        if name not in counts["written"]:
             clear_partition(spark, table, {p: row[p] for p in parts})
-    return rows_of(counts)
+    return counts["rows"]
 
 
 def _staged(df: DataFrame, path: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.dates import Window, lookback_window
 from ..model import LoadResult
-from ..sinks.tables import create_table, rebuild, rows_of, save
+from ..sinks.tables import create_table, rebuild, save
 from ..sources.origins import name_list, read_origins
 from .merge import upsert
 
@@ -53,7 +53,7 @@ def write(spark: SparkSession, df: DataFrame, target: Target, mode: str) -> Load
     if mode == "merge":
         rows = upsert(spark, df, target.name, target.keys, recency=target.recency)
     else:
-        rows = rows_of(save(df, target.name, mode))
+        rows = save(df, target.name, mode)["rows"]
     return LoadResult(target.name, "loaded", mode, rows)
 
 
@@ -79,5 +79,5 @@ def refresh(
         try:
             results.append(write(spark, outputs[name], targets[name], mode))
         except Exception as error:  # one output must not stop the others
-            results.append(LoadResult(name, "failed", mode, error=f"{type(error).__name__}: {error}"[:1000]))
+            results.append(LoadResult(name, "failed", mode, error=f"{type(error).__name__}: {error}"))
     return results

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import json
-import threading
+import time
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
+from .. import storage
 from ..functions.columns import quoted
 from ..session import adaptive
 
@@ -121,17 +123,18 @@ def aligned(df: DataFrame, table: str) -> DataFrame:
     return df.select([quoted(have[name.lower()]) for name in wanted])
 
 
-def _counts(counted: Observation, seconds: float = 120) -> dict | None:
+def counts_of(counted: Observation, seconds: float = 60) -> dict | None:
     """What an observation saw, or nothing when its event got lost.
 
-    Spark delivers it over a queue that may drop events on a very busy driver,
-    and reading it would then wait for ever.
+    Spark delivers it over a queue that may drop events on a very busy driver.
     """
-    found: list[dict] = []
-    waiting = threading.Thread(target=lambda: found.append(counted.get), daemon=True)
-    waiting.start()
-    waiting.join(seconds)
-    return found[0] if found else None
+    until = time.monotonic() + seconds
+    while True:
+        if counted._jo.getRowOrEmpty().isDefined():
+            return counted.get
+        if time.monotonic() > until:
+            return None
+        time.sleep(0.02)
 
 
 def save(
@@ -141,13 +144,14 @@ def save(
     metrics: Mapping[str, Column] | None = None,
     *,
     shuffle: bool = True,
-) -> dict | None:
-    """Insert into an existing table; returns what was counted on the way, if known.
+) -> dict:
+    """Insert into an existing table; returns what was counted on the way.
 
     ``append`` adds rows, ``overwrite`` replaces the partitions present in
     ``df`` (the whole table when it has none).  Rows are first brought together
     by partition, unless ``shuffle`` is off.  The counts are taken in the
-    writing stage, where each task counts once however often it is retried.
+    writing stage, where each task counts once however often it is retried;
+    should they get lost, the same rows are counted by a job of their own.
     """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"unknown write mode {mode!r}")
@@ -159,30 +163,23 @@ def save(
     out = aligned(df, table)
     if shuffle:
         out = spread(out, parts)
-    out = out.observe(
-        counted,
-        F.count(F.lit(1)).alias("rows"),
-        *[column.alias(name) for name, column in (metrics or {}).items()],
-    )
-    out.write.insertInto(table, overwrite=mode == "overwrite")
-    return _counts(counted)
-
-
-def rows_of(counts: dict | None) -> int | None:
-    return None if counts is None else counts["rows"]
+    seen = [F.count(F.lit(1)).alias("rows"), *[column.alias(name) for name, column in (metrics or {}).items()]]
+    out.observe(counted, *seen).write.insertInto(table, overwrite=mode == "overwrite")
+    counts = counts_of(counted)
+    return out.agg(*seen).first().asDict() if counts is None else counts
 
 
 def save_day(
     df: DataFrame, table: str, day: Mapping[str, int], mode: str, *, shuffle: bool = False
-) -> int | None:
+) -> int:
     """``save`` for one constant partition, which is emptied when ``df`` is empty.
 
     With a single partition to write there is nothing to bring together, so
     rows go straight from the tasks that read them to files.  ``shuffle`` is
     for tasks left with few rows each, as after a narrow filter.
     """
-    rows = rows_of(save(df, table, mode, shuffle=shuffle))
-    if mode == "overwrite" and (df.isEmpty() if rows is None else rows == 0):
+    rows = save(df, table, mode, shuffle=shuffle)["rows"]
+    if mode == "overwrite" and rows == 0:
         clear_partition(df.sparkSession, table, day)
     return rows
 
@@ -200,22 +197,31 @@ def clear_partition(spark: SparkSession, table: str, values: Mapping[str, object
 def rebuild(
     df: DataFrame, table: str, location: str, partitions: Sequence[str] = (), fmt: str = "parquet"
 ) -> None:
-    """Drop the table and write it anew from ``df``, old partitions included.
+    """Write the table anew from ``df`` and put it in the old one's place, old partitions included.
 
-    ``df`` must not read the table it replaces.
+    The new files are complete before the old ones are touched, and those go
+    last: a build that fails leaves the table as it was.
     """
-    writer = (
-        spread(df, partitions)
-        .write.format(fmt)
-        .mode("overwrite")
-        .option("path", location)
-        .option("partitionOverwriteMode", "static")
-    )
+    spark, run = df.sparkSession, uuid.uuid4().hex
+    location = location.rstrip("/")
+    fresh, old = f"{location}-new-{run}", f"{location}-old-{run}"
+    writer = spread(df, partitions).write.format(fmt)
     if partitions:
         writer = writer.partitionBy(*partitions)
-    writer.saveAsTable(table)
+    try:
+        writer.save(fresh)
+    except Exception:
+        storage.remove(spark, fresh)
+        raise
+    drop_table(spark, table)
+    if storage.exists(spark, location):
+        storage.rename(spark, location, old)
+    storage.rename(spark, fresh, location)
+    create_table(spark, table, df.schema, location, partitions, fmt)
     if partitions:
-        ensure_partition_overwrite(df.sparkSession, table)
+        recover_partitions(spark, table)
+    spark.catalog.refreshByPath(location)
+    storage.remove(spark, old)
 
 
 def drop_table(spark: SparkSession, table: str) -> None:
@@ -242,7 +248,8 @@ def register_partitioned(
         drop_table(spark, table)
         spark.sql(f"CREATE TABLE {quote_name(table)} USING DELTA LOCATION {_literal(location)}")
         return
-    found = spark.read.format(fmt).load(location).drop(*partitions)
+    # Columns that only some partitions have are part of the table.
+    found = spark.read.format(fmt).option("mergeSchema", True).load(location).drop(*partitions)
     schema = T.StructType(
         found.schema.fields
         + [T.StructField(k, T.DataType.fromDDL(v)) for k, v in partitions.items()]
@@ -253,14 +260,8 @@ def register_partitioned(
         recover_partitions(spark, table)
 
 
-def compact(
-    spark: SparkSession, table: str, where: Column | str | None = None, max_rows: int | None = None
-) -> int | None:
-    """Rewrite the chosen partitions into few files; returns the rows rewritten, if known.
-
-    ``where`` may only name partition columns, since whole partitions are
-    replaced.  ``max_rows`` bounds a file.
-    """
+def file_counts(spark: SparkSession, table: str, where: Column | str | None = None) -> DataFrame:
+    """Files and bytes of each partition: ``partition``, the partition columns, ``files``, ``bytes``."""
     parts = partition_columns(spark, table)
     if not parts:
         raise ValueError(f"{table} has no partitions")
@@ -271,14 +272,46 @@ def compact(
         values = T.StructType([f for f in chosen.schema.fields if f.name in parts])
         spark.createDataFrame([], values).filter(condition)
         chosen = chosen.filter(condition)
+    files = chosen.select(*parts, "_metadata.file_path", "_metadata.file_size").distinct()
+    return (
+        files.groupBy(*parts)
+        .agg(F.count(F.lit(1)).alias("files"), F.sum("file_size").alias("bytes"))
+        .withColumn("partition", partition_id(parts))
+    )
+
+
+def partition_id(partitions: Sequence[str]) -> Column:
+    """Partition values as one text, NULL kept apart from every value."""
+    values = [F.coalesce(F.concat(F.lit("="), F.col(p).cast("string")), F.lit("-")) for p in partitions]
+    return F.concat_ws("/", *values)
+
+
+def compact(
+    spark: SparkSession, table: str, where: Column | str | None = None, target_bytes: int = 128 << 20
+) -> list[str]:
+    """Rewrite the partitions that have more files than their bytes need; returns them.
+
+    ``where`` may only name partition columns, since whole partitions are
+    replaced.  Partitions that already lie in files of about ``target_bytes``
+    are not read.  One row per partition rewritten is held on the driver.
+    """
+    needed = F.greatest(F.lit(1), F.ceil(F.col("bytes") / target_bytes)).cast("int")
+    found = file_counts(spark, table, where).filter(F.col("files") > needed)
+    chosen = found.select("partition", needed.alias("wanted_files")).collect()
+    if not chosen:
+        return []
+    parts = partition_columns(spark, table)
     ensure_partition_overwrite(spark, table)
-    counted = Observation()
-    out = spread(chosen, parts).observe(counted, F.count(F.lit(1)).alias("rows"))
-    previous = spark.conf.get("spark.sql.files.maxRecordsPerFile", "0")
-    if max_rows:
-        spark.conf.set("spark.sql.files.maxRecordsPerFile", max_rows)
-    try:
-        out.write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set("spark.sql.files.maxRecordsPerFile", previous)
-    return rows_of(_counts(counted))
+    names = [row.partition for row in chosen]
+    rows = spark.table(table).filter(partition_id(parts).isin(names))
+    columns = rows.columns
+    content = [quoted(f.name) for f in rows.schema.fields if _hashable(f.dataType)]
+    sizes = spark.createDataFrame([tuple(row) for row in chosen], "partition string, wanted_files int")
+    dealt = (
+        rows.withColumn("partition", partition_id(parts))
+        .join(F.broadcast(sizes), "partition")  # as many rows as partitions
+        .withColumn("part_of", F.pmod(F.xxhash64(*content), F.col("wanted_files")))
+        .repartition("partition", "part_of")
+    )
+    dealt.select([quoted(c) for c in columns]).write.insertInto(table, overwrite=True)
+    return sorted(names)

@@ -63,7 +63,7 @@ def test_untouched_partitions_keep_their_files_and_emptied_ones_are_cleared(spar
     files = lambda part: {r.f for r in spark.table(name).filter(F.col("part") == part).select(F.input_file_name().alias("f")).collect()}
     before = files("r")
     if lost:  # the event with the counts never arrives
-        monkeypatch.setattr(tables, "_counts", lambda counted: None)
+        monkeypatch.setattr(tables, "counts_of", lambda counted: None)
     updates = frame(spark, [(1, "a", 9, 0, "q")])
     upsert(spark, updates, name, ["k1", "k2"])
     assert sorted(tuple(r) for r in spark.table(name).collect()) == [(1, "a", 9, 0, "q"), (2, "a", 1, 0, "q"), (3, "a", 1, 0, "r")]

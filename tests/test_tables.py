@@ -117,11 +117,14 @@ def test_compaction_keeps_rows_and_leaves_other_partitions(spark, table):
     before = content(spark, table)
     files = lambda: {r.f for r in spark.table(table).filter("day_partition = 1").select(F.input_file_name().alias("f")).collect()}
     assert len(files()) == 4
-    assert tables.compact(spark, table, "day_partition = 1") == 4
+    assert tables.compact(spark, table, "day_partition = 1") == ["=2024/=1"]
     assert len(files()) == 1
     assert content(spark, table) == before
-    assert tables.compact(spark, table, F.col("day_partition") == 2, max_rows=1) == 4
-    assert content(spark, table) == before
+    kept = files()
+    assert tables.compact(spark, table) == ["=2024/=2"]
+    assert content(spark, table) == before and files() == kept
+    assert tables.compact(spark, table) == []
+    assert tables.compact(spark, table, target_bytes=1) == []  # no partition has more files than bytes
     with pytest.raises(Exception):
         tables.compact(spark, table, "id = 1")
 
