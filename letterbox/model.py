@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import types as T
 
@@ -68,19 +68,26 @@ class LoadOptions:
     mode_override: str | None = None
     partition_rules: Mapping[str, PartitionRule] = field(default_factory=dict)
     default_rule: PartitionRule | None = None
+    declared_keys: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
+    declared_modes: Mapping[str, str] = field(default_factory=dict)
     first_only: bool = False
     legacy_cast: bool = False
     count_lost_values: bool = False
+    schemas: str = "union"
     concurrent_tables: int = 8
     audit_table: str | None = None
 
     def rule_for(self, table: str) -> PartitionRule | None:
         return self.partition_rules.get(table, self.default_rule)
 
+    def with_declared(self, spec: TableSpec) -> TableSpec:
+        """The spec with the keys of the table's document, if it has one."""
+        return replace(spec, keys=self.declared_keys.get(spec.table, spec.keys))
+
     def write_mode(self, spec: TableSpec) -> str:
-        """The run's mode wins only when it is ``overwrite``."""
+        """The run's mode wins only when it is ``overwrite``; then a document's, then the messages'."""
         override = (self.mode_override or "").strip().lower()
-        mode = "overwrite" if override == "overwrite" else spec.mode
+        mode = "overwrite" if override == "overwrite" else self.declared_modes.get(spec.table, spec.mode)
         if mode not in ("append", "overwrite"):
             raise ValueError(f"table {spec.table}: unknown write mode {mode!r}")
         return mode
@@ -95,3 +102,4 @@ class LoadResult:
     error: str | None = None
     distinct_specs: int | None = None
     lost_values: int | None = None
+    rejected: int | None = None

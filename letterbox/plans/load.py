@@ -6,26 +6,27 @@ destination, and lets one table be loaded again on its own.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections import Counter
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from datetime import date
+from datetime import date, timedelta
 
 import pyarrow as pa
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
-from .. import catalog
+from .. import catalog, storage
 from ..functions.dates import Window, day_values, parse_day, previous_day_window
-from ..functions.schemas import TABLE_COLUMN, pick
+from ..functions.schemas import TABLE_COLUMN, landed_schema, pick
 from ..model import DAY_PARTITIONS, LoadOptions, LoadResult, TableSpec
 from ..operators.envelopes import envelopes, of_id, of_table, resolve_specs, table_spec
-from ..operators.payload import text_rows, typed_payload, typed_rows, with_day, with_rule
+from ..operators.payload import payload_rejects, text_rows, typed_payload, typed_rows, with_day, with_rule
 from ..operators.quality import assert_keys, cast_report, guard_keys
 from ..session import small_rows
 from ..sinks.landing import accepted, land
-from ..sinks.tables import create_table, drop_table, recover_partitions, rows_of, save, save_day
+from ..sinks.tables import counts_of, create_table, drop_table, recover_partitions, save, save_day
 from ..sources.files import read_landing
-from ..sources.hub import read_messages
+from ..sources.hub import read_messages, select_window
 from ..sources.origins import name_list
 
 REPORT_SCHEMA = pa.schema(
@@ -37,6 +38,7 @@ REPORT_SCHEMA = pa.schema(
         "error": pa.string(),
         "distinct_specs": pa.int64(),
         "lost_values": pa.int64(),
+        "rejected": pa.int64(),
     }
 )
 
@@ -50,10 +52,20 @@ class LoadFailed(RuntimeError):
         super().__init__("; ".join(failed))
 
 
-def table_rows(found: DataFrame, spec: TableSpec, day: date, options: LoadOptions) -> DataFrame:
+def table_rows(
+    found: DataFrame,
+    spec: TableSpec,
+    day: date,
+    options: LoadOptions,
+    counted: Observation | None = None,
+) -> DataFrame:
     """Final rows of one table: header, typed payload, partition columns."""
     rows = typed_rows(
-        found, spec.schema, first_only=options.first_only, legacy_cast=options.legacy_cast
+        found,
+        spec.schema,
+        first_only=options.first_only,
+        legacy_cast=options.legacy_cast,
+        counted=counted,
     )
     rule = options.rule_for(spec.table)
     return with_rule(rows, rule) if rule else with_day(rows, day)
@@ -84,6 +96,31 @@ def lost_values(found: DataFrame, spec: TableSpec, options: LoadOptions) -> int:
     return losses.agg(F.coalesce(F.sum("failed"), F.lit(0))).first()[0]
 
 
+def keep_rejects(
+    found: DataFrame, spec: TableSpec, day: date, options: LoadOptions, counted: Observation
+) -> int:
+    """Payload elements that could not be read, to the quarantine beside the tables.
+
+    They were counted within the load's own job; only when there are any is the
+    payload read again.  A day loaded again by overwriting replaces its own.
+    """
+    rejects = payload_rejects(found, spec.schema, first_only=options.first_only)
+    seen = counts_of(counted)
+    number = rejects.count() if seen is None else seen["rejected"]
+    path = quarantine_path(spec, options, day)
+    if options.write_mode(spec) == "overwrite":
+        storage.remove(found.sparkSession, path)
+    if number:
+        rejects.write.mode("append").parquet(path)
+    return number
+
+
+def quarantine_path(spec: TableSpec, options: LoadOptions, day: date) -> str:
+    """Where a table's unreadable payload elements of a day are kept, as Parquet."""
+    base = options.base_path.rstrip("/")
+    return f"{base}/_quarantine/{spec.database(options.database_prefix)}/{spec.table}/{day.isoformat()}"
+
+
 def load_table(
     spark: SparkSession,
     found: DataFrame,
@@ -99,7 +136,8 @@ def load_table(
     written to a constant day.
     """
     mode = options.write_mode(spec)
-    rows = guard_keys(table_rows(found, spec, day, options), spec.keys)
+    counted = Observation()
+    rows = guard_keys(table_rows(found, spec, day, options, counted), spec.keys)
     rule = options.rule_for(spec.table)
     name = spec.full_name(options.database_prefix)
     created = not spark.catalog.tableExists(name)
@@ -115,7 +153,7 @@ def load_table(
         )
     try:
         if rule:
-            written = rows_of(save(rows, name, mode))
+            written = save(rows, name, mode)["rows"]
         else:
             written = save_day(rows, name, day_values(day), mode, shuffle=not landed)
     except Exception:
@@ -127,15 +165,22 @@ def load_table(
         # The location may hold partitions of earlier runs, known to another catalog.
         recover_partitions(spark, name)
     lost = lost_values(found, spec, options) if options.count_lost_values else None
+    rejected = keep_rejects(found, spec, day, options, counted)
     return LoadResult(
-        spec.table, "loaded", mode, written, distinct_specs=spec.distinct_specs, lost_values=lost
+        spec.table,
+        "loaded",
+        mode,
+        written,
+        distinct_specs=spec.distinct_specs,
+        lost_values=lost,
+        rejected=rejected,
     )
 
 
 def load_landed(
     spark: SparkSession,
     landing_path: str,
-    day: date,
+    window: Window | date,
     options: LoadOptions,
     tables: str | Iterable[str] | None = None,
     *,
@@ -147,32 +192,119 @@ def load_landed(
     row per table.  Tables then load side by side, so a small table need not
     wait for a large one.  A listed table without messages is ``empty``.
     """
-    wanted = name_list(tables) if isinstance(tables, str) else list(dict.fromkeys(tables or ()))
     # Listed once here; every table below prunes the same listing.
     landed = accepted(read_landing(spark, landing_path, fmt=landing_fmt))
+    wanted = name_list(tables) if isinstance(tables, str) else list(dict.fromkeys(tables or ()))
+
+    def one(spec: TableSpec) -> LoadResult:
+        found = landed.filter(F.col(TABLE_COLUMN) == spec.table)
+        return load_table(spark, found, spec, _one_day(window, spec, options), options)
+
+    return _load_each(spark, landed, wanted, window, options, one)
+
+
+def _load_each(
+    spark: SparkSession,
+    landed: DataFrame,
+    wanted: list[str],
+    window: Window | date,
+    options: LoadOptions,
+    one: Callable[[TableSpec], LoadResult],
+) -> list[LoadResult]:
+    """``one`` for the spec of each table, side by side; its errors become results."""
     if wanted:
         landed = landed.filter(F.col(TABLE_COLUMN).isin(wanted))
+    # One row per destination found.
     specs = {row.tabela: row for row in resolve_specs(landed).toLocalIterator()}
+    alike = Counter(_place(row) for row in specs.values())
 
-    def one(table: str) -> LoadResult:
+    def result(table: str) -> LoadResult:
         if table not in specs:
             return LoadResult(table, "empty")
         try:
-            found = landed.filter(F.col(TABLE_COLUMN) == table)
-            return load_table(spark, found, table_spec(specs[table]), day, options)
+            if alike[_place(specs[table])] > 1:
+                same = sorted(t for t, row in specs.items() if _place(row) == _place(specs[table]))
+                raise ValueError(f"tables {', '.join(same)} differ only in case: they would overwrite each other")
+            return one(options.with_declared(table_spec(specs[table], options.schemas)))
         except Exception as error:  # one table must not stop the others
-            return LoadResult(table, "failed", error=f"{type(error).__name__}: {error}"[:1000])
+            return LoadResult(table, "failed", error=f"{type(error).__name__}: {error}")
 
     names = wanted or sorted(specs)
     with ThreadPoolExecutor(max_workers=max(1, options.concurrent_tables)) as pool:
         # Wrapped anew for each table: a wrapper's threads share its job properties.
-        pending = [pool.submit(inheritable_thread_target(spark)(one), name) for name in names]
+        pending = [pool.submit(inheritable_thread_target(spark)(result), name) for name in names]
         results = [each.result() for each in pending]
     if options.audit_table:
-        catalog.record(spark, options.audit_table, results, day, options.base_path)
+        catalog.record(spark, options.audit_table, results, _first_day(window), options.base_path)
     return results
 
 
+def _place(row) -> tuple[str, str]:
+    """What names a table in the catalog, which ignores case."""
+    return row.origem.lower(), row.tabela.lower()
+
+
+def _first_day(window: Window | date) -> date:
+    return window.day if isinstance(window, Window) else window
+
+
+def _one_day(window: Window | date, spec: TableSpec, options: LoadOptions) -> date:
+    """The day that names a load's constant partition; a longer window has none."""
+    longer = isinstance(window, Window) and window.end - window.start > timedelta(days=1)
+    if longer and options.rule_for(spec.table) is None:
+        raise ValueError(f"table {spec.table}: a window of more than a day needs a partition rule")
+    return _first_day(window)
+
+
+def load_batches(
+    spark: SparkSession,
+    landing_path: str,
+    window: Window | date,
+    options: LoadOptions,
+    tables: str | Iterable[str] | None = None,
+    *,
+    landing_fmt: str = "parquet",
+) -> list[LoadResult]:
+    """Load the batches of a streaming landing zone that a table has not had yet.
+
+    A batch counts once it is complete.  For each table, marks beside the
+    landing zone tell the batches begun and done.  A table whose append broke
+    off between the two fails by name rather than risk rows twice: remove the
+    begun mark when the table lacks the rows, or add the done mark when it has
+    them.  An overwriting load is simply repeated.
+    """
+    complete = [
+        name.removeprefix("batch=")
+        for name in storage.children(spark, landing_path)
+        if name.startswith("batch=") and storage.exists(spark, f"{landing_path}/{name}/_SUCCESS")
+    ]
+    if not complete:
+        return []
+    schema = landed_schema().add("batch", T.LongType())
+    landed = accepted(spark.read.format(landing_fmt).schema(schema).load(landing_path))
+    landed = landed.filter(F.col("batch").isin([int(b) for b in complete]))
+    wanted = name_list(tables) if isinstance(tables, str) else list(dict.fromkeys(tables or ()))
+
+    def one(spec: TableSpec) -> LoadResult:
+        marks = f"{landing_path.rstrip('/')}_loads/{spec.table}"
+        known = set(storage.children(spark, marks))
+        new = [b for b in complete if f"{b}.done" not in known]
+        if not new:
+            return LoadResult(spec.table, "empty")
+        broken = [b for b in new if f"{b}.begun" in known]
+        if broken and options.write_mode(spec) == "append":
+            raise RuntimeError(f"table {spec.table}: batches {', '.join(broken)} broke off; see {marks}")
+        found = landed.filter((F.col(TABLE_COLUMN) == spec.table) & F.col("batch").isin([int(b) for b in new]))
+        for b in new:
+            storage.mark(spark, f"{marks}/{b}.begun")
+        loaded = load_table(spark, found.drop("batch"), spec, _one_day(window, spec, options), options)
+        for b in new:
+            storage.mark(spark, f"{marks}/{b}.done")
+        return loaded
+
+    return _load_each(spark, landed, wanted, window, options, one)
+
+
 def load_messages(
     spark: SparkSession,
     messages: DataFrame,
@@ -183,11 +315,15 @@ def load_messages(
     *,
     landing_fmt: str = "parquet",
 ) -> list[LoadResult]:
-    """A window of messages to all its tables in one run."""
+    """A window of messages to all its tables in one run.
+
+    Messages outside the window are left out; a frame without enqueue times is
+    taken as read for it.
+    """
+    if "enqueuedTime" in messages.columns:
+        messages = select_window(messages, window)
     land(messages, landing_path, landing_fmt)
-    return load_landed(
-        spark, landing_path, window.day, options, tables, landing_fmt=landing_fmt
-    )
+    return load_landed(spark, landing_path, window, options, tables, landing_fmt=landing_fmt)
 
 
 def load_one(
@@ -202,7 +338,10 @@ def load_one(
 
     Reads the hub twice, headers first, which beats landing every destination
     when only one is wanted.  ``identifier`` keeps the messages of one id.
+    Messages that the landing zone would quarantine are left out here too.
     """
+    if "enqueuedTime" in messages.columns:
+        messages = select_window(messages, window)
 
     def chosen(payload: bool) -> DataFrame:
         found = of_table(envelopes(messages, payload=payload), table)
@@ -211,8 +350,10 @@ def load_one(
     row = resolve_specs(chosen(payload=False)).first()
     if row is None:
         return LoadResult(table, "empty")
-    found = chosen(payload=True)
-    return load_table(spark, found, table_spec(row), window.day, options, landed=False)
+    spec = options.with_declared(table_spec(row, options.schemas))
+    return load_table(
+        spark, chosen(payload=True), spec, _one_day(window, spec, options), options, landed=False
+    )
 
 
 def ingest_day(
@@ -249,6 +390,7 @@ def report(spark: SparkSession, results: list[LoadResult]) -> DataFrame:
             "error": r.error,
             "distinct_specs": r.distinct_specs,
             "lost_values": r.lost_values,
+            "rejected": r.rejected,
         }
         for r in results
     ]

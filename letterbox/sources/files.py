@@ -41,17 +41,3 @@ def cast_columns(df: DataFrame, schema: T.StructType, *, legacy_cast: bool = Fal
     return df.select(
         [lenient_cast(quoted(f.name), f.dataType, legacy_cast).alias(f.name) for f in schema.fields]
     )
-
-
-def use_all_cores(df: DataFrame) -> DataFrame:
-    """Deal out an input of fewer splits than the cluster has cores.
-
-    A file with a single row group is one task, however costly the parsing
-    that follows.  Inputs with splits enough are left alone, so only small
-    ones are ever moved.  ``df`` should be a plain read: counting the splits
-    of a plan with shuffles would run them.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)

@@ -12,9 +12,10 @@ from ..functions.dates import parse_day
 
 def window_query(template: str, first: str | date, last: str | date) -> str:
     """Query with its two ``%s`` filled by dates; both ends belong to the range."""
-    if template.count("%s") != 2:
+    pieces = template.split("%s")
+    if len(pieces) != 3:
         raise ValueError("an incremental query needs exactly two %s")
-    return template % (parse_day(first).isoformat(), parse_day(last).isoformat())
+    return pieces[0] + parse_day(first).isoformat() + pieces[1] + parse_day(last).isoformat() + pieces[2]
 
 
 def document_statement(query: str, first: str | date, last: str | date) -> str:

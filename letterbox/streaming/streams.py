@@ -100,7 +100,8 @@ def start(
 
     ``state_partitions`` is the number of tasks a join keeps its state in.  It
     is fixed by the first start of a checkpoint, so choose it for the largest
-    state to come.
+    state to come.  A stream knows no option for it but the session's setting,
+    which is changed while the query starts.
     """
     if not df.isStreaming:
         raise ValueError("not a stream")
@@ -143,25 +144,30 @@ def land_stream(
     body: str = "body",
     fmt: str = "parquet",
     every: str | None = None,
-    files_per_table: int | None = None,
+    files_per_table: int = 8,
 ) -> StreamingQuery:
-    """Message stream to a landing zone split by destination.
+    """Message stream to a landing zone split by batch and destination.
 
-    The file sink's own log makes each message land exactly once, whatever
-    is retried.  Tables then load from the landing zone like a batch day.
-    Each task writes a file per destination it meets; ``files_per_table``
-    shuffles first, so that a batch leaves at most that many per destination.
+    A batch is written to a folder named by its number, which a batch that runs
+    again replaces, so each message lands once whatever is retried.  A shuffle
+    by destination comes first: a batch leaves at most ``files_per_table`` files
+    for each.  ``load_batches`` then loads what a table has not had yet.
     """
-    rows = landing_rows(messages, body)
-    if files_per_table:
-        content = F.xxhash64("_id", "timestamp", "conteudo", REJECTED_BODY)
-        rows = rows.repartition(TABLE_COLUMN, F.pmod(content, F.lit(files_per_table)))
-    return start(
-        rows,
-        fmt,
-        checkpoint,
-        path=path,
-        every=every,
-        partition_by=[TABLE_COLUMN],
-        options={"ignoreNullFields": "false", "parquet.block.size": str(ROW_GROUP_BYTES)},
-    )
+    if not messages.isStreaming:
+        raise ValueError("not a stream")
+    content = F.xxhash64("_id", "timestamp", "conteudo", REJECTED_BODY)
+
+    def land_batch(batch: DataFrame, number: int) -> None:
+        rows = landing_rows(batch, body)
+        (
+            rows.repartition(TABLE_COLUMN, F.pmod(content, F.lit(files_per_table)))
+            .write.mode("overwrite")
+            .partitionBy(TABLE_COLUMN)
+            .option("ignoreNullFields", False)
+            .option("parquet.block.size", ROW_GROUP_BYTES)
+            .format(fmt)
+            .save(f"{path.rstrip('/')}/batch={number}")
+        )
+
+    writer = messages.writeStream.foreachBatch(land_batch).option("checkpointLocation", checkpoint)
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from letterbox.functions.dates import previous_day_window
 from letterbox.sinks.publish import as_messages, publish
 from letterbox.sources import hub, jdbc
-from letterbox.sources.files import read_csv, use_all_cores
+from letterbox.sources.files import read_csv
 from letterbox.sources.origins import name_list, read_origins
 from letterbox.sources.registry import partition_rules, read_documents, table_registry
 
@@ -66,12 +66,12 @@ def test_both_kinds_of_ingestion_document(spark, tmp_path):
     rule = {"de": {"nome_coluna": "conteudo.created", "tipo": "timestamp"}, "para": {"year_partition": "yyyy", "month_partition": "MM", "day_partition": "dd"}}
     pull = {
         "_id": "image-shop", "fonte": "shop",
-        "origem": {"tabela": "image", "chave_tabela": "image_id,sku_id, store_id", "query": "select 1"},
+        "origem": {"tabela": "image", "chave_tabela": "photo,item, branch", "query": "select 1"},
         "destino": {"configuracao_servidor": {"topico": "landing"}, "configuracao_particao": [rule], "modo_gravacao": "append"},
     }
     whole = {
         "_id": "tree-shop", "fonte": "shop",
-        "origem": {"tabela": "tree", "chave_tabela": "id2, id2, id3", "query": "select 2"},
+        "origem": {"tabela": "tree", "chave_tabela": "north, north, south", "query": "select 2"},
         "destino": {"configuracao_particao": [], "modo_gravacao": "overwrite"},
     }
     registry = {
@@ -82,8 +82,8 @@ def test_both_kinds_of_ingestion_document(spark, tmp_path):
         (tmp_path / f"{i}.json").write_text(json.dumps(document, indent=2))
     found = table_registry(read_documents(spark, str(tmp_path)))
     rows = {r.tabela: r for r in found.collect()}
-    assert rows["image"].chaves == ["image_id", "sku_id", "store_id"] and rows["image"].topico == "landing"
-    assert rows["tree"].chaves == ["id2", "id3"] and rows["tree"].particao is None and rows["tree"].modo_gravacao == "overwrite"
+    assert rows["image"].chaves == ["photo", "item", "branch"] and rows["image"].topico == "landing"
+    assert rows["tree"].chaves == ["north", "south"] and not rows["tree"].particoes and rows["tree"].modo_gravacao == "overwrite"
     assert (rows["log"].documento, rows["log"].fonte, rows["log"].chaves) == ("log-cdn", "cdn", [])
     rules = partition_rules(found, ["image", "tree", "log"])
     assert set(rules) == {"image", "log"}
@@ -108,10 +108,3 @@ def test_published_messages_keep_microseconds(spark, tmp_path):
     assert message.key == "1" and "05.678901" in message.value
     publish(df, "text", path=str(tmp_path / "topic"))
     assert spark.read.schema(df.schema).json(str(tmp_path / "topic")).first() == df.first()
-
-
-def test_small_inputs_use_all_cores(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert use_all_cores(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == cores
-    many = spark.range(10, numPartitions=cores + 3)
-    assert use_all_cores(many) is many
