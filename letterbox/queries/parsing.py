@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.cdn import cdn_declared, cdn_schema, labelled
+from ..functions.cdn import CDN_FIELDS, CDN_LABELS, cdn_declared, cdn_schema, labelled
 from ..functions.columns import key_list
 from ..functions.dates import lookback_window, previous_day_window
 from ..functions.schemas import declared_schema, payload_schema
@@ -256,22 +256,53 @@ def nested_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expand(typed_payload(env.envelopes(sent), payload_schema(declared)), "geo", "geo_")
 
 
-@query("""
-SELECT CAST(page_id AS VARCHAR) AS id, url AS "Request Path", CAST(length(html) AS VARCHAR) AS "Bytes",
-       CAST(page_id AS INT) AS "Client RTT", 'none' AS "Waf version" FROM pages
-""")
+def _leaves() -> dict[str, dict[str, bool]]:
+    """The record's structs with their leaves, and whether each is text."""
+    declared = {
+        name: [leaf.split(":") for leaf in fields.split(",")] for name, fields in CDN_FIELDS.items() if ":" in fields
+    }
+    return {name: {n.strip(): t.strip() == "string" for n, t in leaves} for name, leaves in declared.items()}
+
+
+#: The leaf that carries a page's whole HTML.
+_CDN_BODY = "message.queryStr"
+
+
+def _cdn_sql() -> str:
+    texts = {f"{name}.{leaf}": text for name, leaves in _leaves().items() for leaf, text in leaves.items()}
+    columns = [
+        "html" if path == _CDN_BODY else f"concat('{path}-', page_id)" if texts[path] else f"CAST(page_id + {len(path)} AS DOUBLE)"
+        for path in CDN_LABELS.values()
+    ]
+    named = ", ".join(f'{c} AS "{label}"' for c, label in zip(columns, CDN_LABELS))
+    return f"SELECT CAST(page_id AS VARCHAR) AS id, {named} FROM pages"
+
+
+@query(_cdn_sql())
 def cdn_record(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The nested access-log record, selected by labels."""
+    """The nested access-log record with every leaf filled, under all its labels."""
     pages = read(spark, sf_dir, "pages")
-    element = F.struct(
-        F.col("page_id").cast("string").alias("id"),
-        F.struct(F.col("url").alias("reqPath"), F.length("html").cast("string").alias("bytes")).alias("message"),
-        F.struct(F.col("page_id").cast("string").alias("clientRTT")).alias("netPerf"),
-    )
+
+    def leaf(path: str, text: bool):
+        if path == _CDN_BODY:
+            return F.col("html")
+        if text:
+            return F.concat(F.lit(f"{path}-"), F.col("page_id").cast("string"))
+        return F.col("page_id") + len(path)
+
+    structs = [
+        F.struct(*[leaf(f"{name}.{n}", text).alias(n) for n, text in leaves.items()]).alias(name)
+        for name, leaves in _leaves().items()
+    ]
+    element = F.struct(F.col("page_id").cast("string").alias("id"), *structs)
     sent = messages(pages, F.lit("cdn"), F.array(element), declared=cdn_declared())
     rows = typed_payload(env.envelopes(sent), cdn_schema())
-    named = rows.select("id", *labelled(rows, ["Request Path", "Bytes", "Client RTT", "Waf version"]))
-    return named.fillna("none", ["Waf version"])
+    numbers = {f"{s}.{n}" for s, leaves in _leaves().items() for n, text in leaves.items() if not text}
+    named = [
+        c.cast("double").alias(label) if path in numbers else c
+        for c, (label, path) in zip(labelled(rows), CDN_LABELS.items())
+    ]
+    return rows.select("id", *named)
 
 
 @query("""

@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.quality import partition_counts
 from ..plans import load
+from ..sources.hub import read_message_stream
 from ..session import new_folder
 from ..sinks.publish import json_text, publish
 from ..streaming import streams
 from .producer import row_messages
 from .registry import query, read, read_stream
-from .writing import MONTH, all_rows, loaded, options
+from .writing import EVENT_RULE, MONTH, all_rows, event_messages, loaded, options
 
 
 def run_to_end(df: DataFrame, label: str) -> DataFrame:
@@ -77,5 +78,36 @@ def stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent = row_messages(events, F.col("event_type"), enqueued=F.col("ts"))
     folder, run = new_folder(spark, "stream"), options(spark)
     streams.finish(streams.land_stream(sent, f"{folder}/landing", f"{folder}/checkpoint"))
-    results = load.load_landed(spark, f"{folder}/landing", MONTH.day, run, landing_fmt="parquet")
+    results = load.load_batches(spark, f"{folder}/landing", MONTH.day, run)
     return partition_counts(all_rows(spark, loaded(results), run), ["tabela"])
+
+
+@query("""
+SELECT event_type AS tabela, event_id, value FROM events
+""")
+def stream_load_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two drops of message files and three loads, the last with nothing new: each row once."""
+    folder, run = new_folder(spark, "stream"), options(spark, default_rule=EVENT_RULE)
+    sent = event_messages(spark, sf_dir, keys="event_id")
+    early = F.dayofmonth("enqueuedTime") <= 15
+    names: set[str] = set()
+    for drop in (early, ~early):
+        sent.filter(drop).write.mode("append").parquet(f"{folder}/hub")
+        hub = read_message_stream(spark, "parquet", {}, path=f"{folder}/hub", schema=sent.schema)
+        streams.finish(streams.land_stream(hub, f"{folder}/landing", f"{folder}/checkpoint"))
+        names |= set(loaded(load.load_batches(spark, f"{folder}/landing", MONTH, run)))
+    load.raise_on_failure(load.load_batches(spark, f"{folder}/landing", MONTH, run))
+    return all_rows(spark, sorted(names), run, "event_id", "value")
+
+
+@query("SELECT c_custkey, c_name FROM customer")
+def stream_every(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file stream with a trigger every three seconds, stopped once it has read everything."""
+    folder = new_folder(spark, "every")
+    customers = read(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    customers.write.option("header", True).csv(f"{folder}/in")
+    stream = streams.read_csv(spark, f"{folder}/in", customers.schema)
+    running = streams.start(stream, "parquet", f"{folder}/checkpoint", path=f"{folder}/out", every="3 seconds")
+    running.processAllAvailable()
+    running.stop()
+    return spark.read.schema(customers.schema).parquet(f"{folder}/out")

@@ -6,12 +6,13 @@ Each query writes to a folder of its own and returns what it reads back.
 from __future__ import annotations
 
 import uuid
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import catalog
-from ..functions.dates import lookback_window, parse_day, previous_day_window, within
+from ..functions.dates import lookback_window, parse_day, previous_day_window, processing_text, within
 from ..functions.schemas import REJECTED_BODY, TABLE_COLUMN
 from ..model import DAY_PARTITIONS, LoadOptions, PartitionRule
 from ..operators import envelopes as env
@@ -26,11 +27,12 @@ from ..sinks.landing import accepted, land, rejected
 from ..sources.files import read_landing
 from ..sources.hub import select_window
 from ..sources.origins import read_origins
-from ..sources.registry import read_documents, table_registry
-from .producer import row_messages
+from ..sources.registry import read_documents, registry_options, table_registry
+from .producer import messages, row_messages
 from .registry import query, read
 
 MONTH = lookback_window("2024-01-31", 30)
+DAY = previous_day_window("2024-01-11")
 MONTH_RULE = PartitionRule(
     "o_orderdate", {"year_partition": "yyyy", "month_partition": "MM"}, as_type="int"
 )
@@ -44,9 +46,9 @@ def options(spark: SparkSession, **changes) -> LoadOptions:
     )
 
 
-def event_messages(spark: SparkSession, sf_dir: str, **kwargs) -> DataFrame:
+def event_messages(spark: SparkSession, sf_dir: str, columns: list[str] | None = None, **kwargs) -> DataFrame:
     events = read(spark, sf_dir, "events")
-    return row_messages(events, F.col("event_type"), enqueued=F.col("ts"), **kwargs)
+    return row_messages(events, F.col("event_type"), columns, enqueued=F.col("ts"), **kwargs)
 
 
 def all_rows(spark: SparkSession, names: list[str], run: LoadOptions, *columns) -> DataFrame:
@@ -78,13 +80,14 @@ def new_table(spark: SparkSession, df: DataFrame, partitions=()) -> str:
 SELECT event_type AS tabela, CAST(year(ts) AS INT) AS year_partition, CAST(month(ts) AS INT) AS month_partition,
        CAST(day(ts) AS INT) AS day_partition, count(*) AS n,
        CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents
-FROM events GROUP BY ALL
+FROM events WHERE ts >= TIMESTAMP '2024-01-03' AND ts < TIMESTAMP '2024-01-28' GROUP BY ALL
 """)
 def load_multi_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every message of a month to its own table, partitioned by a payload column."""
+    """The messages of a look-back to a table each, partitioned by a payload column."""
     run = options(spark, default_rule=EVENT_RULE)
     sent = event_messages(spark, sf_dir, keys="event_id")
-    results = load.load_messages(spark, sent, MONTH, new_folder(spark, "landing"), run)
+    window = lookback_window("2024-01-27", 24)
+    results = load.load_messages(spark, sent, window, new_folder(spark, "landing"), run)
     rows = all_rows(spark, loaded(results), run, *DAY_PARTITIONS, "value")
     return rows.groupBy("tabela", *DAY_PARTITIONS).agg(
         F.count(F.lit(1)).alias("n"),
@@ -96,7 +99,7 @@ def load_multi_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT event_type AS tabela, count(*) AS n FROM events WHERE event_type IN ('click', 'view') GROUP BY ALL
 """)
 def load_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    run = options(spark)
+    run = options(spark, default_rule=EVENT_RULE)
     results = load.load_messages(
         spark, event_messages(spark, sf_dir), MONTH, new_folder(spark, "landing"), run, "click,view"
     )
@@ -147,7 +150,7 @@ def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         keys="event_id",
     )
     run = options(spark, count_lost_values=True)
-    results = load.load_messages(spark, sent, MONTH, new_folder(spark, "landing"), run)
+    results = load.load_messages(spark, sent, DAY, new_folder(spark, "landing"), run)
     return load.report(spark, results).select("tabela", "status", "rows", "distinct_specs", "lost_values")
 
 
@@ -420,15 +423,38 @@ def register_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partition_counts(spark.table(name), parts)
 
 
-@query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
+@query("""
+SELECT CAST(year(o_orderdate) AS INT) AS year_partition, CAST(month(o_orderdate) AS INT) AS month_partition,
+       count(*) AS n, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents,
+       CASE WHEN count(*) FILTER (o_orderpriority = '1-URGENT') > 0
+             AND count(*) FILTER (o_orderpriority <> '1-URGENT') > 0 THEN 2 ELSE 1 END AS files_before,
+       CASE WHEN year(o_orderdate) >= 1998
+             AND count(*) FILTER (o_orderpriority = '1-URGENT') > 0
+             AND count(*) FILTER (o_orderpriority <> '1-URGENT') > 0 THEN 2 ELSE 1 END AS files_after
+FROM orders GROUP BY year(o_orderdate), month(o_orderdate)
+""")
 def compact_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two appends leave twice the files; compaction keeps the rows."""
+    """Two appends leave two files a partition; compaction makes them one, before 1998 only, and keeps the rows."""
     orders = with_rule(read(spark, sf_dir, "orders"), MONTH_RULE)
     urgent = F.col("o_orderpriority") == "1-URGENT"
     name = new_table(spark, orders.filter(urgent), MONTH_RULE.names)
     tables.save(orders.filter(~urgent), name, "append")
-    tables.compact(spark, name, "year_partition < 1999")
-    return spark.table(name).select("o_orderkey", "o_orderstatus", "o_totalprice")
+    parts = list(MONTH_RULE.names)
+    # Taken down before the files are replaced; one row per partition.
+    before = spark.createDataFrame(
+        [tuple(r) for r in tables.file_counts(spark, name).select("partition", "files").collect()],
+        "partition string, files_before bigint",
+    )
+    tables.compact(spark, name, "year_partition < 1998")
+    after = tables.file_counts(spark, name).select("partition", F.col("files").alias("files_after"))
+    cents = F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("cents")
+    rows = spark.table(name).groupBy(*parts).agg(F.count(F.lit(1)).alias("n"), cents)
+    return (
+        rows.withColumn("partition", tables.partition_id(parts))
+        .join(before, "partition")
+        .join(after, "partition")
+        .drop("partition")
+    )
 
 
 @query("""
@@ -473,7 +499,7 @@ def describe_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query('SELECT DISTINCT event_type AS "tableName", false AS "isTemporary" FROM events')
 def show_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    run = options(spark)
+    run = options(spark, default_rule=EVENT_RULE)
     results = load.load_messages(
         spark, event_messages(spark, sf_dir), MONTH, new_folder(spark, "landing"), run
     )
@@ -493,7 +519,7 @@ def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = read(spark, sf_dir, "customer")
     for mode in ("append", "overwrite"):
         sent = row_messages(customers, "customer", mode=mode, keys="c_custkey")
-        loaded(load.load_messages(spark, sent, MONTH, new_folder(spark, "landing"), run))
+        loaded(load.load_messages(spark, sent, DAY, new_folder(spark, "landing"), run))
     return catalog.history(spark, audit, "customer").select(
         "tabela", "mode", "status", F.col("rows").alias("n")
     )
@@ -502,7 +528,7 @@ def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 SELECT lower(replace(s_name, '#', '_')) AS tabela,
        CASE WHEN s_acctbal < 0 THEN 'overwrite' ELSE 'append' END AS modo_gravacao,
-       'id2|id3' AS chaves, 'updated_at' AS particao
+       'north|south' AS chaves, 'updated_at' AS particao
 FROM supplier
 """)
 def spec_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -520,7 +546,7 @@ def spec_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "supplier").select(
         F.concat(table, F.lit("-shop")).alias("_id"),
         F.lit("shop").alias("fonte"),
-        F.struct(table.alias("tabela"), F.lit("id2, id2, id3").alias("chave_tabela")).alias("origem"),
+        F.struct(table.alias("tabela"), F.lit("north, north, south").alias("chave_tabela")).alias("origem"),
         F.struct(
             F.array(rule).alias("configuracao_particao"),
             F.when(F.col("s_acctbal") < 0, "overwrite").otherwise("append").alias("modo_gravacao"),
@@ -531,5 +557,218 @@ def spec_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
         "tabela",
         "modo_gravacao",
         F.concat_ws("|", "chaves").alias("chaves"),
-        F.regexp_replace("particao.de.nome_coluna", "^conteudo\\.", "").alias("particao"),
+        F.regexp_replace(F.get("particoes", F.lit(0))["de"]["nome_coluna"], "^conteudo\\.", "").alias("particao"),
+    )
+
+
+@query("""
+SELECT event_type AS tabela, 2024 AS year_partition, 1 AS month_partition, 10 AS day_partition,
+       count(*) AS n, min(event_id) AS first_id, max(event_id) AS last_id
+FROM events WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-11' GROUP BY event_type
+""")
+def daily_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a scheduler calls once a day; the hub also holds all other days."""
+    hub, run = new_folder(spark, "hub"), options(spark)
+    event_messages(spark, sf_dir, keys="event_id").write.parquet(hub)
+    results = load.ingest_day(spark, "parquet", {}, "2024-01-11", new_folder(spark, "landing"), run, path=hub)
+    rows = all_rows(spark, loaded(results), run, *DAY_PARTITIONS, "event_id")
+    return rows.groupBy("tabela", *DAY_PARTITIONS).agg(
+        F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id")
+    )
+
+
+@query("""
+SELECT event_type AS tabela, event_id FROM events
+WHERE ts >= TIMESTAMP '2024-01-16' AND ts < TIMESTAMP '2024-01-17'
+""")
+def trigger_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A trigger of the 18th hands on the 17th as processing date, which loads the 16th."""
+    handed_on = processing_text(datetime(2024, 1, 18, 3, 30))
+    window, run = previous_day_window(handed_on), options(spark)
+    sent = event_messages(spark, sf_dir)
+    results = load.load_messages(spark, sent, window, new_folder(spark, "landing"), run)
+    return all_rows(spark, loaded(results), run, "event_id")
+
+
+def _damaged(spark: SparkSession, sf_dir: str, run: LoadOptions) -> list:
+    """Messages whose payload is in part, or as a whole, no object, by the id of the event."""
+    sent = event_messages(spark, sf_dir, columns=["event_id", "value"])
+    body, number = F.col("body").cast("string"), F.get_json_object(F.col("body").cast("string"), "$.conteudo[0].event_id")
+    payload = F.regexp_extract(body, '"conteudo":(.*),"lote"', 1)
+    kind = number.cast("bigint") % 10
+    other = (
+        F.when(kind == 1, F.concat(F.lit("[5,"), F.substring(payload, F.lit(2), F.length(payload))))
+        .when(kind == 2, F.lit('"not json"'))
+        .when(kind == 3, F.lit("null"))
+        .when(kind == 4, F.concat(F.lit("["), payload, F.lit(",null]")))
+        .otherwise(payload)
+    )
+    damaged = F.concat(F.regexp_extract(body, '^(.*"conteudo":)', 1), other, F.lit(',"lote":"lot"}')).cast("binary")
+    return load.load_messages(
+        spark, sent.select(damaged.alias("body"), "enqueuedTime"), DAY, new_folder(spark, "landing"), run
+    )
+
+
+@query("""
+SELECT event_type AS tabela, count(*) FILTER (event_id % 10 NOT IN (2, 3)) AS rows,
+       CAST(sum(CASE WHEN event_id % 10 IN (2, 3) THEN 0 ELSE event_id END) AS BIGINT) AS ids,
+       count(*) FILTER (event_id % 10 IN (1, 2, 3, 4)) AS rejected,
+       count(*) FILTER (event_id % 10 IN (1, 2, 3, 4)) AS kept_aside
+FROM events WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-11' GROUP BY event_type
+""")
+def payload_damage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good elements load; the others are counted and kept aside."""
+    run = options(spark)
+    results = _damaged(spark, sf_dir, run)
+    rows = all_rows(spark, loaded(results), run, "event_id").groupBy("tabela").agg(F.sum("event_id").alias("ids"))
+    aside = spark.read.parquet(
+        *[f"{run.base_path}/_quarantine/{run.database_prefix}app/{r.table}/2024-01-10" for r in results if r.rejected]
+    )
+    table = F.regexp_replace("header_id", "-app$", "").alias("tabela")
+    counted = load.report(spark, results).select("tabela", "rows", "rejected")
+    kept = aside.groupBy(table).agg(F.count(F.lit(1)).alias("kept_aside"))
+    return counted.join(rows, "tabela", "left").join(kept, "tabela", "left").fillna(0, ["ids", "kept_aside"])
+
+
+@query("""
+SELECT o_orderkey, o_custkey, 'first' AS part FROM orders
+UNION ALL SELECT o_orderkey, o_custkey, 'second' FROM orders WHERE o_orderkey % 2 = 0
+""")
+def payload_nested_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists within the payload's list: all their elements count."""
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    element = lambda part: F.struct("o_orderkey", "o_custkey", F.lit(part).alias("part"))
+    nested = F.array(F.array(element("first")), F.array(element("second")))
+    payload = F.when(F.col("o_orderkey") % 2 == 0, nested).otherwise(F.array(F.array(element("first"))))
+    schema = orders.schema.add("part", "string")
+    return typed_payload(env.envelopes(messages(orders, F.lit("orders"), payload, schema)), schema)
+
+
+@query("""
+SELECT 'events' AS tabela, event_id, CASE WHEN event_id % 2 = 0 THEN user_id ELSE -1 END AS user_id, value FROM events
+WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-11'
+""")
+def spec_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Older messages declare a field that newer ones have dropped: the table has both."""
+    events, run = read(spark, sf_dir, "events"), options(spark)
+    old = row_messages(
+        events.filter("event_id % 2 = 0"), "events", ["event_id", "user_id"], enqueued=F.col("ts"), sent="2024-01-10T01:00:00"
+    )
+    both = row_messages(
+        events.filter("event_id % 2 = 0"), "events", ["event_id", "value"], enqueued=F.col("ts"), sent="2024-01-10T02:00:00"
+    )
+    new = row_messages(
+        events.filter("event_id % 2 = 1"), "events", ["event_id", "value"], enqueued=F.col("ts"), sent="2024-01-10T02:00:00"
+    )
+    sent = old.unionByName(both).unionByName(new)
+    results = load.load_messages(spark, sent, DAY, new_folder(spark, "landing"), run)
+    rows = all_rows(spark, loaded(results), run, "event_id", "user_id", "value")
+    return rows.groupBy("tabela", "event_id").agg(
+        F.coalesce(F.max("user_id"), F.lit(-1)).alias("user_id"), F.max("value").alias("value")
     )
+
+
+@query("""
+SELECT tabela, CASE WHEN lower(tabela) = 'click' THEN 'failed' ELSE 'loaded' END AS status,
+       CASE WHEN lower(tabela) = 'click' THEN 0 ELSE n END AS rows
+FROM (SELECT CASE WHEN event_type = 'click' AND event_id % 2 = 0 THEN 'CLICK' ELSE event_type END AS tabela,
+             count(*) AS n FROM events
+      WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-11' GROUP BY ALL)
+""")
+def same_name_other_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables that differ only in case would overwrite each other: both fail, the others load."""
+    events = read(spark, sf_dir, "events")
+    upper = (F.col("event_type") == "click") & (F.col("event_id") % 2 == 0)
+    name = F.when(upper, F.upper("event_type")).otherwise(F.col("event_type"))
+    sent = row_messages(events, name, enqueued=F.col("ts"), mode="overwrite")
+    results = load.load_messages(spark, sent, DAY, new_folder(spark, "landing"), options(spark))
+    return load.report(spark, results).select("tabela", "status", "rows")
+
+
+@query("""
+SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'F' THEN o_custkey ELSE -1 END AS o_custkey FROM orders
+""")
+def register_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column that only one partition's files have is part of the table."""
+    orders, path = read(spark, sf_dir, "orders"), new_folder(spark, "files")
+    finished = F.col("o_orderstatus") == "F"
+    orders.filter(~finished).select("o_orderkey", "o_orderstatus").write.partitionBy("o_orderstatus").parquet(path)
+    late = orders.filter(finished).select("o_orderkey", "o_custkey", "o_orderstatus")
+    late.write.mode("append").partitionBy("o_orderstatus").parquet(path)
+    name = f"raw_{uuid.uuid4().hex}.orders"
+    tables.register_partitioned(spark, name, path, {"o_orderstatus": "string"}, database_location=new_folder(spark, "db"))
+    return spark.table(name).select("o_orderkey", "o_orderstatus", F.coalesce("o_custkey", F.lit(-1)).alias("o_custkey"))
+
+
+@query("""
+SELECT o_orderkey, CAST(123456789012345 AS BIGINT) * 10000 + o_orderkey % 10000 AS ten_thousandths FROM orders
+""")
+def decimal_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts with more digits than a double holds, sent as JSON numbers, flat and nested."""
+    exact = (F.lit(123456789012345).cast("decimal(24,4)") + (F.col("o_orderkey") % 10000).cast("decimal(24,4)") / 10000)
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", exact.cast("decimal(24,4)").alias("amount"))
+    orders = orders.withColumn("deep", F.struct("amount"))
+    run = options(spark)
+    results = load.load_messages(
+        spark, row_messages(orders, "orders"), DAY, new_folder(spark, "landing"), run
+    )
+    rows = all_rows(spark, loaded(results), run, "o_orderkey", "amount", "deep")
+    same = F.when(F.col("amount") == F.col("deep.amount"), F.col("amount"))
+    return rows.select("o_orderkey", (same * 10000).cast("bigint").alias("ten_thousandths"))
+
+
+@query("""
+SELECT lower(replace(s_name, '#', '_')) AS tabela, 'overwrite' AS mode, strftime(o_orderdate, '%Y') AS year_partition, count(*) AS n
+FROM orders JOIN supplier ON s_suppkey = 1 + o_orderkey % 3 GROUP BY ALL
+""")
+def registry_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ingestion documents give a load its partition rules, keys and write modes."""
+    suppliers = read(spark, sf_dir, "supplier").withColumn("s_name", F.lower(F.translate("s_name", "#", "_")))
+    documents, table = new_folder(spark, "documents"), F.col("s_name")
+    rule = F.struct(
+        F.struct(F.lit("conteudo.o_orderdate").alias("nome_coluna"), F.lit("timestamp").alias("tipo")).alias("de"),
+        F.struct(F.lit("yyyy").alias("year_partition")).alias("para"),
+    )
+    target = F.struct(
+        F.array(rule).alias("particao"),
+        table.alias("diretorio"),
+        F.lit("o_orderkey").alias("chave_tabela"),
+        F.lit("OVERWRITE").alias("modo_gravacao"),
+    )
+    declared = suppliers.select(F.concat(table, F.lit("-app")).alias("_id"), target.alias("destino"))
+    publish.publish(declared, "text", path=documents)
+    registry = table_registry(read_documents(spark, documents, multi_line=False))
+
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    supplier = F.col("s_suppkey") == 1 + F.col("o_orderkey") % 3
+    sent = row_messages(orders.join(suppliers, supplier), table, ["o_orderkey", "o_orderdate"])
+    names = [r.s_name for r in suppliers.filter("s_suppkey <= 3").select("s_name").collect()]
+    run = registry_options(registry, names, options(spark))
+    for _ in range(2):  # the messages say append, the documents overwrite
+        results = load.load_messages(spark, sent, DAY, new_folder(spark, "landing"), run)
+    counts = all_rows(spark, loaded(results), run, "year_partition").groupBy("tabela", "year_partition")
+    modes = load.report(spark, results).select("tabela", "mode")
+    return counts.agg(F.count(F.lit(1)).alias("n")).join(modes, "tabela")
+
+
+@query("SELECT 'gone' AS state, count(*) AS files_rows FROM supplier")
+def drop_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dropped table is gone from the catalog; its files stay."""
+    suppliers = read(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    name = new_table(spark, suppliers)
+    location = spark.table(name).select(F.regexp_replace("_metadata.file_path", "/[^/]*$", "")).first()[0]
+    tables.drop_table(spark, name)
+    state = "present" if spark.catalog.tableExists(name) else "gone"
+    return spark.read.parquet(location).agg(F.lit(state).alias("state"), F.count(F.lit(1)).alias("files_rows"))
+
+
+@query("SELECT s_suppkey, s_name, s_nationkey FROM supplier")
+def show_create(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The statement shown for a table, run after dropping it, gives the table again."""
+    suppliers = read(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    name = new_table(spark, suppliers, ["s_nationkey"])
+    statement = catalog.show_create_table(spark, name)
+    tables.drop_table(spark, name)
+    spark.sql(statement)
+    tables.recover_partitions(spark, name)
+    return spark.table(name).select(suppliers.columns)
