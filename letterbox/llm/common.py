@@ -127,7 +127,7 @@ def held_out(id_column: Column, folds: int, fold: int) -> Column:
 # Arrow batches as bytes ----------------------------------------------------------------
 
 #: Bytes of text worked on at once; a longer text is worked on alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True

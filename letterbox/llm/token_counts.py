@@ -26,7 +26,7 @@ from . import common
 from .common import ID, TEXT
 
 #: Pre-tokens remembered by a worker; beyond that it starts anew, with the same results.
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 
 # Classes of characters. OTHER is anything that is not white space, letter or digit.
 UNKNOWN, SPACE, LETTER, DIGIT, OTHER = range(5)
@@ -81,8 +81,12 @@ class WordEncoder:
                     ids.append(number)
                 except UnicodeDecodeError:
                     pass  # half a character stands for no text
-        encoded = self.whole.encode_batch(texts, add_special_tokens=False)
-        self.single = {t.encode(): i.to_bytes(4, "little") for t, i, e in zip(texts, ids, encoded) if e.ids == [i]}
+        self.single = {}
+        for at in range(0, len(texts), 1000):  # an encoding holds far more than its ids
+            encoded = self.whole.encode_batch_fast(texts[at : at + 1000], add_special_tokens=False)
+            for text, number, found in zip(texts[at:], ids[at:], encoded):
+                if found.ids == [number]:
+                    self.single[text.encode()] = number.to_bytes(4, "little")
         self.closes = np.zeros(self.whole.get_vocab_size(), bool)
         self.closes[[i for token, i in self.whole.get_vocab().items() if token.endswith(end)]] = True
 
@@ -156,16 +160,16 @@ class WordEncoder:
 
     def _merged(self, rest: list[bytes]) -> Iterator[bytes]:
         """Spaces part pre-tokens, and each one's last token closes a word."""
-        ids = np.array(
-            self.whole.encode_batch_fast([b" ".join(rest).decode()], add_special_tokens=False)[0].ids, "<u4"
-        )
-        ends = (np.flatnonzero(self.closes[ids]) + 1).tolist()
-        if len(ends) != len(rest):
-            raise ValueError("the vocabulary doesn't close every pre-token with an end-of-word token")
-        start = 0
-        for end in ends:
-            yield ids[start:end].tobytes()
-            start = end
+        for at in range(0, len(rest), 10_000):
+            text = b" ".join(rest[at : at + 10_000]).decode()
+            ids = np.array(self.whole.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            ends = (np.flatnonzero(self.closes[ids]) + 1).tolist()
+            if len(ends) != len(rest[at : at + 10_000]):
+                raise ValueError("the vocabulary doesn't close every pre-token with an end-of-word token")
+            start = 0
+            for end in ends:
+                yield ids[start:end].tobytes()
+                start = end
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and where each text's begin (one more: the end)."""
