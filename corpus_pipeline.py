@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from letterbox.llm import exact_dedup, mixing, packing, quality_knn, simhash
 from letterbox.llm.common import ID, saved
-from letterbox.llm.queries import VOCABULARY, fit_quality, table
+from letterbox.llm.queries import fit_quality, table, vocabulary
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +34,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(packing.pieces(docs, VOCABULARY, 4096, 1), 4096).withColumnRenamed(ID, "doc_id")
+    return packing.pack(packing.pieces(docs, vocabulary(), 4096, 1), 4096).withColumnRenamed(ID, "doc_id")
 
 
 STAGES = [

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
@@ -225,12 +224,16 @@ LEFT JOIN known ON known.digest = sha256(trim(regexp_replace(f, '[ \n]+', ' ', '
 ORACLES["op5_license_digests"] = _license_sql()
 
 
-VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+def vocabulary() -> str:
+    """The vocabulary file, which every worker has at the same place."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
 
 
 @query
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = token_counts.token_counts(table(spark, sf_dir, "documents"), VOCABULARY)
+    found = token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary())
     return found.select(F.col(ID).alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
 
 
@@ -266,7 +269,7 @@ def op8_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = packing.pieces(table(spark, sf_dir, "documents"), VOCABULARY, capacity=4096, end_id=1)
+    cut = packing.pieces(table(spark, sf_dir, "documents"), vocabulary(), capacity=4096, end_id=1)
     return packing.pack(cut, capacity=4096).withColumnRenamed(ID, "doc_id")
 
 

@@ -18,7 +18,7 @@ pytest.importorskip("public_tokenizers")
 import corpus_pipeline  # noqa: E402
 from letterbox.llm import mixing, token_counts  # noqa: E402
 from letterbox.llm.common import saved  # noqa: E402
-from letterbox.llm.queries import ORACLES, QUERIES, VOCABULARY, fit_quality, table  # noqa: E402
+from letterbox.llm.queries import ORACLES, QUERIES, fit_quality, table, vocabulary  # noqa: E402
 
 from ..test_queries import normal  # noqa: E402
 from .test_dedup import brute_components, brute_mark, same  # noqa: E402
@@ -93,7 +93,7 @@ def test_pipeline_equals_brute_force(spark):
     assert Counter(r[0] for r in outputs[3]) == times
     assert set(outputs[3]) == set(outputs[2])
 
-    encoder = token_counts.encoder(VOCABULARY)
+    encoder = token_counts.encoder(vocabulary())
     pieces = Counter()
     for r in outputs[3]:
         size = len(encoder.whole.encode(r[1] or "", add_special_tokens=False).ids) + 1
