@@ -103,3 +103,4 @@ class LoadResult:
     distinct_specs: int | None = None
     lost_values: int | None = None
     rejected: int | None = None
+    rejected_messages: int | None = None

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 from datetime import date, timedelta
 
 import pyarrow as pa
@@ -19,7 +20,17 @@ from .. import catalog, storage
 from ..functions.dates import Window, day_values, parse_day, previous_day_window
 from ..functions.schemas import TABLE_COLUMN, landed_schema, pick
 from ..model import DAY_PARTITIONS, LoadOptions, LoadResult, TableSpec
-from ..operators.envelopes import envelopes, of_id, of_table, resolve_specs, table_spec
+from ..operators.envelopes import (
+    envelopes,
+    has_rows,
+    is_rejected,
+    of_id,
+    of_table,
+    parse_messages,
+    quarantine,
+    resolve_specs,
+    table_spec,
+)
 from ..operators.payload import payload_rejects, text_rows, typed_payload, typed_rows, with_day, with_rule
 from ..operators.quality import assert_keys, cast_report, guard_keys
 from ..session import small_rows
@@ -39,6 +50,7 @@ REPORT_SCHEMA = pa.schema(
         "distinct_specs": pa.int64(),
         "lost_values": pa.int64(),
         "rejected": pa.int64(),
+        "rejected_messages": pa.int64(),
     }
 )
 
@@ -338,22 +350,28 @@ def load_one(
 
     Reads the hub twice, headers first, which beats landing every destination
     when only one is wanted.  ``identifier`` keeps the messages of one id.
-    Messages that the landing zone would quarantine are left out here too.
+    Messages that the landing zone would quarantine are left out here too, and
+    counted as ``rejected_messages``, of whatever table.
     """
     if "enqueuedTime" in messages.columns:
         messages = select_window(messages, window)
 
-    def chosen(payload: bool) -> DataFrame:
-        found = of_table(envelopes(messages, payload=payload), table)
+    def chosen(found: DataFrame) -> DataFrame:
+        found = of_table(found, table)
         return found if identifier is None else of_id(found, identifier)
 
-    row = resolve_specs(chosen(payload=False)).first()
+    seen = Observation()
+    headers = parse_messages(messages, payload=False, keep_rejected=True)
+    headers = headers.observe(seen, F.count_if(is_rejected()).alias("rejected"))
+    row = resolve_specs(chosen(headers.filter(has_rows() & ~is_rejected()))).first()
+    counted = counts_of(seen)
+    rejected = quarantine(messages).count() if counted is None else counted["rejected"]
     if row is None:
-        return LoadResult(table, "empty")
+        return LoadResult(table, "empty", rejected_messages=rejected)
     spec = options.with_declared(table_spec(row, options.schemas))
-    return load_table(
-        spark, chosen(payload=True), spec, _one_day(window, spec, options), options, landed=False
-    )
+    day = _one_day(window, spec, options)
+    result = load_table(spark, chosen(envelopes(messages)), spec, day, options, landed=False)
+    return replace(result, rejected_messages=rejected)
 
 
 def ingest_day(
@@ -391,6 +409,7 @@ def report(spark: SparkSession, results: list[LoadResult]) -> DataFrame:
             "distinct_specs": r.distinct_specs,
             "lost_values": r.lost_values,
             "rejected": r.rejected,
+            "rejected_messages": r.rejected_messages,
         }
         for r in results
     ]

@@ -91,7 +91,7 @@ def test_both_loaders_reject_the_same_messages(spark, messages, options, tmp_pat
     many, one = options(), options()
     (first,) = load.load_messages(spark, sent, WINDOW, str(tmp_path / "landing"), many)
     second = load.load_one(spark, sent, WINDOW, "sales", one)
-    assert (first.rows, second.rows) == (1, 1)
+    assert (first.rows, second.rows, second.rejected_messages) == (1, 1, 1)
 
 
 def test_error_texts_are_whole(spark, messages, options, tmp_path):
