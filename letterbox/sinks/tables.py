@@ -126,12 +126,14 @@ def aligned(df: DataFrame, table: str) -> DataFrame:
 def counts_of(counted: Observation, seconds: float = 60) -> dict | None:
     """What an observation saw, or nothing when its event got lost.
 
-    Spark delivers it over a queue that may drop events on a very busy driver.
+    Spark delivers it over a queue that may drop events on a very busy driver,
+    and delivers an empty row for a plan that came out empty.
     """
     until = time.monotonic() + seconds
     while True:
-        if counted._jo.getRowOrEmpty().isDefined():
-            return counted.get
+        row = counted._jo.getRowOrEmpty()
+        if row.isDefined():
+            return counted.get if row.get().size() else None
         if time.monotonic() > until:
             return None
         time.sleep(0.02)
