@@ -1,8 +1,9 @@
 """License scan by digest: texts in a canonical form, looked up among known ones. DataFrame functions only.
 
-The canonical form lowers case, drops copyright lines, makes anything but
-letters and digits one space and unifies spellings that license comparison
-treats as equal. Its SHA-256 is hash-joined to the digests of known texts, both
+The canonical form lowers case, drops the copyright statements before the
+wording, makes anything but letters and digits one space and unifies spellings
+that license comparison treats as equal. Lines within the wording are kept
+whatever they begin with, so the digest of a text does not depend on its wrapping. Its SHA-256 is hash-joined to the digests of known texts, both
 for the whole text and for each of its lines, as notices are a line of their own.
 
 A NULL or empty text has the digest of the empty form and matches nothing;
@@ -96,17 +97,34 @@ TEXTS: list[tuple[str, str]] = [
 ]
 
 
+#: A copyright statement: the word or the sign, followed by the sign, a year or a holder.
+_SIGN = r"(?:\(c\)|©|&copy;)"
+_NO_HOLDER = r"(?:notices?|holders?|owners?|licen[cs]es?|laws?|statements?|interests?|permissions?|and|or|on|in)\b"
+_STATEMENT = (
+    rf"[^\p{{L}}\p{{N}}\n]*(?:{_SIGN}[^\n]*[\p{{L}}\p{{N}}]"
+    rf"|copyright\b[^\p{{L}}\p{{N}}\n]*(?:{_SIGN}|\p{{N}}|(?!{_NO_HOLDER})\p{{L}}))[^\n]*"
+)
+#: A license's name on a line of its own. Those of GNU's licenses end the block: their own statement is part of the text.
+_TITLE = rf"(?!{_STATEMENT})(?![^\n]*(?:gnu|general public))[^\n]{{0,60}}licen[cs]e[^\n]{{0,30}}\n"
+#: From where the last statement ended: blank lines and titles, then the next statement.
+_LEADING = rf"\G([^\p{{L}}\p{{N}}]*\n(?:{_TITLE}(?:[^\p{{L}}\p{{N}}]*\n)?){{0,3}}){_STATEMENT}"
+
+
 def canonical(text: Column) -> Column:
     """The canonical form, lines still apart: each line's words with a space before each, lines parted by " \\n"."""
     lowered = F.concat(F.lit("\n"), F.lower(text))
-    bare = F.regexp_replace(lowered, r"\n[^\p{L}\p{N}\n]*(copyright|\(c\)|©)[^\n]*", "\n")
+    bare = F.regexp_replace(lowered, _LEADING, "$1")
     spaced = F.regexp_replace(bare, r"[^\p{L}\p{N}\n]+", " ")
     apart = F.replace(spaced, F.lit("\n"), F.lit(" \n "))
     return reduce(lambda t, pair: F.replace(t, F.lit(pair[0]), F.lit(pair[1])), SPELLINGS, apart)
 
 
 def _digest(form: Column) -> Column:
-    return F.sha2(F.trim(F.regexp_replace(form, r"[ \n]+", " ")).cast("binary"), 256)
+    words = F.regexp_replace(form, r"[ \n]+", " ")
+    # Spellings of two words, which a line break may have parted.
+    parted = [pair for pair in SPELLINGS if " " in pair[0].strip()]
+    words = reduce(lambda t, pair: F.replace(t, F.lit(pair[0]), F.lit(pair[1])), parted, words)
+    return F.sha2(F.trim(words).cast("binary"), 256)
 
 
 def whole_digest(form: Column) -> Column:

@@ -3,11 +3,13 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import textwrap
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from letterbox.llm import licenses, quality_rules
 from letterbox.llm.common import ID, byte_view
@@ -94,6 +96,42 @@ def test_spelling_case_punctuation_and_copyright_lines_do_not_matter(documents):
     assert found[5][1:] == ([], 0)
 
 
+def wrapped(text, width):
+    return "\n\n".join(textwrap.fill(" ".join(part.split()), width) for part in re.split(r"\n\s*\n", text))
+
+
+def test_wrapping_does_not_matter(documents):
+    heads = ["", "Copyright (c) 2020 Some One\n\n", " * Copyright Some One, Inc.\n(c) 2021 Other\n© 2022 Third\n"]
+    cases = [
+        (name, title + head + wrapped(text, width))
+        for name, title, text in [("MIT", "MIT License\n\n", licenses._MIT), ("ISC", "", licenses._ISC)]
+        for head in heads
+        for width in [20, 33, *range(40, 100), 100_000]
+    ]
+    found = scan(documents, [text for _, text in cases])
+    assert [i for i, (name, _) in enumerate(cases) if found[i][0] != name] == []
+
+
+def test_a_line_break_within_a_spelling_does_not_matter(documents):
+    known = [("Own", "The copyright owner may sub-license it to a non-commercial user.")]
+    texts = [wrapped(known[0][1], width) for width in range(14, 70)]
+    found = licenses.license_scan(documents(list(enumerate(texts))), known).collect()
+    assert {r.license for r in found} == {"Own"}
+
+
+def test_only_statements_before_the_wording_are_dropped(documents):
+    forms = {
+        "copyright (c) 2020 a\nkept": "kept",
+        "some license\n\n-- \n(c) 2020 a\ncopyright b c\nkept": "some license kept",
+        "copyright notice and\nkept": "copyright notice and kept",
+        "kept\ncopyright 2020 a": "kept copyright 2020 a",
+        "gnu general public license\n\ncopyright (c) 2007 a": "gnu general public license copyright c 2007 a",
+        "\n" * 50_000 + "copyright 2020 a\n" * 5000 + "kept": "kept",
+    }
+    rows = documents(list(enumerate(forms))).select("doc_id", licenses.canonical(F.col("text")).alias("form")).collect()
+    assert {r.doc_id: " ".join(r.form.split()) for r in rows} == dict(enumerate(forms.values()))
+
+
 def test_license_scan_of_odd_rows(odd, none):
     rows = licenses.license_scan(odd).collect()
     assert Counter(r[ID] for r in rows) == Counter(r.doc_id for r in odd.collect())
