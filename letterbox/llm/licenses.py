@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..session import small_rows
 from . import common
 from .common import ID, TEXT, column
+from .license_digests import DIGESTS
 
 #: Word beginnings and what they are written as; words are parted by one space.
 SPELLINGS = [
@@ -132,12 +133,19 @@ def whole_digest(form: Column) -> Column:
 
 
 def catalog(spark: SparkSession, known: list[tuple[str, str]] | None = None) -> DataFrame:
-    """``digest``, ``license`` of the known texts: a list of code, so small by nature."""
+    """``digest``, ``license`` of the known texts: a list of code, so small by nature.
+
+    Without ``known`` these are the notices, the texts, and the texts of which only the digests are kept here.
+    """
+    kept = [(name, digest) for name, digests in DIGESTS.items() for digest in digests] if known is None else []
     known = NOTICES + TEXTS if known is None else known
     schema = pa.schema([("license", pa.string()), ("text", pa.string())])
     rows = small_rows(spark, [{"license": n, "text": t} for n, t in known], schema)
+    schema = pa.schema([("digest", pa.string()), ("license", pa.string())])
+    fixed = small_rows(spark, [{"digest": d, "license": n} for n, d in kept], schema)
     return (
         rows.select(_digest(canonical(F.col("text"))).alias("digest"), "license")
+        .unionByName(fixed)
         .groupBy("digest")
         .agg(F.min("license").alias("license"))
     )

@@ -5,6 +5,7 @@ import random
 import re
 import textwrap
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -112,6 +113,56 @@ def test_wrapping_does_not_matter(documents):
     assert [i for i, (name, _) in enumerate(cases) if found[i][0] != name] == []
 
 
+#: Whole texts that Debian carries, and the license they are.
+SHARED = Path("/usr/share/common-licenses")
+WHOLE = {
+    "Apache-2.0": "Apache-2.0",
+    "CC0-1.0": "CC0-1.0",
+    "GPL-2": "GPL-2.0",
+    "GPL-3": "GPL-3.0",
+    "LGPL-2.1": "LGPL-2.1",
+    "LGPL-3": "LGPL-3.0",
+    "MPL-2.0": "MPL-2.0",
+}
+
+
+@pytest.mark.skipif(not SHARED.is_dir(), reason="no license texts")
+def test_whole_texts_are_known_at_any_width(documents):
+    read = {name: (SHARED / file).read_text() for file, name in WHOLE.items()}
+    own = "Copyright 2020 Some One\n\n"
+    cases = [
+        (name, t) for name, text in read.items() for t in (text, own + text, *(wrapped(text, w) for w in (50, 66, 72, 79, 90, 100_000)))
+    ]
+    end = "END OF TERMS AND CONDITIONS"
+    cases += [(name, read[name].split(end)[0] + end) for name in ("Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1")]
+    found = scan(documents, [text for _, text in cases])
+    assert [(i, found[i][0]) for i, (name, _) in enumerate(cases) if found[i][0] != name] == []
+
+
+BSD = """{rights}Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+
+{third}THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+THIRD = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+
+"""
+
+
+def test_bsd_texts_are_known_at_any_width(documents):
+    cases = [
+        (name, f"{title}Copyright (c) 2020, Some One\n{wrapped(BSD.format(rights=rights, third=third), width)}")
+        for name, third in [("BSD-2-Clause", ""), ("BSD-3-Clause", THIRD)]
+        for title in ["", f"{name[:5].replace('-', ' ')}-Clause License\n\n"]
+        for rights in ["", "All rights reserved.\n\n"]
+        for width in [40, *range(60, 90), 100_000]
+    ]
+    found = scan(documents, [text for _, text in cases])
+    assert [i for i, (name, _) in enumerate(cases) if found[i][0] != name] == []
+
+
 def test_a_line_break_within_a_spelling_does_not_matter(documents):
     known = [("Own", "The copyright owner may sub-license it to a non-commercial user.")]
     texts = [wrapped(known[0][1], width) for width in range(14, 70)]
