@@ -10,11 +10,13 @@ state, so work is linear and memory bounded also for very long texts.
 
 A NULL text, or one without a letter, is ``und`` with score 0. Rows that repeat
 get equal results; NULL ids are carried through. An empty table gives an empty
-result; without a labelled row every text is ``und``.
+result; without a labelled row every text is ``und``. Of very many languages the
+most frequent are learned.
 """
 
 from __future__ import annotations
 
+import warnings
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -35,6 +37,8 @@ WINDOW, TRAINING_WINDOW = 128, 48
 TOGETHER = 4096
 #: The sample: labelled documents at most (smallest hash of their id), windows of each, and languages.
 MAX_LABELLED, WINDOWS_EACH, MAX_LANGUAGES = 3000, 3, 200
+#: A language with less than this part of the commonest one's windows is drawn less often.
+RARE = 10
 
 UNDETERMINED = "und"
 
@@ -130,9 +134,9 @@ def train(
     net = Network.fresh(languages, rng)
     if len(languages) < 2:
         return net
-    # Languages are drawn alike, however common.
+    # Languages are drawn alike, however common; those with hardly a window, such as stray names, by their windows.
     share = np.bincount(targets, minlength=len(languages)).astype(float)
-    chance = 1 / share[targets]
+    chance = 1 / np.maximum(share, share.max() / RARE)[targets]
     chance /= chance.sum()
     first = [np.zeros_like(p) for p in net.parameters()]
     second = [np.zeros_like(p) for p in net.parameters()]
@@ -224,8 +228,10 @@ def fit(
 ) -> Network:
     """Train on windows of at most ``max_labelled`` labelled documents that are ``usable``.
 
-    Each language gets an equal part of the sample, 1000 documents at most; more
-    than ``MAX_LANGUAGES`` languages are refused.
+    Each language gets an equal part of the sample, 1000 documents at most; what
+    rare ones leave goes to the others. Of more than ``MAX_LANGUAGES`` values,
+    the most frequent are learned (by name if equally frequent) and a warning
+    tells so; texts of the others get a row too, with the nearest learned language.
     """
     named = docs.select(
         column(id_column).cast("long").alias(ID),
@@ -234,12 +240,22 @@ def fit(
     ).filter(F.col("lb_lang").isNotNull() & F.col(ID).isNotNull())
     if usable is not None:
         named = named.filter(usable)
-    languages = sorted(r.lb_lang for r in named.select("lb_lang").distinct().limit(MAX_LANGUAGES + 1).collect())
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"over {MAX_LANGUAGES} languages")
+    found = named.groupBy("lb_lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lb_lang")
+    common_first = found.limit(MAX_LANGUAGES + 1).collect()
+    learned = common_first[:MAX_LANGUAGES]
+    languages = sorted(r.lb_lang for r in learned)
+    if len(common_first) > MAX_LANGUAGES:
+        warnings.warn(f"only the {MAX_LANGUAGES} most frequent values of {lang_column} are learned", stacklevel=2)
+        named = named.filter(F.col("lb_lang").isin(languages))
     if not languages:
         return Network.fresh([], np.random.default_rng(0))
-    each = min(1000, max(1, max_labelled // len(languages)))
+    each, left = 1, max_labelled
+    for n, r in enumerate(reversed(learned)):  # the rarest first
+        each = max(1, left // (len(learned) - n))
+        if r.n > each:
+            break
+        left -= r.n
+    each = min(1000, each)
     # Row numbers up to a limit are cut within the tasks first: no language is gathered whole.
     order = Window.partitionBy("lb_lang").orderBy(F.xxhash64(ID), ID)
     chosen = (

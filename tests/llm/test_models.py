@@ -177,6 +177,19 @@ def test_language_of_odd_rows(net, odd, none, documents):
     assert language_gru.language(odd, one).filter("lang_pred = 'en'").count() > 0
 
 
+def test_many_stray_languages_neither_stop_nor_spoil_the_others(documents):
+    texts = [(i, prose(lang, rng.randint(5, 90)), lang) for i, lang in enumerate(rng.choices(list(SYLLABLES), k=900))]
+    stray = [(10_000 + i, prose(rng.choice(list(SYLLABLES))), f"x-{i:03}") for i in range(language_gru.MAX_LANGUAGES + 50)]
+    docs = documents(texts + stray)
+    with pytest.warns(UserWarning, match="most frequent"):
+        network = language_gru.fit(docs, usable=(F.col(ID) >= 10_000) | ~held_out(F.col(ID), 4, 2))
+    assert len(network.languages) == language_gru.MAX_LANGUAGES and set(SYLLABLES) < set(network.languages)
+    rows = language_gru.language(docs, network).collect()
+    assert len(rows) == len(texts) + len(stray)
+    found = {r[ID]: r.lang_pred for r in rows}
+    assert np.mean([found[i] == lang for i, _, lang in texts if zlib.crc32(str(i).encode()) % 4 == 2]) > 0.9
+
+
 # Toxicity --------------------------------------------------------------------------------
 
 
