@@ -39,20 +39,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each pass a document takes part in."""
     docs, mix = table(spark, sf_dir, "documents"), mixing.Mix(entropy=0.999, max_passes=2.0)
-    plans = mixing.plan(docs, mix)
-    return (
-        mixing.passes(docs, plans, mix)
-        .join(F.broadcast(plans.select("lb_source", "exponent", "weight", "budget")), "lb_source")
-        .select(
-            F.col("lb_row.doc_id").alias("doc_id"),
-            F.col("lb_source").alias("source"),
-            F.col("lb_tokens").alias("tokens"),
-            F.col("lb_pass").cast("long").alias("pass"),
-            F.col("lb_place").alias("place"),
-            F.round("exponent", 6).alias("exponent"),
-            F.round("weight", 9).alias("weight"),
-            "budget",
-        )
+    taken = mixing.passes(docs, mixing.plan_table(docs, mix), mix)
+    return taken.select(
+        F.col("lb_row.doc_id").alias("doc_id"),
+        F.col("lb_source").alias("source"),
+        F.col("lb_tokens").alias("tokens"),
+        F.col("lb_pass").cast("long").alias("pass"),
+        F.col("lb_place").alias("place"),
+        F.round("exponent", 6).alias("exponent"),
+        F.round("weight", 9).alias("weight"),
+        "budget",
     )
 
 

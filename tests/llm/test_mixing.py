@@ -110,6 +110,48 @@ def test_too_many_sources_are_refused(documents, monkeypatch):
         mixing.plan(documents([(i, "a", "en", f"s{i}") for i in range(5)]))
 
 
+@pytest.mark.parametrize(
+    "mix",
+    [
+        mixing.Mix(),
+        mixing.Mix(entropy=1.0, max_passes=None),
+        mixing.Mix(entropy=0.9, budget=3000),
+        mixing.Mix(entropy=0.99, max_passes=3.0, budget=40_000, seed="other"),
+    ],
+)
+def test_a_plan_of_many_sources_equals_brute_force(documents, odd, monkeypatch, mix):
+    rng = random.Random(6)
+    sources = ["big"] * 150 + ["mid"] * 20 + [f"s{i}" for i in range(40)] + [None]
+    rows = [(i, " ".join(["w"] * rng.randrange(60)), "en", rng.choice(sources)) for i in range(2500)]
+    rows += [(5000, "", "en", "empty"), (5001, None, "en", "empty"), (7, rows[7][1], "en", rows[7][3])]
+    docs = documents(rows)
+    expected, small = brute_passes(rows, mix), mixing.plan(docs, mix).toPandas().sort_values("lb_source")
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 3)
+    plans = mixing.plan_table(docs, mix)
+    found = mixing.passes(docs, plans, mix)
+    got = found.select(F.col("lb_row.doc_id").alias("i"), "lb_source", "lb_tokens", "lb_pass").collect()
+    assert sorted(((r.i, r.lb_source, r.lb_tokens, r.lb_pass) for r in got), key=repr) == expected
+    large = plans.drop("lb_rows").toPandas().sort_values("lb_source")
+    for c in small.columns:
+        same = pytest.approx(list(small[c])) if small[c].dtype == float else list(small[c])
+        assert list(large[c]) == same, c
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan  # cold sources are joined without a broadcast hint
+
+
+def test_odd_rows_with_many_sources(documents, odd, none, monkeypatch):
+    rows = [(r.doc_id, r.text, r.lang, r.source) for r in odd.collect()]
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 0)
+    left = mixing.mixed(odd)
+    assert left.columns == odd.columns
+    assert Counter((r.doc_id, r.source) for r in left.collect()) == Counter(
+        (i, next(r[3] for r in rows if r[0] == i and (r[3] or "") == s)) for i, s, _, _ in brute_passes(rows, mixing.Mix())
+    )
+    assert mixing.mixed(none).count() == 0
+    blank = documents([(1, "", "en", "a"), (2, None, "en", "b")])
+    assert mixing.mixed(blank).count() == 2
+
+
 def test_the_docs_are_not_shuffled(documents):
     docs = documents([(1, "a", "en", "s")])
     plans = mixing.plan(docs)
