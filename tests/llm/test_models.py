@@ -222,6 +222,13 @@ def test_segments_equal_their_definition(weights, drift):
     assert [s for *_, s in found] == pytest.approx([s for *_, s in expected])
 
 
+@pytest.mark.parametrize(("clean", "passages"), [(60, 1), (79, 1), (81, 2), (200, 2)])
+def test_how_many_clean_tokens_part_two_passages(clean, passages):
+    """Two passages of two tokens of the least weight are one up to 80 clean tokens apart, as the README says."""
+    at = np.array([0, 1, clean + 2, clean + 3])
+    assert len(toxicity.segments(at, np.full(4, toxicity.LEAST_LOG_ODDS))) == passages
+
+
 def test_tokens_are_lowered_and_stay_in_their_text():
     code, distinct, counts = toxicity.tokens(*byte_view(pa.array(["ÉA éa, X", "9x-Y", "", "ß×"])))
     assert [distinct[int(c)] for c in code] == ["éa", "éa", "x", "9x", "y", "ß×"] and counts.tolist() == [3, 2, 0, 1]
