@@ -10,6 +10,7 @@ from . import (
     exact_dedup,
     language_gru,
     licenses,
+    line_dedup,
     mixing,
     packing,
     quality_knn,
@@ -273,3 +274,36 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, distance=4, seed=42)
     return found.select(F.col(ID).alias("doc_id"), "fingerprint", "component_id")
+
+
+@query
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.drop_repeated_lines(
+        table(spark, sf_dir, "documents"), least_length=20, least_documents=3, batches=4
+    )
+    return found.select(
+        F.col("lb_row.doc_id").alias("doc_id"),
+        "n_lines",
+        "n_dropped",
+        F.sha2(F.coalesce("lb_row.text", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
+ORACLES["op11_line_dedup"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), l AS (
+  SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM d
+), k AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM l
+), repeated AS (
+  SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT r) >= 3
+), marked AS (
+  SELECT k.*, last IS NOT NULL AND doc_id IS DISTINCT FROM last AS dropped FROM k LEFT JOIN repeated USING (key)
+)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY r
+"""
