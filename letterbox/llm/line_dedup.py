@@ -56,18 +56,20 @@ class Run:
 class LineRuns:
     """Which line hashes were seen: how many documents hold each, and the largest id of these.
 
-    Each batch is one run, bucketed and sorted by hash. ``fan`` runs of equal
+    Each batch is one run, bucketed and sorted by hash. Two neighbours of equal
     span are merged into one of the next level, so a hash is rewritten once a
-    level and a batch meets few runs. Runs share their buckets: a batch is
-    shuffled once, to be merged with all of them; merging runs shuffles nothing.
+    level and a batch meets few runs, each at least twice the next one's span.
+    Runs share their buckets: a batch is shuffled once, to be merged with all of
+    them, and merging two runs shuffles nothing. (They are merged by joins, as a
+    union of bucketed scans loses track of its buckets in Spark 4.1.)
 
     The state is the folder. A run counts when it is complete; one within
     another's span has been merged and is passed over. So a batch or a merge
     that broke off is simply done again.
     """
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None, fan: int = 4):
-        self.spark, self.path, self.fan = spark, path.rstrip("/"), fan
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
+        self.spark, self.path = spark, path.rstrip("/")
         self._tables: dict[Run, str] = {}
         found = self.runs()
         # As many as Spark is told to shuffle into, or as there are already.
@@ -108,25 +110,30 @@ class LineRuns:
 
     def merged(self) -> DataFrame:
         """One row per hash over all runs. Counts are exact below the bound that settles a hash."""
-        return self._union(self.runs())
+        return self._merge(self.runs())
 
     def _compact(self) -> None:
         while True:
-            newest = self.runs()[-self.fan :]
-            if len(newest) < self.fan or len({r.batches for r in newest}) > 1:
+            newest = self.runs()[-2:]
+            if len(newest) < 2 or newest[0].batches != newest[1].batches:
                 return
-            self._write(self._union(newest), Run(newest[0].first, newest[-1].last, self.buckets))
+            self._write(self._merge(newest), Run(newest[0].first, newest[1].last, self.buckets))
             for run in newest:
                 self._forget(run)
                 storage.remove(self.spark, f"{self.path}/{run.folder}")
 
-    def _union(self, runs: list[Run]) -> DataFrame:
+    def _merge(self, runs: list[Run]) -> DataFrame:
+        """The smallest runs first, so that the largest is never shuffled."""
         if not runs:
             return self.spark.createDataFrame([], f"{KEY} binary, {DOCS} long, {LAST} long")
-        rows = self._table(runs[0])
-        for run in runs[1:]:
-            rows = rows.unionByName(self._table(run))
-        return rows.groupBy(KEY).agg(F.sum(DOCS).alias(DOCS), F.max(LAST).alias(LAST))
+        rows = self._table(runs[-1])
+        for run in reversed(runs[:-1]):
+            older = self._table(run).hint("merge")
+            docs = F.coalesce(f"o.{DOCS}", F.lit(0)) + F.coalesce(f"n.{DOCS}", F.lit(0))
+            rows = older.alias("o").join(rows.alias("n"), KEY, "full_outer").select(
+                KEY, docs.alias(DOCS), F.greatest(f"o.{LAST}", f"n.{LAST}").alias(LAST)
+            )
+        return rows
 
     def _write(self, rows: DataFrame, run: Run) -> None:
         self._forget(run)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
+    conversations,
     exact_dedup,
     language_gru,
     licenses,
@@ -16,10 +17,11 @@ from . import (
     quality_knn,
     quality_rules,
     simhash,
+    spelling,
     token_counts,
     toxicity,
 )
-from .common import ID, held_out
+from .common import ID, held_out, saved
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -307,3 +309,49 @@ SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (droppe
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), '')) AS kept_sha256
 FROM marked GROUP BY r
 """
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """``conversations`` with the agreed faults; ``lb_absent`` marks dropped rows."""
+    spaced = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fault = F.crc32(F.concat(spaced("conv_id"), F.lit(":"), spaced("turn")).cast("binary")) % 20
+    text = (
+        F.when(fault == 1, "")
+        .when(fault == 2, F.translate(spaced("text"), ".!?", ""))
+        .otherwise(spaced("text"))
+    )
+    return rows.select(
+        "conv_id",
+        "turn",
+        F.when(fault == 4, "user").otherwise(spaced("role")).alias("role"),
+        text.alias("text"),
+        (fault == 0).alias("lb_absent"),
+        F.explode(F.when(fault == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("lb_copy"),
+    )
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversations.coded(damaged(table(spark, sf_dir, "conversations")), absent=F.col("lb_absent"))
+    found = saved(conversations.audits(rows), "audits")
+    closing = conversations.repaired(rows, found).filter(F.col("place").isNull())
+    digests = closing.select(conversations.CONV, F.col("text").alias("repaired_sha256"))
+    same = found[conversations.CONV].eqNullSafe(digests[conversations.CONV])
+    return found.join(digests, same).select(
+        found[conversations.CONV].alias("conv_id"),
+        "gaps",
+        "blank",
+        "duplicate",
+        "truncated",
+        "illegal",
+        "cost",
+        "audit",
+        "repaired_sha256",
+    )
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    words = spelling.word_counts(docs, least_length=6, least_count=5, modulus=199)
+    return spelling.variants(words, ratio=5)

@@ -49,12 +49,16 @@ def test_queries_have_the_agreed_columns(spark):
         "op8": "doc_id bigint, held_out boolean, score double, predicted int",
         "op9": "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint",
         "op10": "doc_id bigint, fingerprint string, component_id bigint",
+        "op11": "doc_id bigint, n_lines bigint, n_dropped bigint, kept_sha256 string",
+        "op12": "conv_id bigint, gaps bigint, blank bigint, duplicate bigint, truncated bigint, illegal bigint, "
+        "cost bigint, audit string, repaired_sha256 string",
+        "op13": "word string, form string, root string, n bigint, n_near bigint, form_n bigint",
     }
     for name, query in QUERIES.items():
         columns = dict(query(spark, SF_DIR).dtypes)
         for column in agreed.get(name.split("_")[0], "doc_id bigint").split(", "):
             assert columns[column.split()[0]] == column.split()[1], (name, column)
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
 
 
 def test_near_duplicates_of_the_table_equal_brute_force(spark):
