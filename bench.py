@@ -86,7 +86,8 @@ class Prepared:
             return sent
         if key not in self.paths:
             self.paths[key] = new_folder(df.sparkSession, "messages")
-            sent.write.parquet(self.paths[key])
+            # A hub's messages lie in many files; a single one would be read by one task.
+            sent.repartition(df.sparkSession.sparkContext.defaultParallelism).write.parquet(self.paths[key])
         return df.sparkSession.read.schema(sent.schema).parquet(self.paths[key])
 
 

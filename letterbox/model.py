@@ -74,6 +74,7 @@ class LoadOptions:
     legacy_cast: bool = False
     count_lost_values: bool = False
     schemas: str = "union"
+    evolve: bool = False
     concurrent_tables: int = 8
     audit_table: str | None = None
 

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 from ..functions.columns import key_names
 from ..functions.schemas import REJECTED_BODY, envelope_schema, payload_schema
 from ..model import TableSpec
+from .evolution import widens
 
 
 def parse_messages(
@@ -32,19 +33,17 @@ def parse_messages(
     parsed = F.from_json(text, wire, options)
     if not payload:
         return messages.select(F.inline(F.array(parsed))).select(*_one_id(wire))
-    # Numbers longer than a double holds keep their digits only as a variant.
-    exact = F.when(text.rlike(_LONG_NUMBER), F.try_variant_get(F.try_parse_json(text), "$.conteudo", "variant").cast("string"))
-    row = F.struct(parsed.alias("parsed"), exact.alias("exact"))
-    return messages.select(F.inline(F.array(row))).select("parsed.*", "exact").select(
-        *[
-            F.coalesce("exact", "conteudo").alias("conteudo") if str_name == "conteudo" else column
-            for str_name, column in zip(_one_id_names(wire), _one_id(wire))
-        ]
-    )
+    opened = messages.select(text.alias(_BODY), F.inline(F.array(parsed)))
+    # As text a JSON number has the digits of a double. Payloads declared to hold decimals
+    # are read from the body as a variant, which keeps all of them; no other body is read again.
+    exact = F.try_variant_get(F.try_parse_json(_BODY), "$.conteudo", "variant").cast("string")
+    declared = F.lower("destino.structType").contains("decimal")
+    payload = F.when(declared, F.coalesce(exact, F.col("conteudo"))).otherwise(F.col("conteudo"))
+    columns = dict(zip(_one_id_names(wire), _one_id(wire))) | {"conteudo": payload.alias("conteudo")}
+    return opened.select(*columns.values())
 
 
-# Digits and a point, more of them than a double is sure to keep.
-_LONG_NUMBER = r"\d[\d.]{15}"
+_BODY = "letterbox_body"
 
 
 def _one_id_names(wire: T.StructType) -> list[str]:
@@ -130,12 +129,15 @@ def resolve_specs(df: DataFrame) -> DataFrame:
 
 
 def united(newest: T.StructType, others: list[T.StructType]) -> T.StructType:
-    """The newest fields, then those that only other specs have; a field of two types raises."""
+    """The newest fields, then those that only other specs have.
+
+    A field of two types raises, unless the newest is the wider one.
+    """
     fields = {f.name.lower(): f for f in newest.fields}
     for schema in others:
         for f in schema.fields:
             known = fields.setdefault(f.name.lower(), f)
-            if known.dataType != f.dataType:
+            if known.dataType != f.dataType and not widens(f.dataType, known.dataType):
                 raise ValueError(
                     f"field {f.name} is declared {known.dataType.simpleString()} and {f.dataType.simpleString()}"
                 )

@@ -31,10 +31,13 @@ from ..operators.envelopes import (
     resolve_specs,
     table_spec,
 )
+from ..operators.evolution import evolved, fitted
 from ..operators.payload import payload_rejects, text_rows, typed_payload, typed_rows, with_day, with_rule
 from ..operators.quality import assert_keys, cast_report, guard_keys
 from ..session import small_rows
 from ..sinks.landing import accepted, land
+from ..sinks.schemas import evolve_table, newest_schema
+from ..sinks.staged import finish, left_behind, publish, stage
 from ..sinks.tables import counts_of, create_table, drop_table, recover_partitions, save, save_day
 from ..sources.files import read_landing
 from ..sources.hub import read_messages, select_window
@@ -109,18 +112,26 @@ def lost_values(found: DataFrame, spec: TableSpec, options: LoadOptions) -> int:
 
 
 def keep_rejects(
-    found: DataFrame, spec: TableSpec, day: date, options: LoadOptions, counted: Observation
+    found: DataFrame,
+    spec: TableSpec,
+    day: date,
+    options: LoadOptions,
+    counted: Observation,
+    batch: str | None = None,
 ) -> int:
     """Payload elements that could not be read, to the quarantine beside the tables.
 
     They were counted within the load's own job; only when there are any is the
-    payload read again.  A day loaded again by overwriting replaces its own.
+    payload read again.  A day loaded again by overwriting replaces its own, and
+    batches appended again replace theirs, which lie in a folder ``batch=...``.
     """
     rejects = payload_rejects(found, spec.schema, first_only=options.first_only)
     seen = counts_of(counted)
     number = rejects.count() if seen is None else seen["rejected"]
     path = quarantine_path(spec, options, day)
-    if options.write_mode(spec) == "overwrite":
+    if batch:
+        path = f"{path}/batch={batch}"
+    if batch or options.write_mode(spec) == "overwrite":
         storage.remove(found.sparkSession, path)
     if number:
         rejects.write.mode("append").parquet(path)
@@ -133,6 +144,32 @@ def quarantine_path(spec: TableSpec, options: LoadOptions, day: date) -> str:
     return f"{base}/_quarantine/{spec.database(options.database_prefix)}/{spec.table}/{day.isoformat()}"
 
 
+def ensure_table(spark: SparkSession, schema: T.StructType, spec: TableSpec, options: LoadOptions) -> bool:
+    """The table of a spec, created when missing or, with ``options.evolve``, grown; whether it was created."""
+    name, location = spec.full_name(options.database_prefix), spec.location(options.base_path)
+    if spark.catalog.tableExists(name):
+        if options.evolve:
+            evolve_table(spark, name, schema)
+        return False
+    if options.evolve:
+        # Files of earlier loads may have more columns than these messages.
+        schema = evolved(newest_schema(spark, location) or T.StructType(), schema)
+    rule = options.rule_for(spec.table)
+    create_table(
+        spark,
+        name,
+        schema,
+        location,
+        rule.names if rule else DAY_PARTITIONS,
+        options.fmt,
+        f"{options.base_path.rstrip('/')}/{spec.database(options.database_prefix)}.db",
+    )
+    if storage.exists(spark, location):
+        # It may hold partitions of earlier runs, known to another catalog.
+        recover_partitions(spark, name)
+    return True
+
+
 def load_table(
     spark: SparkSession,
     found: DataFrame,
@@ -141,10 +178,12 @@ def load_table(
     options: LoadOptions,
     *,
     landed: bool = True,
+    batches: list[str] | None = None,
 ) -> LoadResult:
     """Create when missing, and write one table unless a key is NULL.
 
-    ``landed`` envelopes lie in files of their own and need no shuffle to be
+    With ``options.evolve`` a table that lacks a field, or has a narrower type,
+    grows first; what the messages lack is NULL. ``landed`` envelopes lie in files of their own and need no shuffle to be
     written to a constant day.
     """
     mode = options.write_mode(spec)
@@ -152,19 +191,18 @@ def load_table(
     rows = guard_keys(table_rows(found, spec, day, options, counted), spec.keys)
     rule = options.rule_for(spec.table)
     name = spec.full_name(options.database_prefix)
-    created = not spark.catalog.tableExists(name)
-    if created:
-        create_table(
-            spark,
-            name,
-            rows.schema,
-            spec.location(options.base_path),
-            rule.names if rule else DAY_PARTITIONS,
-            options.fmt,
-            f"{options.base_path.rstrip('/')}/{spec.database(options.database_prefix)}.db",
-        )
+    created = ensure_table(spark, rows.schema, spec, options)
+    if options.evolve:
+        rows = fitted(rows, spark.table(name).schema)
     try:
-        if rule:
+        if batches:
+            rejects: list[int] = []
+            keep = lambda: rejects.append(
+                keep_rejects(found, spec, day, options, counted, _batch_name(batches))
+            )
+            staged = stage(rows, name, _batch_name(batches), batches, shuffle=rule is not None, also=keep)
+            written = staged.rows
+        elif rule:
             written = save(rows, name, mode)["rows"]
         else:
             written = save_day(rows, name, day_values(day), mode, shuffle=not landed)
@@ -173,11 +211,10 @@ def load_table(
             drop_table(spark, name)
         check_keys(found, spec, day, options)  # names the keys when they were the cause
         raise
-    if created:
-        # The location may hold partitions of earlier runs, known to another catalog.
-        recover_partitions(spark, name)
+    if batches:
+        publish(spark, name, staged)
     lost = lost_values(found, spec, options) if options.count_lost_values else None
-    rejected = keep_rejects(found, spec, day, options, counted)
+    rejected = rejects[0] if batches else keep_rejects(found, spec, day, options, counted)
     return LoadResult(
         spec.table,
         "loaded",
@@ -280,10 +317,11 @@ def load_batches(
     """Load the batches of a streaming landing zone that a table has not had yet.
 
     A batch counts once it is complete.  For each table, marks beside the
-    landing zone tell the batches begun and done.  A table whose append broke
-    off between the two fails by name rather than risk rows twice: remove the
-    begun mark when the table lacks the rows, or add the done mark when it has
-    them.  An overwriting load is simply repeated.
+    landing zone tell the batches done.  Appends are written aside and then
+    published; one that broke off is taken up where it stopped, so every row
+    comes once however often a run is repeated.  An overwriting load is simply
+    repeated.  (A ``begun`` mark, which former versions left, still fails its
+    table by name, as nothing tells what that append had written.)
     """
     complete = [
         name.removeprefix("batch=")
@@ -299,24 +337,53 @@ def load_batches(
 
     def one(spec: TableSpec) -> LoadResult:
         marks = f"{landing_path.rstrip('/')}_loads/{spec.table}"
+        day = _one_day(window, spec, options)
+        mine = landed.filter(F.col(TABLE_COLUMN) == spec.table)
+        settled = _settle(spark, table_rows(mine.drop("batch"), spec, day, options).schema, spec, options, marks)
         known = set(storage.children(spark, marks))
         new = [b for b in complete if f"{b}.done" not in known]
         if not new:
-            return LoadResult(spec.table, "empty")
+            return LoadResult(spec.table, "loaded" if settled else "empty", rows=settled)
+        append = options.write_mode(spec) == "append"
         broken = [b for b in new if f"{b}.begun" in known]
-        if broken and options.write_mode(spec) == "append":
+        if broken and append:
             raise RuntimeError(f"table {spec.table}: batches {', '.join(broken)} broke off; see {marks}")
-        found = landed.filter((F.col(TABLE_COLUMN) == spec.table) & F.col("batch").isin([int(b) for b in new]))
-        for b in new:
-            storage.mark(spark, f"{marks}/{b}.begun")
-        loaded = load_table(spark, found.drop("batch"), spec, _one_day(window, spec, options), options)
-        for b in new:
-            storage.mark(spark, f"{marks}/{b}.done")
-        return loaded
+        found = mine.filter(F.col("batch").isin([int(b) for b in new])).drop("batch")
+        loaded = load_table(spark, found, spec, day, options, batches=new if append else None)
+        _mark_done(spark, marks, new)
+        location = spec.location(options.base_path)
+        for load in left_behind(spark, location):
+            finish(spark, location, load)
+        return replace(loaded, rows=(loaded.rows or 0) + settled)
 
     return _load_each(spark, landed, wanted, window, options, one)
 
 
+def _batch_name(batches: list[str]) -> str:
+    return f"batches-{batches[0]}-{batches[-1]}"
+
+
+def _mark_done(spark: SparkSession, marks: str, batches: Iterable[str]) -> None:
+    for b in batches:
+        storage.mark(spark, f"{marks}/{b}.done")
+
+
+def _settle(
+    spark: SparkSession, schema: T.StructType, spec: TableSpec, options: LoadOptions, marks: str
+) -> int:
+    """Publish what earlier runs wrote but did not finish; returns its rows."""
+    rows, name, location = 0, spec.full_name(options.database_prefix), spec.location(options.base_path)
+    unfinished = left_behind(spark, location)
+    if unfinished:
+        ensure_table(spark, schema, spec, options)
+    for load in unfinished:
+        publish(spark, name, load)
+        _mark_done(spark, marks, load.contents)
+        finish(spark, location, load)
+        rows += load.rows
+    return rows
+
+
 def load_messages(
     spark: SparkSession,
     messages: DataFrame,

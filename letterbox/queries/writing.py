@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .. import catalog
+from .. import catalog, storage
 from ..functions.dates import lookback_window, parse_day, previous_day_window, processing_text, within
 from ..functions.schemas import REJECTED_BODY, TABLE_COLUMN
 from ..model import DAY_PARTITIONS, LoadOptions, PartitionRule
@@ -22,12 +22,13 @@ from ..plans import load
 from ..plans.merge import upsert
 from ..plans.refresh import Target, refresh
 from ..session import new_folder
-from ..sinks import publish, tables
+from ..sinks import publish, schemas, tables
 from ..sinks.landing import accepted, land, rejected
 from ..sources.files import read_landing
-from ..sources.hub import select_window
+from ..sources.hub import read_message_stream, select_window
 from ..sources.origins import read_origins
 from ..sources.registry import read_documents, registry_options, table_registry
+from ..streaming import streams
 from .producer import messages, row_messages
 from .registry import query, read
 
@@ -592,7 +593,7 @@ def trigger_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _damaged(spark: SparkSession, sf_dir: str, run: LoadOptions) -> list:
     """Messages whose payload is in part, or as a whole, no object, by the id of the event."""
-    sent = event_messages(spark, sf_dir, columns=["event_id", "value"])
+    sent = event_messages(spark, sf_dir, columns=["event_id", "value", "ts"])
     body, number = F.col("body").cast("string"), F.get_json_object(F.col("body").cast("string"), "$.conteudo[0].event_id")
     payload = F.regexp_extract(body, '"conteudo":(.*),"lote"', 1)
     kind = number.cast("bigint") % 10
@@ -605,7 +606,7 @@ def _damaged(spark: SparkSession, sf_dir: str, run: LoadOptions) -> list:
     )
     damaged = F.concat(F.regexp_extract(body, '^(.*"conteudo":)', 1), other, F.lit(',"lote":"lot"}')).cast("binary")
     return load.load_messages(
-        spark, sent.select(damaged.alias("body"), "enqueuedTime"), DAY, new_folder(spark, "landing"), run
+        spark, sent.select(damaged.alias("body"), "enqueuedTime"), MONTH, new_folder(spark, "landing"), run
     )
 
 
@@ -614,15 +615,15 @@ SELECT event_type AS tabela, count(*) FILTER (event_id % 10 NOT IN (2, 3)) AS ro
        CAST(sum(CASE WHEN event_id % 10 IN (2, 3) THEN 0 ELSE event_id END) AS BIGINT) AS ids,
        count(*) FILTER (event_id % 10 IN (1, 2, 3, 4)) AS rejected,
        count(*) FILTER (event_id % 10 IN (1, 2, 3, 4)) AS kept_aside
-FROM events WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-11' GROUP BY event_type
+FROM events GROUP BY event_type
 """)
 def payload_damage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Good elements load; the others are counted and kept aside."""
-    run = options(spark)
+    run = options(spark, default_rule=EVENT_RULE)
     results = _damaged(spark, sf_dir, run)
     rows = all_rows(spark, loaded(results), run, "event_id").groupBy("tabela").agg(F.sum("event_id").alias("ids"))
     aside = spark.read.parquet(
-        *[f"{run.base_path}/_quarantine/{run.database_prefix}app/{r.table}/2024-01-10" for r in results if r.rejected]
+        *[f"{run.base_path}/_quarantine/{run.database_prefix}app/{r.table}/{MONTH.day}" for r in results if r.rejected]
     )
     table = F.regexp_replace("header_id", "-app$", "").alias("tabela")
     counted = load.report(spark, results).select("tabela", "rows", "rejected")
@@ -646,22 +647,21 @@ def payload_nested_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT 'events' AS tabela, event_id, CASE WHEN event_id % 2 = 0 THEN user_id ELSE -1 END AS user_id, value FROM events
-WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-11'
 """)
 def spec_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Older messages declare a field that newer ones have dropped: the table has both."""
-    events, run = read(spark, sf_dir, "events"), options(spark)
+    events, run = read(spark, sf_dir, "events"), options(spark, default_rule=EVENT_RULE)
     old = row_messages(
-        events.filter("event_id % 2 = 0"), "events", ["event_id", "user_id"], enqueued=F.col("ts"), sent="2024-01-10T01:00:00"
+        events.filter("event_id % 2 = 0"), "events", ["event_id", "user_id", "ts"], enqueued=F.col("ts"), sent="2024-01-10T01:00:00"
     )
     both = row_messages(
-        events.filter("event_id % 2 = 0"), "events", ["event_id", "value"], enqueued=F.col("ts"), sent="2024-01-10T02:00:00"
+        events.filter("event_id % 2 = 0"), "events", ["event_id", "value", "ts"], enqueued=F.col("ts"), sent="2024-01-10T02:00:00"
     )
     new = row_messages(
-        events.filter("event_id % 2 = 1"), "events", ["event_id", "value"], enqueued=F.col("ts"), sent="2024-01-10T02:00:00"
+        events.filter("event_id % 2 = 1"), "events", ["event_id", "value", "ts"], enqueued=F.col("ts"), sent="2024-01-10T02:00:00"
     )
     sent = old.unionByName(both).unionByName(new)
-    results = load.load_messages(spark, sent, DAY, new_folder(spark, "landing"), run)
+    results = load.load_messages(spark, sent, MONTH, new_folder(spark, "landing"), run)
     rows = all_rows(spark, loaded(results), run, "event_id", "user_id", "value")
     return rows.groupBy("tabela", "event_id").agg(
         F.coalesce(F.max("user_id"), F.lit(-1)).alias("user_id"), F.max("value").alias("value")
@@ -672,8 +672,7 @@ def spec_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT tabela, CASE WHEN lower(tabela) = 'click' THEN 'failed' ELSE 'loaded' END AS status,
        CASE WHEN lower(tabela) = 'click' THEN 0 ELSE n END AS rows
 FROM (SELECT CASE WHEN event_type = 'click' AND event_id % 2 = 0 THEN 'CLICK' ELSE event_type END AS tabela,
-             count(*) AS n FROM events
-      WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-11' GROUP BY ALL)
+             count(*) AS n FROM events GROUP BY ALL)
 """)
 def same_name_other_case(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tables that differ only in case would overwrite each other: both fail, the others load."""
@@ -681,7 +680,8 @@ def same_name_other_case(spark: SparkSession, sf_dir: str) -> DataFrame:
     upper = (F.col("event_type") == "click") & (F.col("event_id") % 2 == 0)
     name = F.when(upper, F.upper("event_type")).otherwise(F.col("event_type"))
     sent = row_messages(events, name, enqueued=F.col("ts"), mode="overwrite")
-    results = load.load_messages(spark, sent, DAY, new_folder(spark, "landing"), options(spark))
+    run = options(spark, default_rule=EVENT_RULE)
+    results = load.load_messages(spark, sent, MONTH, new_folder(spark, "landing"), run)
     return load.report(spark, results).select("tabela", "status", "rows")
 
 
@@ -772,3 +772,104 @@ def show_create(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.sql(statement)
     tables.recover_partitions(spark, name)
     return spark.table(name).select(suppliers.columns)
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_custkey ELSE o_custkey + 3000000000 END AS customer,
+       CAST(round(o_totalprice * 100) AS BIGINT) * 100 + CASE WHEN o_orderkey % 2 = 0 THEN 0 ELSE 7 END AS amount,
+       CASE WHEN o_orderkey % 2 = 0 THEN '-' ELSE o_orderpriority END AS priority, o_orderstatus AS status,
+       CASE WHEN o_orderkey % 2 = 0 THEN '-' ELSE o_orderpriority END AS nested,
+       CAST(CASE WHEN o_orderkey % 2 = 0 THEN 9 ELSE 10 END AS INT) AS day_partition,
+       'bigint decimal(20,4)' AS types, 2::BIGINT AS versions, 'priority' AS added, 'customer,amount,deep' AS widened
+FROM orders
+""")
+def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second day's messages add a field, and one in a struct, and widen two: the first day's rows stay as they lie."""
+    run, orders = options(spark, evolve=True), read(spark, sf_dir, "orders")
+    cents, key = F.round(F.col("o_totalprice") * 100).cast("decimal(18,0)"), F.col("o_orderkey")
+    first = orders.filter(key % 2 == 0).select(
+        "o_orderkey",
+        F.col("o_custkey").cast("int").alias("customer"),
+        (cents / 100).cast("decimal(14,2)").alias("amount"),
+        F.struct(F.col("o_orderstatus").alias("status")).alias("deep"),
+    )
+    second = orders.filter(key % 2 != 0).select(
+        "o_orderkey",
+        (F.col("o_custkey") + 3000000000).alias("customer"),
+        (cents / 100 + F.lit(7).cast("decimal(18,0)") / 10000).cast("decimal(20,4)").alias("amount"),
+        F.struct(F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority")).alias("deep"),
+        F.col("o_orderpriority").alias("priority"),
+    )
+    for rows, processed in ((first, "2024-01-10"), (second, "2024-01-11")):
+        window = previous_day_window(processed)
+        sent = row_messages(rows, "orders", keys="o_orderkey", enqueued=F.lit(f"{window.day} 12:00:00").cast("timestamp_ntz"))
+        load.raise_on_failure(load.load_messages(spark, sent, window, new_folder(spark, "landing"), run))
+    name = f"{run.database_prefix}app.orders"
+    types = {f.name: f.dataType.simpleString() for f in spark.table(name).schema.fields}
+    past = schemas.schema_history(spark, schemas.table_location(spark, name)).agg(
+        F.count(F.lit(1)).alias("versions"),
+        F.max(F.array_join("added", ",")).alias("added"),
+        F.max(F.array_join("widened", ",")).alias("widened"),
+    )
+    return spark.table(name).select(
+        "o_orderkey",
+        "customer",
+        (F.col("amount") * 10000).cast("bigint").alias("amount"),
+        F.coalesce("priority", F.lit("-")).alias("priority"),
+        "deep.status",
+        F.coalesce("deep.priority", F.lit("-")).alias("nested"),
+        "day_partition",
+        F.lit(f"{types['customer']} {types['amount']}").alias("types"),
+    ).crossJoin(F.broadcast(past))
+
+
+@query("""
+SELECT 'failed' AS status, 'o_custkey' AS field, count(*) AS rows, 'bigint' AS type FROM orders
+""")
+def schema_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that would narrow a field fail their table by name; it keeps its rows and type."""
+    run = options(spark, evolve=True, default_rule=MONTH_RULE)
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    narrow = orders.withColumn("o_custkey", F.col("o_custkey").cast("int"))
+    for rows in (orders, narrow):
+        results = load.load_messages(spark, row_messages(rows, "orders"), MONTH, new_folder(spark, "landing"), run)
+    name = f"{run.database_prefix}app.orders"
+    error = load.report(spark, results).select(
+        "status", F.regexp_extract("error", r"SchemaConflict: field (\w+) is", 1).alias("field")
+    )
+    kind = spark.table(name).schema["o_custkey"].dataType.simpleString()
+    return error.crossJoin(spark.table(name).agg(F.count(F.lit(1)).alias("rows"), F.lit(kind).alias("type")))
+
+
+@query("""
+SELECT event_type AS tabela, count(*) AS n, count(DISTINCT event_id) AS events, CAST(sum(event_id) AS BIGINT) AS ids
+FROM events GROUP BY ALL
+""")
+def stream_append_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Appends of a stream's batches break off between two files and between two tables; the next run ends them."""
+    folder, run = new_folder(spark, "stream"), options(spark, default_rule=EVENT_RULE)
+    sent = event_messages(spark, sf_dir, keys="event_id")
+    sent.write.parquet(f"{folder}/hub")
+    hub = read_message_stream(spark, "parquet", {}, path=f"{folder}/hub", schema=sent.schema)
+    streams.finish(streams.land_stream(hub, f"{folder}/landing", f"{folder}/checkpoint"))
+    moved, whole = [], storage.rename_into
+
+    def breaking(session, path, to):
+        if len(moved) >= 5:
+            raise OSError("the driver is lost")
+        moved.append(to)
+        whole(session, path, to)
+
+    storage.rename_into = breaking
+    try:
+        broken = load.load_batches(spark, f"{folder}/landing", MONTH, run)
+    finally:
+        storage.rename_into = whole
+    if not any(r.status == "failed" for r in broken):
+        raise AssertionError("nothing broke off")
+    results = load.load_batches(spark, f"{folder}/landing", MONTH, run)
+    return all_rows(spark, loaded(results), run, "event_id").groupBy("tabela").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.countDistinct("event_id").alias("events"),
+        F.sum("event_id").alias("ids"),
+    )

@@ -33,7 +33,61 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in system.listStatus(at)) if system.exists(at) else []
 
 
+def rename_into(spark: SparkSession, path: str, to: str) -> None:
+    """A file to a place that may still have to be made, or hold the same file from a move cut short."""
+    system, at = _system(spark, to)
+    system.mkdirs(at.getParent())
+    if system.exists(at):
+        system.delete(at, False)
+    rename(spark, path, to)
+
+
+def files(spark: SparkSession, path: str) -> list[str]:
+    """All files below a folder, by their paths within it."""
+    return sorted(_below(spark, path, folders=False))
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """All folders below a folder, by their paths within it."""
+    return sorted(_below(spark, path, folders=True))
+
+
+def _below(spark: SparkSession, path: str, folders: bool, prefix: str = "") -> list[str]:
+    system, at = _system(spark, path)
+    if not system.exists(at):
+        return []
+    found = []
+    for status in system.listStatus(at):
+        name = prefix + status.getPath().getName()
+        if status.isDirectory():
+            found += [name] if folders else []
+            found += _below(spark, status.getPath().toString(), folders, f"{name}/")
+        elif not folders:
+            found.append(name)
+    return found
+
+
 def mark(spark: SparkSession, path: str) -> None:
     """An empty file, whose name says what has been done."""
     system, at = _system(spark, path)
     system.create(at, True).close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is either there whole or not at all."""
+    system, at = _system(spark, f"{path}.part")
+    out = system.create(at, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    rename(spark, f"{path}.part", path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    system, at = _system(spark, path)
+    source = system.open(at)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
