@@ -20,6 +20,7 @@ from ..sinks.tables import (
     quote_name,
     save,
 )
+from .key_index import searched_rows
 
 
 def latest(df: DataFrame, keys: Sequence[str], recency: Sequence[str] = ()) -> DataFrame:
@@ -70,6 +71,7 @@ def upsert(
     *,
     recency: Sequence[str] = (),
     fixed_partition: bool = False,
+    index: bool = False,
 ) -> int | None:
     """Insert ``updates`` into ``table``, replacing rows of the same key.
 
@@ -77,7 +79,8 @@ def upsert(
     partitions holding a touched key, before or after, are rewritten.  They
     are found by one scan of the table's keys; ``fixed_partition`` (a key never
     changes partition) narrows it to the partitions of the updates, or spares
-    it when there is no ``recency``.  Join sides are broadcast by Spark only
+    it when there is no ``recency``, and ``index`` to the files whose range of
+    keys meets the updates' (see ``key_index``).  Join sides are broadcast by Spark only
     below its size threshold.  Returns the rows written, or nothing where the
     format's own statement did it.
     """
@@ -90,7 +93,7 @@ def upsert(
         return None
     stage = new_folder(spark, "upsert")
     try:
-        return _upsert(spark, updates, table, keys, recency, fixed_partition, stage)
+        return _upsert(spark, updates, table, keys, recency, fixed_partition, index, stage)
     finally:
         storage.remove(spark, stage)
 
@@ -102,6 +105,7 @@ def _upsert(
     keys: Sequence[str],
     recency: Sequence[str],
     fixed_partition: bool,
+    index: bool,
     stage: str,
 ) -> int:
     parts = partition_columns(spark, table)
@@ -116,8 +120,10 @@ def _upsert(
 
     affected = {row.id: row for row in places(incoming)} if parts else {}
     searched = target
+    if index and (recency or (parts and not fixed_partition)):
+        searched = searched_rows(spark, table, keys, incoming)
     if parts and fixed_partition:
-        searched = target.filter(partition_id(parts).isin(list(affected)))
+        searched = searched.filter(partition_id(parts).isin(list(affected)))
     outdated = None
     if recency:
         order = F.struct(*[quoted(c) for c in recency])

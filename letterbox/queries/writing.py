@@ -18,7 +18,7 @@ from ..model import DAY_PARTITIONS, LoadOptions, PartitionRule
 from ..operators import envelopes as env
 from ..operators.payload import typed_payload, with_day, with_rule
 from ..operators.quality import key_null_report as key_report, partition_counts
-from ..plans import load
+from ..plans import key_index, load
 from ..plans.merge import upsert
 from ..plans.refresh import Target, refresh
 from ..session import new_folder
@@ -873,3 +873,28 @@ def stream_append_again(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.countDistinct("event_id").alias("events"),
         F.sum("event_id").alias("ids"),
     )
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderkey * 4 >= 3 * top THEN 'Z' ELSE o_orderstatus END AS o_orderstatus,
+       CAST(strftime(CASE WHEN o_orderkey * 4 >= 3 * top AND o_orderkey % 9 = 0
+                          THEN o_orderdate + INTERVAL 400 DAY ELSE o_orderdate END, '%Y') AS INT) AS year_partition,
+       true AS spared
+FROM orders, (SELECT max(o_orderkey) AS top FROM orders)
+""")
+def merge_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders arrive in four loads by key; updates of the newest are looked for in files that may hold them only."""
+    rule = PartitionRule("o_orderdate", {"year_partition": "yyyy"}, as_type="int")
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
+    top = orders.agg(F.max("o_orderkey")).first()[0]
+    quarter = F.least(F.lit(3), F.floor(F.col("o_orderkey") * 4 / top))
+    name = new_table(spark, with_rule(orders.filter(quarter == 0), rule), rule.names)
+    for number in (1, 2, 3):
+        tables.save(with_rule(orders.filter(quarter == number), rule), name, "append")
+    newest = orders.filter(F.col("o_orderkey") * 4 >= 3 * top).withColumn("o_orderstatus", F.lit("Z"))
+    moved = F.when(F.col("o_orderkey") % 9 == 0, F.col("o_orderdate") + F.expr("INTERVAL 400 DAYS")).otherwise(F.col("o_orderdate"))
+    updates = with_rule(newest.withColumn("o_orderdate", moved), rule)
+    asked = key_index.candidate_files(spark, name, ["o_orderkey"], updates)
+    spared = 0 < len(asked) < len(spark.table(name).inputFiles())
+    upsert(spark, updates, name, ["o_orderkey"], index=True)
+    return spark.table(name).select("o_orderkey", "o_orderstatus", "year_partition", F.lit(spared).alias("spared"))

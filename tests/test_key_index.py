@@ -1,0 +1,111 @@
+"""Merges that look for their keys only where they may be."""
+
+from __future__ import annotations
+
+import random
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from letterbox import storage
+from letterbox.plans import key_index, merge
+from letterbox.plans.merge import upsert
+from letterbox.sinks import tables
+
+
+@pytest.fixture
+def target(spark, tmp_path):
+    """A table of ten loads of a hundred growing keys each, over partitions with odd names."""
+    name, schema = f"k{uuid.uuid4().hex}.t", "id BIGINT, v BIGINT, p STRING"
+    empty = spark.createDataFrame([], schema)
+    tables.create_table(spark, name, empty.schema, str(tmp_path / "t"), ["p"], database_location=str(tmp_path / "db"))
+    for load in range(10):
+        tables.save(frame(spark, range(load * 100, load * 100 + 100)), name, "append")
+    return name
+
+
+def frame(spark, ids, v=0):
+    rows = [(i, v, None if i % 4 == 0 else f"a b%{i % 4}") for i in ids]
+    return spark.createDataFrame(rows, "id BIGINT, v BIGINT, p STRING")
+
+
+def content(spark, name):
+    return {r.id: (r.v, r.p) for r in spark.table(name).collect()}
+
+
+def test_files_are_asked_for_by_their_range(spark, target):
+    files = set(key_index._listed(spark.table(target)))
+    asked = key_index.candidate_files(spark, target, ["id"], frame(spark, [250, 251, 930]))
+    holding = spark.table(target).filter("id BETWEEN 200 AND 299 OR id >= 900").select("_metadata.file_path").distinct()
+    assert set(asked) == {r.file_path for r in holding.collect()} and len(asked) < len(files)
+    assert key_index.candidate_files(spark, target, ["id"], frame(spark, [5000])) == []
+
+
+def test_a_merge_opens_candidate_files_only(spark, target, monkeypatch):
+    found = key_index.searched_rows(spark, target, ["id"], frame(spark, [250]))
+    assert set(found.select("id").distinct().toPandas().id) == set(range(200, 300))
+    found.collect()
+    scans = found._jdf.queryExecution().executedPlan().toString()
+    assert "file_path" in scans
+    asked = []
+    rows = key_index.searched_rows
+    monkeypatch.setattr(merge, "searched_rows", lambda *a: asked.append(rows(*a)) or asked[-1])
+    before = content(spark, target)
+    upsert(spark, frame(spark, [250, 2000], v=7), target, ["id"], index=True)
+    assert asked[0].select("_metadata.file_path").distinct().count() <= 4
+    assert content(spark, target) == before | {250: (7, before[250][1]), 2000: (7, None)}
+
+
+@pytest.mark.parametrize("recency", [[], ["v"]])
+def test_merges_with_and_without_an_index_agree(spark, target, recency):
+    rng = random.Random(3)
+    expected = content(spark, target)
+    for step in range(3):  # the index meets files of earlier merges and appends, and misses removed ones
+        ids = rng.sample(range(1100), 40)
+        sent = frame(spark, ids, v=rng.choice([-1, step + 1]))
+        if step == 1:  # keys that change their partition
+            sent = sent.withColumn("p", F.lit("moved"))
+        for r in sent.collect():
+            if not recency or r.id not in expected or expected[r.id][0] <= r.v:
+                expected[r.id] = (r.v, r.p)
+        upsert(spark, sent, target, ["id"], recency=recency, index=True)
+        assert content(spark, target) == expected
+        tables.save(frame(spark, [3000 + step]), target, "append")
+        expected |= content(spark, target).items() - expected.items()
+
+
+def test_a_refresh_reads_new_files_and_forgets_old_ones(spark, target):
+    first = key_index.refresh_index(spark, target, ["id"])
+    assert {r.file for r in first.collect()} == set(key_index._listed(spark.table(target)))
+    upsert(spark, frame(spark, [5, 6, 7], v=1), target, ["id"], index=True)
+    tables.compact(spark, target)
+    again = key_index.refresh_index(spark, target, ["id"])
+    assert {r.file for r in again.collect()} == set(key_index._listed(spark.table(target)))
+    lows = again.agg(F.min("low.id"), F.max("high.id")).first()
+    assert tuple(lows) == (0, 999)
+    folder = key_index._folder(spark, target, ["id"])
+    assert len(key_index._versions(spark, folder)) == 1
+
+
+def test_an_index_half_written_or_lost_is_made_again(spark, target):
+    key_index.refresh_index(spark, target, ["id"])
+    folder = key_index._folder(spark, target, ["id"])
+    (version,) = key_index._versions(spark, folder)
+    storage.mark(spark, f"{folder}/v{version + 1}/part-0.parquet")  # a refresh that broke off
+    assert key_index.candidate_files(spark, target, ["id"], frame(spark, [3]))
+    storage.remove(spark, folder)
+    assert key_index.candidate_files(spark, target, ["id"], frame(spark, [3]))
+
+
+def test_a_file_system_with_other_names_costs_a_scan_and_no_row(spark, target, monkeypatch):
+    monkeypatch.setattr(key_index, "_listed", lambda df: [f"other:{f}" for f in df.inputFiles()])
+    expected = content(spark, target) | {5: (9, "a b%1")}
+    upsert(spark, frame(spark, [5], v=9), target, ["id"], index=True)
+    assert content(spark, target) == expected
+
+
+def test_keys_of_several_columns_and_partition_columns(spark, target):
+    asked = key_index.candidate_files(spark, target, ["p", "id"], frame(spark, [251]))
+    found = spark.table(target).filter("p = 'a b%3' AND id BETWEEN 200 AND 299").select("_metadata.file_path").distinct()
+    assert {r.file_path for r in found.collect()} == set(asked)
