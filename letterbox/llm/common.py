@@ -124,6 +124,19 @@ def held_out(id_column: Column, folds: int, fold: int) -> Column:
     return F.crc32(text.cast("binary")) % folds == fold
 
 
+def smallest_hashes(rows: DataFrame, most: int) -> DataFrame:
+    """The ``most`` rows whose ids have the smallest hashes; fewer if there are no more.
+
+    Rows beyond a hash that the count tells are dropped first, so no task gets
+    ``most`` rows of each other one.
+    """
+    total = rows.count()
+    share = (most + 8 * most**0.5 + 50) / max(1, total)
+    if share < 1:
+        rows = rows.filter(F.xxhash64(ID) <= F.lit(int(share * (1 << 64)) - (1 << 63)))
+    return rows.orderBy(F.xxhash64(ID), ID).limit(most)
+
+
 # Arrow batches as bytes ----------------------------------------------------------------
 
 #: Bytes of text worked on at once; a longer text is worked on alone.

@@ -11,11 +11,13 @@ state, so work is linear and memory bounded also for very long texts.
 A NULL text, or one without a letter, is ``und`` with score 0. Rows that repeat
 get equal results; NULL ids are carried through. An empty table gives an empty
 result; without a labelled row every text is ``und``. Of very many languages the
-most frequent are learned.
+most frequent are learned; of languages with equal shares of a text the first by
+name is told.
 """
 
 from __future__ import annotations
 
+import math
 import warnings
 import zlib
 from collections.abc import Iterator
@@ -26,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import small_rows
 from . import common
 from .common import ID, TEXT, column
 
@@ -240,7 +243,9 @@ def fit(
     ).filter(F.col("lb_lang").isNotNull() & F.col(ID).isNotNull())
     if usable is not None:
         named = named.filter(usable)
-    found = named.groupBy("lb_lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lb_lang")
+    # Ids are counted roughly: the count only sets how many are looked at.
+    counts = F.count(F.lit(1)).alias("n"), F.approx_count_distinct(ID).alias("ids")
+    found = named.groupBy("lb_lang").agg(*counts).orderBy(F.desc("n"), "lb_lang")
     common_first = found.limit(MAX_LANGUAGES + 1).collect()
     learned = common_first[:MAX_LANGUAGES]
     languages = sorted(r.lb_lang for r in learned)
@@ -256,15 +261,25 @@ def fit(
             break
         left -= r.n
     each = min(1000, each)
-    # Row numbers up to a limit are cut within the tasks first: no language is gathered whole.
+    # A language's rows with small hashes, somewhat more than it needs, as its count tells: so no
+    # language is gathered in a task. The exact cut is then among these few.
+    share = {r.lb_lang: min(1.0, (each + 8 * math.sqrt(each) + 50) / max(1, r.ids)) for r in learned}
+    least = -(1 << 63)
+    bounds = small_rows(
+        docs.sparkSession,
+        [{"lb_lang": lang, "lb_bound": min((1 << 63) - 1, least + int(part * (1 << 64)))} for lang, part in share.items()],
+        pa.schema([("lb_lang", pa.string()), ("lb_bound", pa.int64())]),
+    )
+    few = named.select(ID, "lb_lang").join(F.broadcast(bounds), "lb_lang").filter(F.xxhash64(ID) <= F.col("lb_bound"))
     order = Window.partitionBy("lb_lang").orderBy(F.xxhash64(ID), ID)
     chosen = (
-        named.select(ID, "lb_lang").withColumn("n", F.row_number().over(order)).filter(F.col("n") <= each).select(ID, "lb_lang")
-    ).distinct()
+        few.select(ID, "lb_lang").distinct().withColumn("n", F.row_number().over(order)).filter(F.col("n") <= each)
+    ).select(ID, "lb_lang")
     rows = (
         named.join(F.broadcast(chosen), [ID, "lb_lang"])
         .mapInArrow(_windows, f"{ID} long, lb_lang string, lb_window binary")
         .distinct()
+        .orderBy("lb_lang", ID, "lb_window")
         .limit(max_labelled * WINDOWS_EACH)  # only rows that repeat an id with other text could go beyond
         .toArrow()
         .sort_by([("lb_lang", "ascending"), (ID, "ascending"), ("lb_window", "ascending")])

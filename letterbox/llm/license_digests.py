@@ -1,7 +1,9 @@
 """Digests of whole license texts in the canonical form of ``licenses``: fixed values, by license.
 
 Several for one license: with and without its title, 'All rights reserved', the
-appendix that tells how to apply it, numbers of its clauses, http or https.
+appendix that tells how to apply it, numbers of its clauses, http or https. They
+are made by ``licenses._digest(licenses.canonical(text))`` of the texts that the
+licenses' authors publish, as SPDX lists them under the names used here.
 """
 
 from __future__ import annotations

@@ -3,8 +3,11 @@
 The canonical form lowers case, drops the copyright statements before the
 wording, makes anything but letters and digits one space and unifies spellings
 that license comparison treats as equal. Lines within the wording are kept
-whatever they begin with, so the digest of a text does not depend on its wrapping. Its SHA-256 is hash-joined to the digests of known texts, both
-for the whole text and for each of its lines, as notices are a line of their own.
+whatever they begin with, so the digest of a text does not depend on its
+wrapping. Its SHA-256 is hash-joined to the digests of known texts, both for the
+whole text and for each of its lines, as notices are a line of their own. One
+digest under two names goes by the smaller one. Very long texts and lines are
+taken whole.
 
 A NULL or empty text has the digest of the empty form and matches nothing;
 a text of punctuation only is the same. Rows that repeat give repeated results;
@@ -98,6 +101,9 @@ TEXTS: list[tuple[str, str]] = [
 ]
 
 
+#: Code points of a line that may be a notice; the texts known by digest only are longer.
+NOTICE = 300
+
 #: A copyright statement: the word or the sign, followed by the sign, a year or a holder.
 _SIGN = r"(?:\(c\)|©|&copy;)"
 _NO_HOLDER = r"(?:notices?|holders?|owners?|licen[cs]es?|laws?|statements?|interests?|permissions?|and|or|on|in)\b"
@@ -120,12 +126,15 @@ def canonical(text: Column) -> Column:
     return reduce(lambda t, pair: F.replace(t, F.lit(pair[0]), F.lit(pair[1])), SPELLINGS, apart)
 
 
-def _digest(form: Column) -> Column:
+def _words(form: Column) -> Column:
     words = F.regexp_replace(form, r"[ \n]+", " ")
     # Spellings of two words, which a line break may have parted.
     parted = [pair for pair in SPELLINGS if " " in pair[0].strip()]
-    words = reduce(lambda t, pair: F.replace(t, F.lit(pair[0]), F.lit(pair[1])), parted, words)
-    return F.sha2(F.trim(words).cast("binary"), 256)
+    return reduce(lambda t, pair: F.replace(t, F.lit(pair[0]), F.lit(pair[1])), parted, words)
+
+
+def _digest(form: Column) -> Column:
+    return F.sha2(F.trim(_words(form)).cast("binary"), 256)
 
 
 def whole_digest(form: Column) -> Column:
@@ -133,7 +142,7 @@ def whole_digest(form: Column) -> Column:
 
 
 def catalog(spark: SparkSession, known: list[tuple[str, str]] | None = None) -> DataFrame:
-    """``digest``, ``license`` of the known texts: a list of code, so small by nature.
+    """``digest``, ``license``, ``size`` (code points of the form, if known) of the known texts: a list of code.
 
     Without ``known`` these are the notices, the texts, and the texts of which only the digests are kept here.
     """
@@ -143,14 +152,22 @@ def catalog(spark: SparkSession, known: list[tuple[str, str]] | None = None) ->
     rows = small_rows(spark, [{"license": n, "text": t} for n, t in known], schema)
     schema = pa.schema([("digest", pa.string()), ("license", pa.string())])
     fixed = small_rows(spark, [{"digest": d, "license": n} for n, d in kept], schema)
+    form = canonical(F.col("text"))
     return (
-        rows.select(_digest(canonical(F.col("text"))).alias("digest"), "license")
-        .unionByName(fixed)
+        rows.select(_digest(form).alias("digest"), "license", F.length(F.trim(_words(form))).alias("size"))
+        .unionByName(fixed.withColumn("size", F.lit(None).cast("int")))
         .groupBy("digest")
-        .agg(F.min("license").alias("license"))
+        .agg(F.min("license").alias("license"), F.max("size").alias("size"))
     )
 
 
+def _looked_up(known: list, line: Column) -> Column:
+    if not known:
+        return F.lit(None).cast("string")
+    entries = F.map_from_entries(F.array(*[F.struct(F.lit(r.digest), F.lit(r.license)) for r in known]))
+    return F.element_at(entries, F.sha2(line.cast("binary"), 256))
+
+
 def license_scan(
     docs: DataFrame,
     known: list[tuple[str, str]] | None = None,
@@ -166,19 +183,25 @@ def license_scan(
     """
     spark = docs.sparkSession
     found = catalog(spark, known)
-    lookup = F.map_from_entries(
-        F.array(*[F.struct(F.lit(r.digest), F.lit(r.license)) for r in found.collect()])
-    )
+    known_texts = found.collect()
+    notices = [r for r in known_texts if r.size is not None and r.size <= NOTICE]
+    longest = max((r.size for r in notices), default=-1)
     formed = common.ids_and_texts(docs, id_column, text_column).select(ID, canonical(F.col(TEXT)).alias("lb_form"))
     # A line's own form has single spaces already, but for its ends.
     lines = F.split("lb_form", "\n")
     matched = F.filter(
-        F.transform(lines, lambda line: F.element_at(lookup, F.sha2(F.trim(line).cast("binary"), 256))),
+        F.transform(
+            F.transform(lines, lambda line: F.trim(line)),
+            # Most lines are too long for a notice and too short for a text, and are not hashed.
+            lambda line: F.when(F.length(line) <= longest, _looked_up(notices, line)).when(
+                F.length(line) > NOTICE, _looked_up([r for r in known_texts if r not in notices], line)
+            ),
+        ),
         lambda name: name.isNotNull(),
     )
     scanned = formed.select(ID, _digest(F.col("lb_form")).alias("text_digest"), matched.alias("lb_matched"))
     return scanned.join(
-        F.broadcast(found.withColumnRenamed("digest", "text_digest")), "text_digest", "left"
+        F.broadcast(found.select(F.col("digest").alias("text_digest"), "license")), "text_digest", "left"
     ).select(
         ID,
         "text_digest",

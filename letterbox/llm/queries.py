@@ -22,6 +22,7 @@ from . import (
     toxicity,
 )
 from .common import ID, held_out, saved
+from .license_digests import DIGESTS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -195,28 +196,63 @@ def op5_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _license_sql() -> str:
+    """The rule line by line: statements go from the block of blank lines, titles and statements before the wording."""
     quoted = lambda t: "'" + t.replace("'", "''") + "'"
-    form = r"""regexp_replace(regexp_replace(chr(10) || lower(coalesce(text, '')),
-        '\n[^\p{L}\p{N}\n]*(copyright|\(c\)|©)[^\n]*', chr(10), 'g'), '[^\p{L}\p{N}\n]+', ' ', 'g')"""
-    form = f"replace({form}, chr(10), ' ' || chr(10) || ' ')"
-    for old, new in licenses.SPELLINGS:
-        form = f"replace({form}, {quoted(old)}, {quoted(new)})"
+
+    def spelled(form: str, pairs: list[tuple[str, str]]) -> str:
+        for old, new in pairs:
+            form = f"replace({form}, {quoted(old)}, {quoted(new)})"
+        return form
+
     known = ", ".join(f"({quoted(n)}, {quoted(t)})" for n, t in licenses.NOTICES + licenses.TEXTS)
+    fixed = ", ".join(f"({quoted(n)}, '{d}')" for n, digests in DIGESTS.items() for d in digests)
+    form = spelled(
+        r"replace(regexp_replace(chr(10) || bare, '[^\p{L}\p{N}\n]+', ' ', 'g'), chr(10), ' ' || chr(10) || ' ')",
+        licenses.SPELLINGS,
+    )
+    parted = [pair for pair in licenses.SPELLINGS if " " in pair[0].strip()]
+    words = spelled("regexp_replace(form, '[ \\n]+', ' ', 'g')", parted)
+    sign, gap = r"(?:\(c\)|©|&copy;)", r"^[^\p{L}\p{N}]*copyright\b[^\p{L}\p{N}]*"
     return rf"""
-WITH known AS (
-  SELECT sha256(trim(regexp_replace(f, '[ \n]+', ' ', 'g'))) AS digest, min(license) AS license
-  FROM (SELECT license, {form} AS f FROM (VALUES {known}) v(license, text)) GROUP BY 1
-), d AS (
-  SELECT row_number() OVER () AS r, doc_id, {form} AS f FROM documents
+WITH src AS (
+  SELECT row_number() OVER () AS r, * FROM (
+    SELECT NULL AS license, doc_id, lower(coalesce(text, '')) AS t, true AS asked FROM documents
+    UNION ALL SELECT license, NULL, lower(text), false FROM (VALUES {known}) v(license, text))
+), line AS (
+  SELECT r, unnest(string_split(t, chr(10))) AS line, unnest(range(len(string_split(t, chr(10))))) AS i FROM src
+), kind AS (
+  SELECT *, regexp_matches(line, '^[^\p{{L}}\p{{N}}]*{sign}.*[\p{{L}}\p{{N}}]')
+         OR regexp_matches(line, '{gap}(?:{sign}|\p{{N}})')
+         OR regexp_matches(line, '{gap}\p{{L}}') AND NOT regexp_matches(line, '{gap}{licenses._NO_HOLDER}') AS stated,
+         regexp_matches(line, '^.{{0,60}}licen[cs]e.{{0,30}}$')
+         AND NOT regexp_matches(line, 'gnu|general public') AS titled,
+         NOT regexp_matches(line, '[\p{{L}}\p{{N}}]') AS blank
+  FROM line
+), gap AS (
+  SELECT *, sum(stated::INT) OVER (PARTITION BY r ORDER BY i) AS past FROM kind
+), block AS (
+  SELECT *, NOT (stated OR blank OR titled
+                 AND sum((titled AND NOT stated)::INT) OVER (PARTITION BY r, past ORDER BY i) <= 3) AS wording
+  FROM gap
+), cut AS (
+  SELECT r, i, CASE WHEN stated AND NOT bool_or(wording) OVER (PARTITION BY r ORDER BY i) THEN '' ELSE line END AS line
+  FROM block
+), formed AS (
+  SELECT r, {form} AS form FROM (SELECT r, string_agg(line, chr(10) ORDER BY i) AS bare FROM cut GROUP BY r)
+), digested AS (
+  SELECT src.*, form, sha256(trim({words})) AS digest FROM src JOIN formed USING (r)
+), known AS (
+  SELECT digest, min(license) AS license
+  FROM (SELECT digest, license FROM digested WHERE NOT asked
+        UNION ALL SELECT digest, license FROM (VALUES {fixed}) f(license, digest)) GROUP BY digest
 ), lines AS (
   SELECT r, string_agg(DISTINCT license, ',' ORDER BY license) AS line_licenses, count(*) AS license_lines
-  FROM (SELECT r, unnest(string_split(f, chr(10))) AS line FROM d) JOIN known ON digest = sha256(trim(line))
-  GROUP BY r
+  FROM (SELECT r, unnest(string_split(form, chr(10))) AS line FROM digested WHERE asked)
+  JOIN known ON digest = sha256(trim(line)) GROUP BY r
 )
-SELECT doc_id, sha256(trim(regexp_replace(f, '[ \n]+', ' ', 'g'))) AS text_digest, known.license,
-       coalesce(line_licenses, '') AS line_licenses, coalesce(license_lines, 0) AS license_lines
-FROM d LEFT JOIN lines USING (r)
-LEFT JOIN known ON known.digest = sha256(trim(regexp_replace(f, '[ \n]+', ' ', 'g')))
+SELECT doc_id, digested.digest AS text_digest, known.license, coalesce(line_licenses, '') AS line_licenses,
+       coalesce(license_lines, 0) AS license_lines
+FROM digested LEFT JOIN lines USING (r) LEFT JOIN known ON known.digest = digested.digest WHERE asked
 """
 
 

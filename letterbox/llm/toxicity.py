@@ -2,19 +2,22 @@
 
 Tokens are lower-case runs of letters and digits. A token's weight is its
 log-odds between toxic and clean labelled texts under an informative Dirichlet
-prior (the pooled counts); tokens whose log-odds are not significant weigh
-nothing, and a token without a weight of its own takes that of its first five
-characters, if they have one. Counts are of distinct contexts (the tokens before
-and after), so that copies and endless repeats count once. Every other token
-costs a small drift, so scores wander down on clean text, and one scan finds all
-maximal segments. How high a clean text's segments reach follows an
-extreme-value law; a text's score is the calibrated surprise of its best one,
-together with those of its other significant segments.
+prior (the pooled counts), negative for tokens of clean texts; tokens whose
+log-odds are not significant weigh nothing of their own, and a token without a
+weight takes that of its first five characters, if they have one. Counts are of
+distinct contexts (the tokens before and after), so that copies and endless
+repeats count once. Every token besides those of positive weight costs a drift,
+so scores wander down on clean text, and one scan finds all maximal segments.
+How high a clean text's segments reach follows an extreme-value law; a text's
+score is the calibrated surprise of its best one, together with those of its
+other significant segments. Law and calibration are set by texts that the
+weights they are scored with were not learned from, in three folds.
 
 A NULL or empty text, or one without a token, has no segment and the score of a
 text without one. Rows that repeat get equal scores; NULL ids are carried
-through. An empty table gives an empty result; without labels of both kinds no
-token weighs anything and every score is 0.
+through; of labels that contradict each other the toxic one counts. Very long
+texts are scanned whole. An empty table gives an empty result; without labels of
+both kinds no token weighs anything and every score is 0.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -36,8 +40,10 @@ from .common import ID, TEXT, column
 MAX_LABELLED = 6000
 #: Characters of a token's stem.
 STEM = 5
-#: What a token without weight costs.
-DRIFT = 0.05
+#: What a token without positive weight costs: sixty of them part two passages of two tokens of the least weight.
+DRIFT = 0.1
+#: Parts of the labelled texts; each is scored with weights learned from the others.
+FOLDS = 3
 #: The prior's share of the pooled counts.
 PRIOR = 0.1
 LEAST_LOG_ODDS, LEAST_Z = 2.0, 3.5
@@ -78,12 +84,13 @@ def segments(at: np.ndarray, weights: np.ndarray, drift: float = DRIFT) -> list[
     """All maximal scoring segments: first token, last token, score.
 
     ``at`` are the places of the tokens with weight, in order; all others cost
-    ``drift``. Linear in the number of tokens with weight: each is put on the
-    list of candidates once and merged at most once.
+    ``drift``. Linear in the number of tokens with weight: each positive one is
+    put on the list of candidates once and merged at most once.
     """
     after = np.cumsum(weights) - drift * (at - np.arange(len(at)))
     found: list[tuple[int, int, float, float]] = []  # first, last, total before, total behind
-    for place, weight, right in zip(at.tolist(), weights.tolist(), after.tolist()):
+    up = weights > 0
+    for place, weight, right in zip(at[up].tolist(), weights[up].tolist(), after[up].tolist()):
         first, left = place, right - weight
         while True:
             # Candidates that start higher can't be extended by this one.
@@ -115,7 +122,8 @@ def scan(model: Model, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[
     code, distinct, counts = tokens(data, offsets)
     words, stems = model.words, model.stems
     weight = np.array([words.get(w) or stems.get(w[:STEM], 0.0) for w in distinct] or [0.0])
-    weighted = np.flatnonzero(weight[code] > 0) if len(code) else np.zeros(0, np.int64)
+    weight[weight < 0] -= DRIFT
+    weighted = np.flatnonzero(weight[code]) if len(code) else np.zeros(0, np.int64)
     ends = np.cumsum(counts)
     first = np.searchsorted(weighted, ends - counts)
     last = np.searchsorted(weighted, ends)
@@ -141,37 +149,62 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = np.where(first, np.uint64(0), np.roll(hashes, 1))
         behind = np.where(np.roll(first, -1), np.uint64(0), np.roll(hashes, -1))
         around = (before * np.uint64(0x9E3779B97F4A7C15)) ^ (behind * np.uint64(0xC2B2AE3D27D4EB4F))
-        label = np.repeat(batch.column("lb_label").to_numpy(zero_copy_only=False), counts)
+        label, fold = (
+            np.repeat(batch.column(c).to_numpy(zero_copy_only=False), counts) for c in ("lb_label", "lb_fold")
+        )
         yield pa.RecordBatch.from_arrays(
-            [pa.array(distinct, pa.string()).take(pa.array(code)), pa.array(around.view(np.int64)), pa.array(label)],
-            ["token", "around", "lb_label"],
+            [
+                pa.array(distinct, pa.string()).take(pa.array(code)),
+                pa.array(around.view(np.int64)),
+                pa.array(label),
+                pa.array(fold),
+            ],
+            ["token", "around", "lb_label", "lb_fold"],
         )
 
 
-def _lexicon(contexts: DataFrame) -> dict[str, tuple[float, float, float]]:
-    """Significant ``feature``s with weight and how often they stand in toxic and in clean contexts, in thousandths."""
-    kinds = contexts.groupBy("feature", "around").agg(F.max("lb_label").alias("toxic"), F.min("lb_label").alias("least"))
+Lexicon = dict[str, tuple[float, float]]
+
+
+def _lexicons(contexts: DataFrame) -> list[Lexicon]:
+    """Weight and share of clean contexts of the significant ``feature``s: learned from all folds, then
+    from all but each one. The contexts are counted once for all of these."""
+    sets = [F.lit(True), *[F.col("lb_fold") != k for k in range(FOLDS)]]
+    kinds = contexts.groupBy("feature", "around").agg(
+        *[F.max(F.when(of, F.col("lb_label"))).alias(f"toxic{k}") for k, of in enumerate(sets)],
+        *[F.min(F.when(of, F.col("lb_label"))).alias(f"least{k}") for k, of in enumerate(sets)],
+    )
+    number = lambda column: F.coalesce(F.sum(column), F.lit(0)).cast("double")
     counted = kinds.groupBy("feature").agg(
-        F.sum("toxic").cast("double").alias("y"), F.sum(1 - F.col("least")).cast("double").alias("c")
+        *[number(F.col(f"toxic{k}")).alias(f"y{k}") for k in range(len(sets))],
+        *[number(1 - F.col(f"least{k}")).alias(f"c{k}") for k in range(len(sets))],
     )
     counted = common.saved(counted, "lexicon", 1_000_000)
-    sums = counted.agg(F.sum("y"), F.sum("c")).first()
-    all_y, all_c = sums[0] or 0.0, sums[1] or 0.0
-    if not all_y or not all_c:
-        return {}
+    totals = counted.agg(*[F.sum(c).alias(c) for c in counted.columns if c != "feature"]).first()
+    found = []
+    for k in range(len(sets)):
+        all_y, all_c = totals[f"y{k}"] or 0.0, totals[f"c{k}"] or 0.0
+        if not all_y or not all_c:
+            found.append({})
+            continue
+        odds, z, clean = _log_odds(F.col(f"y{k}"), F.col(f"c{k}"), all_y, all_c)
+        rows = (
+            counted.select("feature", odds.alias("odds"), z.alias("z"), clean.alias("clean"))
+            .filter((F.col("odds") > LEAST_LOG_ODDS) & (F.col("z") > LEAST_Z) | (F.col("z") < -LEAST_Z))
+            .collect()
+        )
+        found.append({r.feature: (r.odds, r.clean) for r in rows})
+    return found
+
+
+def _log_odds(y: Column, c: Column, all_y: float, all_c: float) -> tuple[Column, Column, Column]:
+    """Log-odds under the prior, their z-score, and the share of clean contexts."""
     prior = PRIOR * (all_y + all_c)
-    a = F.lit(PRIOR) * (F.col("y") + F.col("c"))
-    odds = F.log((F.col("y") + a) / (all_y + prior - F.col("y") - a)) - F.log(
-        (F.col("c") + a) / (all_c + prior - F.col("c") - a)
-    )
-    z = odds / F.sqrt(1 / (F.col("y") + a) + 1 / (F.col("c") + a))
-    rows = (
-        counted.filter("y > 0")
-        .select("feature", odds.alias("odds"), z.alias("z"), ((F.col("c") + a) / (all_c + prior)).alias("clean"))
-        .filter((F.col("odds") > LEAST_LOG_ODDS) & (F.col("z") > LEAST_Z))
-        .collect()
-    )
-    return {r.feature: (r.odds, r.z, r.clean) for r in rows}
+    a = F.lit(PRIOR) * (y + c)
+    odds = F.log((y + a) / (all_y + prior - y - a)) - F.log((c + a) / (all_c + prior - c - a))
+    # A feature that the set lacks has no odds and no z.
+    spread = F.sqrt(F.try_divide(F.lit(1.0), y + a) + F.try_divide(F.lit(1.0), c + a))
+    return odds, F.try_divide(odds, spread), (c + a) / (all_c + prior)
 
 
 def law(weights: list[tuple[float, float]]) -> float:
@@ -210,16 +243,37 @@ def calibrate(x: np.ndarray, labels: np.ndarray, ridge: float = 1e-2) -> tuple[f
     return float(w[0]), float(max(w[1], 0.0))
 
 
-def _found(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    for batch in common.slices(batches):
-        counts, scores = [], []
-        for n, own in scan(model, *common.byte_view(batch.column(TEXT))):
-            counts.append(n)
-            scores.append([s for _, _, s in own])
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("lb_label"), pa.array(counts, pa.int64()), pa.array(scores, pa.list_(pa.float64()))],
-            ["lb_label", "n", "scores"],
-        )
+def _model(words: Lexicon, stems: Lexicon) -> Model:
+    # A stem's clean share covers its words; words with a stem of weight are part of it.
+    shares = [*stems.values(), *[v for w, v in words.items() if w[:STEM] not in stems]]
+    return Model({w: o for w, (o, _) in words.items()}, {s: o for s, (o, _) in stems.items()}, law(shares))
+
+
+def _least(model: Model) -> float:
+    """The median positive weight."""
+    up = [o for lexicon in (model.words, model.stems) for o in lexicon.values() if o > 0]
+    return float(np.median(up)) if up else 0.0
+
+
+def _found(batches: Iterator[pa.RecordBatch], models: list[Model]) -> Iterator[pa.RecordBatch]:
+    """Each row's segments by the model that was not learned from it."""
+    for whole in batches:
+        for fold, model in enumerate(models):
+            part = whole.filter(pa.compute.equal(whole.column("lb_fold"), fold))
+            for batch in common.slices(iter([part])):
+                counts, scores = [], []
+                for n, own in scan(model, *common.byte_view(batch.column(TEXT))):
+                    counts.append(n)
+                    scores.append([s for _, _, s in own])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("lb_label"),
+                        batch.column("lb_fold"),
+                        pa.array(counts, pa.int64()),
+                        pa.array(scores, pa.list_(pa.float64())),
+                    ],
+                    ["lb_label", "lb_fold", "n", "scores"],
+                )
 
 
 def fit(
@@ -238,40 +292,43 @@ def fit(
     if usable is not None:
         known = known.filter(usable)
     known = known.groupBy(ID).agg(F.max("lb_label").alias("lb_label"))
-    sample = known.orderBy(F.xxhash64(ID), ID).limit(max_labelled)
+    sample = common.smallest_hashes(known, max_labelled)
     rows = common.saved(
         common.ids_and_texts(docs, id_column, text_column)
         .join(F.broadcast(sample), ID)
         .groupBy(ID)
         .agg(F.min(F.struct("lb_label", TEXT)).alias("row"))
-        .select(ID, "row.*"),
+        .select(ID, "row.*", F.pmod(F.hash(ID), F.lit(FOLDS)).alias("lb_fold")),
         "labelled",
     )
     contexts = common.saved(
-        rows.mapInArrow(_contexts, "token string, around long, lb_label int").distinct(),
+        rows.mapInArrow(_contexts, "token string, around long, lb_label int, lb_fold int").distinct(),
         "contexts",
         1000 * max_labelled,
     )
-    words = _lexicon(contexts.withColumnRenamed("token", "feature"))
-    stems = _lexicon(
+    words = _lexicons(contexts.withColumnRenamed("token", "feature"))
+    stems = _lexicons(
         contexts.filter(F.length("token") >= STEM).select(
-            F.substring("token", 1, STEM).alias("feature"), "around", "lb_label"
+            F.substring("token", 1, STEM).alias("feature"), "around", "lb_label", "lb_fold"
         )
     )
-    if not words and not stems:
+    if not any(o > 0 for lexicon in (words[0], stems[0]) for o, _ in lexicon.values()):
         return Model()
-    # A stem's clean share covers its words; words with a stem of weight are part of it.
-    shares = [(o, p) for o, _, p in stems.values()] + [(o, p) for w, (o, _, p) in words.items() if w[:STEM] not in stems]
-    model = Model({w: v[0] for w, v in words.items()}, {s: v[0] for s, v in stems.items()}, law(shares))
-    seen = rows.mapInArrow(partial(_found, model=model), "lb_label int, n long, scores array<double>").collect()
-    # The law's size: so that segments of clean texts above the median weight are as many as it says.
-    least = float(np.median([o for o, _ in shares]))
+    model, *parts = [_model(w, s) for w, s in zip(words, stems)]
+    kind = "lb_label int, lb_fold int, n long, scores array<double>"
+    seen = rows.mapInArrow(partial(_found, models=parts), kind).collect()
+    sizes = [_size(part, [r for r in seen if r.lb_fold == k]) for k, part in enumerate(parts)]
+    x = np.array([surprise(r.scores, r.n, parts[r.lb_fold].rate, sizes[r.lb_fold]) for r in seen])
+    bias, slope = calibrate(x, np.array([float(r.lb_label) for r in seen]))
+    return Model(model.words, model.stems, model.rate, math.exp(np.mean(np.log(sizes))), bias, slope)
+
+
+def _size(model: Model, seen: list) -> float:
+    """The law's size: so that segments of clean texts above the median weight are as many as it says."""
+    least = _least(model)
     above = sum(s >= least for r in seen if not r.lb_label for s in r.scores) + 0.5
     among = sum(r.n for r in seen if not r.lb_label) + 1
-    size = above * math.exp(model.rate * least) / among
-    x = np.array([surprise(r.scores, r.n, model.rate, size) for r in seen])
-    bias, slope = calibrate(x, np.array([float(r.lb_label) for r in seen]))
-    return Model(model.words, model.stems, model.rate, size, bias, slope)
+    return above * math.exp(model.rate * least) / among
 
 
 def _scored(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:

@@ -69,3 +69,11 @@ def test_words_do_not_run_across_texts():
     code, distinct = common.codes(data, inside, starts, ends)
     assert [distinct[int(c)].as_py() for c in code] == [b"ab", b"cd", b"e", b"f"]
     assert common.sums(np.ones(len(data), bool), offsets).tolist() == [2, 5, 0, 0, 2]
+
+
+def test_the_smallest_hashes_are_those_of_all_rows(spark):
+    rows = spark.range(20_000).select(F.col("id").alias(common.ID))
+    expected = [r[0] for r in rows.orderBy(F.xxhash64(common.ID), common.ID).limit(300).collect()]
+    assert [r[0] for r in common.smallest_hashes(rows, 300).collect()] == expected
+    assert common.smallest_hashes(rows.limit(7), 300).count() == 7
+    assert common.smallest_hashes(rows.limit(0), 300).count() == 0

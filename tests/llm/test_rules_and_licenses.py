@@ -7,6 +7,7 @@ import textwrap
 from collections import Counter
 from pathlib import Path
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -14,7 +15,9 @@ from pyspark.sql import functions as F
 
 from letterbox.llm import licenses, quality_rules
 from letterbox.llm.common import ID, byte_view
+from letterbox.llm.queries import ORACLES, QUERIES
 
+from ..test_queries import normal
 from .conftest import WORDS
 
 
@@ -208,3 +211,41 @@ def test_other_known_texts(documents, known):
 def test_counts_are_plain_numbers():
     found = quality_rules.measure(*byte_view(pa.array([], pa.string())))
     assert all(len(v) == 0 and isinstance(v, np.ndarray) for v in found.values())
+
+
+def test_the_sql_states_the_rule_of_the_operator(spark, documents, tmp_path):
+    """Whole texts at any wrapping, statements and titles before and within them, and near misses."""
+    isc, mit = licenses._ISC, licenses._MIT
+    wraps = lambda t, width: "\n\n".join(textwrap.fill(p, width) for p in t.split("\n\n"))
+    texts = [isc, mit, " ".join(isc.split()), wraps(isc, 61), wraps(mit, 81), wraps(mit, 40), "ISC License\n\n" + wraps(isc, 70)]
+    heads = [
+        "Copyright (c) 2020 A. Holder\n\n",
+        "The MIT License (MIT)\n\n\n(c) 1999, 2003 Somebody\nCopyright © Others\n\n",
+        "Copyright notice\n",
+        "copyright © notices\n",
+        "An own line first\nCopyright 2020 X\n",
+        "License one\nLicense two\nLicense three\nLicense four\nCopyright 2020 X\n",
+        "License one\n\nLicense two\n***\nLicense three\nCopyright 2020 X\nLicense four\nCopyright 2021 Y\n",
+        "GNU General Public License\nCopyright 2020 X\n",
+        "&copy; 2011 me\n-- Copyright by the authors\n",
+        "x" * 61 + " license\nCopyright 2020 X\n",
+    ]
+    rows = [(i, t) for i, t in enumerate([*texts, *[h + t for h in heads for t in (isc, mit)]])]
+    rows += [(900, None), (901, ""), (902, "©"), (903, "Text.\nAll rights reserved.\nLicensed under the MIT License.\n" + " ".join(mit.split()))]
+    rows += [(904, "Copyright 2020 X"), (905, "\n\nCopyright holders and owners of it\n"), (906, "(c)\n(c) 1\nAll rights reserved.")]
+    documents(rows).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    answer = QUERIES["op5_license_digests"](spark, str(tmp_path)).toPandas()
+    expected = duck.execute(ORACLES["op5_license_digests"]).df()
+    assert normal(answer) == normal(expected)
+    names = dict(zip(answer.doc_id, answer.license))
+    assert all(names[i] == ("MIT" if "merge" in t else "ISC") for i, t in enumerate(texts))
+    assert names[7] == "ISC" and names[8] == "MIT" and names[903] is None
+
+
+def test_lines_that_are_whole_texts_are_looked_up(documents):
+    one = " ".join(licenses._MIT.split())
+    docs = documents([(1, f"Before.\n{one}\nAll rights reserved.\nafter"), (2, "All rights reserved. " * 9)])
+    found = {r[ID]: (r.line_licenses, r.license_lines) for r in licenses.license_scan(docs).collect()}
+    assert found == {1: (["MIT", "all-rights-reserved"], 2), 2: ([], 0)}
