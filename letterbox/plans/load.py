@@ -352,15 +352,19 @@ def load_batches(
         loaded = load_table(spark, found, spec, day, options, batches=new if append else None)
         _mark_done(spark, marks, new)
         location = spec.location(options.base_path)
-        for load in left_behind(spark, location):
+        for load in left_behind(spark, location, _BATCHES):
             finish(spark, location, load)
         return replace(loaded, rows=(loaded.rows or 0) + settled)
 
     return _load_each(spark, landed, wanted, window, options, one)
 
 
+#: Staged loads of batches are named so.
+_BATCHES = "batches-"
+
+
 def _batch_name(batches: list[str]) -> str:
-    return f"batches-{batches[0]}-{batches[-1]}"
+    return f"{_BATCHES}{batches[0]}-{batches[-1]}"
 
 
 def _mark_done(spark: SparkSession, marks: str, batches: Iterable[str]) -> None:
@@ -373,7 +377,7 @@ def _settle(
 ) -> int:
     """Publish what earlier runs wrote but did not finish; returns its rows."""
     rows, name, location = 0, spec.full_name(options.database_prefix), spec.location(options.base_path)
-    unfinished = left_behind(spark, location)
+    unfinished = left_behind(spark, location, _BATCHES)
     if unfinished:
         ensure_table(spark, schema, spec, options)
     for load in unfinished:

@@ -898,3 +898,35 @@ def merge_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
     spared = 0 < len(asked) < len(spark.table(name).inputFiles())
     upsert(spark, updates, name, ["o_orderkey"], index=True)
     return spark.table(name).select("o_orderkey", "o_orderstatus", "year_partition", F.lit(spared).alias("spared"))
+
+
+@query("""
+SELECT CAST(year(o_orderdate) AS INT) AS year_partition, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS ids,
+       4::BIGINT AS files_before, 2::BIGINT AS files_after, true AS large_file_kept
+FROM orders GROUP BY ALL
+""")
+def compact_small_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One large and three small files a year: the small ones are packed, the large one stays the same file."""
+    rule = PartitionRule("o_orderdate", {"year_partition": "yyyy"}, as_type="int")
+    orders = with_rule(read(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate"), rule)
+    load_of = F.greatest(F.lit(0), F.pmod(F.xxhash64("o_orderkey"), F.lit(20)) - 16)
+    name = new_table(spark, orders.filter(load_of == 0), rule.names)
+    large = spark.table(name).select("year_partition", "_metadata.file_path", "_metadata.file_size").distinct()
+    large = large.groupBy("year_partition").agg(F.max("file_path").alias("large"), F.max("file_size").alias("size"))
+    large = [tuple(r) for r in large.collect()]  # one row per partition
+    for number in (1, 2, 3):
+        tables.save(orders.filter(load_of == number), name, "append")
+    before = spark.createDataFrame(
+        [tuple(r) for r in tables.file_counts(spark, name).select("year_partition", "files").collect()],
+        "year_partition int, files_before bigint",
+    )
+    tables.compact(spark, name, target_bytes=2 * min(size for _, _, size in large))
+    kept = spark.createDataFrame(large, "year_partition int, large string, size bigint")
+    rows = spark.table(name).select("year_partition", "o_orderkey", F.col("_metadata.file_path").alias("file"))
+    found = rows.join(kept, "year_partition").groupBy("year_partition").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("o_orderkey").alias("ids"),
+        F.countDistinct("file").alias("files_after"),
+        F.max(F.col("file") == F.col("large")).alias("large_file_kept"),
+    )
+    return found.join(before, "year_partition")

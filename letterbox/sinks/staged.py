@@ -74,10 +74,12 @@ def stage(
     return Staged(name, tuple(contents), rows)
 
 
-def left_behind(spark: SparkSession, location: str) -> list[Staged]:
-    """Loads written whole but not finished; what was not written whole is removed."""
+def left_behind(spark: SparkSession, location: str, prefix: str = "") -> list[Staged]:
+    """Loads of such names written whole but not finished; what was not written whole is removed."""
     found = []
     for name in storage.children(spark, _folder(location)):
+        if not name.startswith(prefix):
+            continue
         folder = f"{_folder(location)}/{name}"
         if storage.exists(spark, f"{folder}/{_NOTE}"):
             note = json.loads(storage.read_text(spark, f"{folder}/{_NOTE}"))

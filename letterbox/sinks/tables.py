@@ -267,14 +267,7 @@ def file_counts(spark: SparkSession, table: str, where: Column | str | None = No
     parts = partition_columns(spark, table)
     if not parts:
         raise ValueError(f"{table} has no partitions")
-    chosen = spark.table(table)
-    if where is not None:
-        condition = F.expr(where) if isinstance(where, str) else where
-        # Fails here when the condition names anything but partition columns.
-        values = T.StructType([f for f in chosen.schema.fields if f.name in parts])
-        spark.createDataFrame([], values).filter(condition)
-        chosen = chosen.filter(condition)
-    files = chosen.select(*parts, "_metadata.file_path", "_metadata.file_size").distinct()
+    files = of_partitions(spark, table, parts, where).select(*parts, "_metadata.file_path", "_metadata.file_size").distinct()
     return (
         files.groupBy(*parts)
         .agg(F.count(F.lit(1)).alias("files"), F.sum("file_size").alias("bytes"))
@@ -282,6 +275,18 @@ def file_counts(spark: SparkSession, table: str, where: Column | str | None = No
     )
 
 
+def of_partitions(spark: SparkSession, table: str, parts: Sequence[str], where: Column | str | None) -> DataFrame:
+    """The table's rows in partitions that fulfil a condition, which may name no other column."""
+    chosen = spark.table(table)
+    if where is None:
+        return chosen
+    condition = F.expr(where) if isinstance(where, str) else where
+    # Fails here when the condition names anything but partition columns.
+    values = T.StructType([f for f in chosen.schema.fields if f.name in parts])
+    spark.createDataFrame([], values).filter(condition)
+    return chosen.filter(condition)
+
+
 def partition_id(partitions: Sequence[str]) -> Column:
     """Partition values as one text, NULL kept apart from every value."""
     values = [F.coalesce(F.concat(F.lit("="), F.col(p).cast("string")), F.lit("-")) for p in partitions]
@@ -291,29 +296,10 @@ def partition_id(partitions: Sequence[str]) -> Column:
 def compact(
     spark: SparkSession, table: str, where: Column | str | None = None, target_bytes: int = 128 << 20
 ) -> list[str]:
-    """Rewrite the partitions that have more files than their bytes need; returns them.
+    """Pack small files into files of about ``target_bytes``; returns the partitions they lay in.
 
-    ``where`` may only name partition columns, since whole partitions are
-    replaced.  Partitions that already lie in files of about ``target_bytes``
-    are not read.  One row per partition rewritten is held on the driver.
+    See ``compaction``. ``where`` may only name partition columns.
     """
-    needed = F.greatest(F.lit(1), F.ceil(F.col("bytes") / target_bytes)).cast("int")
-    found = file_counts(spark, table, where).filter(F.col("files") > needed)
-    chosen = found.select("partition", needed.alias("wanted_files")).collect()
-    if not chosen:
-        return []
-    parts = partition_columns(spark, table)
-    ensure_partition_overwrite(spark, table)
-    names = [row.partition for row in chosen]
-    rows = spark.table(table).filter(partition_id(parts).isin(names))
-    columns = rows.columns
-    content = [quoted(f.name) for f in rows.schema.fields if _hashable(f.dataType)]
-    sizes = spark.createDataFrame([tuple(row) for row in chosen], "partition string, wanted_files int")
-    dealt = (
-        rows.withColumn("partition", partition_id(parts))
-        .join(F.broadcast(sizes), "partition")  # as many rows as partitions
-        .withColumn("part_of", F.pmod(F.xxhash64(*content), F.col("wanted_files")))
-        .repartition("partition", "part_of")
-    )
-    dealt.select([quoted(c) for c in columns]).write.insertInto(table, overwrite=True)
-    return sorted(names)
+    from .compaction import pack  # which builds on this module
+
+    return pack(spark, table, where, target_bytes)

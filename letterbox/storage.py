@@ -16,6 +16,12 @@ def remove(spark: SparkSession, path: str) -> None:
     system.delete(at, True)
 
 
+def remove_file(spark: SparkSession, uri: str) -> None:
+    """A file by its address as rows' metadata has it, with special characters escaped."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri))
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, False)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     system, at = _system(spark, path)
     return system.exists(at)

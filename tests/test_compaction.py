@@ -1,0 +1,100 @@
+"""Small files are packed, good ones stay."""
+
+from __future__ import annotations
+
+import uuid
+
+import pytest
+from hypothesis import given, strategies as st
+from pyspark.sql import functions as F
+
+from letterbox.sinks import compaction, tables
+
+
+@given(st.lists(st.integers(1, 50), max_size=40), st.integers(50, 120))
+def test_bins_hold_what_fits_and_no_two_could_be_one(sizes, capacity):
+    named = [(f"f{i:03}", n) for i, n in enumerate(sizes)]
+    bins = compaction.first_fit(named, capacity)
+    size = dict(named)
+    used = [sum(size[n] for n in names) for names in bins]
+    packed = [n for names in bins for n in names]
+    alone = [size[n] for n, _ in named if n not in packed]
+    assert len(packed) == len(set(packed)) and all(len(b) > 1 for b in bins)
+    assert all(u <= capacity for u in used)
+    assert sum(2 * x <= capacity for x in [*used, *alone]) <= 1
+
+
+@pytest.fixture
+def target(spark, tmp_path):
+    """Partitions of odd names with a file of many rows and five small ones."""
+    name = f"c{uuid.uuid4().hex}.t"
+    parts = [None, "a b%/1"]
+
+    def rows(low, high):
+        p = F.when(F.col("id") % 2 == 0, F.lit(parts[1]))
+        return spark.range(low, high).select(F.sha2(F.col("id").cast("string"), 256).alias("text"), "id", p.alias("p")).coalesce(1)
+
+    tables.create_table(spark, name, rows(0, 1).schema, str(tmp_path / "t"), ["p"], database_location=str(tmp_path / "db"))
+    tables.save(rows(0, 20_000), name, "append")
+    for i in range(5):
+        tables.save(rows(20_000 + 10 * i, 20_010 + 10 * i), name, "append")
+    return name
+
+
+def files(spark, name):
+    found = spark.table(name).select("p", "_metadata.file_path", "_metadata.file_size").distinct().collect()
+    return {r.file_path: (r.p, r.file_size) for r in found}
+
+
+def ids(spark, name):
+    return sorted(r.id for r in spark.table(name).select("id").collect())
+
+
+def test_good_files_keep_their_names_and_small_ones_become_one(spark, target):
+    before = files(spark, target)
+    large = {f for f, (_, size) in before.items() if size > 100_000}
+    assert len(before) == 12 and len(large) == 2
+    assert tables.compact(spark, target, target_bytes=200_000) == ["-", "=a b%/1"]
+    after = files(spark, target)
+    assert large < set(after) and len(after) == 4
+    assert not (set(before) - large) & set(after)
+    assert ids(spark, target) == list(range(20_050))
+    assert spark.table(target).filter("p IS NULL").count() == 10_025
+    assert tables.compact(spark, target, target_bytes=200_000) == []
+    assert files(spark, target) == after
+
+
+def test_bins_respect_the_size_and_rounds_change_nothing(spark, target, monkeypatch):
+    monkeypatch.setattr(compaction, "ROUND_FILES", 3)
+    small = max(size for _, size in files(spark, target).values() if size < 100_000)
+    tables.compact(spark, target, "p IS NULL", target_bytes=2 * small + 10)
+    left = [p for p, _ in files(spark, target).values()]
+    assert left.count("a b%/1") == 6 and left.count(None) == 4  # five small ones in bins of two, two, one
+    assert ids(spark, target) == list(range(20_050))
+
+
+def test_tables_without_partitions_are_packed(spark, tmp_path):
+    name = f"c{uuid.uuid4().hex}.t"
+    tables.create_table(spark, name, spark.range(1).schema, str(tmp_path / "t"), database_location=str(tmp_path / "db"))
+    for i in range(4):
+        spark.range(i * 5, i * 5 + 5).coalesce(1).write.insertInto(name)
+    assert tables.compact(spark, name) == [""] and ids(spark, name) == list(range(20))
+    assert spark.table(name).select("_metadata.file_path").distinct().count() == 1
+
+
+@pytest.mark.parametrize("point", ["stage", "publish", "remove_file", "finish"])
+def test_a_compaction_that_breaks_off_is_ended_by_the_next(spark, target, monkeypatch, point):
+    calls = []
+
+    def lost(*_, **__):
+        calls.append(1)
+        if point != "remove_file" or len(calls) > 2:
+            raise OSError("the driver is lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(compaction.storage if point == "remove_file" else compaction, point, lost)
+        with pytest.raises(OSError):
+            tables.compact(spark, target, target_bytes=200_000)
+    spark.catalog.refreshTable(target)
+    tables.compact(spark, target, target_bytes=200_000)
+    assert ids(spark, target) == list(range(20_050)) and len(files(spark, target)) == 4
