@@ -12,12 +12,13 @@ from __future__ import annotations
 
 import uuid
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import storage
 from ..functions.columns import quoted
-from .staged import Staged, finish, left_behind, publish, stage
+from .staged import RENAMES, Staged, finish, left_behind, publish, stage
 from .tables import _described, has_log, of_partitions, partition_id
 
 #: Loads that compaction stages are named so.
@@ -86,7 +87,7 @@ def _write(spark: SparkSession, table: str, location: str, bins: list[list[str]]
 
 def _swap(spark: SparkSession, table: str, location: str, load: Staged) -> None:
     publish(spark, table, load)
-    for name in load.contents:
-        storage.remove_file(spark, name)
+    with ThreadPoolExecutor(RENAMES) as pool:
+        list(pool.map(lambda name: storage.remove_file(spark, name), load.contents))
     spark.catalog.refreshTable(table)
     finish(spark, location, load)

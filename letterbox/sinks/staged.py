@@ -29,11 +29,12 @@ RENAMES = 16
 
 @dataclass(frozen=True)
 class Staged:
-    """A load written whole: its name, what it holds, and its rows."""
+    """A load written whole: its name, what it holds, its rows and its files."""
 
     name: str
     contents: tuple[str, ...]
     rows: int
+    files: tuple[str, ...]
 
 
 def _folder(location: str) -> str:
@@ -70,8 +71,10 @@ def stage(
         rows = seen["rows"]
     if also:
         also()
-    storage.write_text(spark, f"{folder}/{_NOTE}", json.dumps({"contents": contents, "rows": rows}))
-    return Staged(name, tuple(contents), rows)
+    files = [f for f in storage.files(spark, f"{folder}/files") if not f.rsplit("/", 1)[-1].startswith(("_", "."))]
+    note = {"contents": contents, "rows": rows, "files": files}
+    storage.write_text(spark, f"{folder}/{_NOTE}", json.dumps(note))
+    return Staged(name, tuple(contents), rows, tuple(files))
 
 
 def left_behind(spark: SparkSession, location: str, prefix: str = "") -> list[Staged]:
@@ -83,27 +86,28 @@ def left_behind(spark: SparkSession, location: str, prefix: str = "") -> list[St
         folder = f"{_folder(location)}/{name}"
         if storage.exists(spark, f"{folder}/{_NOTE}"):
             note = json.loads(storage.read_text(spark, f"{folder}/{_NOTE}"))
-            found.append(Staged(name, tuple(note["contents"]), note["rows"]))
+            found.append(Staged(name, tuple(note["contents"]), note["rows"], tuple(note["files"])))
         else:
             storage.remove(spark, folder)
     return found
 
 
 def publish(spark: SparkSession, table: str, load: Staged) -> None:
-    """Move the files of a staged load that have not been moved yet, and tell the catalog of their partitions."""
+    """Move the files of a staged load that have not been moved yet, and tell the catalog of all their partitions."""
     location = _described(spark, table)["location"].rstrip("/")
     base = f"{_folder(location)}/{load.name}/files"
-    names = [n for n in storage.files(spark, base) if not n.rsplit("/", 1)[-1].startswith(("_", "."))]
+
+    def place(name: str) -> str:
+        return "/".join(p for p in (location, name) if p)
 
     def move(name: str) -> None:
         folder, _, file = name.rpartition("/")
-        storage.rename_into(spark, f"{base}/{name}", "/".join(p for p in (location, folder, f"{load.name}-{file}") if p))
+        storage.rename_into(spark, f"{base}/{name}", place(f"{folder}/{load.name}-{file}" if folder else f"{load.name}-{file}"))
 
+    leaves = sorted({f.rpartition("/")[0] for f in load.files} - {""})
     with ThreadPoolExecutor(RENAMES) as pool:
-        list(pool.map(move, names))
-    # Also those whose files an earlier attempt had moved: their folders are still there.
-    folders = sorted(f for f in storage.folders(spark, base) if "=" in f)
-    leaves = [f for f in folders if not any(o.startswith(f"{f}/") for o in folders)]
+        list(pool.map(lambda leaf: storage.make(spark, place(leaf)), leaves))
+        list(pool.map(move, load.files))
     for start in range(0, len(leaves), 100):
         specs = " ".join(f"PARTITION ({_partition(leaf)})" for leaf in leaves[start : start + 100])
         spark.sql(f"ALTER TABLE {quote_name(table)} ADD IF NOT EXISTS {specs}")

@@ -65,7 +65,8 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
 
 
 def _described(spark: SparkSession, table: str) -> dict:
-    return json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {quote_name(table)} AS JSON").first()[0])
+    # Collected as it is; taking the first row would start a job.
+    return json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {quote_name(table)} AS JSON").collect()[0][0])
 
 
 def provider(spark: SparkSession, table: str) -> str:

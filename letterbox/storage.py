@@ -39,38 +39,37 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in system.listStatus(at)) if system.exists(at) else []
 
 
+def make(spark: SparkSession, path: str) -> None:
+    """A folder, with those above it."""
+    system, at = _system(spark, path)
+    system.mkdirs(at)
+
+
 def rename_into(spark: SparkSession, path: str, to: str) -> None:
-    """A file to a place that may still have to be made, or hold the same file from a move cut short."""
-    system, at = _system(spark, to)
-    system.mkdirs(at.getParent())
-    if system.exists(at):
-        system.delete(at, False)
+    """A file to its place, unless a move cut short has brought it there."""
+    system, at = _system(spark, path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(to)
+    try:
+        if system.rename(at, place):
+            return
+    except Exception:  # some file systems raise where others say no
+        pass
+    if not system.exists(at):
+        if system.exists(place):
+            return
+        raise OSError(f"neither {path} nor {to} is there")
+    system.delete(place, False)
     rename(spark, path, to)
 
 
 def files(spark: SparkSession, path: str) -> list[str]:
-    """All files below a folder, by their paths within it."""
-    return sorted(_below(spark, path, folders=False))
-
-
-def folders(spark: SparkSession, path: str) -> list[str]:
-    """All folders below a folder, by their paths within it."""
-    return sorted(_below(spark, path, folders=True))
-
-
-def _below(spark: SparkSession, path: str, folders: bool, prefix: str = "") -> list[str]:
+    """All files below a folder, by their paths within it; one listing."""
     system, at = _system(spark, path)
-    if not system.exists(at):
-        return []
-    found = []
-    for status in system.listStatus(at):
-        name = prefix + status.getPath().getName()
-        if status.isDirectory():
-            found += [name] if folders else []
-            found += _below(spark, status.getPath().toString(), folders, f"{name}/")
-        elif not folders:
-            found.append(name)
-    return found
+    base, found = system.makeQualified(at).toString().rstrip("/") + "/", []
+    listing = system.listFiles(at, True)
+    while listing.hasNext():
+        found.append(listing.next().getPath().toString().removeprefix(base))
+    return sorted(found)
 
 
 def mark(spark: SparkSession, path: str) -> None:
