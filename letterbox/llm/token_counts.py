@@ -5,16 +5,23 @@ by asking the tokenizer itself. A text is cut into pre-tokens by array
 operations over its bytes; distinct pre-tokens found in that table count
 directly, and only the others are merged by the tokenizer, each once per worker.
 
-The cut knows the characters up to U+017F, whose lower case, class and
-normal form are asked of the tokenizer as well. A text with any other
-character, or with a special token's string, goes to the tokenizer whole; both
-ways give the same tokens. A NULL text counts as empty and has no tokens; rows
-that repeat give repeated results; an empty table gives an empty result.
+The cut knows the characters up to U+07FF (Latin, Greek, Cyrillic, Armenian,
+Hebrew, Arabic and more), whose lower case, class and normal form are asked of
+the tokenizer as well. White space parts what is normalised, cut and merged, so
+any other character, such as a curly quote or a combining mark, concerns its
+run without white space only: the run counts directly if it is proved to be one
+token, and goes to the tokenizer else, once per worker if it is short. A text
+with a special token's string goes to the tokenizer whole. All ways give the
+same tokens. A NULL text counts as empty and has no tokens; rows that repeat
+give repeated results; an empty table gives an empty result; a very long text is
+a slice of its own, and its long runs are not remembered.
 """
 
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache, partial
 
@@ -27,10 +34,12 @@ from .common import ID, TEXT
 
 #: Pre-tokens remembered by a worker; beyond that it starts anew, with the same results.
 REMEMBERED = 250_000
+#: Bytes of the longest run that is remembered.
+LONGEST = 256
 
 # Classes of characters. OTHER is anything that is not white space, letter or digit.
 UNKNOWN, SPACE, LETTER, DIGIT, OTHER = range(5)
-_TOP = 0x180
+_TOP = 0x800
 _QUOTE = ord("'")
 #: Fixed values of the vocabulary's pattern: what stays with an apostrophe.
 _TAILS = (b"s", b"t", b"re", b"ve", b"m", b"ll", b"d")
@@ -59,6 +68,8 @@ class WordEncoder:
         self.lower = np.arange(_TOP)
         for point in range(_TOP):
             char = chr(point)
+            if unicodedata.combining(char):  # joins the character before it
+                continue
             low = normal(char)
             if len(low) != 1 or (ord(low) > 127) != (point > 127) or ord(low) >= _TOP:
                 if not (point < 128 and low == " "):
@@ -67,6 +78,8 @@ class WordEncoder:
             doubled = len(cut(normal(f"a{char}{char}a")))
             self.kind[point] = {(2, 2): SPACE, (1, 1): LETTER, (3, 4): DIGIT, (3, 3): OTHER}.get((n, doubled), UNKNOWN)
             self.lower[point] = ord(low)
+        known = "".join(re.escape(chr(point)) for point in np.flatnonzero(self.kind).tolist())
+        self.plain = re.compile(f"[{known}]*").fullmatch
 
     def _prove(self) -> None:
         """Which vocabulary strings, written alone, are that one token."""
@@ -91,7 +104,10 @@ class WordEncoder:
         self.closes[[i for token, i in self.whole.get_vocab().items() if token.endswith(end)]] = True
 
     def pre_tokens(self, data: np.ndarray, offsets: np.ndarray):
-        """Lowered bytes, which of them count, starts and ends of the pre-tokens, and which texts need the tokenizer."""
+        """Lowered bytes, which of them count, starts and ends of the pre-tokens.
+
+        A run without white space that holds an unknown character is one piece, as it was written.
+        """
         n = len(data)
         point = data.astype(np.int16)
         lead = (data & 0xE0) == 0xC0
@@ -107,7 +123,6 @@ class WordEncoder:
         lowered = self.lower[np.where(low_pair, pair, 0)]
         low[at] = np.where(known > 0, 0xC0 | (lowered >> 6), data[at])
         low[at + 1] = np.where(known > 0, 0x80 | (lowered & 0x3F), data[at + 1])
-        strange = common.sums(kind == UNKNOWN, offsets) > 0
 
         inside = kind != SPACE
         # A pre-token starts where the class changes, at every digit and at every text.
@@ -121,10 +136,20 @@ class WordEncoder:
         for start, length in self._contractions(low, kind, first, offsets):
             first[start + 1 : start + length] = False
             first[start + length] = True
+        if n and not kind.all():
+            begins = inside.copy()
+            begins[1:] &= ~inside[:-1]
+            begins[offsets[:-1][np.diff(offsets) > 0]] = True
+            run = np.cumsum(begins, dtype=np.int32)
+            strange = np.zeros(run[-1] + 1, bool)
+            strange[run[kind == UNKNOWN]] = True
+            whole = inside & strange[run]
+            first[:n][whole] = begins[whole]
+            low = np.where(whole, data, low)
         boundary = np.flatnonzero(first)
         starts, ends = boundary[:-1], boundary[1:]
         real = inside[starts] if len(starts) else np.zeros(0, bool)
-        return low, inside, starts[real], ends[real], strange
+        return low, inside, starts[real], ends[real]
 
     def _contractions(self, low, kind, first, offsets) -> Iterator[tuple[int, int]]:
         """Apostrophes that start a match and the length of the match with its letters."""
@@ -152,10 +177,15 @@ class WordEncoder:
         known, found = self.known, list(map(self.single.get, distinct))
         missing = [i for i, ids in enumerate(found) if ids is None]
         rest = [w for w in (distinct[i] for i in missing) if w not in known]
-        if rest:
-            known.update(zip(rest, self._merged(rest)))
+        plain = [w for w in rest if self.plain(w.decode())]
+        fresh = dict(zip(plain, self._merged(plain)))
+        if len(plain) < len(rest):
+            strange = [w for w in rest if w not in fresh]
+            fresh.update(zip(strange, self._cut_and_merged(strange)))
         for i in missing:
-            found[i] = known[distinct[i]]
+            ids = known.get(distinct[i])
+            found[i] = fresh[distinct[i]] if ids is None else ids
+        known.update((w, ids) for w, ids in fresh.items() if len(w) <= LONGEST)
         return found
 
     def _merged(self, rest: list[bytes]) -> Iterator[bytes]:
@@ -171,6 +201,19 @@ class WordEncoder:
                 yield ids[start:end].tobytes()
                 start = end
 
+    def _cut_and_merged(self, runs: list[bytes]) -> Iterator[bytes]:
+        """Runs that the tokenizer has to cut as well; an encoding holds far more than its ids, so few at once."""
+        at = 0
+        while at < len(runs):
+            upto, size = at + 1, len(runs[at])
+            while upto < len(runs) and size + len(runs[upto]) <= 16_384:
+                size += len(runs[upto])
+                upto += 1
+            texts = [r.decode() for r in runs[at:upto]]
+            for found in self.whole.encode_batch_fast(texts, add_special_tokens=False):
+                yield np.array(found.ids, "<u4").tobytes()
+            at = upto
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and where each text's begin (one more: the end)."""
         coded, lengths, per_word, firsts, counts, strange = self._words(texts)
@@ -204,8 +247,8 @@ class WordEncoder:
 
     def _words(self, texts: pa.Array):
         data, offsets = common.byte_view(texts)
-        low, inside, starts, ends, odd = self.pre_tokens(data, offsets)
-        odd = odd | self._has_special(data, offsets)
+        low, inside, starts, ends = self.pre_tokens(data, offsets)
+        odd = self._has_special(data, offsets)
         strange = {}
         if odd.any():
             numbers = np.flatnonzero(odd)

@@ -42,6 +42,67 @@ def test_any_text_at_all(text):
     assert encoder.encode(pa.array([text]))[0].tolist() == encoder.whole.encode(text, add_special_tokens=False).ids
 
 
+MIXED = ["\u201c", "\u2019", "\u2019s", "\u2014", "\u20ac", "\u2026", "\u3000", "\u2003", "\u0301", "\u0331", "\u0345", "H", "I", "I\u0307", "e\u0301",
+         "\u212b", "\u041f\u0440\u0438\u0432\u0435\u0442", "\u0439", "\u03a3\u039f\u03a6\u039f\u03a3", "\u03c2", "\u0390", "\u05d0\u05b8", "\u0627\u0653", "\u0660", "\u4e2d\u6587",
+         "\uac00", "\u1100\u1161", "\u09c7\u09be", "\ufeff", "\u200d", " ", "\n", "\xa0", "'s", "'", "word", "The", "9", "!!", "<|endoftext|>"]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(MIXED), max_size=16).map("".join), max_size=6))
+def test_other_scripts_and_marks_give_the_tokenizers_ids(texts):
+    encoder = token_counts.encoder(PATH)
+    ids, ends = encoder.encode(pa.array(texts, pa.string()))
+    expected = [encoder.whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == expected
+    assert encoder.count(pa.array(texts, pa.string())).tolist() == [len(e) for e in expected]
+
+
+def test_each_two_byte_character_has_the_tokenizers_ids_between_letters_and_alone(encoder):
+    texts = [f.format(chr(p)) for p in range(0x80, 0x900) for f in ("a{0}b{0}{0}1 {0}", "{0} H{0}")]
+    ids, ends = encoder.encode(pa.array(texts, pa.string()))
+    for text, a, b in zip(texts, ends, ends[1:]):
+        assert ids[a:b].tolist() == encoder.whole.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
+class Counting:
+    """A tokenizer that notes what it is asked to encode."""
+
+    def __init__(self, whole):
+        self.whole, self.asked = whole, []
+
+    def encode(self, text, **kwargs):
+        self.asked.append(text)
+        return self.whole.encode(text, **kwargs)
+
+    def encode_batch_fast(self, texts, **kwargs):
+        self.asked += texts
+        return self.whole.encode_batch_fast(texts, **kwargs)
+
+
+def test_texts_with_curly_quotes_and_cyrillic_take_the_table(monkeypatch):
+    encoder = token_counts.WordEncoder(PATH)
+    texts = ["\u201cthe house\u201d is big " * 50, "\u0434\u043e\u043c and the house " * 50, "\u4e2d\u6587 " + "the house is big " * 50]
+    expected = [encoder.whole.encode(t, add_special_tokens=False).ids for t in texts]
+    counting = Counting(encoder.whole)
+    monkeypatch.setattr(encoder, "whole", counting)
+    ids, ends = encoder.encode(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == expected
+    # Only runs with a character beyond the table, each once; no text and no whole token.
+    asked = [w for text in counting.asked for w in text.split()]
+    assert set(asked) <= {"\u201cthe", "house\u201d", "\u0434\u043e\u043c", "\u4e2d\u6587"} and len(asked) == len(set(asked))
+    counting.asked.clear()
+    assert encoder.count(pa.array(texts)).tolist() == [len(e) for e in expected]
+    assert counting.asked == []
+
+
+def test_long_runs_are_right_and_not_remembered():
+    encoder = token_counts.WordEncoder(PATH)
+    text = "\u4e2d\u6587" * 20_000 + " the " + "\u2019s" * 300
+    expected = encoder.whole.encode(text, add_special_tokens=False).ids
+    assert encoder.encode(pa.array([text]))[0].tolist() == expected
+    assert all(len(w) <= token_counts.LONGEST for w in encoder.known)
+
+
 def test_whole_tokens_are_proved(encoder):
     assert len(encoder.single) > 30_000
     for word in random.Random(1).sample(sorted(encoder.single), 200):
