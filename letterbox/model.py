@@ -75,6 +75,7 @@ class LoadOptions:
     count_lost_values: bool = False
     schemas: str = "union"
     evolve: bool = False
+    versions: bool = False
     concurrent_tables: int = 8
     audit_table: str | None = None
 

@@ -35,10 +35,11 @@ from ..operators.evolution import evolved, fitted
 from ..operators.payload import payload_rejects, text_rows, typed_payload, typed_rows, with_day, with_rule
 from ..operators.quality import assert_keys, cast_report, guard_keys
 from ..session import small_rows
+from ..sinks import versions
 from ..sinks.landing import accepted, land
 from ..sinks.schemas import evolve_table, newest_schema
 from ..sinks.staged import finish, left_behind, publish, stage
-from ..sinks.tables import counts_of, create_table, drop_table, recover_partitions, save, save_day
+from ..sinks.tables import counts_of, create_table, drop_table, save, save_day
 from ..sources.files import read_landing
 from ..sources.hub import read_messages, select_window
 from ..sources.origins import name_list
@@ -166,7 +167,9 @@ def ensure_table(spark: SparkSession, schema: T.StructType, spec: TableSpec, opt
     )
     if storage.exists(spark, location):
         # It may hold partitions of earlier runs, known to another catalog.
-        recover_partitions(spark, name)
+        versions.recover(spark, name)
+    if options.versions:
+        versions.enable(spark, name)
     return True
 
 

@@ -1,7 +1,7 @@
-"""Derived tables kept up to date from catalog tables over a look-back.
+"""Derived tables kept up to date from catalog tables, over a look-back or from what changed.
 
 The caller says how outputs follow from inputs; this module reads the inputs,
-sets the window, and writes each output in the run's mode.
+sets the window or finds the changed partitions, and writes each output.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.dates import Window, lookback_window
 from ..model import LoadResult
-from ..sinks.tables import create_table, rebuild, save
+from ..sinks import versions
+from ..sinks.tables import create_table, partition_columns, rebuild, save
 from ..sources.origins import name_list, read_origins
 from .merge import upsert
 
@@ -81,3 +82,69 @@ def refresh(
         except Exception as error:  # one output must not stop the others
             results.append(LoadResult(name, "failed", mode, error=f"{type(error).__name__}: {error}"))
     return results
+
+
+Changed = Callable[[dict[str, DataFrame]], DataFrame]
+
+
+def refresh_changed(spark: SparkSession, build: Changed, target: Target, origins: str) -> LoadResult:
+    """Build anew only the partitions of an output whose origins changed since its last version.
+
+    Output and origins keep versions; an output's version holds the origins'
+    versions that it was made from, so a run that breaks off is simply made
+    again. An origin partitioned by all of the output's partition columns (it
+    may have more) is read in the partitions concerned only; ``build`` must put
+    what it reads of a partition into the same partition, else the run fails.
+    A change of any other origin concerns all partitions. The origins are read as
+    of the versions noted. ``empty`` is the answer when nothing changed.
+    """
+    names = name_list(origins)
+    read_origins(spark, origins)  # names all that are missing
+    newest = {name: versions.version(spark, name) for name in names}
+    shared = {n: _shared_partitions(spark, n, target) for n in names}
+    made = spark.catalog.tableExists(target.name)
+    done = versions.version(spark, target.name).sources if made else {}
+    concerned: set[str] | None = set()
+    for name in names:
+        changed = versions.changed_since(spark, name, done.get(name))
+        if name not in done or (changed and not shared[name]):
+            concerned = None
+            break
+        concerned |= {_project(folder, target.partitions) for folder in changed}
+    if concerned is not None and not concerned and set(done) == set(names):
+        return LoadResult(target.name, "empty", "overwrite", 0)
+
+    def read(name: str) -> DataFrame:
+        if concerned is None or not shared[name]:
+            return versions.as_of(spark, name, newest[name].number)
+        return versions.as_of(
+            spark, name, newest[name].number, lambda folder: _project(folder, target.partitions) in concerned
+        )
+
+    rows = build({name: read(name) for name in names})
+    if not made:
+        create_table(
+            spark, target.name, rows.schema, target.location, target.partitions, database_location=target.database_location
+        )
+        versions.recover(spark, target.name)
+        versions.enable(spark, target.name)
+    counts = versions.replace(
+        rows,
+        target.name,
+        whole=concerned is None,
+        emptied=concerned or (),
+        within=None if concerned is None else concerned.__contains__,
+        sources={name: newest[name].number for name in names},
+    )
+    return LoadResult(target.name, "loaded", "overwrite", counts["rows"])
+
+
+def _shared_partitions(spark: SparkSession, origin: str, target: Target) -> bool:
+    """Whether an origin's partition columns tell the output's partitions."""
+    return bool(target.partitions) and set(target.partitions) <= set(partition_columns(spark, origin))
+
+
+def _project(folder: str, partitions: tuple[str, ...]) -> str:
+    """The output's partition that an origin's partition, by its folder name, belongs to."""
+    values = dict(piece.split("=", 1) for piece in folder.split("/"))
+    return "/".join(f"{p}={values[p]}" for p in partitions)

@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from .. import storage
 from ..operators.evolution import SchemaConflict, changes, evolved
 from ..session import small_rows
-from .tables import _described, _literal, create_table, drop_table, quote_name, recover_partitions
+from . import versions
+from .tables import _described, _literal, create_table, drop_table, quote_name
 
 #: Table property that names the version in the catalog.
 VERSION = "letterbox.schema.version"
@@ -111,14 +112,14 @@ def evolve_table(spark: SparkSession, table: str, sent: T.StructType) -> int | N
 def _replace_entry(spark: SparkSession, table: str, described: dict, grown: T.StructType, before: T.StructType) -> None:
     parts = described.get("partition_columns", [])
     schema = T.StructType(grown.fields + [before[p] for p in parts])
-    kept = {k: v for k, v in described.get("table_properties", {}).items() if k != VERSION}
+    kept = {k: v for k, v in described.get("table_properties", {}).items() if k not in (VERSION, versions.SHOWN)}
     drop_table(spark, table)
     create_table(spark, table, schema, described["location"], parts, described["provider"])
     if kept:
         pairs = ", ".join(f"{_literal(k)} = {_literal(v)}" for k, v in kept.items())
         spark.sql(f"ALTER TABLE {quote_name(table)} SET TBLPROPERTIES ({pairs})")
     if parts and storage.exists(spark, described["location"]):
-        recover_partitions(spark, table)
+        versions.recover(spark, table)
 
 
 def schema_history(spark: SparkSession, location: str) -> DataFrame:

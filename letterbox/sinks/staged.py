@@ -18,7 +18,7 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from .. import storage
-from .tables import _described, _literal, aligned, counts_of, has_log, quote_name, spread
+from .tables import _described, _literal, _versioned, aligned, counts_of, has_log, quote_name, spread
 
 #: What Spark calls the folder of a NULL partition value.
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -58,6 +58,8 @@ def stage(
     described = _described(spark, table)
     if has_log(described["provider"]):
         raise ValueError(f"{table}: {described['provider']} appends in its own way")
+    if _versioned(described):
+        raise ValueError(f"{table} keeps versions: its partitions are replaced, not appended to")
     parts, folder = described.get("partition_columns", []), f"{_folder(described['location'])}/{name}"
     storage.remove(spark, folder)
     counted, out = Observation(), aligned(df, table)

@@ -69,6 +69,10 @@ def _described(spark: SparkSession, table: str) -> dict:
     return json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {quote_name(table)} AS JSON").collect()[0][0])
 
 
+def _versioned(described: Mapping) -> bool:
+    return "letterbox.version" in described.get("table_properties", {})
+
+
 def provider(spark: SparkSession, table: str) -> str:
     return _described(spark, table)["provider"]
 
@@ -152,14 +156,22 @@ def save(
 
     ``append`` adds rows, ``overwrite`` replaces the partitions present in
     ``df`` (the whole table when it has none).  Rows are first brought together
-    by partition, unless ``shuffle`` is off.  The counts are taken in the
+    by partition, unless ``shuffle`` is off.  A table that keeps versions
+    (see ``versions``) gets a new one and takes no appends.  The counts are taken in the
     writing stage, where each task counts once however often it is retried;
     should they get lost, the same rows are counted by a job of their own.
     """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"unknown write mode {mode!r}")
     spark = df.sparkSession
-    parts = partition_columns(spark, table)
+    described = _described(spark, table)
+    parts = described.get("partition_columns", [])
+    if _versioned(described):
+        if mode == "append":
+            raise ValueError(f"{table} keeps versions: its partitions are replaced, not appended to")
+        from .versions import replace  # which builds on this module
+
+        return replace(df, table, metrics=metrics, shuffle=shuffle)
     if parts and mode == "overwrite":
         ensure_partition_overwrite(spark, table)
     counted = Observation()
@@ -189,6 +201,10 @@ def save_day(
 
 def clear_partition(spark: SparkSession, table: str, values: Mapping[str, object]) -> None:
     """Remove the rows of one partition."""
+    if _versioned(_described(spark, table)):
+        from .versions import empty_partition  # which builds on this module
+
+        return empty_partition(spark, table, values)
     data = T.StructType([f for f in spark.table(table).schema.fields if f.name not in values])
     spec = ", ".join(f"{quote_name(k)} = {_literal(v)}" for k, v in values.items())
     spark.sql(
@@ -203,9 +219,15 @@ def rebuild(
     """Write the table anew from ``df`` and put it in the old one's place, old partitions included.
 
     The new files are complete before the old ones are touched, and those go
-    last: a build that fails leaves the table as it was.
+    last: a build that fails leaves the table as it was. A table that keeps
+    versions gets one with other partitions and the same columns.
     """
     spark, run = df.sparkSession, uuid.uuid4().hex
+    if spark.catalog.tableExists(table) and _versioned(_described(spark, table)):
+        from .versions import replace  # which builds on this module
+
+        replace(df, table, whole=True)
+        return
     location = location.rstrip("/")
     fresh, old = f"{location}-new-{run}", f"{location}-old-{run}"
     writer = spread(df, partitions).write.format(fmt)
@@ -303,4 +325,7 @@ def compact(
     """
     from .compaction import pack  # which builds on this module
 
+    if _versioned(_described(spark, table)):
+        raise ValueError(f"{table} keeps versions, whose files must stay as they are")
+
     return pack(spark, table, where, target_bytes)
