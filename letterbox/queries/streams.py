@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.quality import partition_counts
@@ -71,6 +73,53 @@ def stream_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_to_end(joined, "joined")
 
 
+@query("""
+SELECT e.event_id, p.purchase_id, CAST(0 AS BIGINT) AS state_rows
+FROM events e LEFT JOIN (
+    SELECT event_id AS purchase_id, user_id, ts FROM events WHERE event_type = 'purchase'
+) p ON e.user_id = p.user_id AND p.ts BETWEEN e.ts - INTERVAL 1 HOUR AND e.ts + INTERVAL 1 HOUR
+""")
+def stream_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event with its user's purchases within an hour, or with none once none can come.
+
+    The events arrive in two drops, half a month each, and a closing message;
+    ``state_rows`` is what the join still holds at the end.
+    """
+    folder = new_folder(spark, "left-join")
+    events = read(spark, sf_dir, "events").select(
+        "event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts")
+    )
+    closing = spark.range(1).select(
+        F.lit(None).cast("long").alias("event_id"),
+        F.lit(0).cast("long").alias("user_id"),
+        F.lit("purchase").alias("event_type"),
+        F.lit(MONTH.end + timedelta(days=1)).alias("ts"),
+    )
+    early = F.dayofmonth("ts") <= 15
+    for drop in (events.filter(early), events.filter(~early), closing):
+        drop.write.mode("append").parquet(f"{folder}/hub")
+        hub = spark.readStream.schema(events.schema).parquet(f"{folder}/hub")
+        bought = hub.filter("event_type = 'purchase'").selectExpr(
+            "event_id AS purchase_id", "user_id", "ts AS bought_at"
+        )
+        joined = streams.join_streams(
+            hub,
+            bought,
+            "user_id",
+            ["event_id", "purchase_id"],
+            times=("ts", "bought_at"),
+            delay="1 hour",
+            within="1 hour",
+            salts=4,
+            how="left",
+            until=MONTH.end,
+        )
+        running = streams.start(joined, "parquet", f"{folder}/checkpoint", path=f"{folder}/out")
+        streams.finish(running)
+    out = spark.read.schema(joined.schema).parquet(f"{folder}/out")
+    return out.withColumn("state_rows", F.lit(streams.state_rows(running)).cast("long"))
+
+
 @query("SELECT event_type AS tabela, count(*) AS n FROM events GROUP BY ALL")
 def stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages land as they stream in; their tables then load from the landing zone."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -53,23 +54,49 @@ def join_streams(
     delay: str | None = None,
     within: str | None = None,
     salts: int = 1,
+    how: str = "inner",
+    until: datetime | None = None,
 ) -> DataFrame:
-    """Inner equi-join of two streams, projected to ``columns``.
+    """Equi-join of two streams, projected to ``columns``.
 
     As it stands both sides stay in state for good.  ``times`` names the event
     time of each side, ``delay`` bounds lateness and ``within`` the distance
-    between matching rows, which lets old state go.  ``salts`` splits each key
-    over that many state partitions by the right row's content, with the left
-    row (the side with fewer rows per key) copied to each.
+    between matching rows, which lets old state go.
+
+    ``how="left"`` needs all three: each left row then comes out with every
+    match, or once with NULLs as soon as no match can come any more, and leaves
+    the state.  Left rows without a time match nothing and come out at once,
+    from a scan of their own.  Rows at or past ``until`` are no data, they only
+    move the clock: one on each side, with some key (rows without one may be
+    filtered before the clock sees them), empties the state of a finished input.
+
+    ``salts`` splits each key over that many state partitions by the content of
+    one side's rows, with the other side's copied to each: an inner join deals
+    the right rows, a left join the left ones, as a copy of a left row would
+    come out unmatched wherever it lies alone.
     """
+    if how not in ("inner", "left"):
+        raise ValueError(f"unknown kind of join {how!r}")
+    if how == "left" and not (times and delay and within):
+        raise ValueError("a left join of streams needs times, delay and within")
+    if until and not (times and delay):
+        raise ValueError("until needs times and delay")
+    timeless = left.filter(quoted(times[0]).isNull()) if how == "left" else None
     keys = [on]
     if times and delay:
         left = left.withWatermark(times[0], delay)
         right = right.withWatermark(times[1], delay)
+    if how == "left":
+        left, right = (df.filter(quoted(t).isNotNull()) for df, t in zip((left, right), times))
+    if until:
+        # Behind the watermark, so that the rows left out still move it.
+        left, right = (df.filter(quoted(t) < F.lit(until)) for df, t in zip((left, right), times))
     if salts > 1:
-        left = left.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        content = F.xxhash64(*[quoted(c) for c in right.columns])
-        right = right.withColumn("salt", F.pmod(content, F.lit(salts)).cast("int"))
+        dealt, copied = (left, right) if how == "left" else (right, left)
+        content = F.xxhash64(*[quoted(c) for c in dealt.columns])
+        dealt = dealt.withColumn("salt", F.pmod(content, F.lit(salts)).cast("int"))
+        copied = copied.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        left, right = (dealt, copied) if how == "left" else (copied, dealt)
         keys.append("salt")
     left, right = left.alias("l"), right.alias("r")
     condition = F.lit(True)
@@ -79,8 +106,10 @@ def join_streams(
         first, second = F.col(f"l.{times[0]}"), F.col(f"r.{times[1]}")
         span = F.expr(f"INTERVAL {within}")
         condition = condition & second.between(first - span, first + span)
-    joined = left.join(right, condition, "inner").drop(F.col(f"r.{on}"))
-    return joined.select(*[quoted(c) for c in columns])
+    joined = left.join(right, condition, how).drop(F.col(f"r.{on}")).select(*[quoted(c) for c in columns])
+    if timeless is None:
+        return joined
+    return joined.unionByName(timeless.select(*[quoted(c) for c in columns if c in timeless.columns]), True)
 
 
 def start(
@@ -136,6 +165,11 @@ def finish(query: StreamingQuery, timeout: float | None = None) -> None:
         raise TimeoutError(f"stream {query.name or query.id} did not end in {timeout} s")
 
 
+def state_rows(query: StreamingQuery) -> int:
+    """Rows that a query's operators held after its last batch."""
+    return sum(operator["numRowsTotal"] for operator in query.lastProgress["stateOperators"])
+
+
 def land_stream(
     messages: DataFrame,
     path: str,

@@ -1,4 +1,5 @@
 import json
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -123,3 +124,51 @@ def test_messages_land_once_across_runs(spark, tmp_path, messages):
     landed = land(files_per_table=2)
     assert sorted(r.header_destino_diretorio or "-" for r in landed.collect()) == ["-", "a", "b"]
     assert rejected(landed).count() == 1
+
+
+def timed_join(spark, folder, **changes):
+    schema = "id BIGINT, name STRING, at TIMESTAMP"
+    left = spark.readStream.schema(schema).json(str(folder / "left"))
+    right = spark.readStream.schema(schema).json(str(folder / "right")).selectExpr("id", "name AS other", "at AS then")
+    arguments = dict(times=("at", "then"), delay="1 minute", within="10 minutes", how="left") | changes
+    return streams.join_streams(left, right, "id", ["name", "other"], **arguments)
+
+
+def row(id, name, at):
+    return {"id": id, "name": name, "at": at and f"2024-01-01T{at}:00Z"}
+
+
+@pytest.mark.parametrize("salts", [1, 3])
+def test_left_join_gives_each_row_once_its_time_is_over(spark, tmp_path, salts):
+    until = datetime(2024, 1, 2, tzinfo=timezone.utc)
+
+    def drop(number, left, right):
+        write_lines(tmp_path / "left", f"{number}.json", *left)
+        write_lines(tmp_path / "right", f"{number}.json", *right)
+        df = timed_join(spark, tmp_path, salts=salts, until=until)
+        query = streams.start(df, "parquet", str(tmp_path / "checkpoint"), path=str(tmp_path / "out"))
+        streams.finish(query, 60)
+        found = spark.read.schema(df.schema).parquet(str(tmp_path / "out")).collect()
+        return sorted(tuple(x or "-" for x in r) for r in found), streams.state_rows(query)
+
+    first = [row(1, "a", "01:00"), row(1, "a", "01:00"), row(2, "b", "01:05"), row(3, "c", "03:00"), row(4, "t", None)]
+    found, held = drop(1, first, [row(1, "x", "01:09"), row(1, "y", "00:51"), row(1, "z", "02:00"), row(3, "w", "03:00")])
+    # Of repeated rows each has its matches; b's time is over, c's match may not be its last.
+    pairs = [("a", "x"), ("a", "x"), ("a", "y"), ("a", "y"), ("b", "-"), ("c", "w"), ("t", "-")]
+    assert found == pairs and held > 0
+    found, held = drop(2, [row(None, "n", "04:00"), row(5, "d", "04:00")], [row(3, "v", "03:10"), row(None, "m", "04:00")])
+    assert ("c", "v") in found
+    closing = {"id": 0, "name": "end", "at": "2024-01-03T00:00:00Z"}
+    found, held = drop(3, [closing], [closing])
+    assert found == sorted([*pairs, ("c", "v"), ("d", "-"), ("n", "-")]) and held == 0
+
+
+def test_left_join_needs_its_bounds(spark, tmp_path):
+    for side in ("left", "right"):
+        write_lines(tmp_path / side, "1.json", row(1, "a", "01:00"))
+    with pytest.raises(ValueError, match="within"):
+        timed_join(spark, tmp_path, within=None)
+    with pytest.raises(ValueError, match="until"):
+        timed_join(spark, tmp_path, how="inner", delay=None, until=datetime(2024, 1, 2))
+    with pytest.raises(ValueError, match="kind"):
+        timed_join(spark, tmp_path, how="full")
