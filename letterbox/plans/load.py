@@ -44,6 +44,8 @@ from ..sources.files import read_landing
 from ..sources.hub import read_messages, select_window
 from ..sources.origins import name_list
 
+POOL = "spark.scheduler.pool"
+
 REPORT_SCHEMA = pa.schema(
     {
         "tabela": pa.string(),
@@ -270,9 +272,13 @@ def _load_each(
     specs = {row.tabela: row for row in resolve_specs(landed).toLocalIterator()}
     alike = Counter(_place(row) for row in specs.values())
 
+    pools = _pool_each(spark)
+
     def result(table: str) -> LoadResult:
         if table not in specs:
             return LoadResult(table, "empty")
+        if pools:
+            spark.sparkContext.setLocalProperty(POOL, f"load-{table}")
         try:
             if alike[_place(specs[table])] > 1:
                 same = sorted(t for t, row in specs.items() if _place(row) == _place(specs[table]))
@@ -291,6 +297,19 @@ def _load_each(
     return results
 
 
+def _pool_each(spark: SparkSession) -> bool:
+    """Whether tables get scheduler pools of their own.
+
+    First in, first out, a hot table's tasks go before those of all tables that
+    came later.  Where the cluster schedules fairly, pools share the cores evenly
+    (those not named in its allocation file weigh the same), so small tables end
+    early.  A pool that the caller chose stays: the run is one job among others.
+    """
+    context = spark.sparkContext
+    fair = context.getConf().get("spark.scheduler.mode", "FIFO").upper() == "FAIR"
+    return fair and not context.getLocalProperty(POOL)
+
+
 def _place(row) -> tuple[str, str]:
     """What names a table in the catalog, which ignores case."""
     return row.origem.lower(), row.tabela.lower()
