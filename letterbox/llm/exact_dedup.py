@@ -2,8 +2,10 @@
 
 Texts are equal when they are after each run of ASCII white space became one
 space. Of equal texts the row with the smallest id stays; NULL ids come last;
-of rows that repeat id and text one stays. NULL texts count as empty, and empty
-texts equal each other. An empty table gives an empty result.
+of rows that repeat id and text one stays, and equal ids with texts that differ
+in their white space tie by the text's hash. NULL texts count as empty, and empty
+texts equal each other. Very long texts are read whole, by one task each, and never
+shuffled. Only the two columns are read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -77,12 +79,23 @@ def exact_duplicates(
         F.lit("prefix").alias("settled_by"),
     )
     size = hashed.count()
+    # Rows that repeat id and text are counted within their task only: no count exceeds a task's rows.
     rows = common.saved(
-        hashed.filter("lb_hit").groupBy("text_sha256", "lb_length", ID, ROW_HASH).agg(F.count("*").alias("lb_times")),
+        hashed.filter("lb_hit")
+        .withColumn("lb_task", F.spark_partition_id())
+        .groupBy("text_sha256", "lb_length", ID, ROW_HASH, "lb_task")
+        .agg(F.count("*").alias("lb_times")),
         "exact-rows",
         size,
     )
-    first = F.min(F.struct(F.col(ID).isNull().alias("none"), F.col(ID).alias("id"), F.col(ROW_HASH).alias("hash")))
+    first = F.min(
+        F.struct(
+            F.col(ID).isNull().alias("none"),
+            F.col(ID).alias("id"),
+            F.col(ROW_HASH).alias("hash"),
+            F.col("lb_task").alias("task"),
+        )
+    )
     groups = common.saved(
         rows.groupBy("text_sha256").agg(first.alias("lb_first"), F.sum("lb_times").alias("group_size")),
         "exact-groups",
@@ -94,6 +107,7 @@ def exact_duplicates(
     stays = (
         F.col(ID).eqNullSafe(F.col("lb_first.id"))
         & (F.col(ROW_HASH) == F.col("lb_first.hash"))
+        & (F.col("lb_task") == F.col("lb_first.task"))
         & (F.col("lb_copy") == 1)
     )
     grouped = joined.select(

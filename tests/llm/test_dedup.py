@@ -50,6 +50,19 @@ def test_exact_duplicates_of_odd_rows(odd):
     assert {r.doc_id for r in kept.collect()} == {1, 2, 4, 5, 7, 8, None}
 
 
+def test_many_repeats_of_a_row_are_counted_within_their_tasks(documents):
+    crowd = documents([(None, "same text")] * 6000).repartition(6)
+    docs = crowd.unionByName(documents([(3, "same  text"), (3, "same  text")]))
+    found = exact_dedup.exact_duplicates(docs).groupBy(ID, "keep_id", "group_size", "kept").count().collect()
+    assert {(r[ID], r.keep_id, r.group_size, r.kept): r["count"] for r in found} == {
+        (None, 3, 6002, False): 6000,
+        (3, 3, 6002, True): 1,
+        (3, 3, 6002, False): 1,
+    }
+    assert exact_dedup.exact_duplicates(crowd).filter("kept").count() == 1
+    assert exact_dedup.drop_exact_duplicates(docs).count() == 1
+
+
 def test_full_hashes_are_taken_of_survivors_only(documents):
     docs = documents([(1, "alone"), (2, "pair  x"), (3, "pair x"), (4, "pair y")])
     found = {r[ID]: r for r in exact_dedup.exact_duplicates(docs).collect()}
