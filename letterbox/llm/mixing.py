@@ -9,7 +9,8 @@ blocks of documents, cut where the budget ends.
 A NULL source counts as the source ''. A NULL id counts as empty text. A text
 without a word has no tokens and rides along where its place in the permutation
 falls. Rows that repeat id and token count share one fate at the cut. A source
-without tokens keeps one pass. An empty table gives an empty result.
+without tokens keeps one pass. Very long texts are counted whole and not cut: a
+document falls on one side of the budget's end. An empty table gives an empty result.
 """
 
 from __future__ import annotations

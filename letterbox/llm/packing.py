@@ -8,7 +8,9 @@ driver, in patterns with multiplicities; the pieces, ranked within their length,
 then find their places by themselves.
 
 A NULL or empty text is its end id alone. Rows that repeat are packed each. NULL
-ids are carried through. An empty table gives an empty result.
+ids are carried through. A very long text is tokenized whole by one task and cut
+only then. Pieces of equal length are interchangeable; their ids and checksums
+order them. An empty table gives an empty result.
 """
 
 from __future__ import annotations

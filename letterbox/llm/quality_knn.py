@@ -8,7 +8,9 @@ worker; each text is compared with all of them in blocks.
 
 A NULL or empty text has the zero vector: all cosines are zero, and its score is
 the share of label 1. Rows that repeat get equal scores; NULL ids are carried
-through. An empty table gives an empty result; without labels all scores are 0.5.
+through. Very long texts are read whole, in a slice of their own. Of labelled texts
+tied for the last place among the neighbours some vote, the same ones for the same
+cosines. An empty table gives an empty result; without labels all scores are 0.5.
 """
 
 from __future__ import annotations

@@ -2,7 +2,8 @@
 
 A NULL or empty text has no words: all measurements are zero, and the rule on
 few words fails. Rows that repeat give repeated ledger rows; NULL ids are
-carried through. An empty table gives an empty ledger.
+carried through. A very long text is measured whole, in a slice of its own.
+Measurements have no ties. An empty table gives an empty ledger.
 """
 
 from __future__ import annotations
@@ -45,6 +46,8 @@ RULES: dict[str, tuple[int, str]] = {
 POLICIES: dict[str, list[str]] = {
     "base": ["few_words", "repeated_windows"],
     "v1": list(RULES),
+    # Short words and exclamations are for other stages to judge.
+    "v2": ["few_words", "repeated_windows", "symbols", "duplicate_lines", "long_words", "shouting"],
 }
 
 
@@ -126,6 +129,12 @@ def fails(policy: str) -> Column:
     return F.col("failed").bitwiseAND(F.lit(mask(policy))) != 0
 
 
+def lone_rule(policy: str) -> Column:
+    """The rule that alone rejects a ledger row under the policy, or NULL."""
+    seen = F.col("failed").bitwiseAND(F.lit(mask(policy)))
+    return F.coalesce(*[F.when(seen == 1 << RULES[r][0], F.lit(r)) for r in POLICIES[policy]])
+
+
 def ablation(rows: DataFrame, policy: str) -> DataFrame:
     """What each rule of a policy does: ``rule``, ``failing``, ``alone`` (rejected by it only,
     so kept without it), ``rejected`` (by the whole policy) and ``rows``.

@@ -131,8 +131,14 @@ def op3_byte_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = quality_rules.ledger(table(spark, sf_dir, "documents"))
-    return rows.select(
+    """The ledger's verdicts under two policies, and how many rows v1 would keep without the rule that alone rejects one."""
+    rows = saved(quality_rules.ledger(table(spark, sf_dir, "documents")), "ledger")
+    # One row per rule.
+    effects = quality_rules.ablation(rows, "v1").select(
+        F.col("rule").alias("lone_rule"), F.col("alone").alias("lone_rule_rows")
+    )
+    judged = rows.withColumn("lone_rule", quality_rules.lone_rule("v1")).join(F.broadcast(effects), "lone_rule", "left")
+    return judged.select(
         F.col(ID).alias("doc_id"),
         "n_words",
         "word_chars",
@@ -142,6 +148,9 @@ def op4_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         quality_rules.fails("base").alias("base_failed"),
         (~quality_rules.fails("base") & ~quality_rules.fails("v1")).alias("kept"),
         "failed",
+        (~quality_rules.fails("v2")).alias("kept_v2"),
+        "lone_rule",
+        "lone_rule_rows",
     )
 
 
@@ -179,7 +188,11 @@ WITH d AS (
   FROM m
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-       failed & 3 <> 0 AS base_failed, failed = 0 AS kept, failed FROM f
+       failed & 3 <> 0 AS base_failed, failed = 0 AS kept, failed, failed & 95 = 0 AS kept_v2,
+       CASE failed WHEN 1 THEN 'few_words' WHEN 2 THEN 'repeated_windows' WHEN 4 THEN 'symbols'
+         WHEN 8 THEN 'duplicate_lines' WHEN 16 THEN 'long_words' WHEN 32 THEN 'short_words'
+         WHEN 64 THEN 'shouting' WHEN 128 THEN 'exclamations' END AS lone_rule,
+       CASE WHEN bit_count(failed) = 1 THEN count(*) OVER (PARTITION BY failed) END AS lone_rule_rows FROM f
 """
 
 

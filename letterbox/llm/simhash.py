@@ -2,7 +2,9 @@
 
 A NULL or empty text has no shingle and fingerprint zero; such rows form a
 group like any other. Equal fingerprints always link, also of repeated rows.
-NULL ids are passed over when the smallest id of a component is taken. An empty
+NULL ids are passed over when the smallest id of a component is taken; of rows that
+share it the smallest hash of the text stays. A bit set in exactly half the shingles
+is 0. A very long text is read whole by one task. An empty
 table gives an empty result.
 """
 

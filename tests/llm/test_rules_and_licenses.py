@@ -77,6 +77,20 @@ def test_policies_and_ablation_agree_with_the_bits(documents):
     assert quality_rules.ablation(rows.limit(0), "v1").count() == 0
 
 
+def test_versions_of_a_policy_differ_and_a_lone_rule_is_named(documents):
+    loud = " ".join(f"good{i}!" for i in range(90))
+    both = "# " + " ".join(f"a{i}#!" for i in range(60))
+    rows = quality_rules.ledger(documents([(1, loud), (2, both), (3, "short text"), (4, None)]))
+    found = rows.select(ID, quality_rules.fails("v1").alias("v1"), quality_rules.fails("v2").alias("v2"),
+                        quality_rules.lone_rule("v1").alias("one"), quality_rules.lone_rule("v2").alias("two"))
+    assert {tuple(r) for r in found.collect()} == {
+        (1, True, False, "exclamations", None),
+        (2, True, True, None, "symbols"),
+        (3, True, True, "few_words", "few_words"),
+        (4, True, True, "few_words", "few_words"),
+    }
+
+
 def scan(documents, texts):
     found = licenses.license_scan(documents(list(enumerate(texts)))).collect()
     return {r[ID]: (r.license, r.line_licenses, r.license_lines) for r in found}
