@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import json
+import re
 import time
 import uuid
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from .. import storage
 from ..functions.columns import quoted
-from ..session import adaptive
+from ..session import adaptive, small_rows
 
 # Makes every INSERT OVERWRITE replace only the partitions it has rows for, so
 # no session-wide setting has to change while several tables load at once.
@@ -113,6 +115,42 @@ def spread(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.repartition(*columns, F.pmod(F.xxhash64(*content), F.lit(max(8, tasks // 8))))
 
 
+def task_bytes(spark: SparkSession) -> int:
+    """The session's advisory partition size."""
+    text = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgtp]?)i?b?", text.strip().lower()).groups()
+    return max(1, int(number) << 10 * (" kmgtp".index(unit) if unit else 0))
+
+
+def dealt(df: DataFrame, column: str, size: str) -> DataFrame:
+    """Rows of Parquet files brought together by ``column`` in tasks of equal size.
+
+    ``size`` is a column with each row's bytes, which is dropped.  Lined up by
+    the column, the rows are cut every ``task_bytes``: small groups share a
+    task, a large one gets as many as it fills.  A row's place follows from its
+    place in its file, so it is the same when a lost task runs again, and rows
+    that are alike spread as others do.
+    """
+    spark, most, before, ahead = df.sparkSession, task_bytes(df.sparkSession), 0, []
+    # One row per value of the column.
+    for group in df.groupBy(column).agg(F.sum(size).alias("bytes")).sort(column).toLocalIterator():
+        ahead.append({"letterbox_group": group[column], "letterbox_before": before, "letterbox_size": group.bytes})
+        before += group.bytes
+    groups = small_rows(spark, ahead, _GROUPS)
+    at = F.pmod(F.xxhash64("_metadata.file_name", "_metadata.row_index"), F.lit(1 << 24)) / F.lit(1 << 24)
+    placed = df.withColumn("letterbox_at", at).join(
+        F.broadcast(groups), F.col(column).eqNullSafe(F.col("letterbox_group")), "left"
+    )
+    start, own = F.coalesce("letterbox_before", F.lit(0)), F.coalesce("letterbox_size", F.lit(0))
+    task = F.floor((start + F.col("letterbox_at") * own) / F.lit(most)).cast("int")
+    return placed.repartitionById(1 + before // most, task).select(*[quoted(c) for c in df.columns if c != size])
+
+
+_GROUPS = pa.schema(
+    {"letterbox_group": pa.string(), "letterbox_before": pa.int64(), "letterbox_size": pa.int64()}
+)
+
+
 def _hashable(dtype: T.DataType) -> bool:
     return "map" not in dtype.simpleString() and "variant" not in dtype.simpleString()
 

@@ -99,6 +99,25 @@ def test_a_hot_table_lands_in_several_files(spark, tmp_path):
     assert read_landing(spark, str(tmp_path / "landing"), "hot", "parquet").count() == 18000
 
 
+def test_landing_tasks_are_sized_by_what_they_hold_not_by_compressed_bytes(spark, tmp_path):
+    """Alike messages shuffle to next to nothing, but are sorted as whole rows."""
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    texts = [json.dumps(envelope(table, payload=[{"id": 1, "store": "a"}])) for table in ("hot", "cold", "cool")]
+    body = F.when(F.col("id") % 1000 == 0, texts[1]).when(F.col("id") % 1000 == 1, texts[2]).otherwise(texts[0])
+    messages = spark.range(0, 20000, numPartitions=4).select(body.cast("binary").alias("body"))
+    path = tmp_path / "landing"
+    spark.conf.set(setting, "1m")
+    try:
+        land(messages, str(path), "parquet")
+    finally:
+        spark.conf.unset(setting)
+    files = {table: len(list((path / f"header_destino_diretorio={table}").glob("*.parquet"))) for table in ("hot", "cold", "cool")}
+    assert files["hot"] >= 10 and files["cold"] <= 2 and files["cool"] <= 2
+    landed = read_landing(spark, str(path), fmt="parquet").groupBy("header_destino_diretorio").count().collect()
+    assert {r[0]: r[1] for r in landed} == {"hot": 19960, "cold": 20, "cool": 20}
+    assert [p.name for p in tmp_path.iterdir()] == ["landing"]
+
+
 def test_a_hot_partition_is_split_on_insert(spark, tmp_path):
     setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     name = f"p_{uuid.uuid4().hex}.target"
