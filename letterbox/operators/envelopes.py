@@ -11,20 +11,29 @@ from .evolution import widens
 
 
 def parse_messages(
-    messages: DataFrame, body: str = "body", *, payload: bool = True, keep_rejected: bool = False
+    messages: DataFrame,
+    body: str = "body",
+    *,
+    payload: bool = True,
+    keep_rejected: bool = False,
+    header: bool = True,
 ) -> DataFrame:
     """Envelope columns of every message.
 
     Registry documents say ``id`` where messages say ``_id``; both count.
     ``payload=False`` skips the payload, which is most of a message, where
     only the header matters.  ``keep_rejected`` adds the text of bodies that
-    do not fit the envelope.
+    do not fit the envelope.  ``header=False`` gives the payload, the
+    destination's name and its quantity only, where no more is wanted: the
+    other texts, which any value fits, are passed over.
 
     The parse sits in a generator because Spark would otherwise repeat it for
     every later filter it moves below a projection.
     """
+    if not (payload or header):
+        raise ValueError("neither payload nor header is wanted")
     fields = [f for f in envelope_schema().fields if payload or f.name != "conteudo"]
-    wire = T.StructType(fields + [T.StructField("id", T.StringType())])
+    wire = T.StructType(fields + [T.StructField("id", T.StringType())]) if header else T.StructType.fromDDL(_BARE_DDL)
     options = {}
     if keep_rejected:
         wire = wire.add(REJECTED_BODY, T.StringType())
@@ -37,14 +46,32 @@ def parse_messages(
     # As text a JSON number has the digits of a double. Payloads declared to hold decimals
     # are read from the body as a variant, which keeps all of them; no other body is read again.
     exact = F.try_variant_get(F.try_parse_json(_BODY), "$.conteudo", "variant").cast("string")
-    declared = F.lower("destino.structType").contains("decimal")
+    declared = F.lower("destino.structType" if header else _spec_of(F.col(_BODY))).contains("decimal")
+    if not header:
+        declared = _may_say_decimal(F.col(_BODY)) & declared
     payload = F.when(declared, F.coalesce(exact, F.col("conteudo"))).otherwise(F.col("conteudo"))
+    if not header:
+        return opened.select("destino", payload.alias("conteudo"), *([REJECTED_BODY] if keep_rejected else []))
     columns = dict(zip(_one_id_names(wire), _one_id(wire))) | {"conteudo": payload.alias("conteudo")}
     return opened.select(*columns.values())
 
 
 _BODY = "letterbox_body"
 
+# The structs are looked into, as a body where one is none does not fit.
+_BARE_DDL = """
+    origem STRUCT<diretorio: STRING>, destino STRUCT<diretorio: STRING, quantidade: INT>, conteudo STRING
+"""
+
+
+def _spec_of(body: Column) -> Column:
+    return F.from_json(body, "destino STRUCT<structType: STRING>")["destino"]["structType"]
+
+
+def _may_say_decimal(body: Column) -> Column:
+    """Never False for a body that declares one, be it written with escapes; the spec itself decides."""
+    return F.lower(body).contains("decimal") | body.contains("\\u")
+
 
 def _one_id_names(wire: T.StructType) -> list[str]:
     return ["_id", *[name for name in wire.names if name not in ("_id", "id")]]
@@ -66,9 +93,11 @@ def is_rejected() -> Column:
     return F.col(REJECTED_BODY).isNotNull() | F.coalesce(nowhere, F.lit(False))
 
 
-def envelopes(messages: DataFrame, body: str = "body", *, payload: bool = True) -> DataFrame:
+def envelopes(
+    messages: DataFrame, body: str = "body", *, payload: bool = True, header: bool = True
+) -> DataFrame:
     """Parsed envelopes that announce rows; what ``quarantine`` returns is not among them."""
-    parsed = parse_messages(messages, body, payload=payload, keep_rejected=True)
+    parsed = parse_messages(messages, body, payload=payload, keep_rejected=True, header=header)
     return parsed.filter(has_rows() & ~is_rejected()).drop(REJECTED_BODY)
 
 

@@ -117,7 +117,7 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderp
 def payload_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read(spark, sf_dir, "orders")
     schema = payload_schema(declared_schema(orders.schema))
-    return typed_payload(env.envelopes(row_messages(orders, "orders")), schema)
+    return typed_payload(env.envelopes(row_messages(orders, "orders"), header=False), schema)
 
 
 @query("SELECT doc_id, text, lang, source, n_chars FROM documents")
@@ -150,7 +150,7 @@ UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, 'discount', l_discount FRO
 """)
 def payload_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent, schema = _line_messages(spark, sf_dir)
-    return typed_payload(env.envelopes(sent), schema)
+    return typed_payload(env.envelopes(sent, header=False), schema)
 
 
 @query("""
@@ -158,7 +158,7 @@ SELECT l_orderkey, l_linenumber, l_partkey, 'quantity' AS measure, l_quantity AS
 """)
 def payload_first_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent, schema = _line_messages(spark, sf_dir)
-    return typed_payload(env.envelopes(sent), schema, first_only=True)
+    return typed_payload(env.envelopes(sent, header=False), schema, first_only=True)
 
 
 @query("""

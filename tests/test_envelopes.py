@@ -72,3 +72,30 @@ def test_landing_keeps_null_columns_and_rejected_bodies(spark, messages, tmp_pat
         assert len(one) == 1 and one[0].lote is None and one[0].destino.quantidade == 1
         land(messages(envelope("b", [{"id": 1}])), path, fmt)
         assert read_landing(spark, path, fmt=fmt).count() == 1
+
+
+def test_payloads_without_headers_are_those_with_them(spark, messages):
+    """Other texts are passed over; which bodies are rejected and how decimals are read stays."""
+    amount = [{"name": "a", "dataType": "DECIMAL(24,4)", "nullable": True, "metadata": {}}]
+    decimal = json.dumps(envelope("a", [], fields=amount, quantidade=1))
+    exact = decimal.replace('"conteudo": []', '"conteudo": [{"a": 12345678901234567890.1234}]')
+    assert exact != decimal
+    found = messages(
+        envelope("b", [{"id": 1}, {"id": 2}]),
+        exact,
+        exact.replace("DECIMAL", "\\u0064ecimal"),
+        json.dumps(envelope("b", [{"id": 3}])) + "}",
+        "broken",
+        None,
+        {**envelope("b", [{"id": 4}]), "origem": "app"},
+        {**envelope("b", [{"id": 5}]), "destino": 7},
+        {**envelope("b", [{"id": 6}]), "versao": {"x": [1]}},
+        envelope("b", [{"id": 7}], quantidade="x"),
+        envelope("", [{"id": 8}]),
+        envelope("b", [], quantidade=0),
+    )
+    wide, bare = env.envelopes(found), env.envelopes(found, header=False)
+    kept = sorted(r.conteudo for r in wide.collect())
+    assert sorted(r.conteudo for r in bare.collect()) == kept
+    assert sum("12345678901234567890.1234" in text for text in kept) == 2
+    assert bare.columns == ["destino", "conteudo"] and bare.schema["destino"].dataType.names == ["diretorio", "quantidade"]
