@@ -10,7 +10,7 @@ Readers may meet a load half published for as long as its renames take.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from urllib.parse import unquote
@@ -18,7 +18,7 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from .. import storage
-from .tables import _described, _literal, _versioned, aligned, counts_of, has_log, quote_name, spread
+from .tables import _described, _literal, _versioned, aligned, counts_of, has_log, observed, quote_name, spread, with_constants
 
 #: What Spark calls the folder of a NULL partition value.
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -48,10 +48,12 @@ def stage(
     contents: list[str],
     *,
     shuffle: bool = True,
+    constants: Mapping[str, int] | None = None,
     also: Callable[[], None] | None = None,
 ) -> Staged:
     """Write rows for ``table`` aside; ``contents`` says what of, for whoever takes the load up again.
 
+    ``constants`` are columns that ``df`` lacks, the same in all rows.
     ``also`` is done before the load counts as written, so it is done again with it.
     """
     spark = df.sparkSession
@@ -62,9 +64,9 @@ def stage(
         raise ValueError(f"{table} keeps versions: its partitions are replaced, not appended to")
     parts, folder = described.get("partition_columns", []), f"{_folder(described['location'])}/{name}"
     storage.remove(spark, folder)
-    counted, out = Observation(), aligned(df, table)
+    counted, out = Observation(), aligned(with_constants(df, constants), table)
     out = spread(out, parts) if shuffle else out
-    writer = out.observe(counted, F.count(F.lit(1)).alias("rows")).write.format(described["provider"])
+    writer = observed(out, counted, [F.count(F.lit(1)).alias("rows")], constants).write.format(described["provider"])
     (writer.partitionBy(*parts) if parts else writer).save(f"{folder}/files")
     seen = counts_of(counted)
     if seen is None:

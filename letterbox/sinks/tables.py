@@ -182,6 +182,26 @@ def counts_of(counted: Observation, seconds: float = 60) -> dict | None:
         time.sleep(0.02)
 
 
+def with_constants(df: DataFrame, constants: Mapping[str, int] | None) -> DataFrame:
+    return df.withColumns({name: F.lit(value).cast("int") for name, value in (constants or {}).items()})
+
+
+def observed(
+    out: DataFrame, counted: Observation, seen: Sequence[Column], constants: Mapping[str, int] | None = None
+) -> DataFrame:
+    """Rows to be written, counted on the way.
+
+    A write by partition sorts its rows by it in memory, as many as a task reads,
+    unless the plan ends in constants.  They are named once more above the count,
+    which hides those below it.
+    """
+    rows = out.observe(counted, *seen)
+    if not constants:
+        return rows
+    again = {name: F.lit(value).cast(out.schema[name].dataType).alias(name) for name, value in constants.items()}
+    return rows.select([again[c] if c in again else quoted(c) for c in rows.columns])
+
+
 def save(
     df: DataFrame,
     table: str,
@@ -189,12 +209,14 @@ def save(
     metrics: Mapping[str, Column] | None = None,
     *,
     shuffle: bool = True,
+    constants: Mapping[str, int] | None = None,
 ) -> dict:
     """Insert into an existing table; returns what was counted on the way.
 
     ``append`` adds rows, ``overwrite`` replaces the partitions present in
     ``df`` (the whole table when it has none).  Rows are first brought together
-    by partition, unless ``shuffle`` is off.  A table that keeps versions
+    by partition, unless ``shuffle`` is off.  ``constants`` are columns that ``df``
+    lacks, the same in all rows (see ``observed``).  A table that keeps versions
     (see ``versions``) gets a new one and takes no appends.  The counts are taken in the
     writing stage, where each task counts once however often it is retried;
     should they get lost, the same rows are counted by a job of their own.
@@ -209,15 +231,15 @@ def save(
             raise ValueError(f"{table} keeps versions: its partitions are replaced, not appended to")
         from .versions import replace  # which builds on this module
 
-        return replace(df, table, metrics=metrics, shuffle=shuffle)
+        return replace(df, table, metrics=metrics, shuffle=shuffle, constants=constants)
     if parts and mode == "overwrite":
         ensure_partition_overwrite(spark, table)
     counted = Observation()
-    out = aligned(df, table)
+    out = aligned(with_constants(df, constants), table)
     if shuffle:
         out = spread(out, parts)
     seen = [F.count(F.lit(1)).alias("rows"), *[column.alias(name) for name, column in (metrics or {}).items()]]
-    out.observe(counted, *seen).write.insertInto(table, overwrite=mode == "overwrite")
+    observed(out, counted, seen, constants).write.insertInto(table, overwrite=mode == "overwrite")
     counts = counts_of(counted)
     return out.agg(*seen).first().asDict() if counts is None else counts
 
@@ -228,10 +250,13 @@ def save_day(
     """``save`` for one constant partition, which is emptied when ``df`` is empty.
 
     With a single partition to write there is nothing to bring together, so
-    rows go straight from the tasks that read them to files.  ``shuffle`` is
+    rows go straight from the tasks that read them to files, and columns of
+    ``day`` that ``df`` lacks are added without a sort.  ``shuffle`` is
     for tasks left with few rows each, as after a narrow filter.
     """
-    rows = save(df, table, mode, shuffle=shuffle)["rows"]
+    have = {name.lower() for name in df.columns}
+    constants = {name: value for name, value in day.items() if name.lower() not in have}
+    rows = save(df, table, mode, shuffle=shuffle, constants=constants)["rows"]
     if mode == "overwrite" and rows == 0:
         clear_partition(df.sparkSession, table, day)
     return rows

@@ -30,7 +30,19 @@ from .. import storage
 from ..functions.columns import quoted
 from ..session import small_rows
 from .staged import _NULL_PARTITION, _partition
-from .tables import _described, _literal, _versioned, aligned, counts_of, has_log, quote_name, recover_partitions, spread
+from .tables import (
+    _described,
+    _literal,
+    _versioned,
+    aligned,
+    counts_of,
+    has_log,
+    observed,
+    quote_name,
+    recover_partitions,
+    spread,
+    with_constants,
+)
 
 #: Table properties: the version that the catalog shows, and the folder of a table without partitions.
 SHOWN = "letterbox.version"
@@ -184,12 +196,14 @@ def replace(
     metrics: Mapping[str, Column] | None = None,
     shuffle: bool = True,
     sources: Mapping[str, int] | None = None,
+    constants: Mapping[str, int] | None = None,
 ) -> dict:
     """A new version with the partitions in ``df`` replaced; returns what was counted on the way.
 
     ``whole`` replaces all partitions and ``emptied`` those named, also by no
     rows. Rows of a partition that ``within`` refuses fail the replacement.
-    ``sources`` are kept with the version. ``df`` may read the table itself.
+    ``sources`` are kept with the version. ``constants`` are columns ``df`` lacks,
+    the same in all rows. ``df`` may read the table itself.
     """
     spark = df.sparkSession
     current = settle(spark, table)
@@ -197,13 +211,14 @@ def replace(
     root, parts = _root(described), described.get("partition_columns", [])
     number = current.number + 1
     folder = f"_versions/{number:06d}-{uuid.uuid4().hex[:12]}"
-    counted, out = Observation(), aligned(df, table)
+    counted, out = Observation(), aligned(with_constants(df, constants), table)
     schema = spark.table(table).schema
     out = spread(out, parts) if shuffle else out
     seen = [F.count(F.lit(1)).alias("rows"), *[column.alias(name) for name, column in (metrics or {}).items()]]
     # Inserts cast to the table's types; files written here have to as well.
     typed = out.select([quoted(c).cast(f.dataType).alias(f.name) for c, f in zip(out.columns, schema.fields)])
-    writer = typed.observe(counted, *seen).write.format(described["provider"])
+    fixed = {f.name: constants[c] for c, f in zip(out.columns, schema.fields) if c in (constants or {})}
+    writer = observed(typed, counted, seen, fixed).write.format(described["provider"])
     (writer.partitionBy(*parts) if parts else writer).save(f"{root}/{folder}")
     counts = counts_of(counted)
     if counts is None:

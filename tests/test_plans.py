@@ -6,19 +6,20 @@ import json
 import re
 import uuid
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrameWriter, functions as F
 
 from tests.conftest import envelope
 from letterbox.functions.dates import previous_day_window
 from letterbox.functions.schemas import pick, payload_schema
 from letterbox.operators import envelopes as env
 from letterbox.operators.payload import typed_payload
-from letterbox.plans import merge
+from letterbox.model import LoadOptions
+from letterbox.plans import load, merge
 from letterbox.plans.merge import latest
 from letterbox.sinks.tables import partition_id
 from letterbox.sinks.landing import accepted, land, landing_rows
-from letterbox.sinks import tables
-from letterbox.sinks.tables import spread
+from letterbox.sinks import staged, tables, versions
+from letterbox.sinks.tables import spread, with_constants
 from letterbox.sources.files import read_landing
 from letterbox.sources.hub import read_messages
 
@@ -118,6 +119,42 @@ def test_landing_tasks_are_sized_by_what_they_hold_not_by_compressed_bytes(spark
     assert [p.name for p in tmp_path.iterdir()] == ["landing"]
 
 
+def test_a_constant_day_is_written_without_a_sort(spark, messages, tmp_path, monkeypatch):
+    """Tasks of a landed day hold one row at a time, however many they read."""
+    plans, whole = [], DataFrameWriter.insertInto
+
+    def spy(self, table, overwrite=None):
+        view = f"v_{uuid.uuid4().hex}"
+        self._df.createOrReplaceTempView(view)
+        plans.append(spark.sql(f"EXPLAIN INSERT INTO {table} SELECT * FROM {view}").first()[0])
+        return whole(self, table, overwrite)
+
+    monkeypatch.setattr(DataFrameWriter, "insertInto", spy)
+    window, prefix = previous_day_window("2024-01-11"), f"p_{uuid.uuid4().hex}_"
+    options = LoadOptions(base_path=str(tmp_path / "raw"), database_prefix=prefix)
+    for number, mode in enumerate(("append", "overwrite", "append")):
+        body = messages(envelope("sales", [{"id": number, "store": "a"}], modo_gravacao=mode))
+        load.raise_on_failure(load.load_messages(spark, body, window, str(tmp_path / f"landing-{number}"), options))
+    assert len(plans) == 3 and all("WriteFiles" in text and "Sort" not in text for text in plans), plans
+    rows = spark.table(f"{prefix}app.sales").select("id", "year_partition", "month_partition", "day_partition").collect()
+    assert sorted(map(tuple, rows)) == [(1, 2024, 1, 10), (2, 2024, 1, 10)]
+
+
+def test_constants_reach_staged_and_versioned_writes(spark, tmp_path):
+    rows, day = spark.range(3), {"day": 7}
+    for kind in ("plain", "staged", "versioned"):
+        name = f"p_{uuid.uuid4().hex}.target"
+        schema = with_constants(rows, day).schema
+        tables.create_table(spark, name, schema, str(tmp_path / kind), ["day"], database_location=str(tmp_path / f"{kind}.db"))
+        if kind == "staged":
+            staged.publish(spark, name, staged.stage(rows, name, "one", ["1"], constants=day))
+        else:
+            if kind == "versioned":
+                versions.enable(spark, name)
+            assert tables.save_day(rows, name, day, "overwrite", shuffle=True) == 3
+        assert sorted(map(tuple, spark.table(name).collect())) == [(0, 7), (1, 7), (2, 7)]
+
+
 def test_a_hot_partition_is_split_on_insert(spark, tmp_path):
     setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     name = f"p_{uuid.uuid4().hex}.target"
