@@ -119,6 +119,35 @@ def test_landing_tasks_are_sized_by_what_they_hold_not_by_compressed_bytes(spark
     assert [p.name for p in tmp_path.iterdir()] == ["landing"]
 
 
+def dealt_files(spark, messages, path, fmt="parquet") -> dict[str, int]:
+    """Files by destination of messages landed in tasks of 1 MB."""
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(setting, "1m")
+    try:
+        land(messages, str(path), fmt)
+    finally:
+        spark.conf.unset(setting)
+    return {p.name.partition("=")[2]: len(list(p.glob("part-*"))) for p in path.iterdir() if "=" in p.name}
+
+
+def alike(spark, *texts, rows=16000):
+    """Messages that take turns among a few texts."""
+    body = F.element_at(F.array(*[F.lit(t) for t in texts]), (F.col("id") % len(texts) + 1).cast("int"))
+    return spark.range(0, rows, numPartitions=4).select(body.cast("binary").alias("body"))
+
+
+def sent(table, payload=None):
+    return json.dumps(envelope(table, payload=[{"id": 1, "store": "a"}] if payload is None else payload))
+
+
+def test_json_lands_in_tasks_of_its_own_bytes(spark, tmp_path):
+    """Stage one of two_stage_load."""
+    files = dealt_files(spark, alike(spark, sent("hot"), sent("other")), tmp_path / "landing", "json")
+    assert files["hot"] >= 4 and files["other"] >= 4
+    landed = read_landing(spark, str(tmp_path / "landing")).groupBy("header_destino_diretorio").count().collect()
+    assert {r[0]: r[1] for r in landed} == {"hot": 8000, "other": 8000}
+
+
 def test_a_constant_day_is_written_without_a_sort(spark, messages, tmp_path, monkeypatch):
     """Tasks of a landed day hold one row at a time, however many they read."""
     plans, whole = [], DataFrameWriter.insertInto
