@@ -17,7 +17,7 @@ from letterbox.model import LoadOptions
 from letterbox.plans import load, merge
 from letterbox.plans.merge import latest
 from letterbox.sinks.tables import partition_id
-from letterbox.sinks.landing import accepted, land, landing_rows
+from letterbox.sinks.landing import accepted, land, landing_rows, rejected
 from letterbox.sinks import staged, tables, versions
 from letterbox.sinks.tables import spread, with_constants
 from letterbox.sources.files import read_landing
@@ -148,6 +148,14 @@ def test_json_lands_in_tasks_of_its_own_bytes(spark, tmp_path):
     assert {r[0]: r[1] for r in landed} == {"hot": 8000, "other": 8000}
 
 
+def test_broken_bodies_are_dealt_like_others(spark, tmp_path):
+    """The quarantine has no destination, yet no task holds it whole."""
+    printed = "{'event': 1, 'ok': True, 'text': '" + "x" * 400 + "'}"
+    files = dealt_files(spark, alike(spark, sent("good"), printed), tmp_path / "landing")
+    assert files["__HIVE_DEFAULT_PARTITION__"] >= 4 and files["good"] >= 4
+    assert rejected(read_landing(spark, str(tmp_path / "landing"), fmt="parquet")).count() == 8000
+
+
 def test_a_constant_day_is_written_without_a_sort(spark, messages, tmp_path, monkeypatch):
     """Tasks of a landed day hold one row at a time, however many they read."""
     plans, whole = [], DataFrameWriter.insertInto
