@@ -156,6 +156,13 @@ def test_broken_bodies_are_dealt_like_others(spark, tmp_path):
     assert rejected(read_landing(spark, str(tmp_path / "landing"), fmt="parquet")).count() == 8000
 
 
+def test_destinations_that_differ_in_case_are_dealt_apart(spark, tmp_path):
+    files = dealt_files(spark, alike(spark, sent("click"), sent("CLICK")), tmp_path / "landing")
+    assert files["click"] >= 4 and files["CLICK"] >= 4
+    landed = read_landing(spark, str(tmp_path / "landing"), fmt="parquet").groupBy("header_destino_diretorio").count().collect()
+    assert {r[0]: r[1] for r in landed} == {"click": 8000, "CLICK": 8000}
+
+
 def test_a_constant_day_is_written_without_a_sort(spark, messages, tmp_path, monkeypatch):
     """Tasks of a landed day hold one row at a time, however many they read."""
     plans, whole = [], DataFrameWriter.insertInto
