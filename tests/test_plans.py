@@ -163,6 +163,14 @@ def test_destinations_that_differ_in_case_are_dealt_apart(spark, tmp_path):
     assert {r[0]: r[1] for r in landed} == {"click": 8000, "CLICK": 8000}
 
 
+def test_five_destinations_of_a_size_get_tasks_each(spark, tmp_path):
+    """What show_tables lands: no task holds two of them whole."""
+    names = ["click", "error", "purchase", "signup", "view"]
+    files = dealt_files(spark, alike(spark, *map(sent, names), rows=30000), tmp_path / "landing")
+    assert sorted(files) == names and min(files.values()) >= 4
+    assert read_landing(spark, str(tmp_path / "landing"), fmt="parquet").count() == 30000
+
+
 def test_a_constant_day_is_written_without_a_sort(spark, messages, tmp_path, monkeypatch):
     """Tasks of a landed day hold one row at a time, however many they read."""
     plans, whole = [], DataFrameWriter.insertInto
