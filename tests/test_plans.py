@@ -171,6 +171,15 @@ def test_five_destinations_of_a_size_get_tasks_each(spark, tmp_path):
     assert read_landing(spark, str(tmp_path / "landing"), fmt="parquet").count() == 30000
 
 
+def test_damaged_payloads_are_dealt_by_their_length(spark, tmp_path):
+    """Payloads that are no JSON weigh what their text does."""
+    damaged = [sent("hot", "not json " + "x" * 2000), sent("small", "null")]
+    files = dealt_files(spark, alike(spark, *damaged, rows=4000), tmp_path / "landing")
+    assert files["hot"] >= 4 > files["small"]
+    landed = read_landing(spark, str(tmp_path / "landing"), fmt="parquet")
+    assert landed.filter(F.length("conteudo") > 2000).count() == 2000
+
+
 def test_a_constant_day_is_written_without_a_sort(spark, messages, tmp_path, monkeypatch):
     """Tasks of a landed day hold one row at a time, however many they read."""
     plans, whole = [], DataFrameWriter.insertInto
