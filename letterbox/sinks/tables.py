@@ -118,7 +118,7 @@ def spread(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def task_bytes(spark: SparkSession) -> int:
     """The session's advisory partition size."""
     text = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
-    number, unit = re.fullmatch(r"(\d+)\s*([kmgtp]?)i?b?", text.strip().lower()).groups()
+    number, unit = re.match(r"(\d+)\s*([kmgtp]?)i?b?\Z", text.strip().lower()).groups()
     return max(1, int(number) << 10 * (" kmgtp".index(unit) if unit else 0))
 
 
