@@ -15,6 +15,11 @@ from .tables import dealt
 # smaller than the default let more of them share a file.
 ROW_GROUP_BYTES = 8 << 20
 
+# Alike messages take next to nothing in Parquet, so a task would read very many
+# and hold them while it deals them out.  Spark counts a few megabytes for each
+# file it opens, so files of few rows bound what a task reads.
+_ROWS_ASIDE = 1 << 14
+
 # What a row takes besides its long texts, roughly.
 _HEADER_BYTES = 512
 _BYTES = "letterbox_bytes"
@@ -54,7 +59,8 @@ def land(messages: DataFrame, path: str, fmt: str = "json", body: str = "body")
     aside = f"{folder}{slash}_{name}-{uuid.uuid4().hex}"
     sized = rows.withColumn(_BYTES, _row_bytes())
     try:
-        sized.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(aside)
+        writer = sized.write.option("parquet.block.size", ROW_GROUP_BYTES)
+        writer.option("maxRecordsPerFile", _ROWS_ASIDE).parquet(aside)
         parsed = spark.read.schema(sized.schema).parquet(aside)
         (
             dealt(parsed, TABLE_COLUMN, _BYTES)

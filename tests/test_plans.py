@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrameWriter, functions as F
 
 from tests.conftest import envelope
+from letterbox import storage
 from letterbox.functions.dates import previous_day_window
 from letterbox.functions.schemas import pick, payload_schema
 from letterbox.operators import envelopes as env
@@ -216,6 +217,20 @@ def test_constants_reach_staged_and_versioned_writes(spark, tmp_path):
         assert sorted(map(tuple, spark.table(name).collect())) == [(0, 7), (1, 7), (2, 7)]
 
 
+def test_rows_aside_lie_in_files_of_few_rows(spark, tmp_path, monkeypatch):
+    """Tasks that deal rows out hold what they read; alike rows take next to nothing in a file."""
+    seen, whole = [], storage.remove
+
+    def spy(session, path):
+        seen.append(len(list((tmp_path / path.rpartition("/")[2]).glob("part-*"))))
+        whole(session, path)
+
+    monkeypatch.setattr(storage, "remove", spy)
+    land(alike(spark, sent("hot"), rows=40000).coalesce(1), str(tmp_path / "landing"), "parquet")
+    assert seen == [3]
+    assert read_landing(spark, str(tmp_path / "landing"), fmt="parquet").count() == 40000
+
+
 def test_a_hot_partition_is_split_on_insert(spark, tmp_path):
     setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     name = f"p_{uuid.uuid4().hex}.target"
