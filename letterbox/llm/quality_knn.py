@@ -15,6 +15,7 @@ cosines. An empty table gives an empty result; without labels all scores are 0.5
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
@@ -32,6 +33,8 @@ TERMS = 2048
 LAGS = 4
 #: Labelled documents at most: those with the smallest hash of their id. This bounds what is sent to workers.
 MAX_LABELLED = 4096
+#: Texts whose weights are worked out at once.
+BLOCK = 256
 
 
 @dataclass(frozen=True)
@@ -83,8 +86,8 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 
 def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in common.slices(batches):
-        for row in range(0, batch.num_rows, 256):
-            part = batch.slice(row, 256)
+        for row in range(0, batch.num_rows, BLOCK):
+            part = batch.slice(row, BLOCK)
             counts, repeats = terms(*common.byte_view(part.column(TEXT)))
             blobs = [c.astype("<f4").tobytes() + r.astype("<f4").tobytes() for c, r in zip(counts, repeats)]
             yield pa.RecordBatch.from_arrays(
@@ -92,6 +95,29 @@ def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             )
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Terms are mostly zero bytes; packed, they are a fraction of that in the driver."""
+    for batch in batches:
+        blobs = [zlib.compress(b.as_buffer(), 1) for b in batch.column("lb_terms")]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(ID), batch.column("lb_label"), pa.array(blobs, pa.binary())], [ID, "lb_label", "lb_terms"]
+        )
+
+
+def _unpacked(blobs: pa.ChunkedArray) -> Iterator[np.ndarray]:
+    for row in range(0, len(blobs), BLOCK):
+        raw = b"".join(zlib.decompress(b) for b in blobs.slice(row, BLOCK).to_pylist())
+        yield np.frombuffer(raw, "<f4").reshape(-1, TERMS + LAGS)
+
+
+def _weighted_rows(blobs: pa.ChunkedArray, idf: np.ndarray) -> np.ndarray:
+    """``weighted`` of all rows, with a block's intermediate arrays only."""
+    found = np.empty((len(blobs), TERMS + LAGS), np.float32)
+    for i, table in enumerate(_unpacked(blobs)):
+        found[i * BLOCK : i * BLOCK + len(table)] = weighted(table[:, :TERMS], table[:, TERMS:], idf)
+    return found
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -120,24 +146,29 @@ def fit(
         .groupBy(ID)
         .agg(F.min(F.struct("lb_label", "lb_terms")).alias("row"))
         .select(ID, "row.*")
+        .mapInArrow(_packed, f"{ID} long, lb_label int, lb_terms binary")
         .toArrow()
         .sort_by(ID)
     )
     width = TERMS + LAGS
     if not rows.num_rows:
         return Model(np.ones(TERMS, np.float32), np.zeros((width, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0, np.float32))
-    table = np.frombuffer(b"".join(rows.column("lb_terms").to_pylist()), "<f4").reshape(-1, width)
+    blobs = rows.column("lb_terms")
     given = rows.column("lb_label").to_numpy().astype(np.float32)
-    counts, repeats = table[:, :TERMS], table[:, TERMS:]
-    idf = (np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))) + 1).astype(np.float32)
-    found = weighted(counts, repeats, idf)
+    seen = sum((table[:, :TERMS] > 0).sum(axis=0) for table in _unpacked(blobs))
+    idf = (np.log((1 + len(blobs)) / (1 + seen)) + 1).astype(np.float32)
+    # The driver holds the rows or the decomposition, whose working space is five such matrices, never both.
+    found = _weighted_rows(blobs, idf)
+    square = (found.T @ found).astype(np.float64)
+    del found
     # Right singular vectors: those of the small square matrix of terms.
-    values, axes = np.linalg.eigh((found.T @ found).astype(np.float64))
+    values, axes = np.linalg.eigh(square)
+    del square
     axes = axes[:, np.argsort(values)[::-1][:dimensions]].astype(np.float32)
-    return Model(idf, axes, _unit(found @ axes), given, min(neighbours, len(given)))
+    return Model(idf, axes, _unit(_weighted_rows(blobs, idf) @ axes), given, min(neighbours, len(given)))
 
 
-def scores(model: Model, data: np.ndarray, offsets: np.ndarray, block: int = 256) -> np.ndarray:
+def scores(model: Model, data: np.ndarray, offsets: np.ndarray, block: int = BLOCK) -> np.ndarray:
     """The weighted vote of each text's nearest labelled neighbours."""
     out = np.full(len(offsets) - 1, 0.5)
     if not len(model.labels):

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -101,6 +102,43 @@ def test_the_sample_is_bounded(quality):
     assert len(quality_knn.fit(docs, labels, max_labelled=40).labels) == 40
 
 
+def test_the_fit_takes_little_of_the_drivers_memory(spark, monkeypatch):
+    n = 3000
+    docs = spark.range(n).selectExpr("id AS doc_id", "array_join(transform(sequence(1, 40), i -> hex(hash(id, i))), ' ') AS text")
+    labels = spark.range(n).selectExpr("id AS doc_id", "CAST(id % 2 AS int) AS quality")
+    whole, got, collect = n * (quality_knn.TERMS + quality_knn.LAGS) * 4, [], type(docs).toArrow
+
+    def watched(df):
+        got.append(collect(df))
+        tracemalloc.start()
+        return got[-1]
+
+    monkeypatch.setattr(type(docs), "toArrow", watched)
+    try:
+        model = quality_knn.fit(docs, labels)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert model.vectors.shape == (n, 64)
+    assert sum(t.nbytes for t in got) < 0.4 * whole
+    square = (quality_knn.TERMS + quality_knn.LAGS) ** 2 * 8
+    # numpy's own: the rows once and the matrix in both precisions, or the decomposition's input and output.
+    assert peak < max(whole + 1.5 * square, 2 * square) + 25e6
+
+
+def test_the_fit_is_that_of_the_whole_matrix(spark, documents):
+    texts = [(i, prose(n=3 + i % 90) if i % 5 else "x " * i) for i in range(600)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in texts], "doc_id long, quality int")
+    model = quality_knn.fit(documents(texts), labels)
+    counts, repeats = quality_knn.terms(*byte_view(pa.array([t for _, t in texts])))
+    idf = (np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))) + 1).astype(np.float32)
+    found = quality_knn.weighted(counts, repeats, idf)
+    values, axes = np.linalg.eigh((found.T @ found).astype(np.float64))
+    vectors = found @ axes[:, np.argsort(values)[::-1][:64]].astype(np.float32)
+    assert np.array_equal(model.idf, idf)
+    assert np.allclose(model.vectors @ model.vectors.T, quality_knn._unit(vectors) @ quality_knn._unit(vectors).T, atol=1e-4)
+
+
 # Language --------------------------------------------------------------------------------
 
 
